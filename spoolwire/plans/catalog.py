@@ -54,7 +54,14 @@ def _memo(spark: SparkSession, key: tuple, build: Callable[[], str]) -> str:
 
 def write_csv(df: DataFrame, path: str) -> str:
     """All-string rows as RFC 4180 CSV (one header per part file)."""
-    stringify(df).write.option("header", True).option("escape", '"').csv(path)
+    (
+        stringify(df)
+        .write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)  # the writer trims by default
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 

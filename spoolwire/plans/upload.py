@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spoolwire.errors import EncodingError, SourceNotFound
 from spoolwire.operators.records import non_empty
@@ -22,7 +23,7 @@ def upload_csv(
     topic: Topic,
     *,
     partitions: int | None = None,
-    multiline: bool = True,
+    multiline: bool | str = "auto",
     include_header_record: bool = False,
     audit: bool = True,
     raise_errors: bool = True,
@@ -39,7 +40,14 @@ def upload_csv(
     name = getattr(topic, "name", str(topic))
     try:
         if audit:
-            audit_encoding(spark, path, mode="strict")
+            # one pass over the bytes: encoding check, and whether records span lines
+            tot = audit_encoding(spark, path).agg(
+                F.sum("bad_lines").alias("bad"), F.sum("open_quote_lines").alias("open")
+            ).first()
+            if tot.bad:
+                raise EncodingError(f"invalid UTF-8 on {tot.bad} lines of {path}; re-encode the source as UTF-8")
+            if multiline == "auto":
+                multiline = bool(tot.open)
         records = scan_csv(spark, path, multiline=multiline, include_header_record=include_header_record)
         keep = non_empty(records)
         observed, obs = observe_counts(records, keep)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import CREATE_TIME, Serializer, json_serializer
-from spoolwire.sources.topic import FileTopic, KafkaTopic, Topic, create_topic, end_offsets, topic_partitions
+from spoolwire.sources.topic import FileTopic, KafkaTopic, Topic, _ends_rows, record_end_offsets
 from spoolwire.workspace import scratch_path
 
 # Above this many (partition, segment) rows the offset table is shuffle-joined.
@@ -98,12 +98,14 @@ def publish(
         return _publish_kafka(df, key, value, topic, partition_by)
 
     spark = df.sparkSession
-    n_parts = topic_partitions(spark, topic)
-    if n_parts is None:
+    current = _ends_rows(spark, topic)
+    if current is None:
         n_parts = partitions or 1
-        create_topic(spark, topic, n_parts)
-    elif partitions is not None and partitions != n_parts:
-        raise ValueError(f"topic {topic.name} has {n_parts} partitions, not {partitions}")
+        current = {p: 0 for p in range(n_parts)}
+    else:
+        n_parts = len(current)
+        if partitions is not None and partitions != n_parts:
+            raise ValueError(f"topic {topic.name} has {n_parts} partitions, not {partitions}")
     part_expr = partition_by
     if part_expr is None and key_column is not None:
         # Spark's Murmur3 hash of the key (a Kafka client uses murmur2).
@@ -140,34 +142,36 @@ def publish(
     prepared.select("key", "value", "timestamp", "partition", "_seg", "_row").write.parquet(stage_path)
     staged = spark.read.parquet(stage_path)
 
-    # Small table: one row per (partition, segment).
-    seg_stats = staged.groupBy("partition", "_seg").agg(
-        F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n")
-    )
-    ends = end_offsets(spark, topic).withColumnRenamed("end_offset", "_end")
+    # Small table: one row per (partition, segment); the running sum over
+    # segments, on top of the partition's current end, is each segment's base.
+    seg_stats = staged.groupBy("partition", "_seg").agg(F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n"))
+    ends_df = spark.createDataFrame(sorted(current.items()), "partition int, _end long")
     w = Window.partitionBy("partition").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     seg_stats = (
-        seg_stats.join(F.broadcast(ends), "partition", "left")  # ends: one row per topic partition
+        seg_stats.join(F.broadcast(ends_df), "partition", "left")  # one row per topic partition
         .withColumn("_base", F.coalesce(F.col("_end"), F.lit(0)) + F.coalesce(F.sum("_n").over(w), F.lit(0)))
         .select("partition", "_seg", "_row0", "_n", "_base")
     )
-    stats_path = scratch_path(spark, f"offsets-{topic.name}")
-    seg_stats.write.parquet(stats_path)
-    seg_stats = spark.read.parquet(stats_path)
+    # Per-partition totals (at most n_parts + 1 rows, out-of-range partitions folded into -1).
     outside = (F.col("partition") < 0) | (F.col("partition") >= n_parts) | F.col("partition").isNull()
-    summary = seg_stats.agg(
-        F.count(F.lit(1)).alias("segs"), F.sum("_n").alias("rows"), F.count_if(outside).alias("outside")
-    ).first()
-    if summary.outside:
+    totals = (
+        staged.groupBy(F.when(outside, F.lit(-1)).otherwise(F.col("partition")).alias("partition"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_seg").alias("segs"))
+        .collect()
+    )
+    if any(r.partition == -1 for r in totals):
         raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
-    if not summary.rows:
+    rows_sent = sum(r.rows for r in totals)
+    segs = sum(r.segs for r in totals)
+    new_ends = dict(current)
+    for r in totals:
+        new_ends[r.partition] = current.get(r.partition, 0) + r.rows
+    # Reserve the offsets first: a crash after this point leaves a gap, never a reused offset.
+    record_end_offsets(spark, topic, new_ends)
+    if not rows_sent:
         return PublishResult(topic.name, 0, n_parts)
 
-    # Reserve the offsets first: a crash after this point leaves a gap, never a duplicate.
-    new_ends = seg_stats.groupBy("partition").agg(F.max(F.col("_base") + F.col("_n")).alias("end_offset"))
-    new_ends.coalesce(1).write.mode("append").parquet(topic.ends_path)
-
-    joined_stats = F.broadcast(seg_stats) if summary.segs <= BROADCAST_MAX_ROWS else seg_stats
+    joined_stats = F.broadcast(seg_stats) if segs <= BROADCAST_MAX_ROWS else seg_stats
     out = staged.join(joined_stats, ["partition", "_seg"]).select(
         "key",
         "value",
@@ -178,7 +182,7 @@ def publish(
         F.lit(CREATE_TIME).alias("timestampType"),
     )
     out.sortWithinPartitions("partition", "offset").write.mode("append").partitionBy("partition").parquet(topic.path)
-    return PublishResult(topic.name, int(summary.rows), n_parts)
+    return PublishResult(topic.name, int(rows_sent), n_parts)
 
 
 def _value_expr(cols: Sequence[str], serializer: Serializer | None) -> Column:

@@ -68,7 +68,7 @@ def scan_csv(
     spark: SparkSession,
     path: str,
     *,
-    multiline: bool = True,
+    multiline: bool | str = "auto",
     encoding: str = "utf-8",
     include_header_record: bool = False,
     keep_raw: bool = False,
@@ -80,14 +80,17 @@ def scan_csv(
     header width, else null) and, with ``keep_raw``, ``_corrupt_record`` (the
     raw text of ragged rows).
 
-    ``multiline`` allows newlines inside quoted fields; it makes each file one
-    split, so large inputs should come as many files (or use
-    ``multiline=False`` when no field spans lines). With several files each
+    ``multiline`` allows newlines inside quoted fields, at the price of one
+    split per file. ``'auto'`` (default) decides with one parallel pass over
+    the bytes (:func:`spans_lines`): files without a quoted line break are
+    read line by line, split across tasks. With several files each
     file's header is checked against the first (``check_headers``), because
     Spark matches CSV columns by position. ``include_header_record`` adds the
     header itself as the first record, as a reader given explicit field names
     would return it.
     """
+    if multiline == "auto":
+        multiline = spans_lines(spark, path, encoding)
     headers = csv_header(spark, path, multiline, encoding)
     for reserved in (CORRUPT, OVERFLOW):
         if reserved in headers:
@@ -122,21 +125,38 @@ def scan_csv(
     return out
 
 
+_LINE_COMPATIBLE = {"utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1"}
+
+
+def spans_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
+    """Whether any quoted field of the source continues onto another line."""
+    if encoding.lower() not in _LINE_COMPATIBLE:
+        return True
+    return bool(audit_encoding(spark, path).agg(F.sum("open_quote_lines")).first()[0])
+
+
 def audit_encoding(spark: SparkSession, path: str, mode: str = "report") -> DataFrame:
-    """Whole-source UTF-8 audit, one row per file: ``file, lines, bad_lines, ok, first_bad``.
+    """Whole-source UTF-8 audit, one row per file:
+    ``file, lines, bad_lines, first_bad, open_quote_lines, ok``.
 
     Lines are read as raw bytes (Spark's text source does not validate), so
     the check is split-parallel and covers every byte, not a prefix.
+    ``open_quote_lines`` counts lines with an odd number of ``"``: exactly the
+    lines where a quoted field continues onto the next line, so zero means the
+    file can be parsed line by line (splittable).
     ``mode='strict'`` raises :class:`EncodingError` naming up to ten bad files.
     """
     if not _source_exists(spark, path):
         raise SourceNotFound(path)
     lines = spark.read.text(path)
     bad = ~F.is_valid_utf8("value")
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     report = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(bad).alias("bad_lines"),
         F.min(F.when(bad, F.make_valid_utf8("value"))).alias("first_bad"),
+        # a line with an odd number of quotes starts a record that spans lines
+        F.count_if(quotes % 2 == 1).alias("open_quote_lines"),
     )
     report = report.withColumn("ok", F.col("bad_lines") == 0)
     if mode == "strict":

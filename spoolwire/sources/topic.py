@@ -29,7 +29,6 @@ from spoolwire.workspace import path_exists
 EARLIEST = -2
 LATEST = -1
 
-_META = "_topic"
 _ENDS = "_end_offsets"
 
 
@@ -40,10 +39,6 @@ class FileTopic:
     path: str
     name: str = "data"
 
-    @property
-    def meta_path(self) -> str:
-        return f"{self.path}/{_META}"
-
     @property
     def ends_path(self) -> str:
         return f"{self.path}/{_ENDS}"
@@ -65,16 +60,33 @@ def _exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def topic_partitions(spark: SparkSession, topic: FileTopic) -> int | None:
-    """Partition count recorded when the topic was created, or None if it does not exist."""
-    meta = _exists(spark, topic.meta_path)
-    if meta is None:
+def _ends_rows(spark: SparkSession, topic: FileTopic) -> dict[int, int] | None:
+    """``{partition: end_offset}`` for every partition, or None if the topic does not exist.
+
+    The end-offset log is also the topic's metadata: it holds a row for every
+    partition from creation on. One row per partition comes back to the driver.
+    """
+    ends = _exists(spark, topic.ends_path)
+    if ends is None:
         return None
-    return meta.agg(F.max("partitions")).first()[0]
+    rows = ends.groupBy("partition").agg(F.max("end_offset").alias("end_offset")).collect()
+    return {r.partition: r.end_offset for r in rows}
+
+
+def topic_partitions(spark: SparkSession, topic: FileTopic) -> int | None:
+    """Partition count of the topic, or None if it does not exist."""
+    ends = _ends_rows(spark, topic)
+    return None if ends is None else len(ends)
+
+
+def record_end_offsets(spark: SparkSession, topic: FileTopic, ends: dict[int, int]) -> None:
+    """Append ``(partition, end_offset)`` rows to the topic's end-offset log (one small file)."""
+    rows = [(int(p), int(o)) for p, o in sorted(ends.items())]
+    spark.createDataFrame(rows, offsets_schema()).coalesce(1).write.mode("append").parquet(topic.ends_path)
 
 
 def create_topic(spark: SparkSession, topic: FileTopic, partitions: int = 1) -> FileTopic:
-    """Record the topic's name and partition count (idempotent for the same count)."""
+    """Create an empty topic with ``partitions`` partitions (idempotent for the same count)."""
     if partitions < 1:
         raise ValueError("a topic needs at least one partition")
     current = topic_partitions(spark, topic)
@@ -82,18 +94,14 @@ def create_topic(spark: SparkSession, topic: FileTopic, partitions: int = 1) ->
         if current != partitions:
             raise ValueError(f"topic {topic.name} has {current} partitions, not {partitions}")
         return topic
-    spark.createDataFrame([(topic.name, partitions)], "topic string, partitions int").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(topic.meta_path)
+    record_end_offsets(spark, topic, {p: 0 for p in range(partitions)})
     return topic
 
 
 def end_offsets(spark: SparkSession, topic: FileTopic) -> DataFrame:
-    """``partition, end_offset`` (next offset to write), one row per partition written so far."""
-    ends = _exists(spark, topic.ends_path)
-    if ends is None:
-        return spark.createDataFrame([], "partition int, end_offset long")
-    return ends.groupBy("partition").agg(F.max("end_offset").alias("end_offset"))
+    """``partition, end_offset`` (the next offset to be written), one row per partition."""
+    ends = _ends_rows(spark, topic) or {}
+    return spark.createDataFrame(sorted(ends.items()), offsets_schema())
 
 
 def parse_offsets(spec, topic_name: str, default: int) -> dict[int, int] | int:
@@ -127,8 +135,7 @@ def kafka_offsets_json(spec, topic_name: str) -> str:
 
 
 def _latest_map(spark: SparkSession, topic: FileTopic) -> dict[int, int]:
-    # One row per topic partition: a bounded, driver-sized result.
-    return {r.partition: r.end_offset for r in end_offsets(spark, topic).collect()}
+    return _ends_rows(spark, topic) or {}
 
 
 def offset_predicate(spark: SparkSession, topic: FileTopic, starting, ending) -> Column | None:
