@@ -111,7 +111,7 @@ def offset_gaps(topic_df: DataFrame, bucket: int = 1 << 20) -> DataFrame:
     ordered comparison runs within a bucket (groups of at most ``bucket``
     rows) and across bucket edges on per-bucket min/max (one row per bucket).
     """
-    b = F.floor(F.col("offset") / F.lit(bucket))
+    b = F.expr(f"offset div {int(bucket)}")
     rows = topic_df.select("partition", "offset").withColumn("_b", b)
     inner_w = Window.partitionBy("partition", "_b").orderBy("offset")
     inner = rows.withColumn("next_offset", F.lead("offset").over(inner_w)).filter(

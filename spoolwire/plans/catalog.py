@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import ntz_to_instant, stringify, with_position
 from spoolwire.functions.text import head_chars, utf8_ok
-from spoolwire.operators.records import drop_empty, parse_any, parse_records, split_quarantine
+from spoolwire.operators.records import deserialize, drop_empty, parse_any, parse_records, split_quarantine
 from spoolwire.operators.report import first_records, offset_gaps, preview, progress, schema_profile
 from spoolwire.plans.consume import consume_topic
 from spoolwire.plans.upload import upload_csv
@@ -402,10 +402,8 @@ def q_csv_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_by=["_eid"],
     )
     ddl = ", ".join(f"{c} string" for c in EVENT_COLUMNS)
-    env = read_topic(spark, topic)
-    return env.select(
-        "partition", "offset", F.from_csv(F.col("value").cast("string"), ddl).alias("record")
-    ).select("partition", "offset", "record.*")
+    env = deserialize(read_topic(spark, topic), lambda v: F.from_csv(v.cast("string"), ddl))
+    return env.select("partition", "offset", "record.*")
 
 
 def q_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from spoolwire.functions.envelope import decode_envelope
 from spoolwire.operators.records import parse_records
 from spoolwire.sources.topic import Topic, read_topic
 
@@ -23,5 +24,5 @@ def consume_topic(
 
     Works the same on a streaming envelope (see ``stream_topic``).
     """
-    envelope = read_topic(spark, topic, starting, ending, fail_on_data_loss)
+    envelope = decode_envelope(read_topic(spark, topic, starting, ending, fail_on_data_loss))
     return parse_records(envelope, schema, keep=("key",), corrupt_column=corrupt_column)

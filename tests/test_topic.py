@@ -156,3 +156,16 @@ def test_offsets_options():
     assert kafka_offsets_json({"1": 5, "0": 3}, "data") == '{"data": {"0": 3, "1": 5}}'
     assert kafka_offsets_json("latest", "data") == "latest"
     assert PRODUCER_SETTINGS["kafka.linger.ms"] == "5" and PRODUCER_SETTINGS["kafka.batch.size"] == "16384"
+
+
+def test_kafka_backend_builds_source_and_sink(spark):
+    from pyspark.errors import AnalysisException
+
+    from spoolwire import KafkaTopic
+
+    t = KafkaTopic("data", "broker:9092")
+    # no Kafka connector on this classpath: Spark must fail on the data source itself
+    with pytest.raises(AnalysisException, match="kafka"):
+        read_topic(spark, t, starting={"0": 5})
+    with pytest.raises(AnalysisException, match="kafka"):
+        publish(records(spark, 3), t)
