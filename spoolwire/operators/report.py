@@ -73,10 +73,36 @@ def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
     )
 
 
+# Above this many topic partitions the first-records bounds are joined, not pushed down.
+PUSHDOWN_MAX_PARTITIONS = 1000
+
+
 def first_records(topic_df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` records read from each topic partition, numbered from 1 (``record_no``)."""
-    start = F.broadcast(_partition_start(topic_df).select("partition", "_o0"))
+    """The first ``n`` records read from each topic partition, numbered from 1 (``record_no``).
+
+    Each partition's first offset comes from an aggregate over the offset
+    column (one row per partition). For up to
+    :data:`PUSHDOWN_MAX_PARTITIONS` partitions the bounds become a
+    ``partition``/``offset`` predicate that reaches the Parquet scan, so only
+    the leading row groups of each partition are read; beyond that the bounds
+    are broadcast-joined.
+    """
+    starts = _partition_start(topic_df).select("partition", "_o0")
+    bounds = starts.limit(PUSHDOWN_MAX_PARTITIONS + 1).collect()
     no = F.col("offset") - F.col("_o0") + 1
+    if len(bounds) <= PUSHDOWN_MAX_PARTITIONS:
+        if not bounds:
+            return topic_df.withColumn("record_no", F.lit(None).cast("long")).limit(0)
+        cond = None
+        for r in bounds:
+            term = (F.col("partition") == F.lit(r.partition)) & (F.col("offset") < F.lit(r._o0 + n))
+            cond = term if cond is None else cond | term
+        small = topic_df.sparkSession.createDataFrame(
+            [(r.partition, r._o0) for r in bounds], "partition int, _o0 long"
+        )
+        head = topic_df.filter(cond)
+        return head.join(F.broadcast(small), "partition").withColumn("record_no", no).drop("_o0")
+    start = F.broadcast(starts)  # one row per topic partition
     return topic_df.join(start, "partition").filter(no <= n).withColumn("record_no", no).drop("_o0")
 
 

@@ -6,9 +6,9 @@ File backend: offsets must be dense per partition, like a broker's. They are
 assigned without a window over a whole topic partition (which would put a hot
 partition into one task):
 
-1. records are (optionally) range-partitioned and sorted by
-   ``(partition, order_by..., hash(value))`` and written once to a staging
-   table in the shared folder, tagged with the Spark partition that wrote
+1. keyed records are range-partitioned and sorted by
+   ``(partition, order_by..., hash(value))`` (keyless ones stay in place) and
+   written once to a staging table in the shared folder, tagged with the Spark partition that wrote
    them (``_seg``) and a per-segment row id (``_row``);
 2. one aggregate over the staged ids gives a count per
    ``(partition, _seg)`` — at most a few rows per Spark task — and a running
@@ -71,7 +71,7 @@ def publish(
     order_by: Sequence[str | Column] | None = None,
     timestamp_column: Column | str | None = None,
     wire: bool = False,
-    batch_records: int = 1000,
+    batch_records: int = 1_000_000,
 ) -> PublishResult:
     """Append ``df``'s records to ``topic``.
 
@@ -80,10 +80,12 @@ def publish(
     already has ``key`` and ``value``.
 
     Placement: ``partition_by`` (a column giving the partition number) wins;
-    else the key's hash; else, as a keyless producer does, records spread
-    over partitions in sticky batches of ``batch_records`` (no shuffle).
-    ``order_by`` fixes the offset order within each partition (a range
-    shuffle); without it offsets follow scan order. ``timestamp_column`` sets
+    else the key's hash; both range-shuffle the records by partition. Without
+    either, as a keyless producer does, records stay where they are read and
+    go to the partitions in sticky batches of ``batch_records`` (no shuffle;
+    a batch is one output file, so keep it large at scale). ``order_by``
+    fixes the offset order within each partition; without it offsets follow
+    read order (keyless) or an arbitrary but fixed order. ``timestamp_column`` sets
     the record timestamp (default: the write time).
     """
     extra = [_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
@@ -117,12 +119,14 @@ def publish(
     prepared = df.select(*sel, *extra)
     order_cols = [f"_o{i}" for i in range(len(extra))]
 
-    if order_by:
+    if part_expr is not None or order_by:
+        # Range shuffle on (partition, order..., hash(value)): each task then holds a
+        # contiguous run of partitions (about tasks + partitions output files, and a
+        # small offset table), and a partition or key holding a large share of the
+        # rows is still split across tasks by the hash tie-breaker.
         prepared = prepared.withColumn("_tie", F.xxhash64("value"))
         keys = (["partition"] if part_expr is not None else []) + order_cols + ["_tie"]
         prepared = prepared.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    elif part_expr is not None:
-        prepared = prepared.sortWithinPartitions("partition")
     prepared = prepared.withColumn("_seg", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
     if part_expr is None:
         # Keyless: sticky batches of ``batch_records`` rotate over the partitions,
