@@ -35,7 +35,7 @@ SELECT
        ELSE c_acctbal::VARCHAR END AS c_acctbal,
   CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' WHEN c_mktsegment = 'BUILDING' THEN NULL
        ELSE c_mktsegment END AS c_mktsegment,
-  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN [c_name, ''] ELSE NULL END AS _overflow
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN to_json([c_name, ''])::VARCHAR ELSE NULL END AS _overflow
 FROM customer
 """
 
