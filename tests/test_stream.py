@@ -47,3 +47,32 @@ def test_same_transforms_on_stream(spark, tmp):
     q = emit_records(s, sink="memory", query_name="parsed_stream")
     q.awaitTermination()
     assert spark.sql("select count(*) c from parsed_stream").first().c == 50
+
+
+def test_live_trigger_and_foreach_batch(spark, tmp):
+    t = _topic(spark, tmp, 60)
+    seen = []
+
+    def collect_batch(batch_df, epoch_id):
+        seen.extend((r.partition, r.offset) for r in batch_df.select("partition", "offset").collect())
+
+    q = emit_records(decode_records(stream_topic(spark, t)), foreach_batch=collect_batch,
+                     available_now=False, processing_time="200 milliseconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert len(seen) == 60 and len(set(seen)) == 60
+
+
+def test_run_stream_live_mode(spark, tmp):
+    t = _topic(spark, tmp, 40)
+    sink, cp = scratch_path(spark, "sink"), scratch_path(spark, "cp")
+    q = run_stream(spark, t, sink, cp, available_now=False)
+    try:
+        q.processAllAvailable()
+        publish(spark.range(40, 45).select(F.col("id").cast("string").alias("id")), t)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(sink).count() == 45
