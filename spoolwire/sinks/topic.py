@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import CREATE_TIME, Serializer, json_serializer
-from spoolwire.sources.topic import FileTopic, KafkaTopic, Topic, _ends_rows, record_end_offsets
+from spoolwire.sources.topic import KafkaTopic, Topic, current_end_offsets, record_end_offsets
 from spoolwire.workspace import scratch_path
 
 # Above this many (partition, segment) rows the offset table is shuffle-joined.
@@ -100,7 +100,7 @@ def publish(
         return _publish_kafka(df, key, value, topic, partition_by)
 
     spark = df.sparkSession
-    current = _ends_rows(spark, topic)
+    current = current_end_offsets(spark, topic)
     if current is None:
         n_parts = partitions or 1
         current = {p: 0 for p in range(n_parts)}

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spoolwire.errors import EncodingError, SourceNotFound
-from spoolwire.functions.text import csv_tokens
+from spoolwire.functions.text import csv_raw_tokens, csv_unquote
 from spoolwire.workspace import path_exists
 
 HEADER_META = "spoolwire.csv_header"
@@ -105,7 +105,7 @@ def scan_csv(
     )
     width = len(headers)
     raw = F.col(CORRUPT)
-    staged = raw_df.withColumn("_toks", F.when(raw.isNotNull(), csv_tokens(raw)))
+    staged = raw_df.withColumn("_toks", F.when(raw.isNotNull(), csv_raw_tokens(raw)))
     n = F.size("_toks")
     meta = {HEADER_META: True}
     cols = []
@@ -113,7 +113,7 @@ def scan_csv(
         c = F.col(f"`{h}`")
         present = raw.isNull() | (F.lit(i) < n)
         cols.append(F.when(present, F.coalesce(c, F.lit(""))).alias(h, metadata=meta))
-    cols.append(F.when(n > width, F.slice("_toks", width + 1, n - width)).alias(OVERFLOW))
+    cols.append(F.when(n > width, csv_unquote(F.slice("_toks", width + 1, n - width))).alias(OVERFLOW))
     if keep_raw:
         cols.append(raw.alias(CORRUPT))
     out = staged.select(cols)

@@ -60,7 +60,7 @@ def _exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def _ends_rows(spark: SparkSession, topic: FileTopic) -> dict[int, int] | None:
+def current_end_offsets(spark: SparkSession, topic: FileTopic) -> dict[int, int] | None:
     """``{partition: end_offset}`` for every partition, or None if the topic does not exist.
 
     The end-offset log is also the topic's metadata: it holds a row for every
@@ -75,7 +75,7 @@ def _ends_rows(spark: SparkSession, topic: FileTopic) -> dict[int, int] | None:
 
 def topic_partitions(spark: SparkSession, topic: FileTopic) -> int | None:
     """Partition count of the topic, or None if it does not exist."""
-    ends = _ends_rows(spark, topic)
+    ends = current_end_offsets(spark, topic)
     return None if ends is None else len(ends)
 
 
@@ -100,7 +100,7 @@ def create_topic(spark: SparkSession, topic: FileTopic, partitions: int = 1) ->
 
 def end_offsets(spark: SparkSession, topic: FileTopic) -> DataFrame:
     """``partition, end_offset`` (the next offset to be written), one row per partition."""
-    ends = _ends_rows(spark, topic) or {}
+    ends = current_end_offsets(spark, topic) or {}
     return spark.createDataFrame(sorted(ends.items()), offsets_schema())
 
 
@@ -135,7 +135,7 @@ def kafka_offsets_json(spec, topic_name: str) -> str:
 
 
 def _latest_map(spark: SparkSession, topic: FileTopic) -> dict[int, int]:
-    return _ends_rows(spark, topic) or {}
+    return current_end_offsets(spark, topic) or {}
 
 
 def offset_predicate(spark: SparkSession, topic: FileTopic, starting, ending) -> Column | None:

@@ -4,7 +4,6 @@ import string
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from spoolwire import FileTopic, consume_topic, drop_empty, load_report, scan_csv, string_schema, to_wire, upload_csv
 from spoolwire.operators.records import non_empty
