@@ -1,5 +1,5 @@
 """Structured Streaming: unbounded topic reads and the decode-and-emit job."""
 
-from spoolwire.streaming.topic_stream import decode_records, emit_records, run_stream, stream_topic
+from spoolwire.streaming.topic_stream import decode_records, emit_records, run_stream, stream_progress, stream_topic
 
-__all__ = ["decode_records", "emit_records", "run_stream", "stream_topic"]
+__all__ = ["decode_records", "emit_records", "run_stream", "stream_progress", "stream_topic"]

@@ -34,6 +34,7 @@ def stream_topic(
     starting="earliest",
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> DataFrame:
     """Unbounded read of a topic as envelope rows (a streaming DataFrame).
 
@@ -46,6 +47,7 @@ def stream_topic(
             .option("kafka.bootstrap.servers", topic.bootstrap_servers)
             .option("subscribe", topic.name)
             .option("startingOffsets", kafka_offsets_json(starting, topic.name))
+            .option("failOnDataLoss", str(bool(fail_on_data_loss)).lower())
         )
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
@@ -142,4 +144,33 @@ def run_stream(
     return q
 
 
-__all__ = ["FileTopic", "decode_records", "emit_records", "run_stream", "stream_topic"]
+def stream_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """Live progress of a running stream, one row per recent micro-batch:
+    ``batch_id, input_rows, input_rows_per_second, processed_rows_per_second``.
+
+    Read from the query's own progress reports (kept by Spark on the driver,
+    a bounded window of recent batches), not from the data.
+    """
+
+    def field(p, name, default):
+        value = getattr(p, name, None)
+        if value is None and isinstance(p, dict):
+            value = p.get(name)
+        return default if value is None else value
+
+    rows = [
+        (
+            int(field(p, "batchId", -1)),
+            int(field(p, "numInputRows", 0)),
+            float(field(p, "inputRowsPerSecond", 0.0)),
+            float(field(p, "processedRowsPerSecond", 0.0)),
+        )
+        for p in query.recentProgress
+    ]
+    return spark.createDataFrame(
+        rows,
+        "batch_id long, input_rows long, input_rows_per_second double, processed_rows_per_second double",
+    )
+
+
+__all__ = ["FileTopic", "decode_records", "emit_records", "run_stream", "stream_progress", "stream_topic"]

@@ -76,3 +76,14 @@ def test_run_stream_live_mode(spark, tmp):
     finally:
         q.stop()
     assert spark.read.parquet(sink).count() == 45
+
+
+def test_stream_progress_reports_rates(spark, tmp):
+    from spoolwire.streaming import stream_progress
+
+    t = _topic(spark, tmp, 80)
+    q = emit_records(decode_records(stream_topic(spark, t)), sink="memory", query_name="progress_q")
+    q.awaitTermination()
+    prog = stream_progress(spark, q).collect()
+    assert sum(r.input_rows for r in prog) == 80
+    assert all(r.processed_rows_per_second >= 0 for r in prog)
