@@ -240,6 +240,12 @@ def _overflow_as_json(df: DataFrame) -> DataFrame:
     return df.withColumn("_overflow", F.to_json("_overflow"))
 
 
+def q_csv_documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 multi-line, split-parallel: records reassembled from a line read, parsed with ``from_csv``."""
+    df = scan_csv(spark, documents_csv(spark, sf_dir), multiline=True, parallel_multiline=True)
+    return df.select(csv_headers(df))
+
+
 def q_csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Empty vs missing fields, overflow capture, quoted fields."""
     return _overflow_as_json(scan_csv(spark, ragged_csv(spark, sf_dir)))
@@ -429,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "csv_scan": q_csv_scan,
     "csv_documents": q_csv_documents,
+    "csv_documents_split": q_csv_documents_split,
     "csv_ragged": q_csv_ragged,
     "header_record": q_header_record,
     "drop_empty": q_drop_empty,

@@ -51,6 +51,9 @@ ORACLE: dict[str, str] = {
     "csv_documents": (
         "SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars FROM documents"
     ),
+    "csv_documents_split": (
+        "SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars FROM documents"
+    ),
     "csv_ragged": _RAGGED,
     "header_record": (
         "SELECT 'c_custkey' AS c_custkey, 'c_name' AS c_name, 'c_nationkey' AS c_nationkey, "

@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from spoolwire.errors import EncodingError, SourceNotFound
 from spoolwire.functions.text import csv_raw_tokens, csv_unquote
-from spoolwire.workspace import path_exists
+from spoolwire.sources.csv_records import multiline_records
+from spoolwire.workspace import max_split_bytes, path_exists, path_summary
 
 HEADER_META = "spoolwire.csv_header"
 CORRUPT = "_corrupt_record"
@@ -38,6 +39,20 @@ def _base_reader(spark: SparkSession, multiline: bool, encoding: str):
     )
 
 
+_LINE_COMPATIBLE = {"utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1"}
+
+
+def _split_parallel(spark: SparkSession, path: str, requested: bool | None) -> bool:
+    """Use the split-parallel multi-line reader? Forced by ``requested``, else when
+    files average more than four of the largest splits (one metadata call)."""
+    if requested is not None:
+        return requested
+    summary = path_summary(spark, path)
+    if summary is None or summary[1] == 0:
+        return False
+    return summary[0] / summary[1] > 4 * max_split_bytes(spark)
+
+
 def _renamed(names: list[str]) -> bool:
     """True if Spark renamed blank or duplicate header cells (``_c1``, ``a0``/``a2``)."""
     if any(n == f"_c{i}" for i, n in enumerate(names)):
@@ -73,6 +88,7 @@ def scan_csv(
     include_header_record: bool = False,
     keep_raw: bool = False,
     check_headers: bool = True,
+    parallel_multiline: bool | None = None,
 ) -> DataFrame:
     """Scan CSV file(s) into all-string columns named by the header.
 
@@ -83,7 +99,12 @@ def scan_csv(
     ``multiline`` allows newlines inside quoted fields, at the price of one
     split per file. ``'auto'`` (default) decides with one parallel pass over
     the bytes (:func:`spans_lines`): files without a quoted line break are
-    read line by line, split across tasks. With several files each
+    read line by line, split across tasks. Sources that do have quoted line
+    breaks are read per file by Spark, or, when files are large
+    (``parallel_multiline``; by default when files average more than four
+    splits), split-parallel: records are reassembled from a line read
+    (:mod:`spoolwire.sources.csv_records`) and parsed with ``from_csv``.
+    With several files each
     file's header is checked against the first (``check_headers``), because
     Spark matches CSV columns by position. ``include_header_record`` adds the
     header itself as the first record, as a reader given explicit field names
@@ -97,12 +118,18 @@ def scan_csv(
             raise ValueError(f"header column {reserved!r} clashes with a reserved column")
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers] + [T.StructField(CORRUPT, T.StringType())])
     enforce = not (check_headers and not _renamed(headers))
-    raw_df = (
-        _base_reader(spark, multiline, encoding)
-        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=enforce)
-        .schema(schema)
-        .csv(path)
-    )
+    if multiline and encoding.lower() in _LINE_COMPATIBLE and _split_parallel(spark, path, parallel_multiline):
+        records = multiline_records(spark, path, check_headers)
+        ddl = ", ".join("`" + f.name.replace("`", "``") + "` STRING" for f in schema.fields)
+        opts = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+        raw_df = records.select(F.from_csv("record", ddl, opts).alias("_p")).select("_p.*")
+    else:
+        raw_df = (
+            _base_reader(spark, multiline, encoding)
+            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=enforce)
+            .schema(schema)
+            .csv(path)
+        )
     width = len(headers)
     raw = F.col(CORRUPT)
     staged = raw_df.withColumn("_toks", F.when(raw.isNotNull(), csv_raw_tokens(raw)))
@@ -125,9 +152,6 @@ def scan_csv(
     return out
 
 
-_LINE_COMPATIBLE = {"utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1"}
-
-
 def spans_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
     """Whether any quoted field of the source continues onto another line."""
     if encoding.lower() not in _LINE_COMPATIBLE:

@@ -1,0 +1,109 @@
+"""Split-parallel reassembly of CSV records that span lines.
+
+Spark's multi-line CSV reader reads each file in one task. For large files
+this module recovers the records from a split-parallel line read instead:
+
+1. every line gets its quote parity (odd number of ``"`` = a quoted field is
+   open at its end) and its position inside its split;
+2. per split, the parity total and two running counts of record starts (one
+   for each possible parity on entry) are computed in windows over that split
+   only, so every window group is bounded by the split size;
+3. a small table with one row per split carries parity and record count from
+   split to split in file order;
+4. each line then knows whether it starts a record and which record it
+   belongs to. Single-line records pass straight through; only the lines of
+   multi-line records are grouped and joined with ``\\n``.
+
+The result is one string per record (header records removed), ready for
+``from_csv``. Lines are split on ``\\n``/``\\r\\n`` and re-joined with ``\\n``,
+as Spark's own multi-line reader returns a quoted CRLF.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from spoolwire.errors import HeaderMismatch
+from spoolwire.workspace import path_summary, split_bytes
+
+# Above this many splits the per-split table is shuffle-joined instead of broadcast.
+SPLIT_TABLE_BROADCAST_MAX = 1_000_000
+
+
+def multiline_records(spark: SparkSession, path: str, check_headers: bool = True) -> DataFrame:
+    """One row per CSV record (``record`` string, ``_file``), header records dropped."""
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_blk"),
+        F.monotonically_increasing_id().alias("_pos"),
+    )
+    quotes = F.octet_length("line") - F.octet_length(F.replace("line", F.lit('"'), F.lit("")))
+    lines = lines.withColumn("_odd", (quotes % 2).cast("int"))
+
+    in_split = Window.partitionBy("_file", "_blk").orderBy("_pos")
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    upto = in_split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = lines.withColumn("_par", F.coalesce(F.sum("_odd").over(before), F.lit(0)) % 2)
+    blank = F.col("line") == ""
+    # A line starts a record when no quote is open before it (and it is not blank);
+    # count starts for both possible parities on entry to the split.
+    s0 = ((F.col("_par") == 0) & ~blank).cast("int")
+    s1 = ((F.col("_par") == 1) & ~blank).cast("int")
+    lines = lines.withColumn("_c0", F.sum(s0).over(upto)).withColumn("_c1", F.sum(s1).over(upto))
+
+    # One row per split, carried along each file in split order.
+    splits = lines.groupBy("_file", "_blk").agg(
+        (F.sum("_odd") % 2).alias("_xor"),
+        F.max("_c0").alias("_n0"),
+        F.max("_c1").alias("_n1"),
+    )
+    in_file = Window.partitionBy("_file").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_carry", F.coalesce(F.sum("_xor").over(in_file), F.lit(0)) % 2)
+    splits = splits.withColumn("_starts", F.when(F.col("_carry") == 0, F.col("_n0")).otherwise(F.col("_n1")))
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_starts").over(in_file), F.lit(0))).select(
+        "_file", "_blk", "_carry", "_before"
+    )
+    # proven bound on the split count, from one metadata call (no job)
+    summary = path_summary(spark, path)
+    bound = None if summary is None else summary[0] // split_bytes(spark) + summary[1]
+    table = F.broadcast(splits) if bound is not None and bound <= SPLIT_TABLE_BROADCAST_MAX else splits
+
+    lines = lines.join(table, ["_file", "_blk"])
+    inside = (F.col("_carry") + F.col("_par")) % 2 == 1
+    start = ~inside & ~blank
+    seq = F.col("_before") + F.when(F.col("_carry") == 0, F.col("_c0")).otherwise(F.col("_c1"))
+    lines = lines.select(
+        "line", "_file", "_pos", start.alias("_start"), inside.alias("_inside"), "_odd", seq.alias("_seq")
+    ).filter(F.col("_start") | F.col("_inside"))
+
+    single = lines.filter(F.col("_start") & (F.col("_odd") == 0)).select(
+        F.col("line").alias("record"), "_file", "_seq"
+    )
+    multi = (
+        lines.filter(~(F.col("_start") & (F.col("_odd") == 0)))
+        .groupBy("_file", "_seq")
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "line"))).alias("_parts"))
+        .select(F.array_join(F.col("_parts.line"), "\n").alias("record"), "_file", "_seq")
+    )
+    if check_headers:
+        _check_first_lines(spark, path)
+    records = single.unionByName(multi)
+    return records.filter(F.col("_seq") > 1).select("record", "_file")
+
+
+def _check_first_lines(spark: SparkSession, path: str) -> None:
+    """Every file must start with the same header line (BOM ignored).
+
+    One aggregate over a line read: the first line of each file is the
+    minimum by (split start, position); no window and no shuffle of lines.
+    """
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("f"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("o"),
+    )
+    firsts = lines.groupBy("f").agg(F.regexp_replace(F.min_by("value", "o"), "^\ufeff", "").alias("h"))
+    if len(firsts.select("h").distinct().limit(2).collect()) > 1:
+        raise HeaderMismatch(f"files under {path} have different headers")

@@ -137,3 +137,56 @@ def test_audit_encoding(spark, local_dir):
     assert not r.ok and r.bad_lines == 1
     with pytest.raises(EncodingError):
         audit_encoding(spark, bad, mode="strict")
+
+
+MULTI = (
+    'a,b,c\n'
+    '1,"x\ny",3\n'
+    '"q""q","line1\nline2\n\nline4",w\n'
+    '\n'
+    '4,5\n'
+    '6,"z\n7,8",9,10\n'
+    ',,\n'
+    ' , , \n'
+    '"",last,"end\n"\n'
+)
+
+
+def test_split_parallel_multiline_matches_spark_reader(spark, local_dir):
+    path = write_bytes(local_dir, "m.csv", MULTI)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16b")  # many tiny splits
+    spark.conf.set("spark.sql.files.openCostInBytes", "16b")
+    try:
+        par = rows(scan_csv(spark, path, parallel_multiline=True))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    seq = rows(scan_csv(spark, path, parallel_multiline=False))
+    assert sorted(par, key=repr) == sorted(seq, key=repr)
+    assert ("1", "x\ny", "3", None) in par and ('q"q', "line1\nline2\n\nline4", "w", None) in par
+    assert ("6", "z\n7,8", "9", ["10"]) in par
+
+
+def test_split_parallel_header_mismatch(spark, local_dir):
+    from spoolwire.errors import HeaderMismatch
+
+    write_bytes(local_dir, "1.csv", 'a,b\n"x\ny",1\n')
+    write_bytes(local_dir, "2.csv", 'b,a\n"x\ny",1\n')
+    with pytest.raises(HeaderMismatch):
+        scan_csv(spark, local_dir, parallel_multiline=True)
+
+
+def test_split_parallel_on_documents(spark):
+    from spoolwire.plans.catalog import documents_csv
+
+    path = documents_csv(spark, "/root/testdata/sf0.001")
+    seq = scan_csv(spark, path, multiline=True, parallel_multiline=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64k")
+    try:
+        par = scan_csv(spark, path, multiline=True, parallel_multiline=True)
+        assert par.count() == seq.count() == 200
+        assert par.exceptAll(seq).count() == 0 and seq.exceptAll(par).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
