@@ -51,6 +51,26 @@ def _partition_start(topic_df: DataFrame) -> DataFrame:
     )
 
 
+# Above this many topic partitions the per-partition starts are joined, not collected and broadcast.
+PUSHDOWN_MAX_PARTITIONS = 1000
+
+
+def _starts(topic_df: DataFrame) -> tuple[DataFrame, list | None]:
+    """Per-partition first offset and timestamp, and its rows when there are few enough to broadcast.
+
+    The rows come from one small aggregate with a checked cap, so whatever is
+    broadcast has a proven size.
+    """
+    starts = _partition_start(topic_df)
+    rows = starts.limit(PUSHDOWN_MAX_PARTITIONS + 1).collect()
+    if len(rows) > PUSHDOWN_MAX_PARTITIONS:
+        return starts, None
+    small = topic_df.sparkSession.createDataFrame(
+        [(r.partition, r._o0, r._us0) for r in rows], "partition int, _o0 long, _us0 long"
+    )
+    return F.broadcast(small), rows
+
+
 def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
     """Every ``every`` records of each topic partition: running count and records per second.
 
@@ -58,7 +78,7 @@ def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
     ``rps`` is ``line_count`` over the seconds since that first record's
     timestamp (null when no time has passed), rounded to 6 places.
     """
-    start = F.broadcast(_partition_start(topic_df))
+    start, _ = _starts(topic_df)
     line = F.col("offset") - F.col("_o0") + 1
     elapsed = F.unix_micros("timestamp") - F.col("_us0")
     return (
@@ -73,37 +93,28 @@ def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
     )
 
 
-# Above this many topic partitions the first-records bounds are joined, not pushed down.
-PUSHDOWN_MAX_PARTITIONS = 1000
-
-
 def first_records(topic_df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` records read from each topic partition, numbered from 1 (``record_no``).
 
     Each partition's first offset comes from an aggregate over the offset
     column (one row per partition). For up to
-    :data:`PUSHDOWN_MAX_PARTITIONS` partitions the bounds become a
+    :data:`PUSHDOWN_MAX_PARTITIONS` partitions the bounds also become a
     ``partition``/``offset`` predicate that reaches the Parquet scan, so only
     the leading row groups of each partition are read; beyond that the bounds
-    are broadcast-joined.
+    are joined.
     """
-    starts = _partition_start(topic_df).select("partition", "_o0")
-    bounds = starts.limit(PUSHDOWN_MAX_PARTITIONS + 1).collect()
+    start, rows = _starts(topic_df)
+    start = start.select("partition", "_o0")
     no = F.col("offset") - F.col("_o0") + 1
-    if len(bounds) <= PUSHDOWN_MAX_PARTITIONS:
-        if not bounds:
-            return topic_df.withColumn("record_no", F.lit(None).cast("long")).limit(0)
-        cond = None
-        for r in bounds:
-            term = (F.col("partition") == F.lit(r.partition)) & (F.col("offset") < F.lit(r._o0 + n))
-            cond = term if cond is None else cond | term
-        small = topic_df.sparkSession.createDataFrame(
-            [(r.partition, r._o0) for r in bounds], "partition int, _o0 long"
-        )
-        head = topic_df.filter(cond)
-        return head.join(F.broadcast(small), "partition").withColumn("record_no", no).drop("_o0")
-    start = F.broadcast(starts)  # one row per topic partition
-    return topic_df.join(start, "partition").filter(no <= n).withColumn("record_no", no).drop("_o0")
+    if rows is None:
+        return topic_df.join(start, "partition").filter(no <= n).withColumn("record_no", no).drop("_o0")
+    if not rows:
+        return topic_df.withColumn("record_no", F.lit(None).cast("long")).limit(0)
+    cond = None
+    for r in rows:
+        term = (F.col("partition") == F.lit(r.partition)) & (F.col("offset") < F.lit(r._o0 + n))
+        cond = term if cond is None else cond | term
+    return topic_df.filter(cond).join(start, "partition").withColumn("record_no", no).drop("_o0")
 
 
 def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
