@@ -39,18 +39,22 @@ def _base_reader(spark: SparkSession, multiline: bool, encoding: str):
     )
 
 
+PARALLEL_MULTILINE_MIN_BYTES = 1 << 30
+
 _LINE_COMPATIBLE = {"utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1"}
 
 
 def _split_parallel(spark: SparkSession, path: str, requested: bool | None) -> bool:
     """Use the split-parallel multi-line reader? Forced by ``requested``, else when
-    files average more than four of the largest splits (one metadata call)."""
+    files average more than four of the largest splits and at least
+    :data:`PARALLEL_MULTILINE_MIN_BYTES` (one metadata call): below that one
+    task reads a file in seconds and the extra shuffles do not pay."""
     if requested is not None:
         return requested
     summary = path_summary(spark, path)
     if summary is None or summary[1] == 0:
         return False
-    return summary[0] / summary[1] > 4 * max_split_bytes(spark)
+    return summary[0] / summary[1] > max(4 * max_split_bytes(spark), PARALLEL_MULTILINE_MIN_BYTES)
 
 
 def _renamed(names: list[str]) -> bool:
@@ -102,7 +106,7 @@ def scan_csv(
     read line by line, split across tasks. Sources that do have quoted line
     breaks are read per file by Spark, or, when files are large
     (``parallel_multiline``; by default when files average more than four
-    splits), split-parallel: records are reassembled from a line read
+    splits and 1 GiB), split-parallel: records are reassembled from a line read
     (:mod:`spoolwire.sources.csv_records`) and parsed with ``from_csv``.
     With several files each
     file's header is checked against the first (``check_headers``), because
