@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spoolwire.errors import EncodingError, SourceNotFound
 from spoolwire.operators.records import non_empty
-from spoolwire.operators.report import observe_counts
 from spoolwire.sinks.topic import publish
 from spoolwire.sources.csv import OVERFLOW, audit_encoding, csv_headers, scan_csv
 from spoolwire.sources.topic import Topic
@@ -33,8 +32,8 @@ def upload_csv(
 
     Returns the load report (one row). The UTF-8 audit covers the whole
     source before anything is sent, so a bad byte late in a file cannot leave
-    a partial upload. Counts come from an observation on the publish itself:
-    one pass over the data. With ``raise_errors=False`` a failure is reported
+    a partial upload. Counts come from an observation inside the publish
+    itself: one pass over the data. With ``raise_errors=False`` a failure is reported
     in the row (``status='failed'``) instead of raised.
     """
     name = getattr(topic, "name", str(topic))
@@ -50,14 +49,13 @@ def upload_csv(
                 multiline = bool(tot.open)
         records = scan_csv(spark, path, multiline=multiline, include_header_record=include_header_record)
         keep = non_empty(records)
-        observed, obs = observe_counts(records, keep)
         fields = csv_headers(records)
-        sent = observed.filter(keep)
         if include_header_record:
             # parity mode: the overflow travels under the JSON key "null"
-            sent = sent.withColumnRenamed(OVERFLOW, "null")
+            records = records.withColumn("null", F.col(OVERFLOW))
             fields = fields + ["null"]
-        publish(sent, topic, columns=fields, partitions=partitions, **publish_options)
+        obs = Observation("load")
+        publish(records, topic, columns=fields, partitions=partitions, keep=keep, observation=obs, **publish_options)
         m = obs.get
         row = (path, name, m["rows_in"], m["rows_sent"], m["rows_skipped"], "ok", None)
     except (SourceNotFound, EncodingError) as e:

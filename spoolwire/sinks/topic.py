@@ -72,6 +72,8 @@ def publish(
     timestamp_column: Column | str | None = None,
     wire: bool = False,
     batch_records: int = 1_000_000,
+    keep: Column | None = None,
+    observation: Observation | None = None,
 ) -> PublishResult:
     """Append ``df``'s records to ``topic``.
 
@@ -87,6 +89,11 @@ def publish(
     fixes the offset order within each partition; without it offsets follow
     read order (keyless) or an arbitrary but fixed order. ``timestamp_column`` sets
     the record timestamp (default: the write time).
+
+    ``keep`` sends only the rows it holds true for; ``observation`` (an
+    ``Observation``) is filled with ``rows_in, rows_sent, rows_skipped``. The
+    counts are taken where each row passes exactly once: after the range
+    shuffle, whose sampling job would otherwise count rows a second time.
     """
     extra = [_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
     ts = _col(timestamp_column).cast("timestamp") if timestamp_column is not None else F.current_timestamp()
@@ -97,7 +104,7 @@ def publish(
         key = _col(key_column).cast("string").cast("binary") if key_column else F.lit(None).cast("binary")
         value = _value_expr(cols, serializer)
     if isinstance(topic, KafkaTopic):
-        return _publish_kafka(df, key, value, topic, partition_by)
+        return _publish_kafka(df, key, value, topic, partition_by, keep, observation)
 
     spark = df.sparkSession
     current = current_end_offsets(spark, topic)
@@ -116,7 +123,8 @@ def publish(
     sel = [key.alias("key"), value.alias("value"), ts.alias("timestamp")]
     if part_expr is not None:
         sel.append(part_expr.cast("int").alias("partition"))
-    prepared = df.select(*sel, *extra)
+    flag = [(keep if keep is not None else F.lit(True)).alias("_keep")]
+    prepared = df.select(*sel, *extra, *flag)
     order_cols = [f"_o{i}" for i in range(len(extra))]
 
     if part_expr is not None or order_by:
@@ -127,6 +135,15 @@ def publish(
         prepared = prepared.withColumn("_tie", F.xxhash64("value"))
         keys = (["partition"] if part_expr is not None else []) + order_cols + ["_tie"]
         prepared = prepared.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    if observation is not None:
+        kept = F.col("_keep")
+        prepared = prepared.observe(
+            observation,
+            F.count(F.lit(1)).alias("rows_in"),
+            F.count_if(kept).alias("rows_sent"),
+            F.count_if(~kept).alias("rows_skipped"),
+        )
+    prepared = prepared.filter(F.col("_keep"))
     prepared = prepared.withColumn("_seg", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
     if part_expr is None:
         # Keyless: sticky batches of ``batch_records`` rotate over the partitions,
@@ -194,13 +211,20 @@ def _value_expr(cols: Sequence[str], serializer: Serializer | None) -> Column:
     return (serializer or json_serializer)(record).cast("binary")
 
 
-def _publish_kafka(df: DataFrame, key: Column, value: Column, topic: KafkaTopic, part_expr) -> PublishResult:
+def _publish_kafka(df, key, value, topic: KafkaTopic, part_expr, keep, observation) -> PublishResult:
     sel = [key.alias("key"), value.alias("value")]
     if part_expr is not None:
         sel.append(part_expr.cast("int").alias("partition"))
-    obs = Observation("publish")
-    out = df.select(*sel).observe(obs, F.count(F.lit(1)).alias("rows"))
+    kept = (keep if keep is not None else F.lit(True)).alias("_keep")
+    out = df.select(*sel, kept)
+    obs = observation or Observation("publish")
+    out = out.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.col("_keep")).alias("rows_sent"),
+        F.count_if(~F.col("_keep")).alias("rows_skipped"),
+    ).filter(F.col("_keep")).drop("_keep")
     writer = out.write.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap_servers)
     writer = writer.option("topic", topic.name).options(**PRODUCER_SETTINGS).options(**topic.options)
     writer.save()
-    return PublishResult(topic.name, int(obs.get["rows"]), -1)
+    return PublishResult(topic.name, int(obs.get["rows_sent"]), -1)

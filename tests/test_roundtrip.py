@@ -86,3 +86,13 @@ def test_upload_reports_failures(spark, local_dir, tmp):
     assert r.status == "failed" and "UTF-8" in r.error
     r = upload_csv(spark, local_dir + "/missing.csv", FileTopic(tmp), raise_errors=False).first()
     assert r.status == "failed" and "missing.csv" in r.error
+
+
+def test_upload_counts_once_with_range_shuffle(spark, local_dir, tmp):
+    # the range partitioner samples its input in a separate job; counts must not double
+    from conftest import write_bytes
+
+    path = write_bytes(local_dir, "f.csv", "a,b\n" + "".join(f"{i},{i % 3}\n" for i in range(300)) + ",\n")
+    for i, kw in enumerate([{}, {"order_by": ["a"]}, {"key_column": "b"}]):
+        r = upload_csv(spark, path, FileTopic(f"{tmp}-{i}"), partitions=3, **kw).first()
+        assert (r.rows_in, r.rows_sent, r.rows_skipped) == (301, 300, 1), kw
