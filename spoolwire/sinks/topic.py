@@ -12,7 +12,9 @@ partition into one task):
    them (``_seg``) and a per-segment row id (``_row``);
 2. one aggregate over the staged ids gives a count per
    ``(partition, _seg)`` — at most a few rows per Spark task — and a running
-   sum over it gives each segment's base offset;
+   sum over it gives each segment's base offset (on the driver when the
+   table has at most :data:`DRIVER_STATS_MAX_ROWS` rows, checked by a capped
+   collect; else with a window over the table);
 3. a join of the staged rows with that small table yields
    ``offset = base + _row - first_row``; the table is broadcast only when its
    counted size is below :data:`BROADCAST_MAX_ROWS`, else shuffle-joined.
@@ -34,6 +36,8 @@ from spoolwire.functions.envelope import CREATE_TIME, Serializer, json_serialize
 from spoolwire.sources.topic import KafkaTopic, Topic, current_end_offsets, record_end_offsets
 from spoolwire.workspace import scratch_path
 
+# Up to this many (partition, segment) rows the offset table is built on the driver.
+DRIVER_STATS_MAX_ROWS = 100_000
 # Above this many (partition, segment) rows the offset table is shuffle-joined.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -163,37 +167,50 @@ def publish(
     prepared.select("key", "value", "timestamp", "partition", "_seg", "_row").write.parquet(stage_path)
     staged = spark.read.parquet(stage_path)
 
-    # Small table: one row per (partition, segment); the running sum over
-    # segments, on top of the partition's current end, is each segment's base.
-    seg_stats = staged.groupBy("partition", "_seg").agg(F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n"))
-    ends_df = spark.createDataFrame(sorted(current.items()), "partition int, _end long")
-    w = Window.partitionBy("partition").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    seg_stats = (
-        seg_stats.join(F.broadcast(ends_df), "partition", "left")  # one row per topic partition
-        .withColumn("_base", F.coalesce(F.col("_end"), F.lit(0)) + F.coalesce(F.sum("_n").over(w), F.lit(0)))
-        .select("partition", "_seg", "_row0", "_n", "_base")
-    )
-    # Per-partition totals (at most n_parts + 1 rows, out-of-range partitions folded into -1).
     outside = (F.col("partition") < 0) | (F.col("partition") >= n_parts) | F.col("partition").isNull()
-    totals = (
-        staged.groupBy(F.when(outside, F.lit(-1)).otherwise(F.col("partition")).alias("partition"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_seg").alias("segs"))
-        .collect()
+    # Small table: one row per (partition, segment). Usually a few rows per task:
+    # collected under a checked cap, base offsets are a running sum per partition.
+    seg_stats = staged.groupBy(F.when(outside, F.lit(-1)).otherwise(F.col("partition")).alias("partition"), "_seg").agg(
+        F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n")
     )
-    if any(r.partition == -1 for r in totals):
-        raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
-    rows_sent = sum(r.rows for r in totals)
-    segs = sum(r.segs for r in totals)
-    new_ends = dict(current)
-    for r in totals:
-        new_ends[r.partition] = current.get(r.partition, 0) + r.rows
+    small = seg_stats.limit(DRIVER_STATS_MAX_ROWS + 1).collect()
+    if len(small) <= DRIVER_STATS_MAX_ROWS:
+        if any(r.partition == -1 for r in small):
+            raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
+        running = dict(current)
+        based = []
+        for r in sorted(small, key=lambda r: (r.partition, r._seg)):
+            based.append((r.partition, r._seg, r._row0, running.get(r.partition, 0)))
+            running[r.partition] = running.get(r.partition, 0) + r._n
+        rows_sent = sum(r._n for r in small)
+        new_ends = running
+        table = F.broadcast(
+            spark.createDataFrame(based, "partition int, _seg int, _row0 long, _base long")
+        )  # at most DRIVER_STATS_MAX_ROWS rows
+    else:
+        ends_df = spark.createDataFrame(sorted(current.items()), "partition int, _end long")
+        w = Window.partitionBy("partition").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+        based_df = (
+            seg_stats.join(F.broadcast(ends_df), "partition", "left")  # one row per topic partition
+            .withColumn("_base", F.coalesce(F.col("_end"), F.lit(0)) + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+            .select("partition", "_seg", "_row0", "_base")
+        )
+        # Per-partition totals: at most n_parts + 1 rows (out-of-range partitions folded into -1).
+        totals = seg_stats.groupBy("partition").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("segs")).collect()
+        if any(r.partition == -1 for r in totals):
+            raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
+        rows_sent = sum(r.rows for r in totals)
+        segs = sum(r.segs for r in totals)
+        new_ends = dict(current)
+        for r in totals:
+            new_ends[r.partition] = current.get(r.partition, 0) + r.rows
+        table = F.broadcast(based_df) if segs <= BROADCAST_MAX_ROWS else based_df
     # Reserve the offsets first: a crash after this point leaves a gap, never a reused offset.
     record_end_offsets(spark, topic, new_ends)
     if not rows_sent:
         return PublishResult(topic.name, 0, n_parts)
 
-    joined_stats = F.broadcast(seg_stats) if segs <= BROADCAST_MAX_ROWS else seg_stats
-    out = staged.join(joined_stats, ["partition", "_seg"]).select(
+    out = staged.join(table, ["partition", "_seg"]).select(
         "key",
         "value",
         F.lit(topic.name).alias("topic"),

@@ -169,3 +169,17 @@ def test_kafka_backend_builds_source_and_sink(spark):
         read_topic(spark, t, starting={"0": 5})
     with pytest.raises(AnalysisException, match="kafka"):
         publish(records(spark, 3), t)
+
+
+@pytest.mark.parametrize("cap", [0, 100_000])
+def test_offset_table_driver_and_distributed_paths(spark, tmp, monkeypatch, cap):
+    from spoolwire.sinks import topic as sink
+
+    monkeypatch.setattr(sink, "DRIVER_STATS_MAX_ROWS", cap)
+    t = FileTopic(tmp)
+    publish(records(spark, 900, parts=5), t, partitions=3, key_column="grp")
+    publish(records(spark, 300, parts=2), t, batch_records=50)
+    ok, counts = dense(read_topic(spark, t))
+    assert ok and sum(counts.values()) == 1200
+    with pytest.raises(ValueError):
+        publish(records(spark, 10), FileTopic(tmp + "-bad"), partitions=2, partition_by=F.lit(7))
