@@ -57,3 +57,14 @@ def test_failed_audit_publishes_nothing(spark, local_dir, tmp):
     r = upload_csv(spark, bad, t, raise_errors=False).first()
     assert r.status == "failed"
     assert read_topic(spark, t).count() == 0
+
+
+def test_wire_json_equal_as_json_not_bytes(spark):
+    # Python's json.dumps puts spaces after ':' and ','; Spark does not. Same JSON value.
+    import json
+
+    row = {"ID": "1", "年份": None, "地区": "北京"}
+    df = spark.createDataFrame([tuple(row.values())], "ID string, `年份` string, `地区` string")
+    wire = bytes(to_wire(df).first().value).decode("utf-8")
+    python_text = json.dumps(row, ensure_ascii=False)
+    assert wire != python_text and json.loads(wire) == json.loads(python_text)

@@ -87,3 +87,12 @@ def test_stream_progress_reports_rates(spark, tmp):
     prog = stream_progress(spark, q).collect()
     assert sum(r.input_rows for r in prog) == 80
     assert all(r.processed_rows_per_second >= 0 for r in prog)
+
+
+def test_fresh_checkpoint_starts_from_earliest(spark, tmp):
+    # No committed consumer position; a new checkpoint replays the topic from the start
+    t = _topic(spark, tmp, 30)
+    first, second = scratch_path(spark, "sink"), scratch_path(spark, "sink")
+    run_stream(spark, t, first, scratch_path(spark, "cp"))
+    run_stream(spark, t, second, scratch_path(spark, "cp"))
+    assert spark.read.parquet(first).count() == spark.read.parquet(second).count() == 30
