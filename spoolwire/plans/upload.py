@@ -23,6 +23,7 @@ def upload_csv(
     *,
     partitions: int | None = None,
     multiline: bool | str = "auto",
+    encoding: str = "utf-8",
     include_header_record: bool = False,
     audit: bool = True,
     raise_errors: bool = True,
@@ -38,7 +39,7 @@ def upload_csv(
     """
     name = getattr(topic, "name", str(topic))
     try:
-        if audit:
+        if audit and encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
             # one pass over the bytes: encoding check, and whether records span lines
             tot = audit_encoding(spark, path).agg(
                 F.sum("bad_lines").alias("bad"), F.sum("open_quote_lines").alias("open")
@@ -47,7 +48,9 @@ def upload_csv(
                 raise EncodingError(f"invalid UTF-8 on {tot.bad} lines of {path}; re-encode the source as UTF-8")
             if multiline == "auto":
                 multiline = bool(tot.open)
-        records = scan_csv(spark, path, multiline=multiline, include_header_record=include_header_record)
+        records = scan_csv(
+            spark, path, multiline=multiline, encoding=encoding, include_header_record=include_header_record
+        )
         keep = non_empty(records)
         fields = csv_headers(records)
         if include_header_record:

@@ -29,7 +29,17 @@ CORRUPT = "_corrupt_record"
 OVERFLOW = "_overflow"
 
 
+# Common spellings of the charsets Spark's CSV reader accepts.
+_CHARSET_ALIASES = {"latin1": "iso-8859-1", "latin-1": "iso-8859-1", "ascii": "us-ascii", "utf8": "utf-8"}
+
+
+def _charset(encoding: str) -> str:
+    e = encoding.strip().lower().replace("_", "-")
+    return _CHARSET_ALIASES.get(e, e)
+
+
 def _base_reader(spark: SparkSession, multiline: bool, encoding: str):
+    encoding = _charset(encoding)
     return spark.read.options(
         header=True,
         escape='"',  # RFC 4180 doubled quotes; Spark's default escape is a backslash

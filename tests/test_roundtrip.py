@@ -96,3 +96,15 @@ def test_upload_counts_once_with_range_shuffle(spark, local_dir, tmp):
     for i, kw in enumerate([{}, {"order_by": ["a"]}, {"key_column": "b"}]):
         r = upload_csv(spark, path, FileTopic(f"{tmp}-{i}"), partitions=3, **kw).first()
         assert (r.rows_in, r.rows_sent, r.rows_skipped) == (301, 300, 1), kw
+
+
+def test_upload_other_encoding(spark, local_dir, tmp):
+    from conftest import write_bytes
+
+    from spoolwire import read_topic
+
+    path = write_bytes(local_dir, "latin.csv", "name,city\nJosé,Zürich\n".encode("latin-1"))
+    topic = FileTopic(tmp)
+    r = upload_csv(spark, path, topic, encoding="latin1").first()
+    assert r.status == "ok" and r.rows_sent == 1
+    assert bytes(read_topic(spark, topic).first().value).decode("utf-8") == '{"name":"José","city":"Zürich"}'
