@@ -27,7 +27,7 @@ from spoolwire.plans import consume_topic, upload_csv
 from spoolwire.schemas import PATENT_SCHEMA, string_schema
 from spoolwire.sinks import publish
 from spoolwire.sources import FileTopic, KafkaTopic, audit_encoding, csv_headers, read_topic, scan_csv
-from spoolwire.streaming import emit_records, run_stream, stream_topic
+from spoolwire.streaming import emit_records, run_stream, stream_progress, stream_topic
 
 __all__ = [
     "ENVELOPE",
@@ -59,6 +59,7 @@ __all__ = [
     "run_stream",
     "scan_csv",
     "schema_profile",
+    "stream_progress",
     "stream_topic",
     "string_schema",
     "to_wire",

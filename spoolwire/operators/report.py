@@ -33,7 +33,12 @@ def load_report(df: DataFrame, keep: Column, source: str, topic: str) -> DataFra
 
 
 def observe_counts(df: DataFrame, keep: Column, name: str = "load") -> tuple[DataFrame, Observation]:
-    """Attach the load counts to ``df`` as an observation: filled by the write, no second pass."""
+    """Attach the load counts to ``df`` as an observation, filled by the action that runs it.
+
+    Only valid where each row is evaluated once: upstream of a range shuffle
+    the partitioner's sampling job would count rows again. ``publish`` takes
+    ``keep=``/``observation=`` and observes after its shuffle.
+    """
     obs = Observation(name)
     observed = df.observe(
         obs,
