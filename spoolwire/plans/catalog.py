@@ -399,6 +399,28 @@ def q_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_gaps(read_topic(spark, events_topic_lossy(spark, sf_dir)))
 
 
+def q_keyed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O12 keyed: ``customer`` records keyed by market segment (five keys, each a
+    fifth of the rows) on 4 partitions. Per key: records, partitions used (one,
+    as a key always hashes to the same partition) and whether every partition
+    the key lands in has dense offsets."""
+    topic = FileTopic(scratch_path(spark, "customer-keyed"), "data")
+    publish(stringify(table(spark, sf_dir, "customer")), topic, key_column="c_mktsegment", partitions=4)
+    env = read_topic(spark, topic).select(F.col("key").cast("string").alias("key"), "partition", "offset")
+    density = env.groupBy("partition").agg(
+        (F.max("offset") - F.min("offset") + 1 == F.count(F.lit(1))).alias("dense_partition")
+    )
+    return (
+        env.join(density, "partition")  # one row per topic partition on the right
+        .groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_distinct("partition").alias("partitions"),
+            F.bool_and("dense_partition").alias("dense"),
+        )
+    )
+
+
 def q_csv_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pluggable serializer (CSV text) and the matching deserializer."""
     topic = FileTopic(scratch_path(spark, "events-csv-wire"), "data")
@@ -455,6 +477,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "console_preview": q_console_preview,
     "schema_profile": q_schema_profile,
     "offset_gaps": q_offset_gaps,
+    "keyed_publish": q_keyed_publish,
     "csv_wire": q_csv_wire,
     "stream_drain": q_stream_drain,
 }

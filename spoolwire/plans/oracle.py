@@ -116,6 +116,10 @@ FROM ev ORDER BY "partition", "offset" LIMIT 20""",
   FROM ev WHERE event_type <> 'error')
 SELECT "partition", "offset", next_offset, next_offset - "offset" - 1 AS missing
 FROM kept WHERE next_offset > "offset" + 1""",
+    "keyed_publish": (
+        "SELECT c_mktsegment AS key, count(*) AS records, 1::BIGINT AS partitions, true AS dense "
+        "FROM customer GROUP BY 1"
+    ),
     "csv_wire": _EV + f'SELECT "partition", "offset", {_EVENT_FIELDS} FROM ev',
     "stream_drain": _EV
     + 'SELECT "partition", "offset", NULL::VARCHAR AS key, v AS value, event_type FROM ev',
