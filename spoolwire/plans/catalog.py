@@ -439,6 +439,25 @@ def q_csv_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return env.select("partition", "offset", "record.*")
 
 
+def q_topic_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O10 strict: a bounded read that first proves the range has no missing offsets."""
+    env = read_topic(spark, events_topic(spark, sf_dir), fail_on_data_loss=True)
+    return env.select("partition", "offset", F.col("value").cast("string").alias("value"))
+
+
+def q_stream_from_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O8 + O9: a stream started from per-partition offsets, drained with availableNow."""
+    sink = scratch_path(spark, "stream-offsets-sink")
+    run_stream(
+        spark,
+        events_topic(spark, sf_dir),
+        sink,
+        scratch_path(spark, "stream-offsets-checkpoint"),
+        starting='{"data": {"0": 100, "2": 2500}}',
+    )
+    return spark.read.parquet(sink).select("partition", "offset", "value")
+
+
 def q_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The continuous decode-and-emit job, drained with availableNow."""
     sink = scratch_path(spark, "stream-sink")
@@ -480,4 +499,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keyed_publish": q_keyed_publish,
     "csv_wire": q_csv_wire,
     "stream_drain": q_stream_drain,
+    "topic_checked": q_topic_checked,
+    "stream_from_offsets": q_stream_from_offsets,
 }

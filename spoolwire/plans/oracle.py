@@ -121,6 +121,10 @@ FROM kept WHERE next_offset > "offset" + 1""",
         "FROM customer GROUP BY 1"
     ),
     "csv_wire": _EV + f'SELECT "partition", "offset", {_EVENT_FIELDS} FROM ev',
+    "topic_checked": _EV + 'SELECT "partition", "offset", v AS value FROM ev',
+    "stream_from_offsets": _EV
+    + 'SELECT "partition", "offset", v AS value FROM ev '
+    'WHERE NOT ("partition" = 0 AND "offset" < 100) AND NOT ("partition" = 2 AND "offset" < 2500)',
     "stream_drain": _EV
     + 'SELECT "partition", "offset", NULL::VARCHAR AS key, v AS value, event_type FROM ev',
 }
