@@ -29,6 +29,10 @@ from spoolwire.workspace import scratch_path
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+LINEITEM_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 EVENT_PARTITIONS = 3
 
@@ -96,6 +100,14 @@ def orders_csv(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
+def lineitem_csv(spark: SparkSession, sf_dir: str) -> str:
+    return _memo(
+        spark,
+        ("lineitem_csv", sf_dir),
+        lambda: write_csv(table(spark, sf_dir, "lineitem"), scratch_path(spark, "lineitem-csv")),
+    )
+
+
 def documents_csv(spark: SparkSession, sf_dir: str) -> str:
     return _memo(
         spark,
@@ -277,6 +289,13 @@ def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consume_topic(spark, topic, string_schema(ORDER_COLUMNS))
 
 
+def q_ingest_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship path on the largest table: ``lineitem`` CSV -> upload -> typed records."""
+    topic = FileTopic(scratch_path(spark, "lineitem-topic"), "data")
+    upload_csv(spark, lineitem_csv(spark, sf_dir), topic, partitions=8)
+    return consume_topic(spark, topic, string_schema(LINEITEM_COLUMNS))
+
+
 def q_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records published as JSON bytes at dense per-partition offsets."""
     env = read_topic(spark, events_topic(spark, sf_dir))
@@ -474,6 +493,7 @@ def q_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
+    "ingest_lineitem": q_ingest_lineitem,
     "csv_scan": q_csv_scan,
     "csv_documents": q_csv_documents,
     "csv_documents_split": q_csv_documents_split,

@@ -47,6 +47,13 @@ ORACLE: dict[str, str] = {
         "o_orderstatus, o_totalprice::VARCHAR AS o_totalprice, o_orderdate::VARCHAR AS o_orderdate, "
         "o_orderpriority FROM orders"
     ),
+    "ingest_lineitem": (
+        "SELECT NULL::VARCHAR AS key, l_orderkey::VARCHAR AS l_orderkey, l_partkey::VARCHAR AS l_partkey, "
+        "l_suppkey::VARCHAR AS l_suppkey, l_linenumber::VARCHAR AS l_linenumber, "
+        "l_quantity::VARCHAR AS l_quantity, l_extendedprice::VARCHAR AS l_extendedprice, "
+        "l_discount::VARCHAR AS l_discount, l_tax::VARCHAR AS l_tax, l_returnflag, l_linestatus, "
+        "l_shipdate::VARCHAR AS l_shipdate FROM lineitem"
+    ),
     "csv_scan": _CUSTOMER,
     "csv_documents": (
         "SELECT doc_id::VARCHAR AS doc_id, text, lang, source, n_chars::VARCHAR AS n_chars FROM documents"
