@@ -108,3 +108,23 @@ def test_upload_other_encoding(spark, local_dir, tmp):
     r = upload_csv(spark, path, topic, encoding="latin1").first()
     assert r.status == "ok" and r.rows_sent == 1
     assert bytes(read_topic(spark, topic).first().value).decode("utf-8") == '{"name":"José","city":"Zürich"}'
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.text(alphabet='ab ,"\n中é', max_size=12), st.text(alphabet='xy,"\n', max_size=12)),
+                min_size=1, max_size=30))
+def test_split_parallel_reader_matches_per_file(spark, rows):
+    # random fields full of commas, quotes and line breaks, cut into 32-byte splits
+    from spoolwire.workspace import scratch_path
+
+    df = spark.createDataFrame(rows, "a string, b string")
+    path = write_csv(df.coalesce(1), scratch_path(spark, "rt-split"))
+    seq = sorted(map(tuple, scan_csv(spark, path, multiline=True, parallel_multiline=False).collect()), key=repr)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "32b")
+    try:
+        par = sorted(map(tuple, scan_csv(spark, path, multiline=True, parallel_multiline=True).collect()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert par == seq
