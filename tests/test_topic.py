@@ -183,3 +183,34 @@ def test_offset_table_driver_and_distributed_paths(spark, tmp, monkeypatch, cap)
     assert ok and sum(counts.values()) == 1200
     with pytest.raises(ValueError):
         publish(records(spark, 10), FileTopic(tmp + "-bad"), partitions=2, partition_by=F.lit(7))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    n=st.integers(0, 400),
+    spark_parts=st.integers(1, 6),
+    topic_parts=st.integers(1, 5),
+    mode=st.sampled_from(["keyless", "keyed", "partition_by"]),
+    batch=st.integers(1, 60),
+)
+def test_publish_dense_and_complete(spark, n, spark_parts, topic_parts, mode, batch):
+    from spoolwire.workspace import scratch_path
+
+    t = FileTopic(scratch_path(spark, "prop-topic"))
+    df = spark.range(n, numPartitions=spark_parts).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 5).cast("string").alias("k")
+    )
+    kw = {"keyless": {"batch_records": batch}, "keyed": {"key_column": "k"},
+          "partition_by": {"partition_by": F.pmod(F.col("id").cast("long") * 7, F.lit(topic_parts)),
+                           "order_by": [F.col("id").cast("long")]}}[mode]
+    r = publish(df, t, partitions=topic_parts, **kw)
+    env = read_topic(spark, t)
+    assert r.rows_sent == n
+    ok, counts = dense(env)
+    assert ok and sum(counts.values()) == n
+    ids = sorted(int(json.loads(bytes(v.value).decode())["id"]) for v in env.select("value").collect())
+    assert ids == list(range(n))
