@@ -9,7 +9,7 @@ from spoolwire.schemas import PATENT_FIELDS
 def test_upload_show_follow(spark, local_dir, tmp, capsys):
     header = ",".join(PATENT_FIELDS)
     line = ",".join(["1", "2001", "北京", "110000", "北京市", "华北", "否"] + ["10"] * 8 + [""])
-    path = write_bytes(local_dir, "science1.csv", f"{header}\n{line}\n,,,,,,,,,,,,,,,\n")
+    path = write_bytes(local_dir, "patents.csv", f"{header}\n{line}\n,,,,,,,,,,,,,,,\n")
     assert main(["upload", path, "--path", tmp, "--partitions", "2"], spark=spark) == 0
     out = capsys.readouterr().out
     assert "rows_sent" in out and "北京" in out

@@ -55,7 +55,7 @@ def test_upload_and_consume_patent_records(spark, local_dir, tmp):
     header = ",".join(PATENT_SCHEMA.fieldNames())
     line1 = ",".join(["1", "2001", "北京", "110000", "北京市", "华北", "否"] + ["10"] * 8 + [""])
     line2 = ",".join(["2", "2002", "上海", "310000", "上海市", "华东", "是"] + ["007"] * 8 + [""])
-    path = write_bytes(local_dir, "science.csv", "\n".join([header, line1, ",,,,,,,,,,,,,,,", line2]) + "\n")
+    path = write_bytes(local_dir, "patents.csv", "\n".join([header, line1, ",,,,,,,,,,,,,,,", line2]) + "\n")
     topic = FileTopic(tmp)
     report = upload_csv(spark, path, topic, partitions=2).first()
     assert (report.rows_in, report.rows_sent, report.rows_skipped, report.status) == (3, 2, 1, "ok")
