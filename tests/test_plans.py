@@ -34,3 +34,34 @@ def test_topic_scan_prunes_columns_and_partitions(spark, tmp):
     p = plan(df)
     assert "PartitionFilters: [isnotnull(partition" in p
     assert "ReadSchema: struct<offset:bigint>" in p
+
+
+def _topic(spark, tmp, n=600, parts=3):
+    t = FileTopic(tmp)
+    publish(spark.range(n).select("id", F.col("id").cast("string").alias("a"), F.timestamp_seconds("id").alias("ts")),
+            t, columns=["a"], partitions=parts, partition_by=F.pmod(F.col("id"), F.lit(parts)),
+            order_by=[F.col("id")], timestamp_column="ts")
+    return read_topic(spark, t)
+
+
+def test_first_records_bound_reaches_scan(spark, tmp):
+    from spoolwire import first_records
+
+    p = plan(first_records(_topic(spark, tmp), 5))
+    assert "LessThan(offset,5)" in p
+
+
+def test_offset_gaps_windows_are_bucketed(spark, tmp):
+    from spoolwire import offset_gaps
+
+    p = plan(offset_gaps(_topic(spark, tmp)))
+    # the row-level window is partitioned by (partition, bucket), never by partition alone
+    windows = [line for line in p.splitlines() if "Window [lead(offset" in line]
+    assert windows and all("_b" in w.split("windowspecdefinition(")[1] for w in windows)
+
+
+def test_progress_joins_a_broadcast_start_table(spark, tmp):
+    from spoolwire import progress
+
+    p = plan(progress(_topic(spark, tmp), every=100))
+    assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
