@@ -78,6 +78,7 @@ def publish(
     batch_records: int = 1_000_000,
     keep: Column | None = None,
     observation: Observation | None = None,
+    max_records_per_file: int = 5_000_000,
 ) -> PublishResult:
     """Append ``df``'s records to ``topic``.
 
@@ -98,6 +99,7 @@ def publish(
     ``Observation``) is filled with ``rows_in, rows_sent, rows_skipped``. The
     counts are taken where each row passes exactly once: after the range
     shuffle, whose sampling job would otherwise count rows a second time.
+    Topic files hold at most ``max_records_per_file`` records each.
     """
     extra = [_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
     ts = _col(timestamp_column).cast("timestamp") if timestamp_column is not None else F.current_timestamp()
@@ -219,7 +221,13 @@ def publish(
         "timestamp",
         F.lit(CREATE_TIME).alias("timestampType"),
     )
-    out.sortWithinPartitions("partition", "offset").write.mode("append").partitionBy("partition").parquet(topic.path)
+    (
+        out.sortWithinPartitions("partition", "offset")
+        .write.mode("append")
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy("partition")
+        .parquet(topic.path)
+    )
     return PublishResult(topic.name, int(rows_sent), n_parts)
 
 

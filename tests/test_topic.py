@@ -214,3 +214,15 @@ def test_publish_dense_and_complete(spark, n, spark_parts, topic_parts, mode, ba
     assert ok and sum(counts.values()) == n
     ids = sorted(int(json.loads(bytes(v.value).decode())["id"]) for v in env.select("value").collect())
     assert ids == list(range(n))
+
+
+def test_topic_files_are_bounded(spark, tmp):
+    import glob
+
+    t = FileTopic(tmp)
+    publish(records(spark, 500, parts=1), t, partitions=1, max_records_per_file=100)
+    local = tmp.removeprefix("file:")
+    files = glob.glob(f"{local}/partition=0/*.parquet")
+    assert len(files) >= 5
+    ok, counts = dense(read_topic(spark, t))
+    assert ok and counts == {0: 500}
