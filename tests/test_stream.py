@@ -96,3 +96,15 @@ def test_fresh_checkpoint_starts_from_earliest(spark, tmp):
     run_stream(spark, t, first, scratch_path(spark, "cp"))
     run_stream(spark, t, second, scratch_path(spark, "cp"))
     assert spark.read.parquet(first).count() == spark.read.parquet(second).count() == 30
+
+
+def test_max_files_per_trigger_bounds_batches(spark, tmp):
+    from spoolwire.streaming import stream_progress
+
+    t = _topic(spark, tmp, 40)
+    publish(spark.range(40, 80).select(F.col("id").cast("string").alias("id")), t)  # more files
+    s = decode_records(stream_topic(spark, t, max_files_per_trigger=1))
+    q = emit_records(s, sink="memory", query_name="bounded_batches")
+    q.awaitTermination()
+    prog = stream_progress(spark, q).collect()
+    assert sum(r.input_rows for r in prog) == 80 and len([r for r in prog if r.input_rows]) > 1
