@@ -190,3 +190,10 @@ def test_split_parallel_on_documents(spark):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_keep_raw_shows_ragged_lines(spark, local_dir):
+    df = scan(spark, local_dir, "a,b\n1,2\n3\n4,5,6\n", keep_raw=True)
+    assert df.columns == ["a", "b", "_overflow", "_corrupt_record"]
+    got = sorted(rows(df), key=repr)
+    assert got == sorted([("1", "2", None, None), ("3", None, None, "3"), ("4", "5", ["6"], "4,5,6")], key=repr)
