@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from .jaccard_join import OP2_SQL, op2_ngram_jaccard
 from .mixing import OP10_SQL, op10_mix
 
 QUERIES = {
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op10_mix": op10_mix,
 }
 
 ORACLE = {
+    "op2_ngram_jaccard": OP2_SQL,
     "op10_mix": OP10_SQL,
 }

@@ -93,5 +93,5 @@ def shingles(h: np.ndarray, first: np.ndarray, width: int = 5) -> tuple[np.ndarr
         out[~short] += h[whole + j] * mult[j]
     for i in np.flatnonzero((n > 0) & (n < width)):
         part = h[first[i] : first[i + 1]]
-        out[bounds[i]] = (part * mult[: len(part)]).sum() + np.uint64(len(part)) * _C3
+        out[bounds[i]] = ((part * mult[: len(part)]).sum(keepdims=True) + np.array([len(part)], np.uint64) * _C3)[0]
     return mix(out), bounds
