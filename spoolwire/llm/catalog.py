@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from .decontamination import OP6_SQL, op6_decontamination
 from .jaccard_join import OP2_SQL, op2_ngram_jaccard
+from .language_id import op4_language_id
 from .mixing import OP10_SQL, op10_mix
 
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op4_language_id": op4_language_id,
+    "op6_decontamination": op6_decontamination,
     "op10_mix": op10_mix,
 }
 
 ORACLE = {
     "op2_ngram_jaccard": OP2_SQL,
+    "op6_decontamination": OP6_SQL,
     "op10_mix": OP10_SQL,
 }
