@@ -6,11 +6,13 @@ from .decontamination import OP6_SQL, op6_decontamination
 from .jaccard_join import OP2_SQL, op2_ngram_jaccard
 from .language_id import op4_language_id
 from .mixing import OP10_SQL, op10_mix
+from .token_output import op7_token_output
 
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_language_id": op4_language_id,
     "op6_decontamination": op6_decontamination,
+    "op7_token_output": op7_token_output,
     "op10_mix": op10_mix,
 }
 
