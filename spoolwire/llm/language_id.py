@@ -139,41 +139,42 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "
     return train([w.encode()[:WINDOW] for w, _ in windows], [v for _, v in windows])
 
 
-def _predict(model):
+def _predict(model, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         langs = np.array([*m.langs, UNKNOWN], dtype=object)
         for batch in batches:
-            has = batch.column("_has_letter").to_numpy(zero_copy_only=False).astype(bool)
+            row = batch.column("row")
+            has = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
             if len(m.langs):
-                p = m.probabilities(*utf8(batch.column("_text")))
+                texts = batch.column("text") if "text" in batch.schema.names else row.field(text)
+                p = m.probabilities(*utf8(texts))
                 best, score = p.argmax(axis=1), np.clip(p.max(axis=1), 0, 1)
             else:
                 best, score = np.zeros(len(has), int), np.zeros(len(has))
             best = np.where(has & (score > 0), best, len(m.langs))
-            keep = batch.drop_columns(["_text", "_has_letter"])
-            yield pa.RecordBatch.from_arrays(
-                [*keep.columns, pa.array(langs[best], pa.string()), pa.array(np.where(best < len(m.langs), score, 0.0))],
-                [*keep.schema.names, "lang_pred", "score"],
-            )
+            found = [pa.array(langs[best], pa.string()), pa.array(np.where(best < len(m.langs), score, 0.0))]
+            yield pa.RecordBatch.from_arrays([row, *found], ["row", "lang_pred", "score"])
 
     return run
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns plus ``lang_pred`` and ``score`` (0 to 1) of every row.
+    """``row`` (a struct of the ``keep`` columns), ``lang_pred`` and ``score`` (0 to 1) of every row.
 
     Null texts, and texts without a letter, are ``und`` with score 0; so is
     every text if the model has learned no language. Rows are independent of
-    each other, so repeated rows repeat their answer.
+    each other, so repeated rows repeat their answer. Kept columns may have
+    any name.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text).alias("_text"), F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias("_has_letter"))
-    kept = docs.select(*keep).schema
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.fields] + ["lang_pred string", "score double"])
-    return rows.mapInArrow(_predict(shared), schema)
+    shared = spark.sparkContext.broadcast(model)  # a few kilobytes
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    own = [] if text in keep else [F.col(text).alias("text")]
+    rows = docs.select(row, *own, F.coalesce(F.col(text).rlike("\\p{L}"), F.lit(False)).alias("has_letter"))
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    return rows.mapInArrow(_predict(shared, text), schema)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -185,4 +186,5 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language and score of every document; trained on rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
     model = fit(docs.where(~held_out()))
-    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+    out = identify(docs, model).select("row.doc_id", "lang_pred", "score")
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
