@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from .chat_format import OP8_SQL, op8_chat_format
 from .decontamination import OP6_SQL, op6_decontamination
+from .embedding_dedup import OP3_SQL, op3_embedding_dedup
 from .jaccard_join import OP2_SQL, op2_ngram_jaccard
 from .language_id import op4_language_id
 from .mixing import OP10_SQL, op10_mix
@@ -10,14 +12,18 @@ from .token_output import op7_token_output
 
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op6_decontamination": op6_decontamination,
     "op7_token_output": op7_token_output,
+    "op8_chat_format": op8_chat_format,
     "op10_mix": op10_mix,
 }
 
 ORACLE = {
     "op2_ngram_jaccard": OP2_SQL,
+    "op3_embedding_dedup": OP3_SQL,
     "op6_decontamination": OP6_SQL,
+    "op8_chat_format": OP8_SQL,
     "op10_mix": OP10_SQL,
 }
