@@ -8,12 +8,14 @@ from .embedding_dedup import OP3_SQL, op3_embedding_dedup
 from .jaccard_join import OP2_SQL, op2_ngram_jaccard
 from .language_id import op4_language_id
 from .mixing import OP10_SQL, op10_mix
+from .pii import op5_pii
 from .token_output import op7_token_output
 
 QUERIES = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
+    "op5_pii": op5_pii,
     "op6_decontamination": op6_decontamination,
     "op7_token_output": op7_token_output,
     "op8_chat_format": op8_chat_format,

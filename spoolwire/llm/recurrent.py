@@ -96,6 +96,52 @@ class GRU:
         return onehot_grad(x, dx, self.E.shape[1]), du_all
 
 
+class LSTM:
+    """One direction. ``E``: input table ``(4H, symbols)``; ``U``: recurrent weights ``(4H, H)``; gates input, forget, output, cell."""
+
+    def __init__(self, e: np.ndarray, u: np.ndarray):
+        self.E, self.U, self.h = np.ascontiguousarray(e), np.ascontiguousarray(u), u.shape[1]
+
+    def run(self, x: np.ndarray, out: np.ndarray, backward: bool, tape: list | None = None) -> None:
+        """States of all steps into ``out (steps, H, windows)``."""
+        n, hid = x.shape[1], self.h
+        h, c = np.zeros((hid, n), F4), np.zeros((hid, n), F4)
+        a = np.empty((4 * hid, n), F4)
+        for t in range(len(x) - 1, -1, -1) if backward else range(len(x)):
+            np.take(self.E, x[t], axis=1, out=a, mode="clip")
+            a += self.U @ h
+            _softsign(a)
+            gates = a[: 3 * hid]
+            gates += F4(1)
+            gates *= F4(0.5)
+            new = gates[hid : 2 * hid] * c
+            new += gates[:hid] * a[3 * hid :]
+            squashed = _softsign(new.copy())
+            if tape is not None:
+                tape.append((t, h, c, a.copy(), squashed))
+            c = new
+            h = gates[2 * hid :] * squashed
+            out[t] = h
+
+    def grads(self, x: np.ndarray, dout: np.ndarray, tape: list) -> tuple[np.ndarray, np.ndarray]:
+        hid = self.h
+        du = np.zeros_like(self.U)
+        dx = np.empty((len(x), 4 * hid, x.shape[1]), F4)
+        dh, dc = np.zeros((hid, x.shape[1]), F4), np.zeros((hid, x.shape[1]), F4)
+        for t, hp, cp, a, squashed in reversed(tape):
+            dh = dh + dout[t]
+            i, f, o, g = a[:hid], a[hid : 2 * hid], a[2 * hid : 3 * hid], a[3 * hid :]
+            dc = dc + dh * o * np.square(1 - np.abs(squashed))
+            d = np.concatenate([dc * g, dc * cp, dh * squashed, dc * i])
+            d[: 3 * hid] *= F4(0.5) * np.square(1 - np.abs(2 * a[: 3 * hid] - 1))
+            d[3 * hid :] *= np.square(1 - np.abs(g))
+            dx[t] = d
+            du += d @ hp.T
+            dh = self.U.T @ d
+            dc = dc * f
+        return onehot_grad(x, dx, self.E.shape[1]), du
+
+
 def init(rng: np.random.Generator, hidden: int, gates: int, symbols: int, classes: int) -> dict[str, np.ndarray]:
     """Weights of two directions and of the output layer over both states."""
     p = {}
