@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..workspace import scratch_path
 
@@ -46,3 +47,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     off = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return raw[off[0] : off[-1]], off - off[0]
+
+
+def in_share(hashed: Column, share: Column | float) -> Column:
+    """Whether a 64-bit hash falls into the given share of all hashes."""
+    return F.pmod(hashed, F.lit(1 << 31)) < share * F.lit(float(1 << 31))
+
+
+def hash_sample(rows: DataFrame, n: int, hashed: str) -> DataFrame:
+    """The ``n`` rows first by their hash; only a share of about ``4 * n`` rows is sorted, however many there are."""
+    total = rows.count()
+    return rows.where(in_share(F.col(hashed), min(1.0, 4 * n / max(total, 1)))).orderBy(F.pmod(hashed, F.lit(1 << 31)), hashed).limit(n)

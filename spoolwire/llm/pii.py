@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import bounded_batches, table, utf8
+from .common import bounded_batches, hash_sample, table, utf8
 from .recurrent import F4, LSTM, Adam, init
 
 KINDS = ("email", "ip", "card", "phone")
@@ -233,12 +233,12 @@ def examples(texts: list[str], seed: int = SEED) -> list[tuple[str, list[Span]]]
 
 def fit(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> PiiModel:
     """Train on windows of a hash sample of ``TRAIN_ROWS`` documents, half of them with digits."""
-    rows = docs.where(F.length(text) > 0).select(F.col(text).alias("text"), F.xxhash64(F.col(id_col), F.lit(3)).alias("h"))
-    place = f"greatest(cast(pmod(h, greatest(length(text) - {TRAIN_CHARS}, 1)) as int), 0) + 1"
-    rows = rows.select("h", F.expr(f"substring(text, {place}, {TRAIN_CHARS})").alias("text"))
+    rows = docs.where(F.length(text) > 0).withColumn("h", F.xxhash64(F.col(id_col), F.col(text)))
+    place = f"cast(pmod(h, greatest(length(`{text}`) - {TRAIN_CHARS}, 1)) as int) + 1"
+    rows = rows.select("h", F.expr(f"substring(`{text}`, {place}, {TRAIN_CHARS})").alias("text"))
     half = TRAIN_ROWS // 2
-    some = [r["text"] for r in rows.orderBy("h", "text").limit(half).collect()]
-    some += [r["text"] for r in rows.where(F.col("text").rlike("[0-9]{2}")).orderBy("h", "text").limit(half).collect()]
+    some = [r["text"] for r in hash_sample(rows, half, "h").collect()]
+    some += [r["text"] for r in hash_sample(rows.where(F.col("text").rlike("[0-9]{2}")), half, "h").collect()]
     return train(examples(some))
 
 
