@@ -39,11 +39,25 @@ def json_serializer(record: Column) -> Column:
     return F.to_json(record, {"ignoreNullFields": "false"}).cast("binary")
 
 
+def wire_value(columns: Sequence[str], serializer: Serializer | None = None, optional: Sequence[str] = ()) -> Column:
+    """The bytes of a record of ``columns``; ``optional`` columns are part of it only where one isn't null."""
+    write = serializer or json_serializer
+    field = lambda c: F.col(f"`{c}`")
+    plain = write(F.struct(*[field(c) for c in columns])).cast("binary")
+    if not optional:
+        return plain
+    some = F.lit(False)
+    for c in optional:
+        some = some | field(c).isNotNull()
+    return F.when(some, write(F.struct(*[field(c) for c in [*columns, *optional]])).cast("binary")).otherwise(plain)
+
+
 def to_wire(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     key_column: str | None = None,
     serializer: Serializer | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
     """Turn record rows into ``key, value`` byte pairs.
 
@@ -51,9 +65,8 @@ def to_wire(
     ``key_column`` names one (the reference never sets a key).
     ``serializer`` maps the record struct to a string or binary column.
     """
-    cols = list(columns) if columns is not None else list(df.columns)
-    record = F.struct(*[F.col(f"`{c}`") for c in cols])
-    value = (serializer or json_serializer)(record).cast("binary")
+    cols = list(columns) if columns is not None else [c for c in df.columns if c not in optional]
+    value = wire_value(cols, serializer, optional)
     key = F.col(f"`{key_column}`").cast("string").cast("binary") if key_column else F.lit(None).cast("binary")
     return df.select(key.alias("key"), value.alias("value"))
 

@@ -41,26 +41,16 @@ def head_chars(col: Column | str, n: int) -> Column:
     return F.substring(_c(col), 1, n)
 
 
-_SEP = "\u0000"
-# A quoted token between separators (or the ends): keep the separator, drop the quotes.
-_QUOTED = r'(\A|\x00)"((?:[^"]++|"")*+)"(?=\x00|\z)'
-
-
 def csv_raw_tokens(raw: Column | str) -> Column:
     """Split one raw CSV record into its fields as written (quotes kept), honouring quotes."""
     return F.regexp_extract_all(F.concat(F.lit(","), _c(raw)), F.lit(_CSV_FIELD), 1)
 
 
 def csv_unquote(tokens: Column) -> Column:
-    """Unquote a non-empty array of raw CSV fields (``"a""b"`` -> ``a"b``).
-
-    Built from join/replace/split rather than a lambda, so it stays inside
-    whole-stage codegen. (A doubled quote inside an *unquoted* field, which
-    is not valid CSV, is also collapsed.)
-    """
-    joined = F.array_join(tokens, _SEP)
-    stripped = F.regexp_replace(joined, _QUOTED, "$1$2")
-    return F.split(F.replace(stripped, F.lit('""'), F.lit('"')), _SEP)
+    """Unquote an array of raw CSV fields (``"a""b"`` -> ``a"b``); unquoted fields stay as written."""
+    quoted = lambda t: F.startswith(t, F.lit('"')) & F.endswith(t, F.lit('"')) & (F.length(t) > 1)
+    inner = lambda t: F.replace(F.substring(t, F.lit(2), F.length(t) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(tokens, lambda t: F.when(quoted(t), inner(t)).otherwise(t))
 
 
 def csv_tokens(raw: Column | str) -> Column:

@@ -19,10 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spoolwire.errors import EncodingError, SourceNotFound
+from spoolwire.errors import EncodingError, HeaderMismatch, SourceNotFound
 from spoolwire.functions.text import csv_raw_tokens, csv_unquote
-from spoolwire.sources.csv_records import multiline_records
-from spoolwire.workspace import max_split_bytes, path_exists, path_summary
+from spoolwire.workspace import path_exists
 
 HEADER_META = "spoolwire.csv_header"
 CORRUPT = "_corrupt_record"
@@ -49,38 +48,20 @@ def _base_reader(spark: SparkSession, multiline: bool, encoding: str):
     )
 
 
-PARALLEL_MULTILINE_MIN_BYTES = 1 << 30
-
-_LINE_COMPATIBLE = {"utf-8", "utf8", "us-ascii", "ascii", "iso-8859-1", "latin1", "latin-1"}
-
-
-def _split_parallel(spark: SparkSession, path: str, requested: bool | None) -> bool:
-    """Use the split-parallel multi-line reader? Forced by ``requested``, else when
-    files average more than four of the largest splits and at least
-    :data:`PARALLEL_MULTILINE_MIN_BYTES` (one metadata call): below that one
-    task reads a file in seconds and the extra shuffles do not pay."""
-    if requested is not None:
-        return requested
-    summary = path_summary(spark, path)
-    if summary is None or summary[1] == 0:
-        return False
-    return summary[0] / summary[1] > max(4 * max_split_bytes(spark), PARALLEL_MULTILINE_MIN_BYTES)
-
-
-def _renamed(names: list[str]) -> bool:
-    """True if Spark renamed blank or duplicate header cells (``_c1``, ``a0``/``a2``)."""
-    if any(n == f"_c{i}" for i, n in enumerate(names)):
-        return True
-    stems = [n[: -len(str(i))] for i, n in enumerate(names) if n.endswith(str(i)) and len(n) > len(str(i))]
-    return len(stems) != len(set(stems))
-
-
 def _source_exists(spark: SparkSession, path: str) -> bool:
     if any(ch in path for ch in "*?[{"):
         return True  # a glob: let Spark resolve it
     return path_exists(spark, path)
 
 
+def raw_header(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "utf-8") -> list[str]:
+    """The header's cells as written (blank and repeated ones included), from the first record."""
+    if not _source_exists(spark, path):
+        raise SourceNotFound(path)
+    first = _base_reader(spark, multiline, encoding).option("header", False).csv(path).first()
+    return [c or "" for c in first] if first else []
+
+
 def csv_header(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "utf-8") -> list[str]:
     """Column names from the header line (only the first record is read)."""
     if not _source_exists(spark, path):
@@ -88,6 +69,20 @@ def csv_header(spark: SparkSession, path: str, multiline: bool = True, encoding:
     return _base_reader(spark, multiline, encoding).csv(path).columns
 
 
+def check_header_lines(spark: SparkSession, path: str) -> None:
+    """Raise :class:`HeaderMismatch` unless the first lines of all files are the same.
+
+    One row per file comes out of a pass over the first split of each file.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).where(F.col("_metadata.file_block_start") == 0)
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    first = F.regexp_replace(F.min_by("value", "at"), "^\ufeff|\r$", "")
+    heads = lines.groupBy("file").agg(first.alias("head")).groupBy("head").agg(F.min("file").alias("file"))
+    two = heads.orderBy("file").limit(2).collect()
+    if len(two) > 1:
+        raise HeaderMismatch(f"header of {two[1].file} is {two[1].head!r}, that of {two[0].file} {two[0].head!r}")
+
+
 def csv_headers(df: DataFrame) -> list[str]:
     """The header-derived columns of a :func:`scan_csv` result, in file order."""
     return [f.name for f in df.schema.fields if f.metadata.get(HEADER_META)]
@@ -97,12 +92,11 @@ def scan_csv(
     spark: SparkSession,
     path: str,
     *,
-    multiline: bool | str = "auto",
+    multiline: bool = True,
     encoding: str = "utf-8",
     include_header_record: bool = False,
     keep_raw: bool = False,
     check_headers: bool = True,
-    parallel_multiline: bool | None = None,
 ) -> DataFrame:
     """Scan CSV file(s) into all-string columns named by the header.
 
@@ -110,40 +104,33 @@ def scan_csv(
     header width, else null) and, with ``keep_raw``, ``_corrupt_record`` (the
     raw text of ragged rows).
 
-    ``multiline`` allows newlines inside quoted fields, at the price of one
-    split per file. ``'auto'`` (default) decides with one parallel pass over
-    the bytes (:func:`spans_lines`): files without a quoted line break are
-    read line by line, split across tasks. Sources that do have quoted line
-    breaks are read per file by Spark, or, when files are large
-    (``parallel_multiline``; by default when files average more than four
-    splits and 1 GiB), split-parallel: records are reassembled from a line read
-    (:mod:`spoolwire.sources.csv_records`) and parsed with ``from_csv``.
-    With several files each
-    file's header is checked against the first (``check_headers``), because
-    Spark matches CSV columns by position. ``include_header_record`` adds the
-    header itself as the first record, as a reader given explicit field names
-    would return it.
+    Spark's multi-line reader is the default: quoted fields may hold line
+    breaks, and each file is one task, so large sources should come as many
+    files. ``multiline=False`` splits files across tasks; it returns the same
+    rows for sources that :func:`line_safe` approves.
+
+    With several files each file's header is checked against the first
+    (``check_headers``), because Spark matches CSV columns by position: by the
+    reader itself, or line by line if the header has blank or repeated cells,
+    which Spark renames. ``include_header_record`` adds the header's cells, as
+    written, as the first record, as a reader given explicit field names would
+    return it.
     """
-    if multiline == "auto":
-        multiline = spans_lines(spark, path, encoding)
+    cells = raw_header(spark, path, multiline, encoding)
     headers = csv_header(spark, path, multiline, encoding)
     for reserved in (CORRUPT, OVERFLOW):
         if reserved in headers:
             raise ValueError(f"header column {reserved!r} clashes with a reserved column")
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers] + [T.StructField(CORRUPT, T.StringType())])
-    enforce = not (check_headers and not _renamed(headers))
-    if multiline and encoding.lower() in _LINE_COMPATIBLE and _split_parallel(spark, path, parallel_multiline):
-        records = multiline_records(spark, path, check_headers)
-        ddl = ", ".join("`" + f.name.replace("`", "``") + "` STRING" for f in schema.fields)
-        opts = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-        raw_df = records.select(F.from_csv("record", ddl, opts).alias("_p")).select("_p.*")
-    else:
-        raw_df = (
-            _base_reader(spark, multiline, encoding)
-            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=enforce)
-            .schema(schema)
-            .csv(path)
-        )
+    renamed = cells != headers and [c.lstrip("\ufeff") for c in cells] != headers
+    if check_headers and renamed:
+        check_header_lines(spark, path)
+    raw_df = (
+        _base_reader(spark, multiline, encoding)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=renamed or not check_headers)
+        .schema(schema)
+        .csv(path)
+    )
     width = len(headers)
     raw = F.col(CORRUPT)
     staged = raw_df.withColumn("_toks", F.when(raw.isNotNull(), csv_raw_tokens(raw)))
@@ -159,49 +146,57 @@ def scan_csv(
         cols.append(raw.alias(CORRUPT))
     out = staged.select(cols)
     if include_header_record:
-        row = [tuple(headers) + (None,) + ((None,) if keep_raw else ())]
+        row = [tuple(cells) + (None,) + ((None,) if keep_raw else ())]
         head = spark.createDataFrame(row, out.schema)
         out = head.unionByName(out)
         out = out.select([F.col(f"`{h}`").alias(h, metadata=meta) for h in headers] + out.columns[width:])
     return out
 
 
-def spans_lines(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
-    """Whether any quoted field of the source continues onto another line."""
-    if encoding.lower() not in _LINE_COMPATIBLE:
-        return True
-    return bool(audit_encoding(spark, path).agg(F.sum("open_quote_lines")).first()[0])
+# A line whose fields are each quoted as a whole, or free of quotes.
+_WHOLE_LINE = r'^(?:"(?:[^"]++|"")*+"|[^",]*+)(?:,(?:"(?:[^"]++|"")*+"|[^",]*+))*+$'
+
+
+def line_safe(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
+    """Whether reading line by line returns the rows of the multi-line reader, proven by one pass over the source.
+
+    Every line must be a record of its own: each field quoted as a whole or
+    free of quotes, no carriage return, not only white space. Sources in other
+    encodings than UTF-8 are never approved.
+    """
+    if _charset(encoding) != "utf-8":
+        return False
+    return not audit_encoding(spark, path).agg(F.sum("unsafe_lines")).first()[0]
 
 
 def audit_encoding(spark: SparkSession, path: str, mode: str = "report") -> DataFrame:
-    """Whole-source UTF-8 audit, one row per file:
-    ``file, lines, bad_lines, first_bad, open_quote_lines, ok``.
+    """Whole-source UTF-8 audit, one row per file: ``file, lines, bad_lines, first_bad, unsafe_lines, ok``.
 
     Lines are read as raw bytes (Spark's text source does not validate), so
     the check is split-parallel and covers every byte, not a prefix.
-    ``open_quote_lines`` counts lines with an odd number of ``"``: exactly the
-    lines where a quoted field continues onto the next line, so zero means the
-    file can be parsed line by line (splittable).
-    ``mode='strict'`` raises :class:`EncodingError` naming up to ten bad files.
+    ``unsafe_lines`` counts the lines for which :func:`line_safe` turns a
+    source down. ``mode='strict'`` raises :class:`EncodingError` with the
+    number of bad files and lines, and the first ten names.
     """
     if not _source_exists(spark, path):
         raise SourceNotFound(path)
-    lines = spark.read.text(path)
+    if mode not in ("report", "strict"):
+        raise ValueError("mode must be 'report' or 'strict'")
+    lines = spark.read.option("lineSep", "\n").text(path)
     bad = ~F.is_valid_utf8("value")
-    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    blank = (F.trim("value") == "") & (F.col("value") != "")
+    unsafe = blank | F.contains("value", F.lit("\r")) | ~F.col("value").rlike(_WHOLE_LINE)
     report = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(bad).alias("bad_lines"),
         F.min(F.when(bad, F.make_valid_utf8("value"))).alias("first_bad"),
-        # a line with an odd number of quotes starts a record that spans lines
-        F.count_if(quotes % 2 == 1).alias("open_quote_lines"),
+        F.count_if(unsafe).alias("unsafe_lines"),
     )
     report = report.withColumn("ok", F.col("bad_lines") == 0)
     if mode == "strict":
-        failed = report.filter(~F.col("ok")).select("file", "bad_lines").limit(10).collect()
-        if failed:
-            detail = ", ".join(f"{r.file} ({r.bad_lines} lines)" for r in failed)
-            raise EncodingError(f"invalid UTF-8 in {detail}; re-encode the source as UTF-8")
-    elif mode != "report":
-        raise ValueError("mode must be 'report' or 'strict'")
+        failed = report.filter(~F.col("ok")).select("file", "bad_lines")
+        total = failed.agg(F.count(F.lit(1)).alias("files"), F.sum("bad_lines").alias("lines")).first()
+        if total.files:
+            some = ", ".join(f"{r.file} ({r.bad_lines} lines)" for r in failed.orderBy("file").limit(10).collect())
+            raise EncodingError(f"invalid UTF-8 in {total.files} files, {total.lines} lines; first: {some}; re-encode the source as UTF-8")
     return report

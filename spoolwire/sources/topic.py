@@ -56,23 +56,32 @@ class KafkaTopic:
 Topic = FileTopic | KafkaTopic
 
 
-def _exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
 def current_end_offsets(spark: SparkSession, topic: FileTopic) -> dict[int, int] | None:
     """``{partition: end_offset}`` for every partition, or None if the topic does not exist.
 
     The end-offset log is also the topic's metadata: it holds a row for every
     partition from creation on. One row per partition comes back to the driver.
     """
-    ends = _exists(spark, topic.ends_path)
-    if ends is None:
+    if not path_exists(spark, topic.ends_path):
         return None
+    ends = spark.read.schema(offsets_schema()).parquet(topic.ends_path)
     rows = ends.groupBy("partition").agg(F.max("end_offset").alias("end_offset")).collect()
     return {r.partition: r.end_offset for r in rows}
 
 
+def ends_in_data(spark: SparkSession, topic: FileTopic, ends: dict[int, int]) -> dict[int, int]:
+    """The ends of those partitions that hold records at or beyond ``ends``.
+
+    The bound reaches the scan, where row groups of earlier records are skipped.
+    """
+    if not path_exists(spark, topic.path):
+        return {}
+    rows = spark.read.schema(ENVELOPE).parquet(topic.path).filter(
+        _per_partition(ends, lambda o: F.col("offset") >= F.lit(o), default=F.lit(True))
+    )
+    return {r.partition: r.hi + 1 for r in rows.groupBy("partition").agg(F.max("offset").alias("hi")).collect()}
+
+
 def topic_partitions(spark: SparkSession, topic: FileTopic) -> int | None:
     """Partition count of the topic, or None if it does not exist."""
     ends = current_end_offsets(spark, topic)
@@ -208,9 +217,9 @@ def read_topic(
 ) -> DataFrame:
     """Bounded read of a topic as envelope rows.
 
-    ``fail_on_data_loss`` makes the read fail when requested offsets are
-    missing (below the earliest kept offset, or gaps inside the range);
-    off, missing records are skipped silently.
+    ``fail_on_data_loss`` makes the call fail when offsets of the range that
+    were recorded are missing (a head, holes, a tail, a whole partition); off,
+    missing records are skipped silently, and :func:`missing_ranges` lists them.
     """
     if isinstance(topic, KafkaTopic):
         return (
@@ -232,29 +241,57 @@ def read_topic(
     if pred is not None:
         df = df.filter(pred)
     if fail_on_data_loss:
-        check_no_data_loss(df, parse_offsets(starting, topic.name, EARLIEST))
+        check_no_data_loss(spark, topic, starting, ending)
     return df
 
 
-def check_no_data_loss(df: DataFrame, starting) -> None:
-    """Raise :class:`DataLossError` if the selected range has holes.
+def expected_ranges(spark: SparkSession, topic: FileTopic, starting="earliest", ending="latest") -> DataFrame:
+    """``partition, lo, hi``: the offsets a range should hold, by the recorded ends (``hi`` exclusive).
 
-    One aggregate pass (partial aggregation, no shuffle of rows); the result
-    has one row per topic partition.
+    One row per topic partition. ``earliest`` is offset 0, as file topics drop nothing.
     """
-    per_part = df.groupBy("partition").agg(
-        F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n")
-    )
-    problems = []
-    for r in per_part.collect():
-        if r.n != r.hi - r.lo + 1:
-            problems.append(f"partition {r.partition}: {r.hi - r.lo + 1 - r.n} offsets missing in [{r.lo}, {r.hi}]")
-        if isinstance(starting, dict) and starting.get(r.partition, EARLIEST) not in (EARLIEST, LATEST):
-            want = starting[r.partition]
-            if r.lo > want:
-                problems.append(f"partition {r.partition}: offsets {want}..{r.lo - 1} no longer available")
-    if problems:
-        raise DataLossError("; ".join(problems))
+    latest, first = _latest_map(spark, topic), {}
+    if not latest and path_exists(spark, topic.path):  # records without a log: their own ends are all there is
+        rows = spark.read.schema(ENVELOPE).parquet(topic.path).groupBy("partition")
+        found = rows.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()
+        latest, first = {r.partition: r.hi + 1 for r in found}, {r.partition: r.lo for r in found}
+    start, end = parse_offsets(starting, topic.name, EARLIEST), parse_offsets(ending, topic.name, LATEST)
+
+    def bound(spec, p: int, default: int) -> int:
+        o = spec.get(p, default) if isinstance(spec, dict) else spec
+        return first.get(p, 0) if o == EARLIEST else latest[p] if o == LATEST else min(o, latest[p])
+
+    rows = [(p, bound(start, p, EARLIEST), bound(end, p, LATEST)) for p in sorted(latest)]
+    return spark.createDataFrame(rows, "partition int, lo long, hi long").where("lo < hi")
+
+
+def missing_ranges(spark: SparkSession, topic: FileTopic, starting="earliest", ending="latest") -> DataFrame:
+    """``partition, first_missing, end_missing, missing``: offsets that were recorded, but are not there.
+
+    Lost heads, holes, tails and whole partitions, by the recorded ends.
+    """
+    from spoolwire.operators.report import offset_gaps
+
+    expected = expected_ranges(spark, topic, starting, ending)
+    if path_exists(spark, topic.path):
+        rows = spark.read.schema(ENVELOPE).parquet(topic.path).select("partition", "offset")
+    else:
+        rows = spark.createDataFrame([], "partition int, offset long")
+    present = rows.join(expected, "partition").where("offset >= lo and offset < hi").select("partition", "offset")
+    # the offsets just outside of each range hold its ends
+    edges = expected.select("partition", F.explode(F.array(F.col("lo") - 1, F.col("hi"))).alias("offset"))
+    gaps = offset_gaps(present.unionByName(edges))
+    return gaps.select("partition", (F.col("offset") + 1).alias("first_missing"), F.col("next_offset").alias("end_missing"), "missing")
+
+
+def check_no_data_loss(spark: SparkSession, topic: FileTopic, starting="earliest", ending="latest") -> None:
+    """Raise :class:`DataLossError` if offsets of the range are missing (an action)."""
+    lost = missing_ranges(spark, topic, starting, ending)
+    total = lost.agg(F.count(F.lit(1)).alias("ranges"), F.sum("missing").alias("offsets")).first()
+    if total.ranges:
+        first = lost.orderBy("partition", "first_missing").limit(10).collect()
+        said = "; ".join(f"partition {r.partition}: {r.first_missing}..{r.end_missing - 1}" for r in first)
+        raise DataLossError(f"{total.offsets} offsets missing in {total.ranges} ranges, first: {said}")
 
 
 def offsets_schema() -> T.StructType:

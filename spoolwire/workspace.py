@@ -50,32 +50,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def path_summary(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """``(total bytes, file count)`` under ``path`` from one metadata call, or None for globs."""
-    if any(ch in path for ch in "*?[{"):
-        return None
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    summary = fs.getContentSummary(hpath)
-    return int(summary.getLength()), int(summary.getFileCount())
-
-
-def _to_bytes(value: str) -> int:
-    v = value.strip().lower().removesuffix("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if v and v[-1] in units:
-        return int(float(v[:-1]) * units[v[-1]])
-    return int(v)
-
-
-def split_bytes(spark: SparkSession) -> int:
-    """Smallest split size Spark's file sources can choose in this session."""
-    max_part = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    open_cost = _to_bytes(spark.conf.get("spark.sql.files.openCostInBytes", "4m"))
-    return max(1, min(max_part, open_cost))
-
-
-def max_split_bytes(spark: SparkSession) -> int:
-    """The configured largest split size."""
-    return _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder on its file system, if it exists."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

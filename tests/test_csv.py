@@ -6,8 +6,8 @@ import pytest
 from conftest import write_bytes
 
 from spoolwire import SourceNotFound, drop_empty, scan_csv
-from spoolwire.errors import EncodingError
-from spoolwire.sources.csv import audit_encoding, csv_headers, spans_lines
+from spoolwire.errors import EncodingError, HeaderMismatch
+from spoolwire.sources.csv import audit_encoding, csv_headers, line_safe
 
 
 def rows(df):
@@ -116,16 +116,58 @@ def test_many_files_same_header(spark, local_dir):
     assert sorted(rows(scan_csv(spark, local_dir))) == [("1", "2", None), ("3", "4", None)]
 
 
-@pytest.mark.parametrize("multiline", ["auto", True, False])
+@pytest.mark.parametrize("multiline", [True, False])
 def test_multiline_modes_agree_without_line_breaks(spark, local_dir, multiline):
     text = 'a,b\n"x,1",2\n3,\n'
     assert sorted(rows(scan(spark, local_dir, text, multiline=multiline))) == [("3", "", None), ("x,1", "2", None)]
 
 
-def test_spans_lines_detection(spark, local_dir):
-    assert spans_lines(spark, write_bytes(local_dir, "a.csv", 'a,b\n"x",1\n'))  is False
-    assert spans_lines(spark, write_bytes(local_dir, "b.csv", 'a,b\n"x\ny",1\n')) is True
-    assert spans_lines(spark, write_bytes(local_dir, "c.csv", 'a,b\n"x""\ny",1\n')) is True
+UNSAFE = ['a,b\n"x\ny",1\n', 'a,b\n"x""\ny",1\n', 'a,b\n5" x,1\n', 'a,b\n5" x,"one\ntwo",7"\n', 'a,b\n1,2\n   \n', 'a,b\n1,x\ry\n', 'a,b\r\n1,2\r\n', 'a,b\n "x",2\n']
+SAFE = ['a,b\n"x",1\n', 'a,b\n\n"x, ""y""",1\n\n3,\n', "a,b\n1\n1,2,3\n,,,\n", "a,b\n1,2", "a,b\n é , 2 \n"]
+
+
+@pytest.mark.parametrize("text", UNSAFE + SAFE)
+def test_line_mode_only_where_proven_equal(spark, local_dir, text):
+    path = write_bytes(local_dir, "f.csv", text)
+    safe = line_safe(spark, path)
+    assert safe == (text in SAFE)
+    if safe:
+        assert sorted(rows(scan_csv(spark, path)), key=repr) == sorted(rows(scan_csv(spark, path, multiline=False)), key=repr)
+
+
+def test_messy_file_keeps_every_record(spark, local_dir):
+    text = 'a,b\n5" pipe,"first\nsecond"\n2,"x\ry"\n   \n\n3,4\n'
+    assert sorted(rows(scan(spark, local_dir, text)), key=repr) == sorted(
+        [('5" pipe', "first\nsecond", None), ("2", "x\ry", None), ("   ", None, None), ("3", "4", None)], key=repr
+    )
+
+
+@pytest.mark.parametrize(("one", "two"), [("c0,c1", "c1,c0"), ("a,a", "a,b"), ("a,,b", "a,b,"), ("x,x,y", "x,y,x")])
+def test_swapped_and_renamed_headers_fail(spark, local_dir, one, two):
+    write_bytes(local_dir, "1.csv", one + "\n1,2,3\n")
+    write_bytes(local_dir, "2.csv", two + "\n4,5,6\n")
+    with pytest.raises(Exception) as e:
+        scan_csv(spark, local_dir).collect()
+    assert "header" in str(e.value).lower()
+
+
+def test_equal_duplicate_headers_pass(spark, local_dir):
+    write_bytes(local_dir, "1.csv", "a,a\n1,2\n")
+    write_bytes(local_dir, "2.csv", "a,a\n3,4\n")
+    assert sorted(rows(scan_csv(spark, local_dir))) == [("1", "2", None), ("3", "4", None)]
+    write_bytes(local_dir, "3.csv", "a,c\n3,4\n")
+    with pytest.raises(HeaderMismatch):
+        scan_csv(spark, local_dir)
+
+
+def test_header_record_has_cells_as_written(spark, local_dir):
+    df = scan(spark, local_dir, "a,,a\n1,2,3\n", include_header_record=True)
+    assert sorted(rows(df.select(csv_headers(df)))) == [("1", "2", "3"), ("a", "", "a")]
+
+
+def test_overflow_with_nul_and_quotes(spark, local_dir):
+    df = scan(spark, local_dir, 'a\n1,"x\0y",p""q,"r""s"\n')
+    assert rows(df) == [("1", ["x\0y", 'p""q', 'r"s'])]
 
 
 def test_audit_encoding(spark, local_dir):
@@ -139,59 +181,6 @@ def test_audit_encoding(spark, local_dir):
         audit_encoding(spark, bad, mode="strict")
 
 
-MULTI = (
-    'a,b,c\n'
-    '1,"x\ny",3\n'
-    '"q""q","line1\nline2\n\nline4",w\n'
-    '\n'
-    '4,5\n'
-    '6,"z\n7,8",9,10\n'
-    ',,\n'
-    ' , , \n'
-    '"",last,"end\n"\n'
-)
-
-
-def test_split_parallel_multiline_matches_spark_reader(spark, local_dir):
-    path = write_bytes(local_dir, "m.csv", MULTI)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16b")  # many tiny splits
-    spark.conf.set("spark.sql.files.openCostInBytes", "16b")
-    try:
-        par = rows(scan_csv(spark, path, parallel_multiline=True))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    seq = rows(scan_csv(spark, path, parallel_multiline=False))
-    assert sorted(par, key=repr) == sorted(seq, key=repr)
-    assert ("1", "x\ny", "3", None) in par and ('q"q', "line1\nline2\n\nline4", "w", None) in par
-    assert ("6", "z\n7,8", "9", ["10"]) in par
-
-
-def test_split_parallel_header_mismatch(spark, local_dir):
-    from spoolwire.errors import HeaderMismatch
-
-    write_bytes(local_dir, "1.csv", 'a,b\n"x\ny",1\n')
-    write_bytes(local_dir, "2.csv", 'b,a\n"x\ny",1\n')
-    with pytest.raises(HeaderMismatch):
-        scan_csv(spark, local_dir, parallel_multiline=True)
-
-
-def test_split_parallel_on_documents(spark):
-    from spoolwire.plans.catalog import documents_csv
-
-    path = documents_csv(spark, "/root/testdata/sf0.001")
-    seq = scan_csv(spark, path, multiline=True, parallel_multiline=False)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
-    spark.conf.set("spark.sql.files.openCostInBytes", "64k")
-    try:
-        par = scan_csv(spark, path, multiline=True, parallel_multiline=True)
-        assert par.count() == seq.count() == 200
-        assert par.exceptAll(seq).count() == 0 and seq.exceptAll(par).count() == 0
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-
-
 def test_keep_raw_shows_ragged_lines(spark, local_dir):
     df = scan(spark, local_dir, "a,b\n1,2\n3\n4,5,6\n", keep_raw=True)
     assert df.columns == ["a", "b", "_overflow", "_corrupt_record"]
