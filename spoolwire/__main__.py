@@ -2,12 +2,13 @@
 
     python -m spoolwire upload FILE.csv  --path DIR | --kafka HOST:PORT [--topic data] [--partitions N]
     python -m spoolwire show             --path DIR | --kafka HOST:PORT [--schema patent|NAMES] [--rows 20]
-    python -m spoolwire follow           --path DIR | --kafka HOST:PORT [--checkpoint DIR] [--available-now]
+    python -m spoolwire follow           --path DIR | --kafka HOST:PORT --out DIR | --preview N [--checkpoint DIR] [--available-now]
 
 ``upload`` publishes every non-empty CSV record as JSON and prints the load
-report and the first five records; ``show`` reads the topic once, parses it
-with a declared schema and prints the schemas and rows; ``follow`` prints
-every record with its partition and offset as it arrives (console sink).
+report and the first five records of each partition that it sent; ``show`` reads the topic once, parses it
+with a declared schema and prints the schemas and rows; ``follow`` writes
+every record with its partition and offset as it arrives to ``--out`` as JSON
+lines; ``--preview N`` prints the first N of each micro-batch instead.
 The Spark session comes from ``getOrCreate`` (so ``spark-submit`` settings
 apply).
 """
@@ -23,8 +24,9 @@ from spoolwire.operators.report import first_records, preview
 from spoolwire.plans.consume import consume_topic
 from spoolwire.plans.upload import upload_csv
 from spoolwire.schemas import PATENT_SCHEMA, string_schema
-from spoolwire.sources.topic import FileTopic, KafkaTopic, read_topic
+from spoolwire.sources.topic import FileTopic, KafkaTopic, current_end_offsets, read_topic, topic_partitions
 from spoolwire.streaming.topic_stream import decode_records, emit_records, stream_topic
+from spoolwire.workspace import scratch_path
 
 
 def _topic(args) -> FileTopic | KafkaTopic:
@@ -53,6 +55,8 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--rows", type=int, default=20)
             c.add_argument("--starting", default="earliest")
         if name == "follow":
+            c.add_argument("--out", default=None, help="folder for every record, as JSON lines")
+            c.add_argument("--preview", type=int, default=None, help="print so many rows of each micro-batch")
             c.add_argument("--checkpoint", default=None)
             c.add_argument("--available-now", action="store_true", help="drain what is there and stop")
             c.add_argument("--starting", default="earliest")
@@ -67,14 +71,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"spoolwire-{args.command}").getOrCreate()
     topic = _topic(args)
     if args.command == "upload":
+        before = current_end_offsets(spark, topic) if isinstance(topic, FileTopic) else None
         report = upload_csv(
             spark, args.csv, topic, partitions=args.partitions, include_header_record=args.header_record,
             raise_errors=False,
         )
         report.show(truncate=False)
         if isinstance(topic, FileTopic) and report.first().status == "ok":
-            first = first_records(read_topic(spark, topic), 5)
-            first.selectExpr("partition", "offset", "record_no", "CAST(value AS STRING) AS value").show(truncate=False)
+            sent = read_topic(spark, topic, starting=before or "earliest")  # this upload's records
+            first = first_records(sent, 5).selectExpr("partition", "offset", "record_no", "CAST(value AS STRING) AS value")
+            shown = 5 * (topic_partitions(spark, topic) or 1)
+            first.orderBy("partition", "offset").show(shown, truncate=False)
         return 0 if report.first().status == "ok" else 1
     if args.command == "show":
         envelope = read_topic(spark, topic, starting=args.starting)
@@ -85,12 +92,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         parsed.printSchema()
         preview(parsed, args.rows).show(args.rows, truncate=False)
         return 0
-    stream = decode_records(stream_topic(spark, topic, starting=args.starting))
+    if not args.out and args.preview is None:
+        raise SystemExit("give --out (every record) or --preview (some of each micro-batch)")
+    checkpoint = (args.checkpoint or scratch_path(spark, "follow-checkpoint")).rstrip("/")
+    stream = decode_records(stream_topic(spark, topic, starting=args.starting, start_store=f"{checkpoint}-start"))
     query = emit_records(
         stream.select("partition", "offset", "key", "value"),
-        sink="console",
-        checkpoint_location=args.checkpoint,
+        sink="json" if args.out else "console",
+        path=args.out,
+        checkpoint_location=checkpoint,
         available_now=args.available_now,
+        console_rows=args.preview or 20,
     )
     try:
         query.awaitTermination()

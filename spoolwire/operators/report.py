@@ -1,9 +1,9 @@
 """Counts, load reports, progress, previews and schema descriptions.
 
 Per-topic-partition figures (first offset, first timestamp) come from a
-grouped aggregate with one row per topic partition, broadcast back: never a
-window over a whole topic partition, which would load a hot partition into
-one task.
+grouped aggregate with one row per topic partition, joined back (Spark picks
+the join by its size): never a window over a whole topic partition, which
+would load a hot partition into one task.
 """
 
 from __future__ import annotations
@@ -56,26 +56,6 @@ def _partition_start(topic_df: DataFrame) -> DataFrame:
     )
 
 
-# Above this many topic partitions the per-partition starts are joined, not collected and broadcast.
-PUSHDOWN_MAX_PARTITIONS = 1000
-
-
-def _starts(topic_df: DataFrame) -> tuple[DataFrame, list | None]:
-    """Per-partition first offset and timestamp, and its rows when there are few enough to broadcast.
-
-    The rows come from one small aggregate with a checked cap, so whatever is
-    broadcast has a proven size.
-    """
-    starts = _partition_start(topic_df)
-    rows = starts.limit(PUSHDOWN_MAX_PARTITIONS + 1).collect()
-    if len(rows) > PUSHDOWN_MAX_PARTITIONS:
-        return starts, None
-    small = topic_df.sparkSession.createDataFrame(
-        [(r.partition, r._o0, r._us0) for r in rows], "partition int, _o0 long, _us0 long"
-    )
-    return F.broadcast(small), rows
-
-
 def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
     """Every ``every`` records of each topic partition: running count and records per second.
 
@@ -83,12 +63,11 @@ def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
     ``rps`` is ``line_count`` over the seconds since that first record's
     timestamp (null when no time has passed), rounded to 6 places.
     """
-    start, _ = _starts(topic_df)
     line = F.col("offset") - F.col("_o0") + 1
     elapsed = F.unix_micros("timestamp") - F.col("_us0")
     return (
         topic_df.select("partition", "offset", "timestamp")
-        .join(start, "partition")
+        .join(_partition_start(topic_df), "partition")
         .filter(line % every == 0)
         .select(
             "partition",
@@ -102,24 +81,14 @@ def first_records(topic_df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` records read from each topic partition, numbered from 1 (``record_no``).
 
     Each partition's first offset comes from an aggregate over the offset
-    column (one row per partition). For up to
-    :data:`PUSHDOWN_MAX_PARTITIONS` partitions the bounds also become a
-    ``partition``/``offset`` predicate that reaches the Parquet scan, so only
-    the leading row groups of each partition are read; beyond that the bounds
-    are joined.
+    column (one row per partition), which is joined back. The largest of them
+    bounds the offsets that the scan has to read at all.
     """
-    start, rows = _starts(topic_df)
-    start = start.select("partition", "_o0")
+    start = _partition_start(topic_df).select("partition", "_o0")
+    last = start.agg(F.max("_o0") + n)
     no = F.col("offset") - F.col("_o0") + 1
-    if rows is None:
-        return topic_df.join(start, "partition").filter(no <= n).withColumn("record_no", no).drop("_o0")
-    if not rows:
-        return topic_df.withColumn("record_no", F.lit(None).cast("long")).limit(0)
-    cond = None
-    for r in rows:
-        term = (F.col("partition") == F.lit(r.partition)) & (F.col("offset") < F.lit(r._o0 + n))
-        cond = term if cond is None else cond | term
-    return topic_df.filter(cond).join(start, "partition").withColumn("record_no", no).drop("_o0")
+    near = topic_df.filter(F.col("offset") < last.scalar())
+    return near.join(start, "partition").filter(no <= n).withColumn("record_no", no).drop("_o0")
 
 
 def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
@@ -149,17 +118,20 @@ def offset_gaps(topic_df: DataFrame, bucket: int = 1 << 20) -> DataFrame:
     """Holes in each partition's offsets: ``partition, offset, next_offset, missing``.
 
     ``offset`` is the last present offset before a hole and ``next_offset``
-    the first one after it. Offsets are cut into buckets of ``bucket``; the
-    ordered comparison runs within a bucket (groups of at most ``bucket``
-    rows) and across bucket edges on per-bucket min/max (one row per bucket).
+    the first one after it. Offsets are cut into buckets of ``bucket``, and
+    counts per bucket (partially aggregated) find those with holes; only their
+    rows are ordered, in groups of at most ``bucket``. Bucket edges are
+    compared on per-bucket min/max (one row per bucket).
     """
     b = F.expr(f"offset div {int(bucket)}")
     rows = topic_df.select("partition", "offset").withColumn("_b", b)
-    inner_w = Window.partitionBy("partition", "_b").orderBy("offset")
-    inner = rows.withColumn("next_offset", F.lead("offset").over(inner_w)).filter(
-        F.col("next_offset") > F.col("offset") + 1
+    buckets = rows.groupBy("partition", "_b").agg(
+        F.min("offset").alias("_lo"), F.max("offset").alias("_hi"), F.count(F.lit(1)).alias("_n")
     )
-    buckets = rows.groupBy("partition", "_b").agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi"))
+    torn = buckets.filter(F.col("_n") != F.col("_hi") - F.col("_lo") + 1).select("partition", "_b")
+    inner_w = Window.partitionBy("partition", "_b").orderBy("offset")
+    inner = rows.join(torn, ["partition", "_b"], "left_semi").withColumn("next_offset", F.lead("offset").over(inner_w))
+    inner = inner.filter(F.col("next_offset") > F.col("offset") + 1)
     edge_w = Window.partitionBy("partition").orderBy("_b")
     edges = (
         buckets.withColumn("next_offset", F.lead("_lo").over(edge_w))

@@ -22,7 +22,7 @@ from spoolwire.plans.upload import upload_csv
 from spoolwire.schemas import string_schema
 from spoolwire.sinks.topic import publish
 from spoolwire.sources.csv import audit_encoding, csv_headers, scan_csv
-from spoolwire.sources.topic import FileTopic, read_topic
+from spoolwire.sources.topic import FileTopic, missing_ranges, read_topic
 from spoolwire.streaming.topic_stream import run_stream
 from spoolwire.workspace import scratch_path
 
@@ -119,8 +119,9 @@ def documents_csv(spark: SparkSession, sf_dir: str) -> str:
 def ragged_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer rows as CSV lines whose shape depends on the market segment:
     AUTOMOBILE long (two extra fields), BUILDING short (three fields),
-    FURNITURE an empty name, HOUSEHOLD all fields empty, MACHINERY a quoted
-    name holding a comma and doubled quotes, the rest plain."""
+    FURNITURE an empty name, HOUSEHOLD all fields empty (with even keys two
+    more than the header has), MACHINERY a quoted name holding a comma and
+    doubled quotes, the rest plain."""
     c = stringify(table(spark, sf_dir, "customer"))
     k, n, nk, a, m = (F.col(x) for x in CUSTOMER_COLUMNS)
     quoted = F.concat(F.lit('"'), F.replace(F.concat(n, F.lit(', "'), m, F.lit('"')), F.lit('"'), F.lit('""')), F.lit('"'))
@@ -128,6 +129,7 @@ def ragged_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(m == "AUTOMOBILE", F.concat_ws(",", k, n, nk, a, m, n, F.lit("")))
         .when(m == "BUILDING", F.concat_ws(",", k, n, nk))
         .when(m == "FURNITURE", F.concat_ws(",", k, F.lit(""), nk, a, m))
+        .when((m == "HOUSEHOLD") & (k.cast("long") % 2 == 0), F.lit(",,,,,,"))
         .when(m == "HOUSEHOLD", F.lit(",,,,"))
         .when(m == "MACHINERY", F.concat_ws(",", k, quoted, nk, a, m))
         .otherwise(F.concat_ws(",", k, n, nk, a, m))
@@ -135,6 +137,46 @@ def ragged_customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(line.alias("line"))
 
 
+def messy_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Customer rows (key, name, segment) as CSV that only whole-file parsing
+    reads right, by key modulo 7: plain; a stray quote; a stray quote beside a
+    quoted line break, with an even number of quotes per line; a lone carriage
+    return inside quotes; a line of white space before the row; blank lines
+    before the row; doubled quotes. One file per thousand keys."""
+
+    def build() -> str:
+        k, n, m = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")
+        plain, kind = F.concat_ws(",", k, n, m), F.col("c_custkey") % 7
+        line = (
+            F.when(kind == 1, F.concat(k, F.lit('" x,'), n, F.lit(","), m))
+            .when(kind == 2, F.concat(k, F.lit('" x,"first '), n, F.lit('\nsecond",7"')))
+            .when(kind == 3, F.concat(k, F.lit(',"x\ry",'), m))
+            .when(kind == 4, F.concat(F.lit("   \n"), plain))
+            .when(kind == 5, F.concat(F.lit("\n\n"), plain))
+            .when(kind == 6, F.concat(k, F.lit(',"say ""hi"", '), n, F.lit('",'), m))
+            .otherwise(plain)
+        )
+        files = table(spark, sf_dir, "customer").select(F.expr("c_custkey div 1000").alias("g"), line.alias("line"))
+        text = F.concat(F.lit("id,a,b\n"), F.array_join(F.sort_array(F.collect_list("line")), "\n"))
+        path = scratch_path(spark, "messy-csv")
+        files.groupBy("g").agg(text.alias("value")).write.partitionBy("g").text(path)
+        return f"{path}/g=*"
+
+    return _memo(spark, ("messy_csv", sf_dir), build)
+
+
+def documents_csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as many CSV files of at most 200 records, so that multi-line reading is spread over tasks."""
+
+    def build() -> str:
+        path = scratch_path(spark, "documents-csv-files")
+        writer = stringify(table(spark, sf_dir, "documents")).write.option("maxRecordsPerFile", 200)
+        writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+        return path
+
+    return _memo(spark, ("documents_csv_files", sf_dir), build)
+
+
 def ragged_csv(spark: SparkSession, sf_dir: str) -> str:
     return _memo(
         spark,
@@ -232,6 +274,24 @@ def events_topic_lossy(spark: SparkSession, sf_dir: str) -> FileTopic:
     return FileTopic(_memo(spark, ("events_lossy", sf_dir), build), "data")
 
 
+def events_topic_losses(spark: SparkSession, sf_dir: str) -> FileTopic:
+    """A copy of the events topic and its recorded ends that lost the records of
+    partition 0 from offset 500 on, the ``error`` records of partition 1 and all
+    of partition 2."""
+
+    def build() -> str:
+        source = events_topic(spark, sf_dir)
+        event_type = F.get_json_object(F.col("value").cast("string"), "$.event_type")
+        p = F.col("partition")
+        left = ((p == 0) & (F.col("offset") < 500)) | ((p == 1) & (event_type != "error"))
+        copy = FileTopic(scratch_path(spark, "events-losses"), "data")
+        read_topic(spark, source).filter(left).write.partitionBy("partition").parquet(copy.path)
+        spark.read.parquet(source.ends_path).write.parquet(copy.ends_path)
+        return copy.path
+
+    return FileTopic(_memo(spark, ("events_losses", sf_dir), build), "data")
+
+
 # ---------------------------------------------------------------- queries
 
 
@@ -253,8 +313,14 @@ def _overflow_as_json(df: DataFrame) -> DataFrame:
 
 
 def q_csv_documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O1 multi-line, split-parallel: records reassembled from a line read, parsed with ``from_csv``."""
-    df = scan_csv(spark, documents_csv(spark, sf_dir), multiline=True, parallel_multiline=True)
+    """O1 multi-line in parallel: the same texts in many files, one task each."""
+    df = scan_csv(spark, documents_csv_files(spark, sf_dir))
+    return df.select(csv_headers(df))
+
+
+def q_csv_messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stray quotes, line breaks in quotes, a lone CR, white-space lines (kept) and blank lines (skipped)."""
+    df = scan_csv(spark, messy_csv(spark, sf_dir))
     return df.select(csv_headers(df))
 
 
@@ -278,7 +344,14 @@ def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O19, O20 (+O24 audit, O12 publish): the upload job's load report for the ragged CSV."""
     topic = FileTopic(scratch_path(spark, "upload-topic"), "data")
     report = upload_csv(spark, ragged_csv(spark, sf_dir), topic, partitions=EVENT_PARTITIONS)
-    return report.select("topic", "rows_in", "rows_sent", "rows_skipped", "status")
+    return report.select("topic", "rows_in", "rows_sent", "rows_skipped", "rows_long", "status")
+
+
+def q_upload_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON sent for ragged rows, surplus fields included, rows both overlong and all empty too."""
+    topic = FileTopic(scratch_path(spark, "ragged-topic"), "data")
+    upload_csv(spark, ragged_csv(spark, sf_dir), topic, partitions=EVENT_PARTITIONS)
+    return read_topic(spark, topic).select(F.col("value").cast("string").alias("value"))
 
 
 def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,26 +491,16 @@ def q_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offset_gaps(read_topic(spark, events_topic_lossy(spark, sf_dir)))
 
 
+def q_missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every range of offsets that a damaged topic lost: a tail, holes, a whole partition."""
+    return missing_ranges(spark, events_topic_losses(spark, sf_dir))
+
+
 def q_keyed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O12 keyed: ``customer`` records keyed by market segment (five keys, each a
-    fifth of the rows) on 4 partitions. Per key: records, partitions used (one,
-    as a key always hashes to the same partition) and whether every partition
-    the key lands in has dense offsets."""
+    """O12 keyed: ``customer`` records keyed by market segment, key and payload as they come back."""
     topic = FileTopic(scratch_path(spark, "customer-keyed"), "data")
     publish(stringify(table(spark, sf_dir, "customer")), topic, key_column="c_mktsegment", partitions=4)
-    env = read_topic(spark, topic).select(F.col("key").cast("string").alias("key"), "partition", "offset")
-    density = env.groupBy("partition").agg(
-        (F.max("offset") - F.min("offset") + 1 == F.count(F.lit(1))).alias("dense_partition")
-    )
-    return (
-        env.join(density, "partition")  # one row per topic partition on the right
-        .groupBy("key")
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.count_distinct("partition").alias("partitions"),
-            F.bool_and("dense_partition").alias("dense"),
-        )
-    )
+    return read_topic(spark, topic).select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
 def q_csv_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,16 +554,58 @@ def q_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream started at ``latest`` over half of the events, drained,
+    and drained again with its checkpoint after the other half came: exactly
+    the second half arrives."""
+    topic = FileTopic(scratch_path(spark, "resume-topic"), "data")
+    sink, checkpoint = scratch_path(spark, "resume-sink"), scratch_path(spark, "resume-checkpoint")
+    for half in (0, 1):
+        publish(
+            _event_records(spark, sf_dir).filter(F.col("_eid") % 2 == half),
+            topic,
+            columns=EVENT_COLUMNS,
+            partitions=EVENT_PARTITIONS,
+            partition_by=F.pmod(F.col("_eid"), F.lit(EVENT_PARTITIONS)),
+            order_by=["_eid"],
+        )
+        run_stream(spark, topic, sink, checkpoint, starting="latest")
+    return spark.read.parquet(sink).select("partition", "offset", "value")
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O30 + S14: the continuous job over a damaged topic, malformed records routed to a folder of their own."""
+    sink = scratch_path(spark, "stream-quarantine-sink")
+    run_stream(
+        spark,
+        events_topic_damaged(spark, sf_dir),
+        sink,
+        scratch_path(spark, "stream-quarantine-checkpoint"),
+        corrupt_column="_corrupt_record",
+        max_files_per_trigger=8,
+    )
+    out = spark.read.parquet(sink)
+    return out.select(
+        "partition",
+        "offset",
+        F.col("quarantined").cast("boolean").alias("quarantined"),
+        F.variant_get("json", "$.event_type", "string").alias("event_type"),
+        "_corrupt_record",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "ingest_lineitem": q_ingest_lineitem,
     "csv_scan": q_csv_scan,
     "csv_documents": q_csv_documents,
     "csv_documents_split": q_csv_documents_split,
+    "csv_messy": q_csv_messy,
     "csv_ragged": q_csv_ragged,
     "header_record": q_header_record,
     "drop_empty": q_drop_empty,
     "load_report": q_load_report,
+    "upload_ragged": q_upload_ragged,
     "envelope": q_envelope,
     "topic_range": q_topic_range,
     "parse_records": q_parse_records,
@@ -516,9 +621,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "console_preview": q_console_preview,
     "schema_profile": q_schema_profile,
     "offset_gaps": q_offset_gaps,
+    "missing_ranges": q_missing_ranges,
     "keyed_publish": q_keyed_publish,
     "csv_wire": q_csv_wire,
     "stream_drain": q_stream_drain,
     "topic_checked": q_topic_checked,
     "stream_from_offsets": q_stream_from_offsets,
+    "stream_resume": q_stream_resume,
+    "stream_quarantine": q_stream_quarantine,
 }

@@ -35,7 +35,8 @@ SELECT
        ELSE c_acctbal::VARCHAR END AS c_acctbal,
   CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' WHEN c_mktsegment = 'BUILDING' THEN NULL
        ELSE c_mktsegment END AS c_mktsegment,
-  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN to_json([c_name, ''])::VARCHAR ELSE NULL END AS _overflow
+  CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN to_json([c_name, ''])::VARCHAR
+       WHEN c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0 THEN to_json(['', ''])::VARCHAR ELSE NULL END AS _overflow
 FROM customer
 """
 
@@ -69,9 +70,25 @@ ORACLE: dict[str, str] = {
     "drop_empty": f"SELECT * FROM ({_RAGGED}) WHERE c_custkey <> '' OR _overflow IS NOT NULL",
     "load_report": (
         "SELECT 'data' AS topic, count(*) AS rows_in, "
-        "count(*) FILTER (WHERE c_mktsegment <> 'HOUSEHOLD') AS rows_sent, "
-        "count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS rows_skipped, 'ok' AS status FROM customer"
+        "count(*) FILTER (WHERE c_mktsegment <> 'HOUSEHOLD' OR c_custkey % 2 = 0) AS rows_sent, "
+        "count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 1) AS rows_skipped, "
+        "count(*) FILTER (WHERE c_mktsegment = 'AUTOMOBILE' OR c_mktsegment = 'HOUSEHOLD' AND c_custkey % 2 = 0) AS rows_long, "
+        "'ok' AS status FROM customer"
     ),
+    "upload_ragged": f"""
+SELECT CASE WHEN _overflow IS NULL
+  THEN to_json(struct_pack(c_custkey := c_custkey, c_name := c_name, c_nationkey := c_nationkey,
+                           c_acctbal := c_acctbal, c_mktsegment := c_mktsegment))::VARCHAR
+  ELSE to_json(struct_pack(c_custkey := c_custkey, c_name := c_name, c_nationkey := c_nationkey, c_acctbal := c_acctbal,
+                           c_mktsegment := c_mktsegment, "null" := from_json(_overflow, '["VARCHAR"]')))::VARCHAR END AS value
+FROM ({_RAGGED}) WHERE c_custkey <> '' OR _overflow IS NOT NULL""",
+    "csv_messy": """
+SELECT c_custkey::VARCHAR || CASE WHEN c_custkey % 7 IN (1, 2) THEN '" x' ELSE '' END AS id,
+  CASE c_custkey % 7 WHEN 2 THEN 'first ' || c_name || chr(10) || 'second' WHEN 3 THEN 'x' || chr(13) || 'y'
+    WHEN 6 THEN 'say "hi", ' || c_name ELSE c_name END AS a,
+  CASE c_custkey % 7 WHEN 2 THEN '7"' ELSE c_mktsegment END AS b
+FROM customer
+UNION ALL SELECT '   ', NULL, NULL FROM customer WHERE c_custkey % 7 = 4""",
     "envelope": _EV + 'SELECT "partition", "offset", v AS value FROM ev',
     "topic_range": _EV
     + 'SELECT "partition", "offset", v AS value FROM ev '
@@ -123,10 +140,17 @@ FROM ev ORDER BY "partition", "offset" LIMIT 20""",
   FROM ev WHERE event_type <> 'error')
 SELECT "partition", "offset", next_offset, next_offset - "offset" - 1 AS missing
 FROM kept WHERE next_offset > "offset" + 1""",
-    "keyed_publish": (
-        "SELECT c_mktsegment AS key, count(*) AS records, 1::BIGINT AS partitions, true AS dense "
-        "FROM customer GROUP BY 1"
-    ),
+    "missing_ranges": _EV
+    + """, lost AS (
+  SELECT "partition", "offset" FROM ev
+  WHERE "partition" = 0 AND "offset" >= 500 OR "partition" = 1 AND event_type = 'error' OR "partition" = 2),
+runs AS (SELECT *, "offset" - row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS run FROM lost)
+SELECT "partition", min("offset") AS first_missing, max("offset") + 1 AS end_missing, count(*) AS missing
+FROM runs GROUP BY "partition", run""",
+    "keyed_publish": f"""
+SELECT c_mktsegment AS key, to_json(struct_pack(c_custkey := c_custkey, c_name := c_name, c_nationkey := c_nationkey,
+  c_acctbal := c_acctbal, c_mktsegment := c_mktsegment))::VARCHAR AS value
+FROM ({_CUSTOMER})""",
     "csv_wire": _EV + f'SELECT "partition", "offset", {_EVENT_FIELDS} FROM ev',
     "topic_checked": _EV + 'SELECT "partition", "offset", v AS value FROM ev',
     "stream_from_offsets": _EV
@@ -134,4 +158,15 @@ FROM kept WHERE next_offset > "offset" + 1""",
     'WHERE NOT ("partition" = 0 AND "offset" < 100) AND NOT ("partition" = 2 AND "offset" < 2500)',
     "stream_drain": _EV
     + 'SELECT "partition", "offset", NULL::VARCHAR AS key, v AS value, event_type FROM ev',
+    "stream_resume": _EV
+    + """, halves AS (
+  SELECT *, count(*) FILTER (event_id % 2 = 0) OVER (PARTITION BY "partition") AS n_even,
+         row_number() OVER (PARTITION BY "partition", event_id % 2 ORDER BY event_id) - 1 AS rn
+  FROM ev)
+SELECT "partition", n_even + rn AS "offset", v AS value FROM halves WHERE event_id % 2 = 1""",
+    "stream_quarantine": _EV
+    + """SELECT "partition", "offset", event_type = 'error' AS quarantined,
+       CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+       CASE WHEN event_type = 'error' THEN left(v, length(v) - 1) END AS _corrupt_record
+FROM ev""",
 }

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from spoolwire.errors import EncodingError, SourceNotFound
+from spoolwire.errors import EncodingError
 from spoolwire.operators.records import non_empty
 from spoolwire.sinks.topic import publish
 from spoolwire.sources.csv import OVERFLOW, audit_encoding, csv_headers, scan_csv
 from spoolwire.sources.topic import Topic
 
 REPORT_SCHEMA = (
-    "source string, topic string, rows_in long, rows_sent long, rows_skipped long, status string, error string"
+    "source string, topic string, rows_in long, rows_sent long, rows_skipped long, rows_long long, "
+    "status string, error string"
 )
+#: JSON key of the fields beyond the header, as a reader that files them under a null name would write it.
+OVERFLOW_KEY = "null"
 
 
 def upload_csv(
@@ -22,7 +25,7 @@ def upload_csv(
     topic: Topic,
     *,
     partitions: int | None = None,
-    multiline: bool | str = "auto",
+    multiline: bool | None = None,
     encoding: str = "utf-8",
     include_header_record: bool = False,
     audit: bool = True,
@@ -33,37 +36,40 @@ def upload_csv(
 
     Returns the load report (one row). The UTF-8 audit covers the whole
     source before anything is sent, so a bad byte late in a file cannot leave
-    a partial upload. Counts come from an observation inside the publish
-    itself: one pass over the data. With ``raise_errors=False`` a failure is reported
-    in the row (``status='failed'``) instead of raised.
+    a partial upload. The same pass shows whether the source can be read line
+    by line with equal rows (:func:`line_safe`); only then are its files split
+    across tasks, unless ``multiline`` says otherwise. Fields beyond the header
+    travel under the key ``"null"``, which only long rows have. Counts come
+    from an observation inside the publish itself: one pass over the data.
+    With ``raise_errors=False`` any failure is reported in the row
+    (``status='failed'``) instead of raised.
     """
     name = getattr(topic, "name", str(topic))
     try:
         if audit and encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
-            # one pass over the bytes: encoding check, and whether records span lines
-            tot = audit_encoding(spark, path).agg(
-                F.sum("bad_lines").alias("bad"), F.sum("open_quote_lines").alias("open")
+            total = audit_encoding(spark, path).agg(
+                F.sum("bad_lines").alias("bad"), F.sum("unsafe_lines").alias("unsafe")
             ).first()
-            if tot.bad:
-                raise EncodingError(f"invalid UTF-8 on {tot.bad} lines of {path}; re-encode the source as UTF-8")
-            if multiline == "auto":
-                multiline = bool(tot.open)
+            if total.bad:
+                raise EncodingError(f"invalid UTF-8 on {total.bad} lines of {path}; re-encode the source as UTF-8")
+            if multiline is None:
+                multiline = bool(total.unsafe)
         records = scan_csv(
-            spark, path, multiline=multiline, encoding=encoding, include_header_record=include_header_record
+            spark, path, multiline=multiline is not False, encoding=encoding, include_header_record=include_header_record
         )
-        keep = non_empty(records)
         fields = csv_headers(records)
-        if include_header_record:
-            # parity mode: the overflow travels under the JSON key "null"
-            records = records.withColumn("null", F.col(OVERFLOW))
-            fields = fields + ["null"]
+        optional = [OVERFLOW_KEY] if OVERFLOW_KEY not in fields else [OVERFLOW]
+        records = records.withColumnRenamed(OVERFLOW, optional[0])
+        keep = non_empty(records, fields) | F.col(f"`{optional[0]}`").isNotNull()
         obs = Observation("load")
-        publish(records, topic, columns=fields, partitions=partitions, keep=keep, observation=obs, **publish_options)
+        publish(
+            records, topic, columns=fields, optional_columns=optional, partitions=partitions, keep=keep, observation=obs,
+            **publish_options,
+        )
         m = obs.get
-        row = (path, name, m["rows_in"], m["rows_sent"], m["rows_skipped"], "ok", None)
-    except (SourceNotFound, EncodingError) as e:
+        row = (path, name, m["rows_in"], m["rows_sent"], m["rows_skipped"], m["rows_long"], "ok", None)
+    except Exception as e:
         if raise_errors:
             raise
-        row = (path, name, None, None, None, "failed", str(e))
+        row = (path, name, None, None, None, None, "failed", f"{type(e).__name__}: {e}")
     return spark.createDataFrame([row], REPORT_SCHEMA)
-

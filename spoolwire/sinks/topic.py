@@ -2,44 +2,34 @@
 
 Kafka backend: ``write.format('kafka')``; the broker assigns offsets.
 
-File backend: offsets must be dense per partition, like a broker's. They are
-assigned without a window over a whole topic partition (which would put a hot
-partition into one task):
-
-1. keyed records are range-partitioned and sorted by
-   ``(partition, order_by..., hash(value))`` (keyless ones stay in place) and
-   written once to a staging table in the shared folder, tagged with the Spark partition that wrote
-   them (``_seg``) and a per-segment row id (``_row``);
-2. one aggregate over the staged ids gives a count per
-   ``(partition, _seg)`` — at most a few rows per Spark task — and a running
-   sum over it gives each segment's base offset (on the driver when the
-   table has at most :data:`DRIVER_STATS_MAX_ROWS` rows, checked by a capped
-   collect; else with a window over the table);
-3. a join of the staged rows with that small table yields
-   ``offset = base + _row - first_row``; the table is broadcast only when its
-   counted size is below :data:`BROADCAST_MAX_ROWS`, else shuffle-joined.
-
-The end offsets are recorded before the data is committed, so a crash between
-the two leaves a gap (visible to ``fail_on_data_loss``) and never a reused
-offset.
+File backend: offsets are dense per partition.
+
+* Keyless records take one shuffle and one write: ``repartition`` deals them
+  evenly over the topic's partitions, one task each, and a record's offset is
+  the partition's end plus its place in the task.
+* Keyed, placed and ordered records are range-partitioned by ``(partition,
+  order_by..., hash(value))``, so a partition that holds a large share of the
+  rows is split across tasks. They are staged once in the shared folder,
+  tagged with the task that wrote them and a place in it; a count per
+  ``(partition, task)`` and its running sum give each run its first offset.
+  The stage is deleted after the commit.
+
+The ends are recorded after the data is committed. A publish that broke off in
+between has left records beyond the recorded ends; the next one starts behind
+them, so no offset is used twice. A file topic takes one publisher at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from spoolwire.functions.envelope import CREATE_TIME, Serializer, json_serializer
-from spoolwire.sources.topic import KafkaTopic, Topic, current_end_offsets, record_end_offsets
-from spoolwire.workspace import scratch_path
-
-# Up to this many (partition, segment) rows the offset table is built on the driver.
-DRIVER_STATS_MAX_ROWS = 100_000
-# Above this many (partition, segment) rows the offset table is shuffle-joined.
-BROADCAST_MAX_ROWS = 2_000_000
+from spoolwire.functions.envelope import CREATE_TIME, ENVELOPE, Serializer, wire_value
+from spoolwire.sources.topic import KafkaTopic, Topic, current_end_offsets, ends_in_data, record_end_offsets
+from spoolwire.workspace import delete_path, scratch_path
 
 # The producer settings of the source application
 # (retries, linger, batch size, largest request, request timeout).
@@ -54,20 +44,37 @@ PRODUCER_SETTINGS = {
 
 @dataclass(frozen=True)
 class PublishResult:
+    """``starts``: the first offset of each partition that this publish could use (file topics)."""
+
     topic: str
     rows_sent: int
     partitions: int
+    starts: dict[int, int] = field(default_factory=dict)
 
 
 def _col(c: Column | str) -> Column:
     return F.col(f"`{c}`") if isinstance(c, str) else c
 
 
+def _counted(df: DataFrame, observation: Observation | None, long_rows: Column) -> DataFrame:
+    if observation is None:
+        return df
+    kept = F.col("_keep")
+    return df.observe(
+        observation,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(kept).alias("rows_sent"),
+        F.count_if(~kept).alias("rows_skipped"),
+        F.count_if(long_rows & kept).alias("rows_long"),
+    )
+
+
 def publish(
     df: DataFrame,
     topic: Topic,
     *,
     columns: Sequence[str] | None = None,
+    optional_columns: Sequence[str] = (),
     key_column: str | None = None,
     serializer: Serializer | None = None,
     partitions: int | None = None,
@@ -75,7 +82,6 @@ def publish(
     order_by: Sequence[str | Column] | None = None,
     timestamp_column: Column | str | None = None,
     wire: bool = False,
-    batch_records: int = 1_000_000,
     keep: Column | None = None,
     observation: Observation | None = None,
     max_records_per_file: int = 5_000_000,
@@ -83,22 +89,22 @@ def publish(
     """Append ``df``'s records to ``topic``.
 
     Records become JSON (or ``serializer(struct)``) bytes in ``value``;
+    ``optional_columns`` are part of a record only where they aren't null;
     ``key`` is null unless ``key_column`` is set. With ``wire=True`` ``df``
     already has ``key`` and ``value``.
 
     Placement: ``partition_by`` (a column giving the partition number) wins;
-    else the key's hash; both range-shuffle the records by partition. Without
-    either, as a keyless producer does, records stay where they are read and
-    go to the partitions in sticky batches of ``batch_records`` (no shuffle;
-    a batch is one output file, so keep it large at scale). ``order_by``
-    fixes the offset order within each partition; without it offsets follow
-    read order (keyless) or an arbitrary but fixed order. ``timestamp_column`` sets
-    the record timestamp (default: the write time).
+    else the key's hash, or for records with a null key the value's; without
+    either, records are dealt evenly over the partitions. ``order_by`` fixes
+    the offset order within each partition; without it offsets follow an
+    arbitrary order. ``timestamp_column`` sets the record timestamp (default:
+    the write time).
 
     ``keep`` sends only the rows it holds true for; ``observation`` (an
-    ``Observation``) is filled with ``rows_in, rows_sent, rows_skipped``. The
-    counts are taken where each row passes exactly once: after the range
-    shuffle, whose sampling job would otherwise count rows a second time.
+    ``Observation``) is filled with ``rows_in, rows_sent, rows_skipped,
+    rows_long`` (sent rows with an optional column). The counts are taken
+    where each row passes exactly once: before the even dealing, and after a
+    range shuffle, whose sampling job would otherwise count rows a second time.
     Topic files hold at most ``max_records_per_file`` records each.
     """
     extra = [_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
@@ -106,11 +112,18 @@ def publish(
     if wire:
         key, value = F.col("key").cast("binary"), F.col("value").cast("binary")
     else:
-        cols = list(columns) if columns is not None else list(df.columns)
+        cols = list(columns) if columns is not None else [c for c in df.columns if c not in optional_columns]
         key = _col(key_column).cast("string").cast("binary") if key_column else F.lit(None).cast("binary")
-        value = _value_expr(cols, serializer)
+        value = wire_value(cols, serializer, optional_columns)
+    long_row = F.lit(False)
+    for c in optional_columns:
+        long_row = long_row | _col(c).isNotNull()
+    flags = [(keep if keep is not None else F.lit(True)).alias("_keep"), long_row.alias("_long")]
     if isinstance(topic, KafkaTopic):
-        return _publish_kafka(df, key, value, topic, partition_by, keep, observation)
+        unused = {"order_by": order_by, "timestamp_column": timestamp_column, "partitions": partitions}
+        if given := [k for k, v in unused.items() if v is not None]:
+            raise ValueError(f"a Kafka topic doesn't take {', '.join(given)}: the broker decides")
+        return _publish_kafka(df, key, value, flags, topic, partition_by, observation)
 
     spark = df.sparkSession
     current = current_end_offsets(spark, topic)
@@ -121,134 +134,72 @@ def publish(
         n_parts = len(current)
         if partitions is not None and partitions != n_parts:
             raise ValueError(f"topic {topic.name} has {n_parts} partitions, not {partitions}")
+        current = {**current, **ends_in_data(spark, topic, current)}  # of a publish that broke off
     part_expr = partition_by
     if part_expr is None and key_column is not None:
         # Spark's Murmur3 hash of the key (a Kafka client uses murmur2).
-        part_expr = F.pmod(F.hash(_col(key_column).cast("string")), F.lit(n_parts))
+        part_expr = F.pmod(F.when(key.isNull(), F.hash(value)).otherwise(F.hash(_col(key_column).cast("string"))), F.lit(n_parts))
 
     sel = [key.alias("key"), value.alias("value"), ts.alias("timestamp")]
+    if part_expr is None and order_by:
+        part_expr = F.pmod(F.hash(value), F.lit(n_parts))
     if part_expr is not None:
         sel.append(part_expr.cast("int").alias("partition"))
-    flag = [(keep if keep is not None else F.lit(True)).alias("_keep")]
-    prepared = df.select(*sel, *extra, *flag)
-    order_cols = [f"_o{i}" for i in range(len(extra))]
-
-    if part_expr is not None or order_by:
-        # Range shuffle on (partition, order..., hash(value)): each task then holds a
-        # contiguous run of partitions (about tasks + partitions output files, and a
-        # small offset table), and a partition or key holding a large share of the
-        # rows is still split across tasks by the hash tie-breaker.
-        prepared = prepared.withColumn("_tie", F.xxhash64("value"))
-        keys = (["partition"] if part_expr is not None else []) + order_cols + ["_tie"]
-        prepared = prepared.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    if observation is not None:
-        kept = F.col("_keep")
-        prepared = prepared.observe(
-            observation,
-            F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(kept).alias("rows_sent"),
-            F.count_if(~kept).alias("rows_skipped"),
-        )
-    prepared = prepared.filter(F.col("_keep"))
-    prepared = prepared.withColumn("_seg", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
+    prepared = df.select(*sel, *extra, *flags)
+    # one row per topic partition
+    ends = spark.createDataFrame(sorted(current.items()), "partition int, _end long")
     if part_expr is None:
-        # Keyless: sticky batches of ``batch_records`` rotate over the partitions,
-        # starting at the segment's own partition. Row ids are (segment << 33) +
-        # position, so each row's dense index within its (partition, segment) run
-        # follows arithmetically: earlier full batches of that partition, plus
-        # the position inside the batch.
-        local = F.col("_row") - F.shiftleft(F.col("_seg").cast("long"), 33)
-        batch = F.floor(local / F.lit(batch_records))
-        prepared = prepared.withColumn(
-            "partition", F.pmod(F.col("_seg") + batch, F.lit(n_parts)).cast("int")
-        ).withColumn(
-            "_row", F.floor(batch / F.lit(n_parts)) * F.lit(batch_records) + F.pmod(local, F.lit(batch_records))
-        )
-
-    stage_path = scratch_path(spark, f"stage-{topic.name}")
-    prepared.select("key", "value", "timestamp", "partition", "_seg", "_row").write.parquet(stage_path)
-    staged = spark.read.parquet(stage_path)
-
-    outside = (F.col("partition") < 0) | (F.col("partition") >= n_parts) | F.col("partition").isNull()
-    # Small table: one row per (partition, segment). Usually a few rows per task:
-    # collected under a checked cap, base offsets are a running sum per partition.
-    seg_stats = staged.groupBy(F.when(outside, F.lit(-1)).otherwise(F.col("partition")).alias("partition"), "_seg").agg(
-        F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n")
-    )
-    small = seg_stats.limit(DRIVER_STATS_MAX_ROWS + 1).collect()
-    if len(small) <= DRIVER_STATS_MAX_ROWS:
-        if any(r.partition == -1 for r in small):
-            raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
-        running = dict(current)
-        based = []
-        for r in sorted(small, key=lambda r: (r.partition, r._seg)):
-            based.append((r.partition, r._seg, r._row0, running.get(r.partition, 0)))
-            running[r.partition] = running.get(r.partition, 0) + r._n
-        rows_sent = sum(r._n for r in small)
-        new_ends = running
-        table = F.broadcast(
-            spark.createDataFrame(based, "partition int, _seg int, _row0 long, _base long")
-        )  # at most DRIVER_STATS_MAX_ROWS rows
+        place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+        dealt = _counted(prepared, observation, F.col("_long")).filter(F.col("_keep")).repartition(n_parts)
+        placed = dealt.select("key", "value", "timestamp", F.spark_partition_id().alias("partition"), place.alias("_place"))
+        out = placed.join(ends, "partition").withColumn("offset", F.col("_end") + F.col("_place"))
+        _append(out, topic, max_records_per_file)
     else:
-        ends_df = spark.createDataFrame(sorted(current.items()), "partition int, _end long")
-        w = Window.partitionBy("partition").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-        based_df = (
-            seg_stats.join(F.broadcast(ends_df), "partition", "left")  # one row per topic partition
-            .withColumn("_base", F.coalesce(F.col("_end"), F.lit(0)) + F.coalesce(F.sum("_n").over(w), F.lit(0)))
-            .select("partition", "_seg", "_row0", "_base")
-        )
-        # Per-partition totals: at most n_parts + 1 rows (out-of-range partitions folded into -1).
-        totals = seg_stats.groupBy("partition").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("segs")).collect()
-        if any(r.partition == -1 for r in totals):
-            raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
-        rows_sent = sum(r.rows for r in totals)
-        segs = sum(r.segs for r in totals)
-        new_ends = dict(current)
-        for r in totals:
-            new_ends[r.partition] = current.get(r.partition, 0) + r.rows
-        table = F.broadcast(based_df) if segs <= BROADCAST_MAX_ROWS else based_df
-    # Reserve the offsets first: a crash after this point leaves a gap, never a reused offset.
+        stage_path = scratch_path(spark, f"stage-{topic.name}")
+        try:
+            _publish_placed(prepared, observation, ends, len(extra), n_parts, topic, stage_path, max_records_per_file)
+        finally:
+            delete_path(spark, stage_path)
+    new_ends = {**current, **ends_in_data(spark, topic, current)}
     record_end_offsets(spark, topic, new_ends)
-    if not rows_sent:
-        return PublishResult(topic.name, 0, n_parts)
-
-    out = staged.join(table, ["partition", "_seg"]).select(
-        "key",
-        "value",
-        F.lit(topic.name).alias("topic"),
-        "partition",
-        (F.col("_base") + F.col("_row") - F.col("_row0")).alias("offset"),
-        "timestamp",
-        F.lit(CREATE_TIME).alias("timestampType"),
-    )
-    (
-        out.sortWithinPartitions("partition", "offset")
-        .write.mode("append")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy("partition")
-        .parquet(topic.path)
+    return PublishResult(topic.name, sum(new_ends.values()) - sum(current.values()), n_parts, current)
+
+
+def _publish_placed(prepared, observation, ends, n_order, n_parts, topic, stage_path, max_records_per_file) -> None:
+    """Records with a ``partition``: range shuffle, stage, number, write."""
+    spark = prepared.sparkSession
+    keys = ["partition", *[f"_o{i}" for i in range(n_order)], "_tie"]
+    prepared = prepared.withColumn("_tie", F.xxhash64("value")).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    prepared = _counted(prepared, observation, F.col("_long")).filter(F.col("_keep"))
+    outside = (F.col("partition") < 0) | (F.col("partition") >= n_parts) | F.col("partition").isNull()
+    prepared = prepared.select(
+        "key", "value", "timestamp", F.when(outside, F.lit(-1)).otherwise(F.col("partition")).alias("partition"),
+        F.spark_partition_id().alias("_seg"), F.monotonically_increasing_id().alias("_row"),
     )
-    return PublishResult(topic.name, int(rows_sent), n_parts)
+    prepared.write.parquet(stage_path)
+    staged = spark.read.schema(prepared.schema).parquet(stage_path)
+    if staged.filter(F.col("partition") < 0).limit(1).count():
+        raise ValueError(f"partition_by produced a partition outside 0..{n_parts - 1}")
+    # one row per (partition, task): a running sum over the tasks of a partition
+    w = Window.partitionBy("partition").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    runs = staged.groupBy("partition", "_seg").agg(F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n"))
+    runs = runs.join(ends, "partition").withColumn("_base", F.col("_end") + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    out = staged.join(runs.select("partition", "_seg", "_row0", "_base"), ["partition", "_seg"])
+    out = out.withColumn("offset", F.col("_base") + F.col("_row") - F.col("_row0"))
+    _append(out.sortWithinPartitions("partition", "offset"), topic, max_records_per_file)
 
 
-def _value_expr(cols: Sequence[str], serializer: Serializer | None) -> Column:
-    record = F.struct(*[_col(c) for c in cols])
-    return (serializer or json_serializer)(record).cast("binary")
+def _append(out: DataFrame, topic, max_records_per_file: int) -> None:
+    out = out.withColumns({"topic": F.lit(topic.name), "timestampType": F.lit(CREATE_TIME)}).select(ENVELOPE.fieldNames())
+    out.write.mode("append").option("maxRecordsPerFile", max_records_per_file).partitionBy("partition").parquet(topic.path)
 
 
-def _publish_kafka(df, key, value, topic: KafkaTopic, part_expr, keep, observation) -> PublishResult:
+def _publish_kafka(df, key, value, flags, topic: KafkaTopic, part_expr, observation) -> PublishResult:
     sel = [key.alias("key"), value.alias("value")]
     if part_expr is not None:
         sel.append(part_expr.cast("int").alias("partition"))
-    kept = (keep if keep is not None else F.lit(True)).alias("_keep")
-    out = df.select(*sel, kept)
     obs = observation or Observation("publish")
-    out = out.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(F.col("_keep")).alias("rows_sent"),
-        F.count_if(~F.col("_keep")).alias("rows_skipped"),
-    ).filter(F.col("_keep")).drop("_keep")
+    out = _counted(df.select(*sel, *flags), obs, F.col("_long")).filter(F.col("_keep")).drop("_keep", "_long")
     writer = out.write.format("kafka").option("kafka.bootstrap.servers", topic.bootstrap_servers)
     writer = writer.option("topic", topic.name).options(**PRODUCER_SETTINGS).options(**topic.options)
     writer.save()

@@ -18,14 +18,37 @@ from spoolwire.functions.envelope import ENVELOPE, ENVELOPE_COLUMNS, with_positi
 from spoolwire.functions.json import parse_json_any, parse_json_struct
 from spoolwire.sources.topic import (
     EARLIEST,
+    LATEST,
     FileTopic,
     KafkaTopic,
     Topic,
+    current_end_offsets,
     kafka_offsets_json,
     offset_predicate,
+    offsets_schema,
     parse_offsets,
 )
-from spoolwire.workspace import scratch_path
+from spoolwire.workspace import path_exists, scratch_path
+
+
+def _fixed_start(spark: SparkSession, topic: FileTopic, starting, start_store: str | None):
+    """``starting`` with every ``latest`` resolved to an offset, once per ``start_store``.
+
+    A restarted stream must skip just the records that its first start
+    skipped, so the resolved offsets (one row per partition) are kept and read
+    again.
+    """
+    spec = parse_offsets(starting, topic.name, EARLIEST)
+    if spec == EARLIEST or (isinstance(spec, dict) and LATEST not in spec.values()):
+        return spec
+    if start_store and path_exists(spark, start_store):
+        rows = spark.read.schema(offsets_schema()).parquet(start_store).collect()
+        return {r.partition: r.end_offset for r in rows}
+    ends = current_end_offsets(spark, topic) or {}
+    named = dict(ends) if spec == LATEST else {p: ends.get(p, 0) if o == LATEST else o for p, o in spec.items()}
+    if start_store:
+        spark.createDataFrame(sorted(named.items()), offsets_schema()).coalesce(1).write.parquet(start_store)
+    return named
 
 
 def stream_topic(
@@ -35,13 +58,20 @@ def stream_topic(
     max_files_per_trigger: int | None = None,
     max_offsets_per_trigger: int | None = None,
     fail_on_data_loss: bool = False,
+    start_store: str | None = None,
 ) -> DataFrame:
     """Unbounded read of a topic as envelope rows (a streaming DataFrame).
 
     ``starting`` takes the same forms as a bounded read and applies to the
-    records present when the stream starts; later records are always read.
+    records present when the stream first starts; later records are always
+    read. For a file topic, ``latest`` is resolved when this is called; give a
+    ``start_store`` (a folder that belongs to the sink's checkpoint) so that a
+    resumed stream starts from the same offsets. Each backend has its own
+    bound of a batch: files or offsets.
     """
     if isinstance(topic, KafkaTopic):
+        if max_files_per_trigger:
+            raise ValueError("max_files_per_trigger bounds file topics; use max_offsets_per_trigger")
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", topic.bootstrap_servers)
@@ -52,15 +82,16 @@ def stream_topic(
         if max_offsets_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         return reader.options(**topic.options).load()
+    if max_offsets_per_trigger:
+        raise ValueError("max_offsets_per_trigger bounds Kafka topics; use max_files_per_trigger")
+    if fail_on_data_loss:
+        raise ValueError("a stream of a file topic can't check for lost records; use check_no_data_loss")
     reader = spark.readStream.schema(ENVELOPE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.parquet(topic.path).select(ENVELOPE_COLUMNS)
-    if parse_offsets(starting, topic.name, EARLIEST) != EARLIEST:
-        pred = offset_predicate(spark, topic, starting, "latest")
-        if pred is not None:
-            df = df.filter(pred)
-    return df
+    pred = offset_predicate(spark, topic, _fixed_start(spark, topic, starting, start_store), "latest")
+    return df if pred is None else df.filter(pred)
 
 
 def decode_records(
@@ -68,20 +99,34 @@ def decode_records(
     schema: T.StructType | None = None,
     strict: bool = False,
     deserializer: Callable | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """``partition, offset, key, value`` as text plus the decoded record.
 
     The record is ``json`` (a ``VARIANT``, schemaless) by default, a struct
     ``record`` of ``schema`` when one is declared, or ``deserializer(value)``.
-    ``strict`` fails the query on invalid UTF-8 or malformed JSON.
+    ``strict`` fails the query on invalid UTF-8 or malformed JSON;
+    ``corrupt_column`` instead adds a column with the text of records that
+    can't be decoded (null for the others).
     """
+    if strict and corrupt_column:
+        raise ValueError("strict decoding fails on malformed records; it has none to put into a corrupt column")
     out = with_position(df, strict=strict)
-    if deserializer is not None:
-        return out.withColumn("record", deserializer(F.col("value")))
     mode = "strict" if strict else "permissive"
-    if schema is not None:
-        return out.withColumn("record", parse_json_struct("value", schema, mode=mode))
-    return out.withColumn("json", parse_json_any("value", mode))
+    if deserializer is not None:
+        name, value = "record", deserializer(F.col("value"))
+    elif schema is not None:
+        name, value = "record", parse_json_struct("value", schema, corrupt_column=corrupt_column, mode=mode)
+    else:
+        name, value = "json", parse_json_any("value", mode)
+    out = out.withColumn(name, value)
+    if not corrupt_column:
+        return out
+    if schema is not None and deserializer is None:
+        bad = F.col(f"record.`{corrupt_column}`")
+        return out.withColumn(corrupt_column, bad).withColumn("record", F.col("record").dropFields(f"`{corrupt_column}`"))
+    lost = F.col(name).isNull() & F.col("value").isNotNull()
+    return out.withColumn(corrupt_column, F.when(lost, F.col("value")))
 
 
 def emit_records(
@@ -93,33 +138,43 @@ def emit_records(
     processing_time: str | None = None,
     foreach_batch: Callable | None = None,
     query_name: str | None = None,
+    partition_by: str | None = None,
+    console_rows: int = 20,
 ) -> StreamingQuery:
     """Start writing a streaming DataFrame (append mode) and return the query.
 
-    ``sink``: ``parquet`` (needs ``path``), ``console`` (untruncated rows),
-    ``memory`` (needs ``query_name``) or ``foreach_batch``. ``available_now``
-    drains what is there and stops; otherwise ``processing_time`` sets the
-    micro-batch interval.
+    ``parquet`` and ``json`` (lines) need a ``path`` and write every record,
+    on the executors, once. ``console`` is a preview: it prints at most
+    ``console_rows`` rows of each micro-batch, untruncated. ``memory`` (needs
+    ``query_name``) gathers everything on the driver, for tests.
+    ``available_now`` drains what is there and stops; otherwise
+    ``processing_time`` sets the micro-batch interval.
     """
     spark = df.sparkSession
     cp = checkpoint_location or scratch_path(spark, "stream-checkpoint")
     writer = df.writeStream.outputMode("append").option("checkpointLocation", cp)
     if query_name:
         writer = writer.queryName(query_name)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 second")
     if foreach_batch is not None:
         return writer.foreachBatch(foreach_batch).start()
     if sink == "console":
-        return writer.format("console").option("truncate", "false").start()
+        return writer.format("console").option("truncate", "false").option("numRows", console_rows).start()
     if sink == "memory":
         return writer.format("memory").start()
-    if sink == "parquet":
+    if sink in ("parquet", "json"):
         if not path:
-            raise ValueError("a parquet sink needs a path")
-        return writer.format("parquet").start(path)
+            raise ValueError(f"a {sink} sink needs a path")
+        return writer.format(sink).start(path)
     raise ValueError(f"unknown sink {sink!r}")
 
 
+#: Folder column of :func:`run_stream` with a corrupt column: records that could not be decoded.
+QUARANTINED = "quarantined"
+
+
 def run_stream(
     spark: SparkSession,
     topic: Topic,
@@ -130,15 +185,29 @@ def run_stream(
     strict: bool = False,
     available_now: bool = True,
     deserializer: Callable | None = None,
+    corrupt_column: str | None = None,
+    sink: str = "parquet",
+    max_files_per_trigger: int | None = None,
+    max_offsets_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Continuous per-record decode-and-emit from ``starting``: read, decode, parse, write.
 
     With ``available_now`` the call returns once every record present at the
-    start is written; rerunning with the same checkpoint adds none twice.
+    start is written; rerunning with the same checkpoint adds none twice and
+    misses none. With a ``corrupt_column``, records that can't be decoded are
+    routed apart: the sink has a folder ``quarantined=true`` beside
+    ``quarantined=false``. ``max_*_per_trigger`` bound each micro-batch.
     """
-    stream = stream_topic(spark, topic, starting)
-    decoded = decode_records(stream, schema=schema, strict=strict, deserializer=deserializer)
-    q = emit_records(decoded, "parquet", path, checkpoint_location, available_now=available_now)
+    checkpoint = (checkpoint_location or scratch_path(spark, "stream-checkpoint")).rstrip("/")
+    stream = stream_topic(
+        spark, topic, starting, max_files_per_trigger, max_offsets_per_trigger, start_store=f"{checkpoint}-start"
+    )
+    decoded = decode_records(stream, schema, strict, deserializer, corrupt_column)
+    if corrupt_column:
+        decoded = decoded.withColumn(QUARANTINED, F.col(f"`{corrupt_column}`").isNotNull())
+    q = emit_records(
+        decoded, sink, path, checkpoint, available_now=available_now, partition_by=QUARANTINED if corrupt_column else None
+    )
     if available_now:
         q.awaitTermination()
     return q

@@ -16,7 +16,21 @@ def test_upload_show_follow(spark, local_dir, tmp, capsys):
     assert main(["show", "--path", tmp], spark=spark) == 0
     out = capsys.readouterr().out
     assert "parsed schema:" in out and "专利申请总量" in out and "110000" in out
-    assert main(["follow", "--path", tmp, "--available-now"], spark=spark) == 0
+    assert main(["follow", "--path", tmp, "--available-now", "--preview", "3"], spark=spark) == 0
+    assert main(["follow", "--path", tmp, "--available-now", "--out", tmp + "-out"], spark=spark) == 0
+    assert spark.read.json(tmp + "-out").count() == 1
+
+
+def test_every_record_is_emitted_and_previewed(spark, local_dir, tmp, capsys):
+    path = write_bytes(local_dir, "f.csv", "a\n" + "".join(f"first{i}\n" for i in range(50)))
+    assert main(["upload", path, "--path", tmp, "--partitions", "8"], spark=spark) == 0
+    assert capsys.readouterr().out.count("first") == 40  # five of each partition
+    assert main(["follow", "--path", tmp, "--available-now", "--out", tmp + "-out"], spark=spark) == 0
+    assert spark.read.text(tmp + "-out").count() == 50
+    path = write_bytes(local_dir, "g.csv", "a\nnewer\n")
+    assert main(["upload", path, "--path", tmp], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "newer" in out and "first" not in out  # only of the upload just made
 
 
 def test_upload_failure_exit_code(spark, local_dir, tmp):

@@ -43,15 +43,3 @@ def test_schema_profile(spark, tmp):
     env = parse_any(read_topic(spark, _topic(spark, tmp)))
     got = {r.partition: (r.records, r.json_schema) for r in schema_profile(env).collect()}
     assert got == {0: (1250, "OBJECT<id: STRING>"), 1: (1250, "OBJECT<id: STRING>")}
-
-
-def test_many_partitions_fall_back_to_join(spark, tmp, monkeypatch):
-    from spoolwire.operators import report
-
-    env = read_topic(spark, _topic(spark, tmp))
-    want_first = sorted(tuple(r) for r in first_records(env, 2).select("partition", "offset", "record_no").collect())
-    want_prog = sorted(tuple(r) for r in progress(env, every=500).collect())
-    monkeypatch.setattr(report, "PUSHDOWN_MAX_PARTITIONS", 1)
-    got_first = sorted(tuple(r) for r in first_records(env, 2).select("partition", "offset", "record_no").collect())
-    got_prog = sorted(tuple(r) for r in progress(env, every=500).collect())
-    assert got_first == want_first and got_prog == want_prog

@@ -75,7 +75,32 @@ def test_upload_parity_mode_sends_header(spark, local_dir, tmp):
     topic = FileTopic(tmp)
     upload_csv(spark, path, topic, include_header_record=True)
     vals = sorted(bytes(r.value).decode() for r in read_topic(spark, topic).collect())
-    assert vals == ['{"a":"1","b":"2","null":null}', '{"a":"3","b":"4","null":["5"]}', '{"a":"a","b":"b","null":null}']
+    assert vals == ['{"a":"1","b":"2"}', '{"a":"3","b":"4","null":["5"]}', '{"a":"a","b":"b"}']
+
+
+def test_upload_sends_overflow_on_long_rows_only(spark, local_dir, tmp):
+    from conftest import write_bytes
+
+    from spoolwire import read_topic
+
+    path = write_bytes(local_dir, "f.csv", "a,b\n1,2\n3,4,5,6\n,,,\n,\n7\n")
+    topic = FileTopic(tmp)
+    r = upload_csv(spark, path, topic).first()
+    assert (r.rows_in, r.rows_sent, r.rows_skipped, r.rows_long) == (5, 4, 1, 2)
+    vals = sorted(bytes(x.value).decode() for x in read_topic(spark, topic).collect())
+    assert vals == ['{"a":"","b":"","null":["",""]}', '{"a":"1","b":"2"}', '{"a":"3","b":"4","null":["5","6"]}', '{"a":"7","b":null}']
+
+
+def test_any_failure_is_reported(spark, local_dir, tmp):
+    from conftest import write_bytes
+
+    write_bytes(local_dir, "1.csv", "c0,c1\n1,2\n")
+    write_bytes(local_dir, "2.csv", "c1,c0\n1,2\n")
+    r = upload_csv(spark, local_dir, FileTopic(tmp), raise_errors=False).first()
+    assert r.status == "failed" and "header" in r.error.lower()
+    path = write_bytes(local_dir, "3.txt", "a\n1\n")
+    r = upload_csv(spark, path, FileTopic("/proc/none/topic"), raise_errors=False).first()
+    assert r.status == "failed" and r.error
 
 
 def test_upload_reports_failures(spark, local_dir, tmp):
@@ -108,23 +133,3 @@ def test_upload_other_encoding(spark, local_dir, tmp):
     r = upload_csv(spark, path, topic, encoding="latin1").first()
     assert r.status == "ok" and r.rows_sent == 1
     assert bytes(read_topic(spark, topic).first().value).decode("utf-8") == '{"name":"José","city":"Zürich"}'
-
-
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.text(alphabet='ab ,"\n中é', max_size=12), st.text(alphabet='xy,"\n', max_size=12)),
-                min_size=1, max_size=30))
-def test_split_parallel_reader_matches_per_file(spark, rows):
-    # random fields full of commas, quotes and line breaks, cut into 32-byte splits
-    from spoolwire.workspace import scratch_path
-
-    df = spark.createDataFrame(rows, "a string, b string")
-    path = write_csv(df.coalesce(1), scratch_path(spark, "rt-split"))
-    seq = sorted(map(tuple, scan_csv(spark, path, multiline=True, parallel_multiline=False).collect()), key=repr)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "32b")
-    spark.conf.set("spark.sql.files.openCostInBytes", "32b")
-    try:
-        par = sorted(map(tuple, scan_csv(spark, path, multiline=True, parallel_multiline=True).collect()), key=repr)
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert par == seq

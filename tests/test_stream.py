@@ -108,3 +108,57 @@ def test_max_files_per_trigger_bounds_batches(spark, tmp):
     q.awaitTermination()
     prog = stream_progress(spark, q).collect()
     assert sum(r.input_rows for r in prog) == 80 and len([r for r in prog if r.input_rows]) > 1
+
+
+def test_resume_from_latest_keeps_later_records(spark, tmp):
+    t = _topic(spark, tmp, 20)
+    sink, cp = scratch_path(spark, "sink"), scratch_path(spark, "cp")
+    more = lambda lo, hi: publish(spark.range(lo, hi).select(F.col("id").cast("string").alias("id")), t)
+    run_stream(spark, t, sink, cp, starting="latest")
+    more(20, 30)
+    run_stream(spark, t, sink, cp, starting="latest")
+    more(30, 35)
+    run_stream(spark, t, sink, cp, starting="latest")
+    got = sorted(int(r.id) for r in spark.read.parquet(sink).select(F.variant_get("json", "$.id", "string").alias("id")).collect())
+    assert got == list(range(20, 35))
+
+
+def test_resume_with_latest_of_one_partition(spark, tmp):
+    t = _topic(spark, tmp, 20)
+    sink, cp = scratch_path(spark, "sink"), scratch_path(spark, "cp")
+    run_stream(spark, t, sink, cp, starting={"0": -1})
+    publish(spark.range(20, 40).select(F.col("id").cast("string").alias("id")), t)
+    run_stream(spark, t, sink, cp, starting={"0": -1})
+    assert spark.read.parquet(sink).count() == 30
+
+
+def test_quarantine_routes_malformed_records(spark, tmp):
+    from spoolwire import string_schema
+
+    t = FileTopic(tmp)
+    rows = spark.createDataFrame([('{"a":"1"}',), ("{bad",), (None,), ("{}",)], "value string")
+    publish(rows.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value")), t, wire=True)
+    for schema in (None, string_schema(["a"])):
+        sink = scratch_path(spark, "sink")
+        run_stream(spark, t, sink, corrupt_column="_corrupt_record", schema=schema, max_files_per_trigger=1)
+        bad = spark.read.parquet(f"{sink}/quarantined=true").collect()
+        good = spark.read.parquet(f"{sink}/quarantined=false")
+        assert [r["_corrupt_record"] for r in bad] == ["{bad"] and good.count() == 3
+        if schema is not None:
+            assert good.select("record.*").columns == ["a"]
+
+
+def test_options_of_the_other_backend_are_refused(spark, tmp):
+    import pytest
+
+    from spoolwire import KafkaTopic
+
+    t = _topic(spark, tmp, 4)
+    with pytest.raises(ValueError):
+        stream_topic(spark, t, max_offsets_per_trigger=5)
+    with pytest.raises(ValueError):
+        stream_topic(spark, t, fail_on_data_loss=True)
+    with pytest.raises(ValueError):
+        stream_topic(spark, KafkaTopic("data", "b:1"), max_files_per_trigger=5)
+    with pytest.raises(ValueError):
+        publish(spark.range(1).selectExpr("string(id) id"), KafkaTopic("data", "b:1"), partitions=3)

@@ -27,10 +27,63 @@ def records(spark, n, parts=4):
 
 def test_keyless_spreads_and_is_dense(spark, tmp):
     t = FileTopic(tmp)
-    r = publish(records(spark, 5000, parts=1), t, partitions=3, batch_records=100)
+    r = publish(records(spark, 5000, parts=1), t, partitions=3)
     assert r.rows_sent == 5000
     ok, counts = dense(read_topic(spark, t))
     assert ok and len(counts) == 3 and sum(counts.values()) == 5000
+    assert max(counts.values()) - min(counts.values()) <= 1
+
+
+def test_small_publishes_and_null_keys_spread(spark, tmp):
+    t = FileTopic(tmp)
+    for i in range(4):
+        publish(records(spark, 10, parts=1), t, partitions=4 if not i else None)
+    ok, counts = dense(read_topic(spark, t))
+    assert ok and sum(counts.values()) == 40 and len(counts) == 4 and max(counts.values()) <= 13
+    t = FileTopic(tmp + "-null")
+    publish(records(spark, 100).withColumn("k", F.lit(None).cast("string")), t, key_column="k", partitions=4)
+    ok, counts = dense(read_topic(spark, t))
+    assert ok and len(counts) == 4 and max(counts.values()) < 50
+
+
+def test_stage_is_gone_and_broken_publish_reuses_no_offset(spark, tmp, monkeypatch):
+    import glob
+
+    from spoolwire.sinks import topic as sink
+    from spoolwire.workspace import shared_root
+
+    t = FileTopic(tmp)
+    publish(records(spark, 100), t, partitions=2, key_column="grp")
+    assert not glob.glob(f"{shared_root(spark).removeprefix('file:')}/spoolwire/stage-*/*")
+    with monkeypatch.context() as m:
+        m.setattr(sink, "record_end_offsets", lambda *a: (_ for _ in ()).throw(RuntimeError("lost driver")))
+        with pytest.raises(RuntimeError):
+            publish(records(spark, 30), t)
+    assert publish(records(spark, 20), t).rows_sent == 20
+    ok, counts = dense(read_topic(spark, t))
+    assert ok and sum(counts.values()) == 150
+
+
+def test_missing_ranges_against_recorded_ends(spark, tmp):
+    from spoolwire.sources.topic import missing_ranges, record_end_offsets
+
+    t = FileTopic(tmp)
+    publish(records(spark, 200), t, partitions=4, partition_by=F.pmod(F.col("id").cast("long"), F.lit(4)), order_by=[F.col("id").cast("long")])
+    lossy = FileTopic(tmp + "-lossy")
+    p, o = F.col("partition"), F.col("offset")
+    read_topic(spark, t).filter(((p == 0) & (o < 40)) | ((p == 1) & (o >= 7) & ~o.between(20, 21)) | (p == 2)).write.partitionBy("partition").parquet(lossy.path)
+    record_end_offsets(spark, lossy, {i: 50 for i in range(4)})
+    want = [(0, 40, 50, 10), (1, 0, 7, 7), (1, 20, 22, 2), (3, 0, 50, 50)]
+    assert sorted(map(tuple, missing_ranges(spark, lossy).collect())) == want
+    for spec in ({"0": 45, "1": 7, "3": -1}, {"0": -1, "1": 30}, {"0": -1, "1": 3, "3": -1}):
+        with pytest.raises(DataLossError):
+            read_topic(spark, lossy, starting=spec, fail_on_data_loss=True)
+    read_topic(spark, lossy, starting={"0": -1, "1": 22, "3": -1}, fail_on_data_loss=True)
+    read_topic(spark, lossy, starting={"1": 22, "3": -1}, ending={"0": 40}, fail_on_data_loss=True)
+    assert missing_ranges(spark, t).count() == 0
+    gone = FileTopic(tmp + "-gone")
+    record_end_offsets(spark, gone, {0: 5})
+    assert [tuple(r) for r in missing_ranges(spark, gone).collect()] == [(0, 0, 5, 5)]
 
 
 def test_ordered_publish_offsets_follow_order(spark, tmp):
@@ -171,20 +224,6 @@ def test_kafka_backend_builds_source_and_sink(spark):
         publish(records(spark, 3), t)
 
 
-@pytest.mark.parametrize("cap", [0, 100_000])
-def test_offset_table_driver_and_distributed_paths(spark, tmp, monkeypatch, cap):
-    from spoolwire.sinks import topic as sink
-
-    monkeypatch.setattr(sink, "DRIVER_STATS_MAX_ROWS", cap)
-    t = FileTopic(tmp)
-    publish(records(spark, 900, parts=5), t, partitions=3, key_column="grp")
-    publish(records(spark, 300, parts=2), t, batch_records=50)
-    ok, counts = dense(read_topic(spark, t))
-    assert ok and sum(counts.values()) == 1200
-    with pytest.raises(ValueError):
-        publish(records(spark, 10), FileTopic(tmp + "-bad"), partitions=2, partition_by=F.lit(7))
-
-
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
@@ -195,16 +234,15 @@ from hypothesis import strategies as st  # noqa: E402
     spark_parts=st.integers(1, 6),
     topic_parts=st.integers(1, 5),
     mode=st.sampled_from(["keyless", "keyed", "partition_by"]),
-    batch=st.integers(1, 60),
 )
-def test_publish_dense_and_complete(spark, n, spark_parts, topic_parts, mode, batch):
+def test_publish_dense_and_complete(spark, n, spark_parts, topic_parts, mode):
     from spoolwire.workspace import scratch_path
 
     t = FileTopic(scratch_path(spark, "prop-topic"))
     df = spark.range(n, numPartitions=spark_parts).select(
         F.col("id").cast("string").alias("id"), (F.col("id") % 5).cast("string").alias("k")
     )
-    kw = {"keyless": {"batch_records": batch}, "keyed": {"key_column": "k"},
+    kw = {"keyless": {}, "keyed": {"key_column": "k"},
           "partition_by": {"partition_by": F.pmod(F.col("id").cast("long") * 7, F.lit(topic_parts)),
                            "order_by": [F.col("id").cast("long")]}}[mode]
     r = publish(df, t, partitions=topic_parts, **kw)
