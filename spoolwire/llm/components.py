@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from ..workspace import delete_path, scratch_path
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -28,16 +28,25 @@ def _small(e: DataFrame) -> DataFrame:
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``(node, component)`` of every node of ``edges(u, v)``; component is its smallest reachable node.
 
-    Self loops and null ends are ignored; repeated and mirrored edges are fine.
+    Self loops and null ends are ignored; repeated and mirrored edges are
+    fine. Each step's table replaces the one before it.
     """
+    spark = edges.sparkSession
+
+    def written(df: DataFrame) -> tuple[DataFrame, str]:
+        path = scratch_path(spark, label)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = materialize(e, label)
+    e, at = written(e)
     digest = None
     while True:
-        nxt = materialize(_small(_large(e).distinct()).distinct(), label)
-        row = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(row) == digest:
+        nxt, path = written(_small(_large(e).distinct()).distinct())
+        row = tuple(nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        delete_path(spark, at)
+        if row == digest:
             break
-        digest, e = tuple(row), nxt
+        digest, e, at = row, nxt, path
     done = nxt.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return done.unionByName(nxt.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
