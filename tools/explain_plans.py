@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan of every registered query (formatted, trimmed).
+"""Write PLANS.md: the final physical plan (after AQE) of every registered query of the base library (formatted, trimmed).
 
 Usage: python tools/explain_plans.py [sf_dir]
 """
@@ -14,6 +14,21 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 KEEP = ("Output", "PushedFilters", "PartitionFilters", "ReadSchema", "Arguments", "Condition", "Keys", "Functions")
 
 
+def final_only(text: str) -> str:
+    """Drop the initial plans that AQE prints below the final ones."""
+    kept, skip = [], False
+    for line in text.splitlines():
+        if "== Initial Plan ==" in line:
+            skip = True
+            depth = len(line) - len(line.lstrip(" :+-"))
+            continue
+        if skip and line.strip() and len(line) - len(line.lstrip(" :+-")) < depth:
+            skip = False
+        if not skip:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def condensed(text: str) -> str:
     """The operator tree plus the lines that show pruning, pushdown and exchanges."""
     out = []
@@ -30,7 +45,7 @@ def condensed(text: str) -> str:
 def main(argv):
     from pyspark.sql import SparkSession
 
-    import __spark_entry__ as E
+    from spoolwire.plans.catalog import QUERIES
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     spark = (
@@ -45,16 +60,17 @@ def main(argv):
     parts = [
         "# Physical plans of the registered queries",
         "",
-        f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local mode, AQE on: exchanges may be "
-        "coalesced or converted at run time). Inputs the queries derive (CSV files, topics) are written "
-        "first; the plan shown is the query over them.",
+        f"Generated by `tools/explain_plans.py` on `{sf_dir}` (local mode, AQE on): the final plan of "
+        "each query after it ran. Inputs the queries derive (CSV files, topics) are written first; the "
+        "plan shown is the query over them.",
         "",
     ]
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf_dir)
+        df.collect()  # so that the plan is the one AQE ended with
         text = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         text = re.sub(r"#\d+L?", "", text).replace("\x00", "\\x00")
-        parts += [f"## {name}", "", "```", condensed(text), "```", ""]
+        parts += [f"## {name}", "", "```", condensed(final_only(text)), "```", ""]
     with open("PLANS.md", "w") as f:
         f.write("\n".join(parts))
 
