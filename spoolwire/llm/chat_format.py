@@ -83,6 +83,16 @@ def format_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     )
 
 
+def examples(turns: DataFrame) -> DataFrame:
+    """``(conv_id, example, context_chars, loss_begin, loss_end, end)``, one row per assistant turn.
+
+    The example is the conversation's formatted text up to ``end``: all turns
+    before (``context_chars``), then the turn itself, trained on its loss range.
+    """
+    rows = turns.where("loss_begin is not null")
+    return rows.select("conv_id", F.col("place").alias("example"), F.col("begin").alias("context_chars"), "loss_begin", "loss_end", "end")
+
+
 def expand(turns: DataFrame) -> DataFrame:
     """``(conv_id, example, text, loss_begin, loss_end)``: every example in full, from the output of ``format_turns``.
 

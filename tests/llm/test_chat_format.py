@@ -24,6 +24,7 @@ def brute():
 def test_examples_and_round_trip(spark):
     turns = C.format_turns(spark.createDataFrame(rows(), SCHEMA))
     want = brute()
+    places = {(r["conv_id"], r["example"]): r for r in C.examples(turns).collect()}
     full = {}
     for r in C.expand(turns).collect():
         full.setdefault(r["conv_id"], []).append(r)
@@ -36,6 +37,9 @@ def test_examples_and_round_trip(spark):
             assert [C.parse_turn(C.TURN + p) for p in parts] == convo[: i + 1]  # all turns before, and this one
             assert C.unescape(r["text"][r["loss_begin"] : r["loss_end"]]) == convo[i][1]
             assert r["text"][r["loss_end"] :] == C.END
+            place = places[c, r["example"]]
+            assert (place["end"], place["loss_begin"]) == (len(r["text"]), r["loss_begin"])
+            assert r["text"][: place["context_chars"]].count(C.TURN) == i
 
 
 def test_digests(spark):
