@@ -53,6 +53,13 @@ def _memo(spark: SparkSession, key: tuple, build: Callable[[], str]) -> str:
         return _cache[k]
 
 
+def forget(*labels: str) -> None:
+    """Build the inputs of these labels again on their next use."""
+    with _lock:
+        for k in [k for k in _cache if k[2] in labels]:
+            del _cache[k]
+
+
 # ---------------------------------------------------------------- fixtures
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import CREATE_TIME, ENVELOPE, Serializer, wire_value
-from spoolwire.sources.topic import KafkaTopic, Topic, current_end_offsets, ends_in_data, record_end_offsets
+from spoolwire.sources.topic import KafkaTopic, Topic, by_partition, current_end_offsets, ends_in_data, record_end_offsets
 from spoolwire.workspace import delete_path, scratch_path
 
 # The producer settings of the source application
@@ -146,18 +146,17 @@ def publish(
     if part_expr is not None:
         sel.append(part_expr.cast("int").alias("partition"))
     prepared = df.select(*sel, *extra, *flags)
-    # one row per topic partition
-    ends = spark.createDataFrame(sorted(current.items()), "partition int, _end long")
+    end = by_partition(current)
     if part_expr is None:
         place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
         dealt = _counted(prepared, observation, F.col("_long")).filter(F.col("_keep")).repartition(n_parts)
         placed = dealt.select("key", "value", "timestamp", F.spark_partition_id().alias("partition"), place.alias("_place"))
-        out = placed.join(ends, "partition").withColumn("offset", F.col("_end") + F.col("_place"))
+        out = placed.withColumn("offset", end + F.col("_place"))
         _append(out, topic, max_records_per_file)
     else:
         stage_path = scratch_path(spark, f"stage-{topic.name}")
         try:
-            _publish_placed(prepared, observation, ends, len(extra), n_parts, topic, stage_path, max_records_per_file)
+            _publish_placed(prepared, observation, end, len(extra), n_parts, topic, stage_path, max_records_per_file)
         finally:
             delete_path(spark, stage_path)
     new_ends = {**current, **ends_in_data(spark, topic, current)}
@@ -165,7 +164,7 @@ def publish(
     return PublishResult(topic.name, sum(new_ends.values()) - sum(current.values()), n_parts, current)
 
 
-def _publish_placed(prepared, observation, ends, n_order, n_parts, topic, stage_path, max_records_per_file) -> None:
+def _publish_placed(prepared, observation, end, n_order, n_parts, topic, stage_path, max_records_per_file) -> None:
     """Records with a ``partition``: range shuffle, stage, number, write."""
     spark = prepared.sparkSession
     keys = ["partition", *[f"_o{i}" for i in range(n_order)], "_tie"]
@@ -183,7 +182,7 @@ def _publish_placed(prepared, observation, ends, n_order, n_parts, topic, stage_
     # one row per (partition, task): a running sum over the tasks of a partition
     w = Window.partitionBy("partition").orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     runs = staged.groupBy("partition", "_seg").agg(F.min("_row").alias("_row0"), F.count(F.lit(1)).alias("_n"))
-    runs = runs.join(ends, "partition").withColumn("_base", F.col("_end") + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    runs = runs.withColumn("_base", end + F.coalesce(F.sum("_n").over(w), F.lit(0)))
     out = staged.join(runs.select("partition", "_seg", "_row0", "_base"), ["partition", "_seg"])
     out = out.withColumn("offset", F.col("_base") + F.col("_row") - F.col("_row0"))
     _append(out.sortWithinPartitions("partition", "offset"), topic, max_records_per_file)

@@ -193,6 +193,12 @@ def offset_predicate(spark: SparkSession, topic: FileTopic, starting, ending) ->
     return out
 
 
+def by_partition(values: dict[int, int]) -> Column:
+    """The value of a row's ``partition`` (null for one without), looked up in a literal array: no join, no shuffle."""
+    slots = [F.lit(values.get(p)).cast("long") for p in range(max(values, default=-1) + 1)]
+    return F.get(F.array(*slots), F.col("partition")) if slots else F.lit(None).cast("long")
+
+
 def _per_partition(bounds: dict[int, int], make, default: Column) -> Column:
     """``(partition = p AND bound_p) OR ... OR partition NOT IN (...)`` (prunable form)."""
     parts = sorted(bounds)
@@ -245,10 +251,10 @@ def read_topic(
     return df
 
 
-def expected_ranges(spark: SparkSession, topic: FileTopic, starting="earliest", ending="latest") -> DataFrame:
-    """``partition, lo, hi``: the offsets a range should hold, by the recorded ends (``hi`` exclusive).
+def expected_ranges(spark: SparkSession, topic: FileTopic, starting="earliest", ending="latest") -> dict[int, tuple[int, int]]:
+    """``{partition: (lo, hi)}``: the offsets a range should hold, by the recorded ends (``hi`` exclusive).
 
-    One row per topic partition. ``earliest`` is offset 0, as file topics drop nothing.
+    ``earliest`` is offset 0, as file topics drop nothing.
     """
     latest, first = _latest_map(spark, topic), {}
     if not latest and path_exists(spark, topic.path):  # records without a log: their own ends are all there is
@@ -261,8 +267,8 @@ def expected_ranges(spark: SparkSession, topic: FileTopic, starting="earliest",
         o = spec.get(p, default) if isinstance(spec, dict) else spec
         return first.get(p, 0) if o == EARLIEST else latest[p] if o == LATEST else min(o, latest[p])
 
-    rows = [(p, bound(start, p, EARLIEST), bound(end, p, LATEST)) for p in sorted(latest)]
-    return spark.createDataFrame(rows, "partition int, lo long, hi long").where("lo < hi")
+    ranges = {p: (bound(start, p, EARLIEST), bound(end, p, LATEST)) for p in sorted(latest)}
+    return {p: (lo, hi) for p, (lo, hi) in ranges.items() if lo < hi}
 
 
 def missing_ranges(spark: SparkSession, topic: FileTopic, starting="earliest", ending="latest") -> DataFrame:
@@ -277,10 +283,11 @@ def missing_ranges(spark: SparkSession, topic: FileTopic, starting="earliest", e
         rows = spark.read.schema(ENVELOPE).parquet(topic.path).select("partition", "offset")
     else:
         rows = spark.createDataFrame([], "partition int, offset long")
-    present = rows.join(expected, "partition").where("offset >= lo and offset < hi").select("partition", "offset")
+    lo, hi = (by_partition({p: r[i] for p, r in expected.items()}) for i in (0, 1))
+    present = rows.where((F.col("offset") >= lo) & (F.col("offset") < hi))
     # the offsets just outside of each range hold its ends
-    edges = expected.select("partition", F.explode(F.array(F.col("lo") - 1, F.col("hi"))).alias("offset"))
-    gaps = offset_gaps(present.unionByName(edges))
+    edges = [(p, o) for p, (a, b) in expected.items() for o in (a - 1, b)]
+    gaps = offset_gaps(present.unionByName(spark.createDataFrame(edges, "partition int, offset long")))
     return gaps.select("partition", (F.col("offset") + 1).alias("first_missing"), F.col("next_offset").alias("end_missing"), "missing")
 
 
