@@ -186,42 +186,48 @@ def _with_partner(percent: int):
 
 
 def _cross_pairs(percent: int):
-    """Of rows sorted by list (token and pair of blocks): pairs of members of different components that may be linked."""
-
-    def pairs(rows: list[np.ndarray]) -> pa.RecordBatch | None:
-        left, right, node, n, pos, comp, block = rows
-        order = np.argsort(n, kind="stable")
-        node, n, pos, comp, block = (x[order] for x in (node, n, pos, comp, block))
-        across = left[0] != right[0]
-        a, b = [], []
-        for i in range(len(n)):  # partners that are no smaller, from i + 1 on, up to the largest size
-            j = np.arange(i + 1, np.searchsorted(n, 100 * n[i] // percent, side="right"))
-            need = -(-percent * (n[i] + n[j]) // (100 + percent))
-            ok = (comp[j] != comp[i]) & (1 + np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
-            if across:
-                ok &= block[j] != block[i]
-            j = j[ok]
-            a.append(np.minimum(node[i], node[j]))
-            b.append(np.maximum(node[i], node[j]))
-        a, b = np.concatenate(a), np.concatenate(b)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"]) if len(a) else None
+    """Of rows sorted by list (token and pair of blocks) and size: pairs of members of different components that may be linked."""
+
+    def pairs(rows: list[np.ndarray], ends: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All lists of ``rows`` at once: every row against the one ``d`` places on, while that is in its list and not too large."""
+        _, i, j, node, n, pos, comp, block = rows
+        live, d, a, b, held = np.arange(len(node)), 0, [], [], 0
+        while True:
+            d += 1
+            live = live[live + d < ends[live]]
+            live = live[100 * n[live] >= percent * n[live + d]]
+            if not len(live):
+                break
+            other = live + d
+            need = -(-percent * (n[live] + n[other]) // (100 + percent))
+            ok = (comp[live] != comp[other]) & (1 + np.minimum(n[live] - pos[live], n[other] - pos[other]) >= need)
+            ok &= (i[live] == j[live]) | (block[live] != block[other])
+            p, q = node[live[ok]], node[other[ok]]
+            a.append(np.minimum(p, q)), b.append(np.maximum(p, q))
+            held += len(p)
+            if held >= 1 << 18:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                a, b, held = [], [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = None  # the rows of a list that may go on
         for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(8)]
+            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(8)]
             if not len(cols[0]):
                 continue
             if held is not None:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols, strict=True)]
-            change = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])) + 1
-            cuts = [0, *change.tolist()]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if (out := pairs([c[lo:hi] for c in cols[1:]])) is not None:
-                    yield out
-            held = [c[cuts[-1] :] for c in cols]
-        if held is not None and (out := pairs([c for c in held[1:]])) is not None:
-            yield out
+            change = (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1])
+            cuts = np.flatnonzero(change) + 1
+            last = int(cuts[-1]) if len(cuts) else 0
+            if last:
+                bounds = np.concatenate([[0], cuts])
+                yield from pairs([c[:last] for c in cols], np.repeat(cuts, np.diff(bounds)))
+            held = [c[last:] for c in cols]
+        if held is not None:
+            yield from pairs(held, np.full(len(held[0]), len(held[0])))
 
     return run
 
@@ -310,7 +316,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rest = rest.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "pos", "comp", "block")
-    rest = rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    rest = rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n")
     cross = rest.mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
     links = links.unionByName(verified(cross, "cross"))
     comps = components(links)
