@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, table, utf8
+from .common import bounded_batches, in_share, table, utf8
 from .recurrent import F4, GRU, Adam, init
 
 WINDOW = 64
@@ -127,12 +127,17 @@ def train(windows: list[bytes], labels: list[str], seed: int = SEED, epochs: int
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> LanguageModel:
     """Train on a hash sample of the labelled ``rows``, bounded per language."""
-    rows = rows.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h"))
-    common = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAIN_LANGS).collect()]
-    first = W.partitionBy("lang").orderBy("h", F.xxhash64("text"))
-    picked = rows.where(F.col("lang").isin(common)).withColumn("i", F.row_number().over(first)).where(F.col("i") <= TRAIN_ROWS)
-    place = f"cast(pmod(xxhash64(h, 1), greatest(length(text) - {WINDOW} + 1, 1)) as int) + 1"  # a hash-random window
-    picked = picked.select("lang", "i", F.expr(f"substring(text, {place}, {WINDOW})").alias("w"))
+    place = f"cast(pmod(h, greatest(length(`{text}`) - {WINDOW} + 1, 1)) as int) + 1"  # a hash-random window
+    labelled = rows.where(F.col(lang).isNotNull() & (F.length(text) > 0)).withColumn("h", F.xxhash64(F.col(id_col), F.col(text)))
+    rows = labelled.select(F.col(lang).alias("lang"), "h", F.expr(f"substring(`{text}`, {place}, {WINDOW})").alias("w"))
+    common = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAIN_LANGS).collect()}
+    if not common:
+        return train([], [])
+    # a share that leaves a few times TRAIN_ROWS of each language, of which the first by hash are taken
+    shares = F.create_map(*[F.lit(x) for v, n in common.items() for x in (v, min(1.0, 4.0 * TRAIN_ROWS / n))])
+    few = rows.where(F.col("lang").isin(list(common)) & in_share(F.xxhash64("h"), shares[F.col("lang")]))
+    first = W.partitionBy("lang").orderBy("h", "w")
+    picked = few.withColumn("i", F.row_number().over(first)).where(F.col("i") <= TRAIN_ROWS)
     sample = picked.orderBy("lang", "i").collect()  # at most TRAIN_ROWS * TRAIN_LANGS windows
     windows = [(r["w"], r["lang"]) for r in sample]
     windows += [(w.upper(), v) for w, v in windows[::8]]  # capitals are rare in running text
