@@ -9,14 +9,15 @@ by 64-bit hashes; those not seen lately go to the library.
 
 from __future__ import annotations
 
+import itertools
 import os
 
 import numpy as np
 
 from . import words
 
-#: Units that a worker remembers.
-CACHE_UNITS = 1_000_000
+#: Units that a worker remembers; when there are more, those met most often since the last time stay.
+CACHE_UNITS = 1_500_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -63,22 +64,40 @@ class UnitEncoder:
 
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
-        self.at, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.used = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
 
+    def _shrink(self, room: int) -> None:
+        """Forget the units least used, so that at most half of the cache, and ``room`` below its size, stay."""
+        stay = max(0, min(CACHE_UNITS // 2, CACHE_UNITS - room))
+        if stay < len(self.keys):
+            keep = np.sort(np.argpartition(-self.used, stay)[:stay])
+            count = self.count[keep]
+            total = np.cumsum(count, dtype=np.int64)
+            place = np.repeat(self.at[keep] - (total - count), count) + np.arange(int(total[-1]) if stay else 0)
+            self.pool, self.keys, self.count = self.pool[place], self.keys[keep], count
+            self.at = (total - count).astype(np.int32)
+        self.used = np.zeros(len(self.keys), np.int32)
+
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        if len(self.keys) + len(keys) > CACHE_UNITS and len(self.keys):
-            self._clear()
         ids = self._ids(texts)
-        count = np.array([len(x) for x in ids], np.int64)
-        at = len(self.pool) + np.cumsum(count) - count
-        self.pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))])
+        count = np.array([len(x) for x in ids], np.int32)
+        at = (len(self.pool) + np.cumsum(count, dtype=np.int64) - count).astype(np.int32)
+        flat = np.array(list(itertools.chain.from_iterable(ids)), np.uint32)
+        self.pool = np.concatenate([self.pool, flat])
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at, self.count = np.insert(self.at, where, at), np.insert(self.count, where, count)
+        self.used = np.insert(self.used, where, 0)
+
+    def _unknown(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.ones(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] != keys
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, bounds)``: text i has ``ids[bounds[i]:bounds[i + 1]]``."""
@@ -86,20 +105,17 @@ class UnitEncoder:
         ends = np.append(starts[1:], len(raw))
         h = words.hashes(raw, starts, ends)
         distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.keys):
-            k = np.minimum(np.searchsorted(self.keys, distinct), len(self.keys) - 1)
-            new = self.keys[k] != distinct
-        else:
-            new = np.ones(len(distinct), bool)
+        new = self._unknown(distinct)
+        if len(self.keys) + int(new.sum()) > CACHE_UNITS:
+            self._shrink(len(distinct))
+            new = self._unknown(distinct)
         data = raw.tobytes()
-        if len(self.keys) + int(new.sum()) > CACHE_UNITS:  # start over with this batch's units
-            self._clear()
-            new = np.ones(len(distinct), bool)
         if new.any():
             self._learn(distinct[new], [data[starts[i] : ends[i]].decode() for i in first[new]])
         k = np.searchsorted(self.keys, distinct)
+        self.used[k] += 1
         count, at = self.count[k][back], self.at[k][back]
-        total = np.cumsum(count)
+        total = np.cumsum(count, dtype=np.int64)
         ids = self.pool[np.repeat(at - (total - count), count) + np.arange(int(total[-1]) if len(total) else 0)]
         unit_bounds = np.searchsorted(starts, off)
         bounds = np.concatenate([[0], total])[unit_bounds]
