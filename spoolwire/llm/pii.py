@@ -304,5 +304,6 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_pii(docs, fit(docs))
     base = F.filter("spans", lambda s: s["base"])
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    of = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     return out.select("row.doc_id", *counts, F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))

@@ -1,6 +1,6 @@
 """Registered SQL against the queries, and the pipeline against its brute-force stages."""
 
-import json
+import hashlib
 import os
 import sys
 import zlib
@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 import corpus_pipeline  # noqa: E402
 from tools.oracle_check import TABLES, canon  # noqa: E402
 
-from spoolwire.llm import mixing, token_output  # noqa: E402
+from spoolwire.llm import mixing, pii, token_output  # noqa: E402
 from spoolwire.llm.catalog import ORACLE, QUERIES  # noqa: E402
 from spoolwire.llm.common import materialize  # noqa: E402
 from spoolwire.llm.token_units import load  # noqa: E402
@@ -48,10 +48,22 @@ def test_every_operator_is_registered():
 
 @pytest.mark.parametrize("name", ["op1_license_scan", "op4_language_id", "op5_pii", "op7_token_output"])
 def test_whole_table(spark, name):
-    n = spark.read.parquet(f"{SF}/documents.parquet").count()
-    out = QUERIES[name](spark, SF)
-    assert out.count() == n and out.select("doc_id").distinct().count() == n
-    json.loads(out.schema.json())
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    out = QUERIES[name](spark, SF).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(texts)
+    if name == "op5_pii":
+        for r in out:
+            base = pii.base_spans(texts[r["doc_id"]])
+            assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(s[0] == i for s in base) for i in range(len(pii.KINDS))]
+            said = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in base)
+            assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+            assert set(filter(None, said.split(","))) <= set(r["spans"].split(","))
+    if name == "op7_token_output":
+        tok, start = load(token_output.default_tokenizer()), 0
+        for r in sorted(out):
+            ids = np.array([*tok.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 0], "<u4")
+            assert tuple(r) == (r["doc_id"], start, len(ids), zlib.crc32(ids.tobytes()))
+            start += len(ids)
 
 
 def test_pipeline_stages(spark):
