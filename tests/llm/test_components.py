@@ -1,6 +1,6 @@
 import random
 
-from helpers import components as brute
+from llm_helpers import components as brute
 
 from spoolwire.llm.components import components
 

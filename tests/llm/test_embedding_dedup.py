@@ -2,7 +2,7 @@ import math
 
 import numpy as np
 import pytest
-from helpers import components
+from llm_helpers import components
 
 from spoolwire.llm import embedding_dedup as E
 

@@ -1,6 +1,6 @@
 import random
 
-from helpers import components, docs_table, shingle_set, spaced_words
+from llm_helpers import components, docs_table, shingle_set, spaced_words
 
 from spoolwire.llm import jaccard_join
 from spoolwire.llm.jaccard_join import jaccard_components, one_per_component

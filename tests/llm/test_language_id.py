@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import docs_table
+from llm_helpers import docs_table
 
 from spoolwire.llm import language_id as L
 from spoolwire.llm.common import utf8

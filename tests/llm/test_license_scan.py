@@ -1,6 +1,6 @@
 import random
 
-from helpers import alnum_words, docs_table
+from llm_helpers import alnum_words, docs_table
 
 from spoolwire.llm import license_scan as L
 from spoolwire.llm.licenses import TEMPLATES

@@ -1,6 +1,6 @@
 import math
 
-from helpers import docs_table, spaced_words
+from llm_helpers import docs_table, spaced_words
 from pyspark.sql import functions as F
 
 from spoolwire.llm import mixing

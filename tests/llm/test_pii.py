@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import docs_table
+from llm_helpers import docs_table
 
 from spoolwire.llm import pii
 from spoolwire.llm.common import utf8

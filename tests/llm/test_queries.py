@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
-from helpers import alnum_words, components, shingle_set, spaced_words
+from llm_helpers import alnum_words, components, shingle_set, spaced_words
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
