@@ -1,11 +1,16 @@
 """Chat formatting by prefix-target expansion.
 
-Every assistant turn is an example: all turns before it are its context, and
-only its own text is trained on. A conversation's turns are written once, in
-order, with their places in the conversation's formatted text; the example of
-an assistant turn is that text from 0 to the turn's end, and its loss mask the
-range of the turn's text. So the output stays linear in the input, whatever
-the length of a conversation. ``expand`` writes examples out in full.
+Every assistant turn is an example row of its own: the formatted text of all
+turns before it, which is its context, and its own turn, whose text alone is
+trained on (the loss range). So the output grows with the square of a
+conversation's length, as the method asks; it is written with zstd over pages
+that hold many examples, so that shared contexts take little disk.
+
+A conversation's turns are cut into parts of about ``PART_CHARS`` characters.
+A part's turns are one row; the text of all parts before is joined to it by
+part numbers, and examples are exploded from it last, so what is shuffled has
+one context per part, and no task needs a whole conversation's examples. An
+example is one string, so a conversation is bounded by 2 GB.
 
 Template: ``<|turn|>role<|text|>text<|end|>`` and a newline. In roles and
 texts, a backslash is doubled and a control string gets a backslash behind its
@@ -25,13 +30,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..workspace import scratch_path
-from .common import bounded_batches, table
+from .common import bounded_batches, materialize, table
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>\n"
 #: Strings that never appear unescaped inside a role or text: the template's and those of common chat templates.
 CONTROL = ("<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 #: Turn numbers that share a partial sum of lengths.
 TURN_RANGE = 1024
+#: Characters of a conversation whose turns (by where they begin) are expanded together.
+PART_CHARS = 1 << 16
+#: Bytes of a page of the examples' file: examples of a page are compressed together.
+PAGE_BYTES = 8 << 20
 TRAINED_ROLE = "assistant"
 
 
@@ -48,38 +57,43 @@ def unescape(value: str) -> str:
 
 
 def format_turns(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """``(conv_id, turn, place, formatted, begin, end, loss_begin, loss_end)``, one row per turn.
+    """``(conv_id, turn, place, formatted, begin, end, loss_begin, loss_end, replies_after)``, one row per turn.
 
     ``begin`` and ``end`` are code points of the conversation's formatted
-    text; the loss range is null but for assistant turns. Turns are ordered by
-    number (null first), then role and text, so ties have one order and
-    repeated rows follow each other. Null roles and texts are empty; rows
-    without a conversation id form one conversation of that id.
+    text; the loss range is null but for assistant turns; ``replies_after``
+    counts the assistant turns behind. Turns are ordered by number (null
+    first), then role and text, so ties have one order and repeated rows
+    follow each other. Null roles and texts are empty; rows without a
+    conversation id form one conversation of that id.
     """
     t = rows.select(
         F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"),
         F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
-    t = t.withColumn("head", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))).withColumn("body", escape(F.col("text")))
-    t = t.withColumn("formatted", F.concat("head", "body", F.lit(END))).withColumn("n", F.length("formatted").cast("long"))
+    head, body = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT)), escape(F.col("text"))
+    t = t.withColumn("head_n", F.length(head).cast("long")).withColumn("body_n", F.length(body).cast("long"))
+    t = t.withColumn("n", F.col("head_n") + F.col("body_n") + len(END)).withColumn("reply", (F.col("role") == TRAINED_ROLE).cast("long"))
     t = t.withColumn("range", F.floor(F.col("turn") / TURN_RANGE))
     # two-level prefix sums, so that a long conversation isn't one group
-    sums = t.groupBy("conv_id", "range").agg(F.sum("n").alias("sum"), F.count("*").alias("m"))
+    sums = t.groupBy("conv_id", "range").agg(F.sum("n").alias("sum"), F.count("*").alias("m"), F.sum("reply").alias("replies"))
     ahead = W.partitionBy("conv_id").orderBy(F.asc_nulls_first("range")).rowsBetween(W.unboundedPreceding, -1)
+    onward = W.partitionBy("conv_id").orderBy(F.asc_nulls_first("range")).rowsBetween(W.currentRow, W.unboundedFollowing)
     sums = sums.select(
-        F.col("conv_id").alias("c"), F.col("range").alias("r"),
+        F.col("conv_id").alias("c"), F.col("range").alias("r"), F.sum("replies").over(onward).alias("onward"),
         F.coalesce(F.sum("sum").over(ahead), F.lit(0)).alias("offset"), F.coalesce(F.sum("m").over(ahead), F.lit(0)).alias("places"),
     )
     order = W.partitionBy("conv_id", "range").orderBy(F.asc_nulls_first("turn"), "role", "text")
     inside = order.rowsBetween(W.unboundedPreceding, W.currentRow)
-    t = t.withColumn("upto", F.sum("n").over(inside)).withColumn("nth", F.row_number().over(order))
+    t = t.withColumn("upto", F.sum("n").over(inside)).withColumn("nth", F.row_number().over(order)).withColumn("said", F.sum("reply").over(inside))
     t = t.join(sums, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("range").eqNullSafe(F.col("r")))
     begin = F.col("offset") + F.col("upto") - F.col("n")
-    loss = begin + F.length("head")
-    trained = F.col("role") == TRAINED_ROLE
+    loss = begin + F.col("head_n")
+    trained = F.col("reply") == 1
     return t.select(
-        "conv_id", "turn", (F.col("places") + F.col("nth")).alias("place"), "formatted", begin.alias("begin"), (F.col("offset") + F.col("upto")).alias("end"),
-        F.when(trained, loss).alias("loss_begin"), F.when(trained, loss + F.length("body")).alias("loss_end"),
+        "conv_id", "turn", (F.col("places") + F.col("nth")).alias("place"), F.concat(head, body, F.lit(END)).alias("formatted"),
+        begin.alias("begin"), (F.col("offset") + F.col("upto")).alias("end"),
+        F.when(trained, loss).alias("loss_begin"), F.when(trained, loss + F.col("body_n")).alias("loss_end"),
+        (F.col("onward") - F.col("said")).alias("replies_after"),
     )
 
 
@@ -93,15 +107,48 @@ def examples(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", F.col("place").alias("example"), F.col("begin").alias("context_chars"), "loss_begin", "loss_end", "end")
 
 
-def expand(turns: DataFrame) -> DataFrame:
-    """``(conv_id, example, text, loss_begin, loss_end)``: every example in full, from the output of ``format_turns``.
+def example_rows(turns: DataFrame) -> DataFrame:
+    """``(conv_id, place, begin, text, loss_begin, loss_end)``: every example in full, and the turns that no example holds.
 
-    For conversations whose full examples fit a row each.
+    ``turns`` is the output of ``format_turns``. An example has its assistant
+    turn's place, begins at 0 and has a loss range. The turns behind a
+    conversation's last assistant turn are rows without one, by parts; they
+    have the place and begin of their first turn.
     """
-    past = W.partitionBy("conv_id").orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)
-    text = F.array_join(F.collect_list("formatted").over(past), "")
-    out = turns.withColumn("whole", text).where("loss_begin is not null")
-    return out.select("conv_id", F.col("place").alias("example"), F.col("whole").alias("text"), "loss_begin", "loss_end")
+    turn = F.struct("place", "begin", "end", "loss_begin", "loss_end", "replies_after", "formatted")
+    parts = turns.groupBy("conv_id", F.floor(F.col("begin") / PART_CHARS).alias("part")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    parts = parts.withColumn("said", F.array_join(F.transform("turns", lambda t: t["formatted"]), ""))
+    # a part's context: the texts of all parts before
+    later = turns.select("conv_id", F.floor(F.col("begin") / PART_CHARS).alias("part")).where("part > 0").distinct()
+    later = later.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("part") - 1)).alias("before"))
+    context = later.join(parts.select("conv_id", "part", "said"), F.col("c").eqNullSafe(F.col("conv_id")) & (F.col("before") == F.col("part")))
+    context = context.groupBy("c", "p").agg(F.sort_array(F.collect_list(F.struct("before", "said"))).alias("parts"))
+    context = context.select("c", "p", F.array_join(F.transform("parts", lambda x: x["said"]), "").alias("context"))
+    parts = parts.join(context, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")), "left")
+    replies = F.filter("turns", lambda t: t["loss_begin"].isNotNull())
+    rest = F.filter("turns", lambda t: t["loss_begin"].isNull() & (t["replies_after"] == 0))
+    replies = F.transform(replies, lambda t: F.struct(t["place"].alias("place"), F.lit(0).cast("long").alias("begin"), t["end"].alias("end"), t["loss_begin"].alias("loss_begin"), t["loss_end"].alias("loss_end")))
+    none = F.lit(None).cast("long")
+    rest = F.transform(
+        F.slice(rest, 1, 1),
+        lambda t: F.struct(t["place"].alias("place"), t["begin"].alias("begin"), F.element_at("turns", -1)["end"].alias("end"), none.alias("loss_begin"), none.alias("loss_end")),
+    )
+    parts = parts.select("conv_id", F.coalesce("context", F.lit("")).alias("context"), "said", F.col("turns")[0]["begin"].alias("start"), F.explode(F.concat(replies, rest)).alias("x"))
+    whole = F.concat("context", F.substring("said", F.lit(1), (F.col("x.end") - F.col("start")).cast("int")))
+    behind = F.substring("said", (F.col("x.begin") - F.col("start") + 1).cast("int"), (F.col("x.end") - F.col("x.begin")).cast("int"))
+    return parts.select(
+        "conv_id", "x.place", "x.begin", F.when(F.col("x.loss_begin").isNotNull(), whole).otherwise(behind).alias("text"), "x.loss_begin", "x.loss_end"
+    )
+
+
+def expand(turns: DataFrame) -> DataFrame:
+    """``(conv_id, example, text, loss_begin, loss_end)``: every example in full, from the output of ``format_turns``."""
+    return example_rows(turns).where("loss_begin is not null").select("conv_id", F.col("place").alias("example"), "text", "loss_begin", "loss_end")
+
+
+def write_examples(turns: DataFrame, path: str) -> None:
+    """Write ``example_rows``; examples of a conversation lie together, so that their shared contexts compress."""
+    example_rows(turns).write.option("compression", "zstd").option("parquet.page.size", PAGE_BYTES).parquet(path)
 
 
 def parse_turn(formatted: str) -> tuple[str, str]:
@@ -155,14 +202,93 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     return turns.select("conv_id", "formatted", "begin", "end", "loss_begin", "loss_end").mapInArrow(_digests, _OUT)
 
 
+_FRESH = "conv_id long, place long, n long, sha256 string, fresh string, loss string"
+
+
+def fresh_from(text: str, loss_begin: int) -> int:
+    """Where the turns of an example that follow its last earlier assistant turn begin."""
+    start = text.rfind(TURN, 0, loss_begin)
+    while start > 0:
+        before = text.rfind(TURN, 0, start)
+        if text.startswith(TURN + TRAINED_ROLE + TEXT, before):
+            break
+        start = before
+    return start
+
+
+def _fresh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row: its length, digest, the turns that no example before it holds, and its reply."""
+    for batch in batches:
+        n, sha, fresh, loss = [], [], [], []
+        for text, lo, hi in zip(*(batch.column(c).to_pylist() for c in ("text", "loss_begin", "loss_end")), strict=True):
+            n.append(len(text))
+            sha.append(None if lo is None else hashlib.sha256(text.encode()).hexdigest())
+            fresh.append(text if lo is None else text[fresh_from(text, lo) :])
+            loss.append(None if lo is None else unescape(text[lo:hi]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("conv_id"), batch.column("place"), pa.array(n, pa.int64()), *(pa.array(x, pa.string()) for x in (sha, fresh, loss))],
+            ["conv_id", "place", "n", "sha256", "fresh", "loss"],
+        )
+
+
+def _example_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows of ``_fresh`` sorted by conversation and place; an example that isn't all turns before and its own fails."""
+    current, state, out = None, None, []
+
+    def done() -> list:
+        n, turns, chars, loss, total, _ = state
+        return [current, n, turns.hexdigest(), chars, loss.hexdigest(), total]
+
+    def rows_out() -> pa.RecordBatch:
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+        names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+    for batch in batches:
+        out = []
+        for conv, place, n, sha, fresh, loss in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if state is None or conv != current:
+                if state is not None:
+                    out.append(done())
+                current, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, hashlib.sha256()]
+            for turn in fresh.split(TURN)[1:]:
+                role, text = parse_turn(TURN + turn)
+                state[0] += 1
+                state[1].update(f"{role}\n{text}\n".encode())
+            state[5].update(fresh.encode())
+            if sha is not None:
+                if state[5].hexdigest() != sha:
+                    raise ValueError(f"conversation {conv}: the example at place {place} is not its context and reply")
+                state[2] += len(loss)
+                state[3].update(loss.encode())
+                state[4] += n
+        if out:
+            yield rows_out()
+    if state is not None:
+        out = [done()]
+        yield rows_out()
+
+
+def read_example_digests(spark: SparkSession, path: str) -> DataFrame:
+    """What written examples say of each conversation: turns, loss text, and the length of all its examples.
+
+    Every example is read in full where it lies; only its digest, reply and
+    the turns new in it are shuffled, and each context is held against the
+    conversation's turns so far.
+    """
+    bounded_batches(spark)
+    rows = spark.read.parquet(path).select("conv_id", "place", "text", "loss_begin", "loss_end").mapInArrow(_fresh, _FRESH)
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "place").mapInArrow(_example_digests, _OUT)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, and one whose texts hold control strings, formatted, written and read back."""
+    """All conversations, and one whose texts hold control strings: every example written in full and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     path = scratch_path(spark, "chat")
-    format_turns(rows.unionByName(extra)).write.parquet(path)
-    return read_digests(spark, path)
+    write_examples(materialize(format_turns(rows.unionByName(extra)), "chat-turns"), path)
+    return read_example_digests(spark, path)
 
 
 OP8_SQL = r"""

@@ -68,3 +68,40 @@ def test_no_control_string_inside(spark):
 
 def test_empty(spark):
     assert C.format_turns(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_written_examples_hold_context_and_reply(spark, monkeypatch):
+    for chars in (C.PART_CHARS, 90):  # one part, and conversations in many parts
+        monkeypatch.setattr(C, "PART_CHARS", chars)
+        path = scratch_path(spark, "chat-examples")
+        C.write_examples(C.format_turns(spark.createDataFrame(rows(), SCHEMA)), path)
+        written = spark.read.parquet(path).collect()
+        got = {r["conv_id"]: r for r in C.read_example_digests(spark, path).collect()}
+        assert set(got) == set(brute())
+        for c, convo in brute().items():
+            full = ["".join(C.TURN + p for p in r["text"].split(C.TURN)[1:]) for r in sorted((r for r in written if r["conv_id"] == c and r["loss_begin"] is not None), key=lambda r: r["place"])]
+            targets = [i for i, (role, _) in enumerate(convo) if role == "assistant"]
+            assert [[C.parse_turn(C.TURN + p) for p in text.split(C.TURN)[1:]] for text in full] == [convo[: i + 1] for i in targets]
+            r, loss = got[c], "".join(convo[i][1] for i in targets)
+            assert r["n_turns"] == len(convo)
+            assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in convo).encode()).hexdigest()
+            assert (r["loss_chars"], r["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+            assert r["formatted_chars"] == sum(map(len, full))
+
+
+def test_query_writes_the_examples(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(C, "scratch_path", lambda s, label: seen.append(scratch_path(s, label)) or seen[-1])
+    total = sum(r["formatted_chars"] for r in C.op8_chat_format(spark, "/root/testdata/sf0.001").collect())
+    written = spark.read.parquet(seen[0]).where("loss_begin is not null")
+    assert total == sum(len(r["text"]) for r in written.collect())
+
+
+def test_a_wrong_context_is_noticed(spark):
+    import pytest
+
+    path, bad = scratch_path(spark, "chat-right"), scratch_path(spark, "chat-wrong")
+    C.write_examples(C.format_turns(spark.createDataFrame(rows(), SCHEMA)), path)
+    spark.read.parquet(path).selectExpr("conv_id", "place", "begin", "if(conv_id = 1 and place = 6, replace(text, 'turn 0', 'turn 9'), text) as text", "loss_begin", "loss_end").write.parquet(bad)
+    with pytest.raises(Exception, match="is not its context and reply"):
+        C.read_example_digests(spark, bad).collect()
