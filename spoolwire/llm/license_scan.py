@@ -10,7 +10,8 @@ level come from those of the level below, as minima over two blocks.
 
 Windows that share a band with a template are verified on their whole shingle
 sets. The templates and their bands go to every task in blocks of
-``BLOCK_WORDS`` words, so what is broadcast doesn't grow with their number.
+``BLOCK_WORDS`` words, so a single broadcast doesn't grow with their number; a
+task scans each batch with one block after the other.
 """
 
 from __future__ import annotations
@@ -79,6 +80,11 @@ class TemplateIndex:
             for lv in set(self.level) for k in range(bands)
         }
         self.owners = {lv: [i for i in range(len(self.sets)) if self.level[i] == lv] for lv in set(self.level)}
+        self.sorted_keys = {at: np.unique(keys) for at, keys in self.keys.items()}
+        self.owners_of: dict[tuple[int, int], dict[int, list[int]]] = {at: {} for at in self.keys}
+        for (lv, k), keys in self.keys.items():
+            for i, key in zip(self.owners[lv], keys.tolist(), strict=True):
+                self.owners_of[lv, k].setdefault(key, []).append(i)
 
     def scan(self, sh: np.ndarray, bounds: np.ndarray) -> list[list[tuple[str, int, int, float]]]:
         """``(name, first shingle, last shingle, containment)`` of every match of each document, by name and place."""
@@ -103,16 +109,16 @@ class TemplateIndex:
                 if lv not in self.owners:
                     continue
                 # block minima that are a template's value: the windows that begin up to four blocks before
-                keys = self.keys[lv, band]
-                light = np.zeros(1 << 12, bool)
-                light[keys >> np.uint32(20)] = True
-                at = np.flatnonzero(light[block >> np.uint32(20)])
-                for i, key in zip(self.owners[lv], keys, strict=True):
-                    for b in at[block[at] == key].tolist():
-                        low = max(int(starts[lv][doc_of[lv][b]]), b - _BLOCKS + 1)
-                        for w in range(low, b + 1):  # the key is the window's minimum
-                            if block[w : min(w + _BLOCKS, int(last[lv][b]))].min() == key:
-                                candidates[lv].add((w, i))
+                keys, owned = self.sorted_keys[lv, band], self.owners_of[lv, band]
+                light = np.zeros(1 << 16, bool)
+                light[keys >> np.uint32(16)] = True
+                at = np.flatnonzero(light[block >> np.uint32(16)])
+                at = at[keys[np.minimum(np.searchsorted(keys, block[at]), len(keys) - 1)] == block[at]]
+                for b, key in zip(at.tolist(), block[at].tolist(), strict=True):
+                    low = max(int(starts[lv][doc_of[lv][b]]), b - _BLOCKS + 1)
+                    for w in range(low, b + 1):  # the key is the window's minimum
+                        if block[w : min(w + _BLOCKS, int(last[lv][b]))].min() == key:
+                            candidates[lv].update((w, i) for i in owned[key])
         for lv, some in candidates.items():
             s = 1 << lv
             for w, i in sorted(some):
@@ -135,14 +141,15 @@ MATCHES_TYPE = "array<struct<license:string,first_word:long,end_word:long,contai
 _MATCHES = pa.list_(pa.struct([("license", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("containment", pa.float64())]))
 
 
-def _scan(index):
+def _scan(indexes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sh, bounds, n_words = _shingled(batch.column("text"))
-            out = []
-            for old, new, n in zip(batch.column("matches").to_pylist(), index.value.scan(sh, bounds), n_words.tolist(), strict=True):
-                rows = [{"license": name, "first_word": a, "end_word": min(b + WIDTH, n), "containment": c} for name, a, b, c in new]
-                out.append(sorted([*(old or ()), *rows], key=lambda r: (r["license"], r["first_word"])))
+            found: list[list[dict]] = [[] for _ in range(len(n_words))]
+            for index in indexes:
+                for rows, new, n in zip(found, index.value.scan(sh, bounds), n_words.tolist(), strict=True):
+                    rows += [{"license": name, "first_word": a, "end_word": min(b + WIDTH, n), "containment": c} for name, a, b, c in new]
+            out = [sorted(rows, key=lambda r: (r["license"], r["first_word"])) for rows in found]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("text"), pa.array(out, _MATCHES)], ["row", "text", "matches"])
 
     return run
@@ -164,13 +171,11 @@ def scan_licenses(
     sizes = [len(np.unique(sh[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True) if b > a]
     bands = bands_for(sizes) if sizes else 1
     block = np.cumsum(n_words) // BLOCK_WORDS
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).cast("string").alias("text"), F.lit(None).cast(MATCHES_TYPE).alias("matches"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(text).cast("string").alias("text"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, matches {MATCHES_TYPE}"
     items = list(templates.items())
-    for b in np.unique(block):
-        index = spark.sparkContext.broadcast(TemplateIndex([x for x, k in zip(items, block, strict=True) if k == b], bands, containment))
-        rows = rows.mapInArrow(_scan(index), schema)
-    return rows
+    blocks = [[x for x, k in zip(items, block, strict=True) if k == b] for b in np.unique(block)]
+    return rows.mapInArrow(_scan([spark.sparkContext.broadcast(TemplateIndex(x, bands, containment)) for x in blocks]), schema)
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,3 +52,14 @@ def test_against_every_window(spark, monkeypatch):
 def test_bands_bound_the_miss_rate():
     for m in range(1, 400):
         assert (1 - L.floor_similarity(m)) ** L.bands_for([m]) <= L.MISS
+
+
+def test_catalogue_holds_whole_texts(spark):
+    for name in ("apache-2.0", "bsd-2-clause", "bsd-3-clause", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "mpl-2.0", "cc-by-sa-4.0", "cc0-1.0", "unlicense"):
+        assert name in TEMPLATES
+    assert "END OF TERMS AND CONDITIONS" in TEMPLATES["apache-2.0"] and "THE SOFTWARE IS PROVIDED" in TEMPLATES["unlicense"]
+    rows = [(i, "words before " + TEMPLATES[name] + " and behind", "en", "s") for i, name in enumerate(sorted(TEMPLATES))]
+    rows.append((-1, "This program is free software: you can redistribute it", "en", "s"))
+    got = {r["row"]["doc_id"]: {m["license"] for m in r["matches"]} for r in L.scan_licenses(docs_table(spark, rows)).collect()}
+    assert all(name in got[i] for i, name in enumerate(sorted(TEMPLATES)))
+    assert got[-1] == set()
