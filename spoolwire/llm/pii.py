@@ -4,8 +4,8 @@ The base patterns (``BASE``) are exact. The network labels every character of
 the whole text: it runs over windows of ``WINDOW`` characters every ``STRIDE``
 characters, each window is decoded by the CRF, every character takes its label
 from the window in which it lies furthest inside, and runs of one label over
-the whole text are spans. A span is added if its shape fits its kind and it
-overlaps no base span.
+the whole text are spans. A span is added if it can be of its kind (addresses by
+shape, cards and phones by their number of digits) and overlaps no base span.
 
 The weights are trained on the driver by backpropagation through time from a
 bounded sample: windows of ``TRAIN_ROWS`` documents with their base spans as
@@ -87,17 +87,16 @@ def base_spans(text: str) -> list[Span]:
 _SHAPES = (
     re.compile(r"[\w.%+-]{1,64} ?(?:@|\(at\)|\[at\]| at ) ?[\w-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[\w-]+)+"),
     re.compile(r"[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)| dot ) ?[0-9]{1,3}){3}|[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}"),
-    re.compile(r"[0-9]{4}(?:([ ./_-]{1,2})[0-9]{4,6}(?:\1[0-9]{4,5}){1,3})"),
-    re.compile(r"(?![0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}$)(?:\+|00)?[0-9 ]{0,4}\(?[0-9]{2,4}\)?[ ./-]{0,2}[0-9]{2,4}(?:[ ./-][0-9]{2,5}){1,4}"),
 )
+_DATE = re.compile(r"[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}")
 
 
 def plausible(kind: int, text: str) -> bool:
-    """Whether a labelled span has the shape of its kind."""
-    if not _SHAPES[kind].fullmatch(text):
-        return False
+    """Whether a labelled span can be of its kind: cards and phones by their number of digits, in any grouping."""
+    if kind < 2:
+        return _SHAPES[kind].fullmatch(text) is not None
     digits = len(_DIGITS.findall(text))
-    return kind < 2 or (13 <= digits <= 19 if kind == 2 else 7 <= digits <= 15)
+    return 13 <= digits <= 19 if kind == 2 else 7 <= digits <= 15 and not _DATE.fullmatch(text)
 
 
 _CLASS = np.zeros(256, np.uint8)

@@ -82,3 +82,20 @@ def test_hard_cases(spark, model):
     assert sorted(by[3]) == [[("email", 9, 17), ("phone", 21, 35)], [("ip", 0, 8)]]
     assert by[None] == [[("card", 200_000, 200_019)]]
     assert pii.find_pii(docs_table(spark, []), model).count() == 0
+
+
+def test_every_trained_form_is_plausible():
+    rng = random.Random(11)
+    for _ in range(20_000):
+        kind, made = pii._made(rng)
+        assert kind < 0 or pii.plausible(kind, made), made
+    assert not pii.plausible(3, "2024-01-31")
+
+
+@pytest.mark.parametrize("kind, said", [(3, "0049 123 4567891"), (3, "030 1234567"), (3, "0171 2345678"), (2, "1234 - 5678 - 9012 - 3456"), (2, "1234567890123457")])
+def test_decoded_numbers_stand(kind, said):
+    text = f"call {said}, or not"
+    labels = np.zeros(len(text), np.uint8)
+    labels[5 : 5 + len(said)] = kind + 1
+    assert pii.base_spans(text) == []
+    assert pii.added_spans(text, labels, []) == [(kind, 5, 5 + len(said))]
