@@ -12,7 +12,8 @@
    with one pivot of its first list, then one per component of each list),
    last every remaining pair of a list whose ends are not yet connected and
    whose sizes and prefix positions allow a link. So no list emits all its
-   pairs, and no link between components is lost.
+   pairs, and no link between components is lost. This serves components;
+   ``jaccard_links`` verifies every pair of a list and returns all links.
 
 Lists longer than ``LIST_ROWS`` are cut into blocks, and each pair of blocks
 is a unit of its own, so that no list has to fit one task.
@@ -246,19 +247,8 @@ def _linked(width: int, percent: int):
     return run
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, class_id)``, one row per row of ``docs``.
-
-    Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their
-    sets of lower-cased ``width``-word shingles. ``class_id`` is the smallest
-    id with the same set, ``component_id`` the smallest reachable by links.
-
-    Null and empty texts have no shingle, link with nothing and are their own
-    component; a text of fewer than ``width`` words is one shingle. Rows that
-    share an id are one document with each of their texts. Rows without an id
-    have null components and link nothing. Only the two named columns are
-    read, so other columns may have any name.
-    """
+def _index(docs: DataFrame, id_col: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, classes of equal sets, index lists of the classes that may have a partner, and those classes' texts."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -279,11 +269,59 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     lists = materialize(members.unionByName(within), "lists")
     needed = lists.select(F.col("node").alias("doc_id")).distinct()
     texts = materialize(docs.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
+    return sigs, classes, lists, texts
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, label: str) -> DataFrame:
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
+    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    return materialize(both.mapInArrow(_linked(width, percent), "u long, v long"), label)
+
+
+def _list_pairs(marked: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of a list of ``marked`` whose ``comp`` differs and that may be linked; ``sizes`` has the lists and their rows ``m``."""
+    blocks = F.ceil(F.col("m") / LIST_ROWS).cast("int")
+    rest = marked.join(sizes.select("token", blocks.alias("blocks")), "token")
+    rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rest = rest.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "pos", "comp", "block")
+    rest = rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n")
+    return rest.mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``(a, b)``: every verified link between two classes, by ``class_id``, smaller first.
+
+    Documents are as in ``jaccard_components``, whose ``class_id`` is the
+    membership: rows of one class link with each other, and rows of linked
+    classes all do. Every pair of an index list whose sizes and prefix
+    positions allow a link is verified, in a component or not, so the output
+    (and work) grows with the number of links. Rows that share an id are one
+    document: a link of one of its texts is a link of that ``class_id``.
+    """
+    _, _, lists, texts = _index(docs, id_col, text, width, percent)
+    marked = lists.withColumn("comp", F.col("node"))
+    sizes = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    return _verified(_list_pairs(marked, sizes, percent), texts, width, percent, "links").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, class_id)``, one row per row of ``docs``.
+
+    Two documents link when ``100 * |A & B| >= percent * |A | B|`` over their
+    sets of lower-cased ``width``-word shingles. ``class_id`` is the smallest
+    id with the same set, ``component_id`` the smallest reachable by links.
+
+    Null and empty texts have no shingle, link with nothing and are their own
+    component; a text of fewer than ``width`` words is one shingle. Rows that
+    share an id are one document with each of their texts. Rows without an id
+    have null components and link nothing. Only the two named columns are
+    read, so other columns may have any name.
+    """
+    sigs, classes, lists, texts = _index(docs, id_col, text, width, percent)
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-        both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        return materialize(both.mapInArrow(_linked(width, percent), "u long, v long"), label)
+        return _verified(pairs, texts, width, percent, label)
 
     def labelled(links: DataFrame) -> DataFrame:
         return lists.join(components(links).withColumnRenamed("component", "c"), "node", "left").select(
@@ -311,13 +349,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     # what is left: pairs of a list whose ends are in different components
     marked = materialize(labelled(links), "marked")
     open_lists = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
-    blocks = F.ceil(F.col("m") / LIST_ROWS).cast("int")
-    rest = marked.join(open_lists.select("token", blocks.alias("blocks")), "token")
-    rest = rest.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "n", "pos", "comp", "block")
-    rest = rest.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n")
-    cross = rest.mapInArrow(_cross_pairs(percent), "a long, b long").distinct()
+    cross = _list_pairs(marked, open_lists, percent)
     links = links.unionByName(verified(cross, "cross"))
     comps = components(links)
 

@@ -54,3 +54,29 @@ def test_one_stays_and_rows_without_id(spark):
 
 def test_empty_table(spark):
     assert jaccard_components(docs_table(spark, [])).count() == 0
+
+
+def test_links_are_all_verified_pairs(spark, monkeypatch):
+    from spoolwire.llm.jaccard_join import jaccard_links
+
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(300)}" for _ in range(200)] for _ in range(4)]
+    rows = []
+    for i in range(60):  # groups of near copies, most of whose pairs lie inside a component
+        words = list(base[i % 4])
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(9)}"
+        rows.append((100 - i, " ".join(words), "en", "s"))
+    rows += [(200, "", "en", "s"), (201, None, "en", "s"), (202, rows[0][1], "en", "s"), (None, rows[1][1], "en", "s")]
+    sets = {i: shingle_set(spaced_words(t)) for i, t, *_ in rows if i is not None}
+    own = {i: min(j for j in sets if sets[j] == sets[i]) for i in sets if sets[i]}
+    want = {(a, b) for a in own.values() for b in own.values() if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    classes = {i: r["class_id"] for r in jaccard_components(docs_table(spark, rows)).collect() if (i := r["doc_id"]) in own}
+    assert classes == own
+    assert len(want) > 2 * len(set(own.values()))  # more links than any spanning forest has
+    for size in (jaccard_join.LIST_ROWS, 7):
+        monkeypatch.setattr(jaccard_join, "LIST_ROWS", size)
+        got = [(r["a"], r["b"]) for r in jaccard_links(docs_table(spark, rows)).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == want
+    assert jaccard_links(docs_table(spark, [])).count() == 0
