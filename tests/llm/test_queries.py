@@ -43,10 +43,10 @@ def test_sql(spark, con, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
-@pytest.mark.parametrize("name", ["op1_license_scan", "op4_language_id", "op5_pii", "op7_token_output"])
+@pytest.mark.parametrize("name", ["op1_license_scan", "op4_language_id", "op5_pii", "op7_token_output", "op12_quality"])
 def test_whole_table(spark, name):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     out = QUERIES[name](spark, SF).collect()
