@@ -36,6 +36,14 @@ def utf8_require(col: Column | str) -> Column:
     return F.validate_utf8(_c(col).cast("string"))
 
 
+def utf8_valid_prefix(col: Column | str) -> Column:
+    """How many bytes come before the first invalid sequence; null for valid text."""
+    text = _c(col).cast("string")
+    # repair marks invalid sequences with U+FFFD: one that the text has itself must not be taken for a mark
+    plain = F.replace(text, F.lit("\ufffd"), F.lit("\ufffc"))
+    return F.when(~F.is_valid_utf8(text), F.octet_length(F.substring_index(F.make_valid_utf8(plain), "\ufffd", 1)))
+
+
 def head_chars(col: Column | str, n: int) -> Column:
     """First ``n`` characters (code points, not bytes) of a string."""
     return F.substring(_c(col), 1, n)

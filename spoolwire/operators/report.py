@@ -1,9 +1,9 @@
 """Counts, load reports, progress, previews and schema descriptions.
 
-Per-topic-partition figures (first offset, first timestamp) come from a
-grouped aggregate with one row per topic partition, joined back (Spark picks
-the join by its size): never a window over a whole topic partition, which
-would load a hot partition into one task.
+Records of a topic partition are numbered without assuming that offsets are
+dense, and without a window over a whole partition: offsets are cut into
+buckets, counts per bucket are summed up over the buckets before it, and only
+buckets that hold a wanted record and have holes are ordered inside.
 """
 
 from __future__ import annotations
@@ -49,46 +49,76 @@ def observe_counts(df: DataFrame, keep: Column, name: str = "load") -> tuple[Dat
     return observed, obs
 
 
-def _partition_start(topic_df: DataFrame) -> DataFrame:
-    # One row per topic partition: bounded by the topic's partition count.
-    return topic_df.groupBy("partition").agg(
-        F.min("offset").alias("_o0"), F.min(F.unix_micros("timestamp")).alias("_us0")
-    )
+#: Offsets of a bucket: the most rows that are ever ordered as one group.
+BUCKET = 1 << 20
+
 
+def bucket_counts(topic_df: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """One row per topic partition and bucket of offsets: where it starts, and what lies before it.
+
+    ``partition, _b, _n`` (records), ``_lo, _hi`` (first and last offset),
+    ``_before`` (records of the partition's earlier buckets), ``_us0`` (its
+    earliest timestamp in microseconds). Aggregated before the shuffle, so the
+    windows run over one row per bucket.
+    """
+    found = topic_df.groupBy("partition", F.expr(f"offset div {int(bucket)}").alias("_b")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("offset").alias("_lo"), F.max("offset").alias("_hi"),
+        F.min(F.unix_micros("timestamp")).alias("_us"),
+    )
+    whole = Window.partitionBy("partition")
+    earlier = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    return found.select("*", before.alias("_before"), F.min("_us").over(whole).alias("_us0")).drop("_us")
 
-def progress(topic_df: DataFrame, every: int = 1000) -> DataFrame:
+
+def _numbered(rows: DataFrame, buckets: DataFrame, wanted, bucket: int, most: int | None = None) -> DataFrame:
+    """``rows`` that lie in ``buckets`` and whose number in the partition, ``record_no``, is ``wanted``.
+
+    Without holes in a bucket the number follows from the offset, and unwanted
+    rows are gone before any is ordered. ``most`` bounds the wanted numbers.
+    """
+    rows = rows.withColumn("_b", F.expr(f"offset div {int(bucket)}")).join(buckets, ["partition", "_b"])
+    dense = F.col("_n") == F.col("_hi") - F.col("_lo") + 1
+    at = F.col("_before") + F.col("offset") - F.col("_lo") + 1
+    rows = rows.where(~dense | wanted(at))
+    place = F.row_number().over(Window.partitionBy("partition", "_b").orderBy("offset"))
+    rows = rows.withColumn("_place", place)
+    if most is not None:
+        rows = rows.where(F.col("_place") <= most)  # a top-k of each group
+    no = F.when(dense, at).otherwise(F.col("_before") + F.col("_place"))
+    rows = rows.withColumn("record_no", no).where(wanted(F.col("record_no")))
+    return rows.drop("_b", "_n", "_lo", "_hi", "_before", "_place")
+
+
+def progress(topic_df: DataFrame, every: int = 1000, bucket: int = BUCKET) -> DataFrame:
     """Every ``every`` records of each topic partition: running count and records per second.
 
-    ``line_count`` counts records from the first one read in the partition;
-    ``rps`` is ``line_count`` over the seconds since that first record's
-    timestamp (null when no time has passed), rounded to 6 places.
+    ``line_count`` counts the partition's records, in the order of their
+    offsets, which may have holes; ``rps`` is ``line_count`` over the seconds
+    since the partition's earliest timestamp (null when no time has passed),
+    rounded to 6 places.
     """
-    line = F.col("offset") - F.col("_o0") + 1
+    rows = topic_df.select("partition", "offset", "timestamp")
+    marked = bucket_counts(rows, bucket).where(f"(_before + _n) div {int(every)} > _before div {int(every)}")
+    marks = _numbered(rows, marked, lambda no: no % every == 0, bucket)
     elapsed = F.unix_micros("timestamp") - F.col("_us0")
-    return (
-        topic_df.select("partition", "offset", "timestamp")
-        .join(_partition_start(topic_df), "partition")
-        .filter(line % every == 0)
-        .select(
-            "partition",
-            line.alias("line_count"),
-            F.round(line * F.lit(1_000_000.0) / F.nullif(elapsed, F.lit(0)), 6).alias("rps"),
-        )
+    return marks.select(
+        "partition",
+        F.col("record_no").alias("line_count"),
+        F.round(F.col("record_no") * F.lit(1_000_000.0) / F.nullif(elapsed, F.lit(0)), 6).alias("rps"),
     )
 
 
-def first_records(topic_df: DataFrame, n: int = 5) -> DataFrame:
-    """The first ``n`` records read from each topic partition, numbered from 1 (``record_no``).
+def first_records(topic_df: DataFrame, n: int = 5, bucket: int = BUCKET) -> DataFrame:
+    """The first ``n`` records of each topic partition, numbered from 1 (``record_no``), whatever offsets they have.
 
-    Each partition's first offset comes from an aggregate over the offset
-    column (one row per partition), which is joined back. The largest of them
-    bounds the offsets that the scan has to read at all.
+    The buckets that hold them follow from counts per bucket; the largest
+    offset of these bounds what the scan has to read of the records.
     """
-    start = _partition_start(topic_df).select("partition", "_o0")
-    last = start.agg(F.max("_o0") + n)
-    no = F.col("offset") - F.col("_o0") + 1
-    near = topic_df.filter(F.col("offset") < last.scalar())
-    return near.join(start, "partition").filter(no <= n).withColumn("record_no", no).drop("_o0")
+    heads = bucket_counts(topic_df.select("partition", "offset", "timestamp"), bucket).where(F.col("_before") < n)
+    last = heads.agg(F.max("_hi"))
+    near = topic_df.filter(F.col("offset") <= last.scalar())
+    return _numbered(near, heads.drop("_us0"), lambda no: no <= n, bucket, n)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import ntz_to_instant, stringify, with_position
 from spoolwire.functions.text import head_chars, utf8_ok
+from spoolwire.operators.locate import locate_bad_utf8
 from spoolwire.operators.records import deserialize, drop_empty, parse_any, parse_records, split_quarantine
 from spoolwire.operators.report import first_records, offset_gaps, preview, progress, schema_profile
+from spoolwire.operators.source_order import number_records, source_head
 from spoolwire.plans.consume import consume_topic
 from spoolwire.plans.upload import upload_csv
 from spoolwire.schemas import string_schema
@@ -172,6 +174,56 @@ def messy_csv(spark: SparkSession, sf_dir: str) -> str:
     return _memo(spark, ("messy_csv", sf_dir), build)
 
 
+def blank_lines_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Customer rows (key, name, segment) as plain lines; before some of them, by
+    key modulo 6, a line of a tab, a form feed, a control character, blanks,
+    or nothing at all. One file per thousand keys."""
+
+    def build() -> str:
+        k, n, m = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")
+        before = F.get(F.array(*map(F.lit, ["", "\t\n", "\f\n", "\x01\n", " \t \n", "\n"])), F.col("c_custkey") % 6)
+        files = table(spark, sf_dir, "customer").select(F.expr("c_custkey div 1000").alias("g"), F.concat(before, F.concat_ws(",", k, n, m)).alias("line"))
+        text = F.concat(F.lit("id,a,b\n"), F.array_join(F.sort_array(F.collect_list("line")), "\n"))
+        path = scratch_path(spark, "blank-lines-csv")
+        files.groupBy("g").agg(text.alias("value")).write.partitionBy("g").text(path)
+        return f"{path}/g=*"
+
+    return _memo(spark, ("blank_lines_csv", sf_dir), build)
+
+
+def _in_files(rows: DataFrame, key: str, per_file: int) -> DataFrame:
+    """Rows in the order of ``key``, ``per_file`` keys to a file, whose folders ``g=...`` sort by it."""
+    g = F.lpad(F.expr(f"cast({key} div {per_file} as string)"), 12, "0")
+    return rows.withColumn("g", g).repartition("g").sortWithinPartitions("g", key)
+
+
+def orders_csv_in_order(spark: SparkSession, sf_dir: str) -> str:
+    """Orders by key as CSV files of 8192 keys each."""
+
+    def build() -> str:
+        path = scratch_path(spark, "orders-in-order")
+        rows = _in_files(table(spark, sf_dir, "orders").select(ORDER_COLUMNS), "o_orderkey", 8192)
+        stringify(rows).write.partitionBy("g").options(header=True, escape='"').csv(path)
+        return f"{path}/g=*"
+
+    return _memo(spark, ("orders_in_order", sf_dir), build)
+
+
+def events_text_in_order(spark: SparkSession, sf_dir: str) -> str:
+    """JSON lines of ``events`` by id, 5000 ids to a file; ``error`` lines end in the byte 0xFF."""
+
+    def build() -> str:
+        rec = _event_records(spark, sf_dir)
+        json = F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"}).cast("binary")
+        line = F.when(F.col("event_type") == "error", F.concat(json, F.unhex(F.lit("FF")))).otherwise(json)
+        path = scratch_path(spark, "events-text-in-order")
+        rows = _in_files(rec.select(line.cast("string").alias("value"), "_eid"), "_eid", 5000)
+        rows.select("value", "g").write.partitionBy("g").text(path)
+        return f"{path}/g=*"
+
+    return _memo(spark, ("events_text_in_order", sf_dir), build)
+
+
 def documents_csv_files(spark: SparkSession, sf_dir: str) -> str:
     """Documents as many CSV files of at most 200 records, so that multi-line reading is spread over tasks."""
 
@@ -347,6 +399,46 @@ def q_drop_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _overflow_as_json(drop_empty(scan_csv(spark, ragged_csv(spark, sf_dir))))
 
 
+def q_upload_messy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default upload keeps lines of white space and control characters, and drops blank ones."""
+    topic = FileTopic(scratch_path(spark, "blank-lines-topic"), "data")
+    upload_csv(spark, blank_lines_csv(spark, sf_dir), topic, partitions=EVENT_PARTITIONS)
+    return consume_topic(spark, topic, string_schema(["id", "a", "b"]))
+
+
+def q_upload_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default upload keeps the order of the source: each partition an even range of it, at dense offsets."""
+    topic = FileTopic(scratch_path(spark, "ordered-topic"), "data")
+    upload_csv(spark, orders_csv_in_order(spark, sf_dir), topic, partitions=EVENT_PARTITIONS)
+    return read_topic(spark, topic).select("partition", "offset", F.col("value").cast("string").alias("value"))
+
+
+def q_source_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its number in the source and in its file, over many files and splits."""
+    rows = scan_csv(spark, orders_csv_in_order(spark, sf_dir), multiline=False, with_position=True)
+    return number_records(rows).select("record_no", "file_record_no", *ORDER_COLUMNS)
+
+
+def q_source_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five records of the source, in its order, numbered."""
+    rows = scan_csv(spark, orders_csv_in_order(spark, sf_dir), multiline=False, with_position=True)
+    return source_head(rows, 5).select("record_no", *ORDER_COLUMNS)
+
+
+def q_missing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load reports of a source that is there and of one that isn't."""
+    topic = FileTopic(scratch_path(spark, "missing-topic"), "data")
+    found = upload_csv(spark, customer_csv(spark, sf_dir), topic, raise_errors=False)
+    absent = upload_csv(spark, scratch_path(spark, "absent"), topic, raise_errors=False)
+    return found.unionByName(absent).select("rows_in", "rows_sent", "status", F.split("error", ":")[0].alias("error"))
+
+
+def q_utf8_locate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File, line and byte of every invalid sequence of a text source in many files."""
+    found = locate_bad_utf8(spark, events_text_in_order(spark, sf_dir))
+    return found.select(F.regexp_extract("file", "g=(\\d+)", 1).cast("long").alias("file_no"), "line", "byte", "text")
+
+
 def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O19, O20 (+O24 audit, O12 publish): the upload job's load report for the ragged CSV."""
     topic = FileTopic(scratch_path(spark, "upload-topic"), "data")
@@ -475,6 +567,17 @@ def q_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress(read_topic(spark, events_topic(spark, sf_dir)), every=1000)
 
 
+def q_progress_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress over a topic whose offsets have holes counts records, not offsets."""
+    return progress(read_topic(spark, events_topic_lossy(spark, sf_dir)), every=1000, bucket=1 << 10)
+
+
+def q_first_records_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five records of each partition, whatever offsets are left."""
+    env = first_records(read_topic(spark, events_topic_lossy(spark, sf_dir)), n=5)
+    return env.select("partition", "offset", "record_no", F.col("value").cast("string").alias("value"))
+
+
 def q_first_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five records of each partition, numbered."""
     env = first_records(read_topic(spark, events_topic(spark, sf_dir)), n=5)
@@ -613,6 +716,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drop_empty": q_drop_empty,
     "load_report": q_load_report,
     "upload_ragged": q_upload_ragged,
+    "upload_messy": q_upload_messy,
+    "upload_in_order": q_upload_in_order,
+    "source_numbers": q_source_numbers,
+    "source_head": q_source_head,
+    "missing_source": q_missing_source,
+    "utf8_locate": q_utf8_locate,
     "envelope": q_envelope,
     "topic_range": q_topic_range,
     "parse_records": q_parse_records,
@@ -625,6 +734,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_prefix": q_text_prefix,
     "progress": q_progress,
     "first_records": q_first_records,
+    "progress_holes": q_progress_holes,
+    "first_records_holes": q_first_records_holes,
     "console_preview": q_console_preview,
     "schema_profile": q_schema_profile,
     "offset_gaps": q_offset_gaps,

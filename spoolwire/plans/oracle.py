@@ -40,6 +40,11 @@ SELECT
 FROM customer
 """
 
+_ORDER_FIELDS = (
+    "o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, o_orderstatus, "
+    "o_totalprice::VARCHAR AS o_totalprice, o_orderdate::VARCHAR AS o_orderdate, o_orderpriority"
+)
+
 _EVENT_SCHEMA = "OBJECT<event_id: STRING, event_type: STRING, props: STRING, ts: STRING, user_id: STRING, value: STRING>"
 
 ORACLE: dict[str, str] = {
@@ -89,6 +94,34 @@ SELECT c_custkey::VARCHAR || CASE WHEN c_custkey % 7 IN (1, 2) THEN '" x' ELSE '
   CASE c_custkey % 7 WHEN 2 THEN '7"' ELSE c_mktsegment END AS b
 FROM customer
 UNION ALL SELECT '   ', NULL, NULL FROM customer WHERE c_custkey % 7 = 4""",
+    "upload_messy": """
+SELECT NULL::VARCHAR AS key, c_custkey::VARCHAR AS id, c_name AS a, c_mktsegment AS b FROM customer
+UNION ALL
+SELECT NULL, CASE c_custkey % 6 WHEN 1 THEN chr(9) WHEN 2 THEN chr(12) WHEN 3 THEN chr(1) ELSE ' ' || chr(9) || ' ' END, NULL, NULL
+FROM customer WHERE c_custkey % 6 BETWEEN 1 AND 4""",
+    "upload_in_order": f"""
+WITH o AS (SELECT {_ORDER_FIELDS}, row_number() OVER (ORDER BY orders.o_orderkey) - 1 AS rn,
+                  (count(*) OVER () + 2) // 3 AS share FROM orders)
+SELECT (rn // share)::INTEGER AS "partition", rn % share AS "offset",
+  to_json(struct_pack(o_orderkey := o_orderkey, o_custkey := o_custkey, o_orderstatus := o_orderstatus,
+    o_totalprice := o_totalprice, o_orderdate := o_orderdate, o_orderpriority := o_orderpriority))::VARCHAR AS value
+FROM o""",
+    "source_numbers": f"""
+SELECT row_number() OVER (ORDER BY orders.o_orderkey) AS record_no,
+       row_number() OVER (PARTITION BY orders.o_orderkey // 8192 ORDER BY orders.o_orderkey) AS file_record_no, {_ORDER_FIELDS}
+FROM orders""",
+    "source_head": f"""
+SELECT row_number() OVER (ORDER BY orders.o_orderkey) AS record_no, {_ORDER_FIELDS}
+FROM orders ORDER BY orders.o_orderkey LIMIT 5""",
+    "missing_source": """
+SELECT count(*) AS rows_in, count(*) AS rows_sent, 'ok' AS status, NULL::VARCHAR AS error FROM customer
+UNION ALL SELECT NULL, NULL, 'failed', 'SourceNotFound'""",
+    "utf8_locate": _EV
+    + """, l AS (
+  SELECT event_id // 5000 AS file_no, event_type, v, strlen(v) AS n,
+         row_number() OVER w AS line, sum(strlen(v) + 1 + (event_type = 'error')::INTEGER) OVER w AS upto
+  FROM ev WINDOW w AS (PARTITION BY event_id // 5000 ORDER BY event_id))
+SELECT file_no, line, (upto - 2)::BIGINT AS byte, left(v || chr(65533), 100) AS text FROM l WHERE event_type = 'error'""",
     "envelope": _EV + 'SELECT "partition", "offset", v AS value FROM ev',
     "topic_range": _EV
     + 'SELECT "partition", "offset", v AS value FROM ev '
@@ -128,6 +161,17 @@ SELECT "partition", line_count, round(line_count * 1000000.0::DOUBLE / nullif(us
 FROM p WHERE line_count % 1000 = 0""",
     "first_records": _EV
     + 'SELECT "partition", "offset", "offset" + 1 AS record_no, v AS value FROM ev WHERE "offset" < 5',
+    "progress_holes": _EV
+    + """, p AS (
+  SELECT "partition", row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS line_count, epoch_us(ts) AS us,
+         min(epoch_us(ts)) OVER (PARTITION BY "partition") AS us0
+  FROM ev WHERE event_type <> 'error')
+SELECT "partition", line_count, round(line_count * 1000000.0::DOUBLE / nullif(us - us0, 0), 6) AS rps
+FROM p WHERE line_count % 1000 = 0""",
+    "first_records_holes": _EV
+    + """, p AS (
+  SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS record_no FROM ev WHERE event_type <> 'error')
+SELECT "partition", "offset", record_no, v AS value FROM p WHERE record_no <= 5""",
     "console_preview": _EV
     + f"""SELECT "partition", "offset", NULL::VARCHAR AS key, {_EVENT_FIELDS}
 FROM ev ORDER BY "partition", "offset" LIMIT 20""",

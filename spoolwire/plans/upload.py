@@ -9,7 +9,7 @@ from spoolwire.errors import EncodingError
 from spoolwire.operators.records import non_empty
 from spoolwire.sinks.topic import publish
 from spoolwire.sources.csv import OVERFLOW, audit_encoding, csv_headers, scan_csv
-from spoolwire.sources.topic import Topic
+from spoolwire.sources.topic import KafkaTopic, Topic
 
 REPORT_SCHEMA = (
     "source string, topic string, rows_in long, rows_sent long, rows_skipped long, rows_long long, "
@@ -39,8 +39,9 @@ def upload_csv(
     a partial upload. The same pass shows whether the source can be read line
     by line with equal rows (:func:`line_safe`); only then are its files split
     across tasks, unless ``multiline`` says otherwise. Fields beyond the header
-    travel under the key ``"null"``, which only long rows have. Counts come
-    from an observation inside the publish itself: one pass over the data.
+    travel under the key ``"null"``, which only long rows have. Records are
+    written in source order by the tasks that read them, unless publish options
+    place them. Counts come from an observation inside the publish itself.
     With ``raise_errors=False`` any failure is reported in the row
     (``status='failed'``) instead of raised.
     """
@@ -54,8 +55,10 @@ def upload_csv(
                 raise EncodingError(f"invalid UTF-8 on {total.bad} lines of {path}; re-encode the source as UTF-8")
             if multiline is None:
                 multiline = bool(total.unsafe)
+        placed = any(publish_options.get(k) is not None for k in ("key_column", "partition_by", "order_by")) or isinstance(topic, KafkaTopic)
         records = scan_csv(
-            spark, path, multiline=multiline is not False, encoding=encoding, include_header_record=include_header_record
+            spark, path, multiline=multiline is not False, encoding=encoding, include_header_record=include_header_record,
+            with_position=not placed,
         )
         fields = csv_headers(records)
         optional = [OVERFLOW_KEY] if OVERFLOW_KEY not in fields else [OVERFLOW]
@@ -64,7 +67,7 @@ def upload_csv(
         obs = Observation("load")
         publish(
             records, topic, columns=fields, optional_columns=optional, partitions=partitions, keep=keep, observation=obs,
-            **publish_options,
+            in_source_order=not placed, **publish_options,
         )
         m = obs.get
         row = (path, name, m["rows_in"], m["rows_sent"], m["rows_skipped"], m["rows_long"], "ok", None)

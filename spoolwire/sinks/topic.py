@@ -4,9 +4,12 @@ Kafka backend: ``write.format('kafka')``; the broker assigns offsets.
 
 File backend: offsets are dense per partition.
 
-* Keyless records take one shuffle and one write: ``repartition`` deals them
-  evenly over the topic's partitions, one task each, and a record's offset is
-  the partition's end plus its place in the task.
+* Keyless records are written where they are read, without a shuffle: counts
+  per split (a narrow pass) and their running sums number the records in
+  source order, and each partition takes an even range of the numbers. So
+  every split is a writer, whatever the number of partitions, and a
+  partition's offsets follow the source. Records that don't come straight from
+  files are staged in the shared folder first.
 * Keyed, placed and ordered records are range-partitioned by ``(partition,
   order_by..., hash(value))``, so a partition that holds a large share of the
   rows is split across tasks. They are staged once in the shared folder,
@@ -28,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import CREATE_TIME, ENVELOPE, Serializer, wire_value
+from spoolwire.operators.source_order import BROADCAST_SPLITS, numbered, split_counts
+from spoolwire.sources.csv import BLOCK, FILE
 from spoolwire.sources.topic import KafkaTopic, Topic, by_partition, current_end_offsets, ends_in_data, record_end_offsets
 from spoolwire.workspace import delete_path, scratch_path
 
@@ -85,6 +90,7 @@ def publish(
     keep: Column | None = None,
     observation: Observation | None = None,
     max_records_per_file: int = 5_000_000,
+    in_source_order: bool = False,
 ) -> PublishResult:
     """Append ``df``'s records to ``topic``.
 
@@ -103,8 +109,8 @@ def publish(
     ``keep`` sends only the rows it holds true for; ``observation`` (an
     ``Observation``) is filled with ``rows_in, rows_sent, rows_skipped,
     rows_long`` (sent rows with an optional column). The counts are taken
-    where each row passes exactly once: before the even dealing, and after a
-    range shuffle, whose sampling job would otherwise count rows a second time.
+    where each row passes exactly once: in the writing pass, and after a range
+    shuffle, whose sampling job would otherwise count rows a second time.
     Topic files hold at most ``max_records_per_file`` records each.
     """
     extra = [_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
@@ -139,6 +145,8 @@ def publish(
     if part_expr is None and key_column is not None:
         # Spark's Murmur3 hash of the key (a Kafka client uses murmur2).
         part_expr = F.pmod(F.when(key.isNull(), F.hash(value)).otherwise(F.hash(_col(key_column).cast("string"))), F.lit(n_parts))
+    if in_source_order and (part_expr is not None or order_by):
+        raise ValueError("in_source_order is an order of its own: it takes no key, partition_by or order_by")
 
     sel = [key.alias("key"), value.alias("value"), ts.alias("timestamp")]
     if part_expr is None and order_by:
@@ -146,24 +154,49 @@ def publish(
     if part_expr is not None:
         sel.append(part_expr.cast("int").alias("partition"))
     prepared = df.select(*sel, *extra, *flags)
-    end = by_partition(current)
-    if part_expr is None:
-        place = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
-        dealt = _counted(prepared, observation, F.col("_long")).filter(F.col("_keep")).repartition(n_parts)
-        placed = dealt.select("key", "value", "timestamp", F.spark_partition_id().alias("partition"), place.alias("_place"))
-        out = placed.withColumn("offset", end + F.col("_place"))
-        _append(out, topic, max_records_per_file)
-    else:
-        stage_path = scratch_path(spark, f"stage-{topic.name}")
-        try:
-            _publish_placed(prepared, observation, end, len(extra), n_parts, topic, stage_path, max_records_per_file)
-        finally:
-            delete_path(spark, stage_path)
-    new_ends = {**current, **ends_in_data(spark, topic, current)}
+    stage_path = scratch_path(spark, f"stage-{topic.name}")
+    try:
+        if part_expr is not None:
+            _publish_placed(prepared, observation, by_partition(current), len(extra), n_parts, topic, stage_path, max_records_per_file)
+            new_ends = {**current, **ends_in_data(spark, topic, current)}
+        elif in_source_order:
+            source = df.select(*sel, *extra, *flags, FILE, BLOCK)
+            new_ends = _publish_in_order(source, observation, current, topic, stage_path, max_records_per_file)
+        else:
+            kept = _counted(prepared, observation, F.col("_long")).filter(F.col("_keep"))
+            kept.drop("_keep", "_long").write.parquet(f"{stage_path}/records")
+            staged = spark.read.schema(kept.drop("_keep", "_long").schema).parquet(f"{stage_path}/records")
+            at = {FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start")}
+            source = staged.withColumns({**at, "_keep": F.lit(True), "_long": F.lit(False)})
+            new_ends = _publish_in_order(source, None, current, topic, stage_path, max_records_per_file)
+    finally:
+        delete_path(spark, stage_path)
     record_end_offsets(spark, topic, new_ends)
     return PublishResult(topic.name, sum(new_ends.values()) - sum(current.values()), n_parts, current)
 
 
+def _publish_in_order(source, observation, current, topic, stage_path, max_records_per_file) -> dict[int, int]:
+    """Kept records of a scan, written by the tasks that read them; the new end of each partition.
+
+    The table of splits (one small row each) is written beside the stage, so
+    that its scan runs once.
+    """
+    spark = source.sparkSession
+    path = f"{stage_path}/splits"
+    found = split_counts(source, F.col("_keep"))
+    found.write.parquet(path)
+    splits = spark.read.schema(found.schema).parquet(path)
+    total = splits.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("splits")).first()
+    n_parts, n = len(current), total.n or 0
+    share = max(1, -(-n // n_parts))  # records of each partition; the last ones may get fewer
+    kept = numbered(_counted(source, observation, F.col("_long")), splits, F.col("_keep"), total.splits <= BROADCAST_SPLITS)
+    at = F.col("record_no") - 1
+    part = F.expr(f"cast((record_no - 1) div {share} as int)")
+    out = kept.withColumn("partition", part).withColumn("offset", by_partition(current) + at - F.col("partition") * share)
+    _append(out.sortWithinPartitions("partition", "offset"), topic, max_records_per_file)
+    return {p: o + min(max(n - p * share, 0), share) for p, o in current.items()}
+
+
 def _publish_placed(prepared, observation, end, n_order, n_parts, topic, stage_path, max_records_per_file) -> None:
     """Records with a ``partition``: range shuffle, stage, number, write."""
     spark = prepared.sparkSession

@@ -26,6 +26,9 @@ from spoolwire.workspace import path_exists
 HEADER_META = "spoolwire.csv_header"
 CORRUPT = "_corrupt_record"
 OVERFLOW = "_overflow"
+#: Where a record comes from: its file, and the first byte of the split that a task reads.
+FILE = "_file"
+BLOCK = "_block"
 
 
 # Common spellings of the charsets Spark's CSV reader accepts.
@@ -48,7 +51,7 @@ def _base_reader(spark: SparkSession, multiline: bool, encoding: str):
     )
 
 
-def _source_exists(spark: SparkSession, path: str) -> bool:
+def source_exists(spark: SparkSession, path: str) -> bool:
     if any(ch in path for ch in "*?[{"):
         return True  # a glob: let Spark resolve it
     return path_exists(spark, path)
@@ -56,7 +59,7 @@ def _source_exists(spark: SparkSession, path: str) -> bool:
 
 def raw_header(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "utf-8") -> list[str]:
     """The header's cells as written (blank and repeated ones included), from the first record."""
-    if not _source_exists(spark, path):
+    if not source_exists(spark, path):
         raise SourceNotFound(path)
     first = _base_reader(spark, multiline, encoding).option("header", False).csv(path).first()
     return [c or "" for c in first] if first else []
@@ -64,7 +67,7 @@ def raw_header(spark: SparkSession, path: str, multiline: bool = True, encoding:
 
 def csv_header(spark: SparkSession, path: str, multiline: bool = True, encoding: str = "utf-8") -> list[str]:
     """Column names from the header line (only the first record is read)."""
-    if not _source_exists(spark, path):
+    if not source_exists(spark, path):
         raise SourceNotFound(path)
     return _base_reader(spark, multiline, encoding).csv(path).columns
 
@@ -97,12 +100,14 @@ def scan_csv(
     include_header_record: bool = False,
     keep_raw: bool = False,
     check_headers: bool = True,
+    with_position: bool = False,
 ) -> DataFrame:
     """Scan CSV file(s) into all-string columns named by the header.
 
     Output: the header columns, ``_overflow array<string>`` (fields beyond the
-    header width, else null) and, with ``keep_raw``, ``_corrupt_record`` (the
-    raw text of ragged rows).
+    header width, else null), with ``keep_raw`` ``_corrupt_record`` (the raw
+    text of ragged rows), and ``with_position`` ``_file, _block``, from which
+    ``operators.source_order`` numbers records.
 
     Spark's multi-line reader is the default: quoted fields may hold line
     breaks, and each file is one task, so large sources should come as many
@@ -118,7 +123,7 @@ def scan_csv(
     """
     cells = raw_header(spark, path, multiline, encoding)
     headers = csv_header(spark, path, multiline, encoding)
-    for reserved in (CORRUPT, OVERFLOW):
+    for reserved in (CORRUPT, OVERFLOW, *((FILE, BLOCK) if with_position else ())):
         if reserved in headers:
             raise ValueError(f"header column {reserved!r} clashes with a reserved column")
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers] + [T.StructField(CORRUPT, T.StringType())])
@@ -144,9 +149,12 @@ def scan_csv(
     cols.append(F.when(n > width, csv_unquote(F.slice("_toks", width + 1, n - width))).alias(OVERFLOW))
     if keep_raw:
         cols.append(raw.alias(CORRUPT))
+    if with_position:
+        cols += [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK)]
     out = staged.select(cols)
     if include_header_record:
-        row = [tuple(cells) + (None,) + ((None,) if keep_raw else ())]
+        # before every file
+        row = [tuple(cells) + (None,) + ((None,) if keep_raw else ()) + (("", 0) if with_position else ())]
         head = spark.createDataFrame(row, out.schema)
         out = head.unionByName(out)
         out = out.select([F.col(f"`{h}`").alias(h, metadata=meta) for h in headers] + out.columns[width:])
@@ -161,8 +169,9 @@ def line_safe(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
     """Whether reading line by line returns the rows of the multi-line reader, proven by one pass over the source.
 
     Every line must be a record of its own: each field quoted as a whole or
-    free of quotes, no carriage return, not only white space. Sources in other
-    encodings than UTF-8 are never approved.
+    free of quotes, no carriage return, no NUL, not made of characters up to
+    U+0020 alone (the line reader drops such lines). Sources in other encodings
+    than UTF-8 are never approved.
     """
     if _charset(encoding) != "utf-8":
         return False
@@ -174,22 +183,24 @@ def audit_encoding(spark: SparkSession, path: str, mode: str = "report") -> Data
 
     Lines are read as raw bytes (Spark's text source does not validate), so
     the check is split-parallel and covers every byte, not a prefix.
-    ``unsafe_lines`` counts the lines for which :func:`line_safe` turns a
+    ``first_bad`` is the file's first invalid line (repaired); :func:`locate_bad_utf8`
+    says where all of them are. ``unsafe_lines`` counts the lines for which :func:`line_safe` turns a
     source down. ``mode='strict'`` raises :class:`EncodingError` with the
     number of bad files and lines, and the first ten names.
     """
-    if not _source_exists(spark, path):
+    if not source_exists(spark, path):
         raise SourceNotFound(path)
     if mode not in ("report", "strict"):
         raise ValueError("mode must be 'report' or 'strict'")
     lines = spark.read.option("lineSep", "\n").text(path)
     bad = ~F.is_valid_utf8("value")
-    blank = (F.trim("value") == "") & (F.col("value") != "")
-    unsafe = blank | F.contains("value", F.lit("\r")) | ~F.col("value").rlike(_WHOLE_LINE)
-    report = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+    lines = lines.withColumns({FILE: F.col("_metadata.file_path"), "_at": F.struct("_metadata.file_block_start", F.monotonically_increasing_id())})
+    blank = F.col("value").rlike(r"^[\x00-\x20]+$")
+    unsafe = blank | F.col("value").rlike(r"[\r\x00]") | ~F.col("value").rlike(_WHOLE_LINE)
+    report = lines.groupBy(F.col(FILE).alias("file")).agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(bad).alias("bad_lines"),
-        F.min(F.when(bad, F.make_valid_utf8("value"))).alias("first_bad"),
+        F.min_by(F.make_valid_utf8("value"), F.when(bad, F.col("_at"))).alias("first_bad"),
         F.count_if(unsafe).alias("unsafe_lines"),
     )
     report = report.withColumn("ok", F.col("bad_lines") == 0)
