@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from spoolwire.errors import SourceNotFound
 from spoolwire.functions.text import head_chars, utf8_repair, utf8_valid_prefix
-from spoolwire.operators.source_order import ROW, before
+from spoolwire.operators.source_order import ROW
 from spoolwire.sources.csv import BLOCK, FILE, source_exists
 
 #: Consecutive lines whose lengths are ever summed up one by one.
@@ -25,9 +25,9 @@ def locate_bad_utf8(spark: SparkSession, path: str, run: int = RUN) -> DataFrame
     compressed files ``byte`` is an offset in the uncompressed text. Sources
     without a bad line give no row.
 
-    Lines and bytes are counted per run of ``run`` lines of a split and summed
-    up over the runs of a split and the splits of a file; only runs with a bad
-    line are looked at again, line by line, without their texts.
+    Lines and bytes are counted per run of ``run`` lines of a split, and summed
+    up over the runs of a file; only runs with a bad line are looked at again,
+    line by line, without their texts.
     """
     if not source_exists(spark, path):
         raise SourceNotFound(path)
@@ -42,20 +42,17 @@ def locate_bad_utf8(spark: SparkSession, path: str, run: int = RUN) -> DataFrame
     runs = lines.groupBy(FILE, BLOCK, "_run").agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_bytes").alias("_length"), F.count("_bad").alias("_bads"), F.max("_size").alias("_size")
     )
-    splits = runs.groupBy(FILE, BLOCK).agg(*[F.sum(c).alias(c) for c in ("_n", "_length", "_bads")], F.max("_size").alias("_size"))
-    starts = before(splits, {"_n": "_lines", "_length": "_start"})
-    # a reader drops a byte order mark: the lines then have three bytes less than the file
     whole = Window.partitionBy(FILE)
-    missing = F.when(F.sum("_length").over(whole) < F.col("_size"), 3).otherwise(0)
-    starts = starts.withColumn("_start_file", F.col("_start_file") + missing).where("_bads > 0")
-    earlier = Window.partitionBy(FILE, BLOCK).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    sums = {c: F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in ("_n", "_length")}
-    torn = runs.select(FILE, BLOCK, "_run", "_bads", *[e.alias(f"{c}_run") for c, e in sums.items()]).where("_bads > 0").drop("_bads")
-    torn = torn.join(starts.select(FILE, BLOCK, "_lines_file", "_start_file"), [FILE, BLOCK])
+    earlier = whole.orderBy(BLOCK, "_run").rowsBetween(Window.unboundedPreceding, -1)
+    # a reader drops a byte order mark: the lines then have three bytes less than the file
+    mark = F.when(F.sum("_length").over(whole) < F.col("_size"), 3).otherwise(0)
+    lines_before, bytes_before = (F.coalesce(F.sum(c).over(earlier), F.lit(0)) for c in ("_n", "_length"))
+    torn = runs.select(FILE, BLOCK, "_run", "_bads", lines_before.alias("_lines"), (bytes_before + mark).alias("_start"))
+    torn = torn.where("_bads > 0").drop("_bads")
     in_run = Window.partitionBy(FILE, BLOCK, "_run").orderBy(ROW).rowsBetween(Window.unboundedPreceding, -1)
     found = lines.join(torn, [FILE, BLOCK, "_run"]).select(
         F.col(FILE).alias("file"), "text", "_bad",
-        (F.col("_lines_file") + F.col("_n_run") + F.count(ROW).over(in_run) + 1).alias("line"),
-        (F.col("_start_file") + F.col("_length_run") + F.coalesce(F.sum("_bytes").over(in_run), F.lit(0)) + F.col("_bad")).alias("byte"),
+        (F.col("_lines") + F.count(ROW).over(in_run) + 1).alias("line"),
+        (F.col("_start") + F.coalesce(F.sum("_bytes").over(in_run), F.lit(0)) + F.col("_bad")).alias("byte"),
     )
     return found.where(F.col("_bad").isNotNull()).select("file", "line", "byte", "text")

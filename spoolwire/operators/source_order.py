@@ -9,8 +9,6 @@ row per split.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,40 +20,31 @@ ROW = "_row"
 BROADCAST_SPLITS = 100_000
 
 
-def before(sums: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Running sums over splits: for each ``column: name``, ``name_file`` (earlier splits of the file) and ``name`` (of the source).
+def split_sums(rows: DataFrame, keep: Column | None = None) -> DataFrame:
+    """One row per split of ``rows`` (with ``_file, _block``): ``_task``, ``_at`` (its place there) and ``_n`` records that ``keep`` holds true for."""
+    wanted = F.lit(True) if keep is None else keep
+    # the number and the flag first: an aggregate can't number rows
+    rows = rows.withColumns({"_at": F.monotonically_increasing_id(), "_task": F.spark_partition_id(), "_wanted": wanted})
+    return rows.groupBy(FILE, BLOCK, "_task").agg(F.min("_at").alias("_at"), F.count_if("_wanted").alias("_n"))
+
 
-    ``sums`` has one row per ``_file, _block``. Windows run over the splits of a
-    file, and over one row per file.
-    """
-    in_file = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
-    run = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
-    files = sums.groupBy(FILE).agg(*[F.sum(c).alias(f"_t{i}") for i, c in enumerate(columns)])
-    files = files.select(FILE, *[run(f"_t{i}", across).alias(f"_f{i}") for i in range(len(columns))])
-    out = sums.select("*", *[run(c, in_file).alias(f"{n}_file") for c, n in columns.items()]).join(files, FILE)
-    for i, n in enumerate(columns.values()):
-        out = out.withColumn(n, F.col(f"{n}_file") + F.col(f"_f{i}")).drop(f"_f{i}")
-    return out
-
-
-def split_counts(rows: DataFrame, keep: Column | None = None, counts: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per split of ``rows`` (with ``_file, _block``): how many records ``keep`` holds true for, and where they start.
-
-    Columns: ``_file, _block``, ``_n`` (kept records), ``_first`` (the number
-    that :data:`ROW` gives the first kept one), ``_before_file`` and
-    ``_before`` (kept records of earlier splits, in the file and in the
-    source), and the aggregates ``counts``.
+def split_starts(sums: DataFrame) -> DataFrame:
+    """Where the kept records of every split start, from :func:`split_sums`.
+
+    Columns: ``_file, _block, _n``, ``_first`` (the number that :data:`ROW`
+    gives the first kept one), ``_before_file`` and ``_before`` (kept records of
+    earlier splits, in the file and in the source). The windows run over one
+    small row per split, of which the scheduler holds as many.
     """
-    at = F.monotonically_increasing_id()
-    wanted = F.lit(True) if keep is None else keep
-    extra = [c.alias(n) for n, c in (counts or {}).items()]
-    # the number and the flags first: an aggregate can't number rows
-    rows = rows.withColumns({"_at": at, "_task": F.spark_partition_id(), "_wanted": wanted})
-    sums = rows.groupBy(FILE, BLOCK, "_task").agg(F.min("_at").alias("_at"), F.count_if("_wanted").alias("_n"), *extra)
-    earlier = Window.partitionBy("_task").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.shiftleft(F.col("_task").cast("long"), 33) + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    return before(sums.withColumn("_first", first).drop("_at", "_task"), {"_n": "_before"})
+    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = F.shiftleft(F.col("_task").cast("long"), 33) + earlier(Window.partitionBy("_task").orderBy("_at"))
+    in_file, across = Window.partitionBy(FILE).orderBy(BLOCK), Window.orderBy(FILE, BLOCK)
+    return sums.select(FILE, BLOCK, "_n", first.alias("_first"), earlier(in_file).alias("_before_file"), earlier(across).alias("_before"))
+
+
+def split_counts(rows: DataFrame, keep: Column | None = None) -> DataFrame:
+    """:func:`split_starts` of :func:`split_sums`: one pass over ``rows``."""
+    return split_starts(split_sums(rows, keep))
 
 
 def numbered(rows: DataFrame, splits: DataFrame, keep: Column | None = None, broadcast: bool = False) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import CREATE_TIME, ENVELOPE, Serializer, wire_value
-from spoolwire.operators.source_order import BROADCAST_SPLITS, numbered, split_counts
+from spoolwire.operators.source_order import BROADCAST_SPLITS, numbered, split_starts, split_sums
 from spoolwire.sources.csv import BLOCK, FILE
 from spoolwire.sources.topic import KafkaTopic, Topic, by_partition, current_end_offsets, ends_in_data, record_end_offsets
 from spoolwire.workspace import delete_path, scratch_path
@@ -183,13 +183,13 @@ def _publish_in_order(source, observation, current, topic, stage_path, max_recor
     """
     spark = source.sparkSession
     path = f"{stage_path}/splits"
-    found = split_counts(source, F.col("_keep"))
+    found = split_sums(source, F.col("_keep"))
     found.write.parquet(path)
-    splits = spark.read.schema(found.schema).parquet(path)
-    total = splits.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("splits")).first()
+    sums = spark.read.schema(found.schema).parquet(path)
+    total = sums.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("splits")).first()
     n_parts, n = len(current), total.n or 0
     share = max(1, -(-n // n_parts))  # records of each partition; the last ones may get fewer
-    kept = numbered(_counted(source, observation, F.col("_long")), splits, F.col("_keep"), total.splits <= BROADCAST_SPLITS)
+    kept = numbered(_counted(source, observation, F.col("_long")), split_starts(sums), F.col("_keep"), total.splits <= BROADCAST_SPLITS)
     at = F.col("record_no") - 1
     part = F.expr(f"cast((record_no - 1) div {share} as int)")
     out = kept.withColumn("partition", part).withColumn("offset", by_partition(current) + at - F.col("partition") * share)
