@@ -16,12 +16,16 @@ from spoolwire.operators import (
     drop_empty,
     first_records,
     load_report,
+    locate_bad_utf8,
+    number_records,
     offset_gaps,
     parse_any,
     parse_records,
     preview,
     progress,
+    schema_drift,
     schema_profile,
+    source_head,
 )
 from spoolwire.plans import consume_topic, upload_csv
 from spoolwire.schemas import PATENT_SCHEMA, string_schema
@@ -49,6 +53,8 @@ __all__ = [
     "first_records",
     "head_chars",
     "load_report",
+    "locate_bad_utf8",
+    "number_records",
     "offset_gaps",
     "parse_any",
     "parse_records",
@@ -58,7 +64,9 @@ __all__ = [
     "read_topic",
     "run_stream",
     "scan_csv",
+    "schema_drift",
     "schema_profile",
+    "source_head",
     "stream_progress",
     "stream_topic",
     "string_schema",

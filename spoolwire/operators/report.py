@@ -71,7 +71,7 @@ def bucket_counts(topic_df: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return found.select("*", before.alias("_before"), F.min("_us").over(whole).alias("_us0")).drop("_us")
 
 
-def _numbered(rows: DataFrame, buckets: DataFrame, wanted, bucket: int, most: int | None = None) -> DataFrame:
+def numbered_records(rows: DataFrame, buckets: DataFrame, wanted, bucket: int, most: int | None = None) -> DataFrame:
     """``rows`` that lie in ``buckets`` and whose number in the partition, ``record_no``, is ``wanted``.
 
     Without holes in a bucket the number follows from the offset, and unwanted
@@ -100,7 +100,7 @@ def progress(topic_df: DataFrame, every: int = 1000, bucket: int = BUCKET) -> Da
     """
     rows = topic_df.select("partition", "offset", "timestamp")
     marked = bucket_counts(rows, bucket).where(f"(_before + _n) div {int(every)} > _before div {int(every)}")
-    marks = _numbered(rows, marked, lambda no: no % every == 0, bucket)
+    marks = numbered_records(rows, marked, lambda no: no % every == 0, bucket)
     elapsed = F.unix_micros("timestamp") - F.col("_us0")
     return marks.select(
         "partition",
@@ -118,7 +118,7 @@ def first_records(topic_df: DataFrame, n: int = 5, bucket: int = BUCKET) -> Data
     heads = bucket_counts(topic_df.select("partition", "offset", "timestamp"), bucket).where(F.col("_before") < n)
     last = heads.agg(F.max("_hi"))
     near = topic_df.filter(F.col("offset") <= last.scalar())
-    return _numbered(near, heads.drop("_us0"), lambda no: no <= n, bucket, n)
+    return numbered_records(near, heads.drop("_us0"), lambda no: no <= n, bucket, n)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: list[str] | None = None) -> DataFrame:
@@ -144,7 +144,7 @@ def schema_profile(df: DataFrame, column: str = "json", by: str = "partition") -
     )
 
 
-def offset_gaps(topic_df: DataFrame, bucket: int = 1 << 20) -> DataFrame:
+def offset_gaps(topic_df: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Holes in each partition's offsets: ``partition, offset, next_offset, missing``.
 
     ``offset`` is the last present offset before a hole and ``next_offset``
@@ -154,13 +154,19 @@ def offset_gaps(topic_df: DataFrame, bucket: int = 1 << 20) -> DataFrame:
     compared on per-bucket min/max (one row per bucket).
     """
     b = F.expr(f"offset div {int(bucket)}")
-    rows = topic_df.select("partition", "offset").withColumn("_b", b)
-    buckets = rows.groupBy("partition", "_b").agg(
+    buckets = topic_df.groupBy("partition", b.alias("_b")).agg(
         F.min("offset").alias("_lo"), F.max("offset").alias("_hi"), F.count(F.lit(1)).alias("_n")
     )
-    torn = buckets.filter(F.col("_n") != F.col("_hi") - F.col("_lo") + 1).select("partition", "_b")
+    return gaps_between(topic_df, buckets, bucket)
+
+
+def gaps_between(topic_df: DataFrame, buckets: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """The holes that ``buckets`` (``partition, _b, _n, _lo, _hi``) show; rows of ``topic_df`` are ordered in damaged buckets only."""
+    rows = topic_df.select("partition", "offset").withColumn("_b", F.expr(f"offset div {int(bucket)}"))
+    torn = buckets.filter(F.col("_n") != F.col("_hi") - F.col("_lo") + 1).select("partition", "_b", "_hi")
     inner_w = Window.partitionBy("partition", "_b").orderBy("offset")
-    inner = rows.join(torn, ["partition", "_b"], "left_semi").withColumn("next_offset", F.lead("offset").over(inner_w))
+    inner = rows.join(torn, ["partition", "_b"]).where(F.col("offset") <= F.col("_hi"))
+    inner = inner.withColumn("next_offset", F.lead("offset").over(inner_w))
     inner = inner.filter(F.col("next_offset") > F.col("offset") + 1)
     edge_w = Window.partitionBy("partition").orderBy("_b")
     edges = (

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from spoolwire.functions.envelope import ntz_to_instant, stringify, with_position
 from spoolwire.functions.text import head_chars, utf8_ok
+from spoolwire.operators.drift import schema_drift
 from spoolwire.operators.locate import locate_bad_utf8
 from spoolwire.operators.records import deserialize, drop_empty, parse_any, parse_records, split_quarantine
 from spoolwire.operators.report import first_records, offset_gaps, preview, progress, schema_profile
@@ -25,7 +26,16 @@ from spoolwire.schemas import string_schema
 from spoolwire.sinks.topic import publish
 from spoolwire.sources.csv import audit_encoding, csv_headers, scan_csv
 from spoolwire.sources.topic import FileTopic, missing_ranges, read_topic
-from spoolwire.streaming.topic_stream import run_stream
+from spoolwire.streaming.live import (
+    batch_writer,
+    drop_resent,
+    live_progress,
+    read_batches,
+    read_progress,
+    seen_gaps,
+    watch_offsets,
+)
+from spoolwire.streaming.topic_stream import decode_records, emit_records, run_stream, stream_topic
 from spoolwire.workspace import scratch_path
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -276,6 +286,20 @@ def events_topic(spark: SparkSession, sf_dir: str) -> FileTopic:
     return FileTopic(_memo(spark, ("events_topic", sf_dir), build), "data")
 
 
+def events_topic_mixed(spark: SparkSession, sf_dir: str) -> FileTopic:
+    """Events topic of producers that differ: every fifth id has ``uid`` for
+    ``user_id``, every seventh its ``event_id`` as a number, every eleventh lost
+    its closing brace."""
+
+    def value(j):
+        eid = F.col("_eid")
+        j = F.when(eid % 5 == 0, F.replace(j, F.lit('"user_id":'), F.lit('"uid":'))).otherwise(j)
+        j = F.when(eid % 7 == 0, F.regexp_replace(j, '"event_id":"([0-9]+)"', '"event_id":$1')).otherwise(j)
+        return F.when(eid % 11 == 0, F.substring(j, F.lit(1), F.length(j) - 1)).otherwise(j).cast("binary")
+
+    return _wire_events_topic(spark, sf_dir, "events-mixed", value)
+
+
 def _wire_events_topic(spark: SparkSession, sf_dir: str, label: str, value) -> FileTopic:
     def build() -> str:
         topic = FileTopic(scratch_path(spark, label), "data")
@@ -596,6 +620,11 @@ def q_schema_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_profile(parse_any(read_topic(spark, events_topic(spark, sf_dir))))
 
 
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that records of a mixed topic have beside, instead of, or without those of the declared schema."""
+    return schema_drift(read_topic(spark, events_topic_mixed(spark, sf_dir)), string_schema(EVENT_COLUMNS))
+
+
 def q_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offset holes in a topic that lost its ``error`` records."""
     return offset_gaps(read_topic(spark, events_topic_lossy(spark, sf_dir)))
@@ -704,6 +733,73 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _publish_thirds(spark: SparkSession, sf_dir: str, topic: FileTopic, each: Callable[[], object], keep=None) -> None:
+    """Events as they come in: a third of the ids after the other, ``each`` called after every one of them."""
+    rec = _event_records(spark, sf_dir)
+    third = table(spark, sf_dir, "events").agg((F.max("event_id") + 3) / 3)
+    part = F.floor(F.col("_eid") / third.scalar())
+    for i in range(3):
+        wire = rec.where(part == i).select(
+            F.lit(None).cast("binary").alias("key"), "_eid", "_ts", "event_type",
+            F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"}).cast("binary").alias("value"),
+        )
+        publish(
+            wire, topic, wire=True, partitions=EVENT_PARTITIONS, order_by=["_eid"], timestamp_column="_ts", keep=keep,
+            partition_by=F.pmod(F.col("_eid"), F.lit(EVENT_PARTITIONS)),
+        )
+        each()
+
+
+def q_stream_live_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress rows written while events come in by thirds, the stream started anew for each."""
+    topic = FileTopic(scratch_path(spark, "live-topic"), "data")
+    out, checkpoint = scratch_path(spark, "live-progress"), scratch_path(spark, "live-checkpoint")
+    _publish_thirds(spark, sf_dir, topic, lambda: live_progress(spark, topic, out, checkpoint))
+    return read_progress(spark, out).select("partition", "line_count", "rps")
+
+
+def q_stream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holes from the state of a stream over a topic that lost records, drained file by file over two runs."""
+    topic = events_topic_lossy(spark, sf_dir)
+    out, checkpoint = scratch_path(spark, "offsets-seen"), scratch_path(spark, "offsets-checkpoint")
+    for _ in range(2):
+        watch_offsets(spark, topic, out, checkpoint, max_files_per_trigger=3, bucket=1 << 10)
+    return seen_gaps(spark, out, read_topic(spark, topic), bucket=1 << 10)
+
+
+def q_stream_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decoded records written by batch number; the first run fails after a batch's write, the second repeats that batch."""
+    out, checkpoint = scratch_path(spark, "once-sink"), scratch_path(spark, "once-checkpoint")
+    topic, write = events_topic(spark, sf_dir), batch_writer(out)
+    stream = lambda: decode_records(stream_topic(spark, topic, max_files_per_trigger=2))
+
+    def broken(batch: DataFrame, number: int) -> None:
+        write(batch, number)
+        raise RuntimeError("lost after the write, before the commit")
+
+    for each in (broken, write):
+        query = emit_records(stream(), checkpoint_location=checkpoint, foreach_batch=each)
+        try:
+            query.awaitTermination()
+        except Exception as e:
+            if each is write or "before the commit" not in str(e):
+                raise
+    return read_batches(spark, out).select("partition", "offset", "value")
+
+
+def q_stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O12 (at least once), O30: a topic to which every second event was sent twice, drained to distinct records."""
+    topic = FileTopic(scratch_path(spark, "resent-topic"), "data")
+    rec = _event_records(spark, sf_dir)
+    for again in (rec, rec.where("_eid % 2 = 0")):
+        publish(again, topic, columns=EVENT_COLUMNS, partitions=EVENT_PARTITIONS, timestamp_column="_ts")
+    sink, checkpoint = scratch_path(spark, "distinct-sink"), scratch_path(spark, "distinct-checkpoint")
+    # events of the whole table count as on time
+    distinct = drop_resent(stream_topic(spark, topic), "100000 days")
+    emit_records(decode_records(distinct), "parquet", sink, checkpoint).awaitTermination()
+    return spark.read.parquet(sink).select("value")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_roundtrip": q_ingest_roundtrip,
     "ingest_lineitem": q_ingest_lineitem,
@@ -738,6 +834,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_records_holes": q_first_records_holes,
     "console_preview": q_console_preview,
     "schema_profile": q_schema_profile,
+    "schema_drift": q_schema_drift,
     "offset_gaps": q_offset_gaps,
     "missing_ranges": q_missing_ranges,
     "keyed_publish": q_keyed_publish,
@@ -747,4 +844,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_from_offsets": q_stream_from_offsets,
     "stream_resume": q_stream_resume,
     "stream_quarantine": q_stream_quarantine,
+    "stream_live_progress": q_stream_live_progress,
+    "stream_gaps": q_stream_gaps,
+    "stream_once": q_stream_once,
+    "stream_distinct": q_stream_distinct,
 }

@@ -177,6 +177,18 @@ SELECT "partition", "offset", record_no, v AS value FROM p WHERE record_no <= 5"
 FROM ev ORDER BY "partition", "offset" LIMIT 20""",
     "schema_profile": _EV
     + f"""SELECT "partition", count(*) AS records, '{_EVENT_SCHEMA}' AS json_schema FROM ev GROUP BY 1""",
+    "schema_drift": _EV
+    + """, m AS (SELECT *, event_id % 11 = 0 AS broken FROM ev),
+d AS (
+  SELECT "partition", "offset", '$.uid' AS path, 'added' AS drift, NULL AS declared,
+         CASE WHEN user_id IS NULL THEN 'VOID' ELSE 'STRING' END AS found
+  FROM m JOIN events USING (event_id) WHERE event_id % 5 = 0 AND NOT broken
+  UNION ALL SELECT "partition", "offset", '$.event_id', 'changed', 'STRING', 'BIGINT' FROM m WHERE event_id % 7 = 0 AND NOT broken
+  UNION ALL SELECT "partition", "offset", '$', 'changed', 'OBJECT', 'MALFORMED' FROM m WHERE broken
+  UNION ALL SELECT "partition", "offset", '$.user_id', 'missing', 'STRING', NULL FROM m WHERE event_id % 5 = 0 OR broken
+  UNION ALL SELECT "partition", "offset", '$.' || c, 'missing', 'STRING', NULL
+  FROM m, (SELECT unnest(['event_id', 'ts', 'event_type', 'value', 'props']) AS c) WHERE broken)
+SELECT "partition", path, drift, declared, found, count(*) AS records, min("offset") AS first_offset FROM d GROUP BY ALL""",
     "offset_gaps": _EV
     + """, kept AS (
   SELECT "partition", "offset",
@@ -214,3 +226,7 @@ SELECT "partition", n_even + rn AS "offset", v AS value FROM halves WHERE event_
        CASE WHEN event_type = 'error' THEN left(v, length(v) - 1) END AS _corrupt_record
 FROM ev""",
 }
+ORACLE["stream_live_progress"] = ORACLE["progress"]
+ORACLE["stream_gaps"] = ORACLE["offset_gaps"]
+ORACLE["stream_once"] = ORACLE["envelope"]
+ORACLE["stream_distinct"] = _EV + "SELECT v AS value FROM ev"
