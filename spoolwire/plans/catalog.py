@@ -693,6 +693,14 @@ def q_stream_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_variant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fields of records that the stream stored as VARIANT; the scan reads their shredded columns only."""
+    sink = scratch_path(spark, "variant-sink")
+    run_stream(spark, events_topic(spark, sf_dir), sink, scratch_path(spark, "variant-checkpoint"))
+    field = lambda c: F.variant_get("json", f"$.{c}", "string").alias(c)
+    return spark.read.parquet(sink).select("partition", "offset", field("event_type"), field("user_id"))
+
+
 def q_stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream started at ``latest`` over half of the events, drained,
     and drained again with its checkpoint after the other half came: exactly
@@ -843,6 +851,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_checked": q_topic_checked,
     "stream_from_offsets": q_stream_from_offsets,
     "stream_resume": q_stream_resume,
+    "variant_fields": q_variant_fields,
     "stream_quarantine": q_stream_quarantine,
     "stream_live_progress": q_stream_live_progress,
     "stream_gaps": q_stream_gaps,

@@ -214,6 +214,7 @@ FROM ({_CUSTOMER})""",
     'WHERE NOT ("partition" = 0 AND "offset" < 100) AND NOT ("partition" = 2 AND "offset" < 2500)',
     "stream_drain": _EV
     + 'SELECT "partition", "offset", NULL::VARCHAR AS key, v AS value, event_type FROM ev',
+    "variant_fields": _EV + 'SELECT "partition", "offset", event_type, s_user_id AS user_id FROM ev',
     "stream_resume": _EV
     + """, halves AS (
   SELECT *, count(*) FILTER (event_id % 2 = 0) OVER (PARTITION BY "partition") AS n_even,

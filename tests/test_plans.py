@@ -67,3 +67,9 @@ def test_offset_gaps_windows_are_bucketed(spark, tmp):
     # the row-level window is partitioned by (partition, bucket), never by partition alone
     windows = [line for line in p.splitlines() if "Window [lead(offset" in line]
     assert windows and all("_b" in w.split("windowspecdefinition(")[1] for w in windows)
+
+
+def test_stored_variant_is_read_by_field(spark):
+    p = plan(QUERIES["variant_fields"](spark, SMALL).select("event_type", "user_id"))
+    # the scan asks for two fields of the stored value, not for the value
+    assert "ReadSchema: struct<json:struct<0:string,1:string>>" in p, p
