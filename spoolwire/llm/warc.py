@@ -6,10 +6,12 @@ response with the same canonical URL. If the validators of both agree, it gets
 that response's payload, and its headers with the fields that a 304 may
 update.
 
-The as-of join works on narrow rows and in two levels: within ranges of
-``RANGE_SECONDS`` of one URL by a window, and across ranges by the last
-response of each, so that an often crawled URL isn't one group. Payloads join
-last, by record id.
+Records are parsed once, into a table with a number for each row. The as-of
+join works on the instants of that table at which a URL was visited, one narrow
+row each however many records there are, and in two levels: by a window within
+ranges of ``RANGE_SECONDS`` of one URL, and across ranges by the last response
+of each. So a group is bounded by the seconds of a range. Payloads move once,
+in the last join, by row number.
 """
 
 from __future__ import annotations
@@ -103,59 +105,62 @@ def merged_headers(new: Column, old: Column) -> Column:
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """``records`` with ``canonical``, ``outcome``, ``base_id`` and the resolved ``status``, ``headers`` and ``payload``.
 
-    ``records`` has the columns of ``parse_warc``. Outcomes: ``full`` (a
-    response), ``resolved``, ``validator_mismatch`` (the latest earlier
-    response is named, but nothing is taken from it), ``no_earlier_response``.
-    A response at the revisit's own second isn't earlier; of several at one
-    second the one with the largest id counts, and rows that share an id and
-    date are one response. Records without a URL or date, or of another type,
-    find nothing; rows without an id resolve like others. An empty table gives
-    an empty one.
+    ``records`` has the columns of ``parse_warc``; others are left out.
+    Outcomes: ``full`` (a response), ``resolved``, ``validator_mismatch`` (the
+    latest earlier response is named, but nothing is taken from it),
+    ``no_earlier_response``. A response at the revisit's own second isn't
+    earlier; of several at one second the one with the largest id counts, of
+    several with that id the one with the largest payload digest, then the last
+    of the table. Records without a URL or date, or of another type, find
+    nothing; rows without an id resolve like others; repeated rows are each
+    resolved. An empty table gives an empty one.
     """
-    rows = records.withColumn("canonical", canonical_url(F.col("url")))
-    full = (F.col("type") == "response") & (F.col("status") == 200)
+    own = ["record_id", "type", "url", "date", "status", "headers", "payload"]
+    rows = records.select(*own, canonical_url(F.col("url")).alias("canonical"), F.monotonically_increasing_id().alias("row"))
+    is_full = F.coalesce((F.col("type") == "response") & (F.col("status") == 200), F.lit(False))
+    rows = materialize(rows.withColumns({"full": is_full, "digest": F.when(is_full, F.md5("payload"))}), "warc-parsed")
+    revisit = F.coalesce(F.col("type") == "revisit", F.lit(False))
     usable = F.col("canonical").isNotNull() & F.col("date").isNotNull()
-    narrow = rows.where(usable & (full | (F.col("type") == "revisit"))).select("canonical", "date", "record_id", full.alias("full"))
-    narrow = materialize(narrow.withColumn("range", F.floor(F.col("date") / RANGE_SECONDS)), "warc-narrow")
-    this = F.when(F.col("full"), F.struct("date", "record_id"))
-    last = narrow.groupBy("canonical", "range").agg(F.max(this).alias("last"))
+
+    this = F.when(F.col("full"), F.struct("record_id", "digest", "row"))
+    visits = rows.where(usable & (F.col("full") | revisit)).groupBy("canonical", "date").agg(F.max(this).alias("this"), F.bool_or(revisit).alias("asked"))
+    visits = visits.withColumn("range", F.floor(F.col("date") / RANGE_SECONDS))
+    last = visits.groupBy("canonical", "range").agg(F.max_by("this", F.when(F.col("this").isNotNull(), F.col("date"))).alias("last"))
     ahead = W.partitionBy("canonical").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     carried = last.select("canonical", "range", F.last("last", ignorenulls=True).over(ahead).alias("carried"))
-    inside = W.partitionBy("canonical", "range").orderBy("date").rangeBetween(W.unboundedPreceding, -1)
-    found = narrow.withColumn("near", F.max(this).over(inside)).where(~F.col("full")).join(carried, ["canonical", "range"])
-    found = found.select(F.coalesce("near", "carried").alias("base"), "canonical", "date", "record_id")
-    found = found.where(F.col("base").isNotNull()).select(
-        F.col("canonical").alias("c"), F.col("date").alias("d"), F.col("record_id").alias("r"), F.col("base.record_id").alias("base_id"), F.col("base.date").alias("base_date")
-    ).distinct()
-    base = rows.where(full & usable).select(
-        F.col("canonical").alias("bc"), F.col("record_id").alias("bid"), F.col("date").alias("bdate"), F.col("headers").alias("old"), F.col("payload").alias("body"), F.lit(True).alias("has")
-    ).dropDuplicates(["bc", "bid", "bdate"])
-    known = found.join(base, (F.col("c") == F.col("bc")) & F.col("base_id").eqNullSafe(F.col("bid")) & (F.col("base_date") == F.col("bdate")))
-    revisits = rows.where(F.col("type") == "revisit").join(
-        known, (F.col("canonical") == F.col("c")) & (F.col("date") == F.col("d")) & F.col("record_id").eqNullSafe(F.col("r")), "left"
-    )
-    ok = F.coalesce(F.col("has") & validators_agree(F.col("headers"), F.col("old")), F.lit(False))
-    outcome = F.when(ok, "resolved").when(F.col("has"), "validator_mismatch").otherwise("no_earlier_response")
+    inside = W.partitionBy("canonical", "range").orderBy("date").rowsBetween(W.unboundedPreceding, -1)
+    found = visits.withColumn("near", F.last("this", ignorenulls=True).over(inside)).where("asked").join(carried, ["canonical", "range"])
+    found = found.select("canonical", "date", F.coalesce("near", "carried").alias("base")).where("base is not null")
+    bases = materialize(found.select("canonical", "date", F.col("base.record_id").alias("base_id"), F.col("base.row").alias("base_row")), "warc-bases")
+
     cols = ["record_id", "type", "url", "date", "canonical"]
-    done = revisits.select(
-        *cols, outcome.alias("outcome"), "base_id", F.when(ok, F.lit(200)).otherwise(F.col("status")).alias("status"),
+    asked = rows.where(revisit & usable).select(*cols, "status", "headers").join(bases, ["canonical", "date"], "left")
+    base = rows.where("full").select(F.col("row").alias("base_row"), F.col("headers").alias("old"), F.col("payload").alias("body"))
+    known = asked.where("base_row is not null").join(base, "base_row")
+    ok = F.coalesce(validators_agree(F.col("headers"), F.col("old")), F.lit(False))
+    resolved = known.select(
+        *cols, F.when(ok, "resolved").otherwise("validator_mismatch").alias("outcome"), "base_id", F.when(ok, F.lit(200)).otherwise(F.col("status")).alias("status"),
         F.when(ok, merged_headers(F.col("headers"), F.col("old"))).otherwise(F.col("headers")).alias("headers"), F.when(ok, F.col("body")).alias("payload"),
+    )
+    nothing = [F.lit(None).cast(records.schema["record_id"].dataType).alias("base_id"), "status", "headers"]
+    missing = F.lit("no_earlier_response").alias("outcome")
+    unknown = asked.where("base_row is null").select(*cols, missing, *nothing, F.lit(None).cast("string").alias("payload"))
+    others = rows.where(~(revisit & usable)).select(
+        *cols, F.when(F.col("full"), "full").otherwise("no_earlier_response").alias("outcome"), *nothing, F.when(~revisit, F.col("payload")).alias("payload")
     )
-    others = rows.where(~F.col("type").eqNullSafe("revisit")).select(
-        *cols, F.when(full, "full").otherwise("no_earlier_response").alias("outcome"), F.lit(None).cast(records.schema["record_id"].dataType).alias("base_id"), "status", "headers", "payload"
-    )
-    return others.unionByName(done)
+    return others.unionByName(unknown).unionByName(resolved)
 
 
-#: The crawl that the query derives from ``pages``: first visits a minute apart, second ones after a month.
-EPOCH, MINUTE, MONTH = 1_700_000_000, 60, 2_592_000
+#: The crawl that the query derives from ``pages``: first visits a minute apart, some pages again after an hour, all after a month.
+EPOCH, MINUTE, HOUR, MONTH = 1_700_000_000, 60, 3_600, 2_592_000
 
 
 def crawl_records(pages: DataFrame) -> DataFrame:
-    """``raw`` WARC records of two visits to every page: a full response, and a 304 under a variant of its URL.
+    """``raw`` WARC records of visits to every page: a full response, and 304s under a variant of its URL.
 
-    Every seventh page has changed its entity tag by the second visit, every
-    fifth sends only a date.
+    Every fourth page is visited again within the hour, all of them a month
+    later. Every seventh has changed its entity tag by then, every fifth sends
+    only a date.
     """
     iso = lambda t: F.date_format(F.to_utc_timestamp(F.timestamp_seconds(t), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     at = F.lit(EPOCH) + F.col("page_id") * MINUTE
@@ -172,14 +177,15 @@ def crawl_records(pages: DataFrame) -> DataFrame:
     variant = F.when(F.col("page_id") % 2 == 0, F.concat(F.col("url"), F.lit("#again"))).otherwise(F.regexp_replace("url", "^https?:", "http:"))
     changed = F.when(F.col("page_id") % 7 == 0, F.lit("x")).otherwise(F.lit(""))
     validator = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("Last-Modified: d"), changed, F.col("page_id").cast("string"))).otherwise(F.concat(F.lit('ETag: W/"'), changed, tag, F.lit('"')))
-    second = F.concat(
-        head("revisit", "again-", variant, at + MONTH), F.lit("HTTP/1.1 304 Not Modified\r\nCache-Control: max-age=3600\r\nContent-Length: 0\r\nConnection: close\r\n"), validator, F.lit("\r\nAge: 5\r\n\r\n"),
+    again = lambda name, after: F.concat(
+        head("revisit", name, variant, at + after), F.lit("HTTP/1.1 304 Not Modified\r\nCache-Control: max-age=3600\r\nContent-Length: 0\r\nConnection: close\r\n"), validator, F.lit("\r\nAge: 5\r\n\r\n"),
     )
-    return pages.select(F.explode(F.array(first, second)).alias("raw"))
+    soon = F.when(F.col("page_id") % 4 == 0, again("soon-", HOUR))
+    return pages.select(F.explode(F.array_compact(F.array(first, soon, again("again-", MONTH)))).alias("raw"))
 
 
 def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records of two crawls of ``pages``, revisits resolved; payloads by length and digest."""
+    """All records of the crawls of ``pages``, revisits resolved; payloads by length and digest."""
     records = parse_warc(crawl_records(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
     out = resolve_revisits(records)
     said = F.array_join(F.transform(F.array_sort("headers"), lambda h: F.concat(h["name"], F.lit("="), h["value"])), "|")
@@ -202,18 +208,19 @@ c AS (
     lambda z: z <> '' AND NOT regexp_matches(z, '^(utm_[a-z]+|ref|gclid|fbclid)='))) AS ps FROM q),
 k AS (
   SELECT *, host || regexp_replace(split_part(rest, '?', 1), '/+$', '') || CASE WHEN len(ps) > 0 THEN '?' || array_to_string(ps, '&') ELSE '' END AS canonical FROM c),
+v AS (SELECT *, 'again-' AS kind, t + 2592000 AS at FROM k UNION ALL SELECT *, 'soon-', t + 3600 FROM k WHERE page_id % 4 = 0),
 b AS (
-  SELECT r.page_id, arg_max(f.page_id, f.t) AS base FROM k r JOIN k f ON f.canonical = r.canonical AND f.t < r.t + 2592000 GROUP BY r.page_id),
+  SELECT r.page_id, r.kind, arg_max(f.page_id, f.t) AS base FROM v r JOIN k f ON f.canonical = r.canonical AND f.t < r.at GROUP BY r.page_id, r.kind),
 j AS (
   SELECT r.*, f.page_id AS bp, f.body AS bbody, f.tag AS btag, f.n AS bn,
     f.page_id IS NOT NULL AND CASE WHEN r.page_id % 5 = 0 THEN r.x || r.page_id = f.page_id::VARCHAR ELSE r.x || r.tag = f.tag END AS ok
-  FROM k r LEFT JOIN b ON b.page_id = r.page_id LEFT JOIN k f ON f.page_id = b.base)
+  FROM v r LEFT JOIN b ON b.page_id = r.page_id AND b.kind = r.kind LEFT JOIN k f ON f.page_id = b.base)
 SELECT 'full-' || page_id AS record_id, canonical, 'full' AS outcome, NULL::VARCHAR AS base_id, 200::BIGINT AS status,
   'cache-control=max-age=60|content-length=' || n || '|content-type=text/html|etag="' || tag || '"|last-modified=d' || page_id AS headers,
   n::BIGINT AS payload_bytes, tag AS payload_md5
 FROM k
 UNION ALL
-SELECT 'again-' || page_id, canonical, CASE WHEN ok THEN 'resolved' WHEN bp IS NOT NULL THEN 'validator_mismatch' ELSE 'no_earlier_response' END,
+SELECT kind || page_id, canonical, CASE WHEN ok THEN 'resolved' WHEN bp IS NOT NULL THEN 'validator_mismatch' ELSE 'no_earlier_response' END,
   'full-' || bp, CASE WHEN ok THEN 200 ELSE 304 END::BIGINT,
   CASE WHEN ok THEN 'age=5|cache-control=max-age=3600|content-length=' || bn || '|content-type=text/html|etag=' ||
       CASE WHEN page_id % 5 = 0 THEN '"' || btag || '"' ELSE 'W/"' || tag || '"' END || '|last-modified=d' || bp

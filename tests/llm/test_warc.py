@@ -64,3 +64,32 @@ def test_parse(spark):
 
 def test_empty(spark):
     assert A.resolve_revisits(spark.createDataFrame([], SCHEMA).drop("c", "old")).count() == 0
+
+
+def test_many_visits_against_brute_force(spark, monkeypatch):
+    """Often crawled URLs, many records of one second and id: by every earlier response, looked at one by one."""
+    import hashlib
+    import random
+
+    monkeypatch.setattr(A, "RANGE_SECONDS", 50)
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        kind = rng.choice(["response", "revisit", "revisit"])
+        url = f"http://x.org/{rng.choice('aaaab')}"
+        date, rid = rng.randrange(400), rng.choice(["p", "q", None, str(i)])
+        tag = rng.choice(['"1"', '"2"'])
+        rows.append((rid, kind, url, date, 200 if kind == "response" else 304, head(etag=tag), f"body {i}" if kind == "response" else None))
+    full = [(r[2], r[3], r[0] is not None, r[0] or "", hashlib.md5(r[6].encode()).hexdigest(), r) for r in rows if r[1] == "response"]
+    want = []
+    for r in rows:
+        if r[1] == "response":
+            want.append((r[0], "full", None, r[6]))
+            continue
+        earlier = [f for f in full if f[0] == r[2] and f[1] < r[3]]
+        base = max(earlier)[-1] if earlier else None
+        ok = base is not None and base[5] == r[5]
+        outcome = "resolved" if ok else "validator_mismatch" if base else "no_earlier_response"
+        want.append((r[0], outcome, base and base[0], base[6] if ok else None))
+    got = A.resolve_revisits(spark.createDataFrame([(*r, "x", "y") for r in rows], SCHEMA).drop("c", "old").repartition(5)).collect()
+    assert sorted(map(repr, want)) == sorted(repr((r["record_id"], r["outcome"], r["base_id"], r["payload"])) for r in got)
