@@ -4,9 +4,9 @@ The network reads windows of ``WINDOW`` bytes in both directions and gives
 every byte position a probability for each language. A document's
 probabilities are the mean over all positions of its whole text. The weights
 are trained on the driver by backpropagation through time from a bounded
-sample of labelled rows (``TRAIN_ROWS`` per language, ``TRAIN_LANGS``
-languages, one window of a hash-random place per row) and are a few kilobytes,
-which every task receives.
+sample of labelled rows (``TRAIN_ROWS`` per language, of every language there
+is, one window of a hash-random place per row) and are a few kilobytes, which
+every task receives.
 """
 
 from __future__ import annotations
@@ -19,14 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, in_share, table, utf8
+from .common import bounded_batches, in_share, materialize, table, utf8
 from .recurrent import F4, GRU, Adam, init
 
 WINDOW = 64
 HIDDEN = 12
-#: The bound of the training sample: rows per language, and languages (the most frequent).
+#: The bound of the training sample: rows of each language.
 TRAIN_ROWS = 600
-TRAIN_LANGS = 64
 EPOCHS = 10
 BATCH = 64
 SEED = 7
@@ -126,19 +125,16 @@ def train(windows: list[bytes], labels: list[str], seed: int = SEED, epochs: int
 
 
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> LanguageModel:
-    """Train on a hash sample of the labelled ``rows``, bounded per language."""
+    """Train on a hash sample of the labelled ``rows``, at most ``TRAIN_ROWS`` of each language; without labels nothing is learned."""
     place = f"cast(pmod(h, greatest(length(`{text}`) - {WINDOW} + 1, 1)) as int) + 1"  # a hash-random window
     labelled = rows.where(F.col(lang).isNotNull() & (F.length(text) > 0)).withColumn("h", F.xxhash64(F.col(id_col), F.col(text)))
     rows = labelled.select(F.col(lang).alias("lang"), "h", F.expr(f"substring(`{text}`, {place}, {WINDOW})").alias("w"))
-    common = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(TRAIN_LANGS).collect()}
-    if not common:
-        return train([], [])
     # a share that leaves a few times TRAIN_ROWS of each language, of which the first by hash are taken
-    shares = F.create_map(*[F.lit(x) for v, n in common.items() for x in (v, min(1.0, 4.0 * TRAIN_ROWS / n))])
-    few = rows.where(F.col("lang").isin(list(common)) & in_share(F.xxhash64("h"), shares[F.col("lang")]))
+    shares = rows.groupBy("lang").count().select("lang", F.least(F.lit(1.0), F.lit(4.0 * TRAIN_ROWS) / F.col("count")).alias("share"))
+    few = rows.join(materialize(shares, "language-shares"), "lang").where(in_share(F.xxhash64("h"), F.col("share")))
     first = W.partitionBy("lang").orderBy("h", "w")
     picked = few.withColumn("i", F.row_number().over(first)).where(F.col("i") <= TRAIN_ROWS)
-    sample = picked.orderBy("lang", "i").collect()  # at most TRAIN_ROWS * TRAIN_LANGS windows
+    sample = picked.orderBy("lang", "i").collect()  # at most TRAIN_ROWS windows of each language
     windows = [(r["w"], r["lang"]) for r in sample]
     windows += [(w.upper(), v) for w, v in windows[::8]]  # capitals are rare in running text
     return train([w.encode()[:WINDOW] for w, _ in windows], [v for _, v in windows])
@@ -169,8 +165,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tu
 
     Null texts, and texts without a letter, are ``und`` with score 0; so is
     every text if the model has learned no language. Rows are independent of
-    each other, so repeated rows repeat their answer. Kept columns may have
-    any name.
+    each other, so repeated rows repeat their answer, and an empty table gives
+    an empty one. A text of any length counts in whole, window by window. Kept
+    columns may have any name.
     """
     spark = docs.sparkSession
     bounded_batches(spark)

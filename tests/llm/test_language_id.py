@@ -55,3 +55,16 @@ def test_nothing_to_learn(spark):
     docs = docs_table(spark, [(1, "some words", None, "s"), (2, None, "en", "s")])
     out = L.identify(docs, L.fit(docs)).collect()
     assert [(r["lang_pred"], r["score"]) for r in out] == [("und", 0.0)] * 2
+
+
+def test_seventy_languages_are_learned(spark):
+    """Languages of a letter of their own each, some frequent and most rare: none is left out."""
+    names = [f"l{i:02}" for i in range(70)]
+    letters = [chr(0x0430 + i) if i < 32 else chr(0x4E00 + 37 * i) for i in range(70)]
+    rows = [(i, " ".join([letters[k] * (2 + i % 3)] * 8), names[k], "s") for i, k in enumerate(k for k in range(70) for _ in range(300 if k < 5 else 60))]
+    model = L.fit(docs_table(spark, rows))
+    assert model.langs == names
+    fresh = docs_table(spark, [(k, " ".join([letters[k] * 3] * 9), None, "s") for k in range(70)])
+    found = {r["row"]["doc_id"]: r["lang_pred"] for r in L.identify(fresh, model).collect()}
+    assert sum(found[k] == names[k] for k in range(70)) >= 60
+    assert len(set(found.values())) >= 60
