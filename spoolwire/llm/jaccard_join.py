@@ -315,8 +315,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     Null and empty texts have no shingle, link with nothing and are their own
     component; a text of fewer than ``width`` words is one shingle. Rows that
     share an id are one document with each of their texts. Rows without an id
-    have null components and link nothing. Only the two named columns are
-    read, so other columns may have any name.
+    have null components and link nothing. Texts of any length count in whole,
+    and an empty table gives an empty one. Only the two named columns are read,
+    so other columns may have any name.
     """
     sigs, classes, lists, texts = _index(docs, id_col, text, width, percent)
 
@@ -365,11 +366,36 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     )
 
 
+#: Ids of several texts beyond which their table is joined as Spark chooses, not broadcast.
+BROADCAST_IDS = 100_000
+#: Rows of such ids are told apart by numbers from here on, above other ids.
+OWN_IDS = 1 << 62
+
+
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is its component's smallest; repeats of such a row leave one. Rows without an id stay."""
-    kept = jaccard_components(docs, id_col, text).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
-    return out.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    """One row of ``docs`` of every component of linked texts: that with the smallest id.
+
+    Rows that share an id are documents of their own where their texts differ,
+    so a text goes only if a row that it links with, directly or through
+    others, stays; they come after rows whose id has one text, in an order by
+    hash. Of rows with one id and one text the smallest by all columns
+    stays; rows without an id all stay, and link with nothing. Texts without
+    words stay. An empty table gives an empty one; column names are free.
+    """
+    h = F.xxhash64(F.col(f"`{text}`"))
+    ids = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), h.alias("h")).where("id is not null")
+    shared = materialize(ids.groupBy("id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("id"), "shared-ids")
+    n = shared.count()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"), F.col(f"`{id_col}`").cast("long").alias("own"), F.col(f"`{text}`").alias("text"))
+    if n:
+        several = shared.select(F.col("id").alias("own"), F.lit(True).alias("several"))
+        rows = rows.join(F.broadcast(several) if n <= BROADCAST_IDS else several, "own", "left")
+        other = F.xxhash64("own", "text").bitwiseAND(F.lit(OWN_IDS - 1)).bitwiseOR(F.lit(OWN_IDS))
+        rows = rows.withColumn("own", F.when(F.col("several"), other).otherwise(F.col("own"))).drop("several")
+    found = jaccard_components(rows, "own", "text").where("doc_id = component_id").select(F.col("doc_id").alias("own")).distinct()
+    kept = rows.join(found, "own", "left_semi").groupBy("own").agg(F.min("row").alias("row"))
+    return kept.select("row.*").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

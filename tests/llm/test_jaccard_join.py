@@ -80,3 +80,33 @@ def test_links_are_all_verified_pairs(spark, monkeypatch):
         assert len(got) == len(set(got))
         assert set(got) == want
     assert jaccard_links(docs_table(spark, [])).count() == 0
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark):
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", "red green blue white black grey")
+    rows = [(7, a, "en", "s"), (7, b, "en", "s"), (3, a, "de", "s"), (9, b, "en", "s"), (9, b, "en", "s"), (9, None, "en", "s"), (9, "", "en", "s"), (0, c, "fr", "z"), (0, c, "en", "z"), (1, c, "en", "s")]
+    docs = docs_table(spark, rows)
+    # c: the smallest id, and of its two rows the smallest; b: under one of its ids, which both have several texts
+    want = [(0, c, "en"), (3, a, "de"), (9, "", "en"), (9, None, "en")]
+    seen = set()
+    for parts in (1, 3, 7):
+        got = [(r["doc_id"], r["text"], r["lang"]) for r in one_per_component(docs.repartition(parts)).collect()]
+        of_b = [r for r in got if r[1] == b]
+        assert len(of_b) == 1 and of_b[0][0] in (7, 9)
+        seen.add(of_b[0])
+        assert sorted(map(repr, (r for r in got if r[1] != b))) == sorted(map(repr, want))
+    assert len(seen) == 1
+
+
+def test_one_id_for_every_row_loses_no_text(spark):
+    rows = [(5, f"text number {i % 40} of one id " * 3 + f"and its own end {i % 40}", "en", "s") for i in range(120)]
+    texts = {r[1] for r in rows}
+    sets = {t: shingle_set(spaced_words(t)) for t in texts}
+    links = [(x, y) for x in texts for y in texts if x < y and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])]
+    groups = len(set(components(list(texts), links).values()))
+    kept = [r["text"] for r in one_per_component(docs_table(spark, rows)).collect()]
+    assert len(kept) == len(set(kept)) == groups
+
+
+def test_one_per_component_of_an_empty_table(spark):
+    assert one_per_component(docs_table(spark, [])).count() == 0
