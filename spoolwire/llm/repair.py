@@ -2,7 +2,9 @@
 
 Rounds replace the most frequent pairs of neighbouring symbols by new symbols
 (nonterminals). A round takes up to ``ROUND_PAIRS`` pairs at once; where two
-occurrences overlap, the left one wins. The rules, the length that each
+occurrences overlap, the left one wins. Rounds go on until no pair occurs
+``MIN_COUNT`` times, where a rule no longer pays for itself, or there are
+``MAX_RULES`` rules. The rules, the length that each
 expands to, and the sequence that is left are stored; a sum of lengths at
 every ``STEP``-th symbol finds the place of any id.
 
@@ -19,46 +21,54 @@ import numpy as np
 
 MAGIC = b"RPAIR001"
 STEP = 1024
-ROUNDS = 12
-ROUND_PAIRS = 512
+#: Pairs of a round: taking many at once costs little, as most of them don't touch each other.
+ROUND_PAIRS = 4096
 #: With the ids of a vocabulary of 50,257, symbols stay below 2 ** 16.
 MAX_RULES = 15_000
-#: A pair is replaced from so many places on.
-MIN_COUNT = 24
-_BITS = 18
+#: A pair is replaced from so many places on: a rule takes 12 bytes, each place saves 2.
+MIN_COUNT = 8
+#: Slots of the table in which a round looks up its pairs; of pairs that share one, the most frequent is taken first.
+_BITS = 17
 _HEAD = struct.Struct("<8sQQQQQQ")
 
 
-def _frequent(key: np.ndarray, limit: int) -> np.ndarray:
-    """Up to ``limit`` of the most frequent keys: hashed counts find the candidates, exact counts rank them."""
-    slot = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)).astype(np.int64)
-    count = np.bincount(slot, minlength=1 << _BITS)
-    floor = max(MIN_COUNT, int(np.partition(count, -limit)[-limit]) if limit < len(count) else 0)
-    pairs, n = np.unique(key[count[slot] >= floor], return_counts=True)
-    top = np.argsort(-n, kind="stable")[:limit]
-    return np.sort(pairs[top[n[top] >= MIN_COUNT]])
+def _frequent(key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``limit`` of the most frequent keys, ascending, and their counts."""
+    s = np.sort(key)
+    ends = np.concatenate([np.flatnonzero(s[1:] != s[:-1]), [len(s) - 1]])
+    n = np.diff(ends, prepend=-1)
+    top = np.flatnonzero(n >= MIN_COUNT)
+    if len(top) > limit:
+        least = np.partition(n[top], len(top) - limit)[len(top) - limit]
+        above = top[n[top] > least]
+        top = np.sort(np.concatenate([above, top[n[top] == least][: limit - len(above)]]))
+    return s[ends[top]], n[top]
 
 
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(rules, lengths, symbols)``; symbol ``base + i`` stands for the pair ``rules[i]``."""
-    seq = ids.astype(np.int64)
+    narrow = base + MAX_RULES <= 1 << 16 and (not len(ids) or int(ids.max()) < base)
+    symbol, kind, half = ("<u2", np.uint32, 16) if narrow else ("<u4", np.uint64, 32)
+    spread, down = kind(0x9E3779B1 if narrow else 0x9E3779B97F4A7C15), kind(2 * half - _BITS)
+    slots = lambda k: ((k * spread) >> down).astype(np.intp)
+    seq = ids.astype(symbol)
     rules: list[np.ndarray] = []
     lengths = np.zeros(0, np.int64)
     n_rules = 0
-    for _ in range(ROUNDS):
-        limit = min(ROUND_PAIRS, MAX_RULES - n_rules)
-        if len(seq) < 2 or limit <= 0:
-            break
-        key = seq[:-1] << 32 | seq[1:]
-        pairs = _frequent(key, limit)
+    while len(seq) > 1 and n_rules < MAX_RULES:
+        # two neighbours read as one number, the right one in its upper half
+        key = np.empty(len(seq) - 1, kind)
+        key[0::2] = seq[: len(seq) & ~1].view(kind)
+        key[1::2] = seq[1 : 1 + (len(seq) - 1 & ~1)].view(kind)
+        pairs, count = _frequent(key, min(ROUND_PAIRS, MAX_RULES - n_rules))
         if not len(pairs):
             break
-        # candidates by a small table of the pairs' hashes, then exactly
-        slot = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
-        table = np.zeros(1 << 16, bool)
-        table[((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)] = True
-        at = np.flatnonzero(table[slot])
-        which = np.minimum(np.searchsorted(pairs, key[at]), len(pairs) - 1)
+        table = np.full(1 << _BITS, -1, np.int16)
+        rank = np.argsort(count, kind="stable")
+        table[slots(pairs[rank])] = rank
+        which = table.take(slots(key), mode="clip")
+        at = np.flatnonzero(which >= 0)
+        which = which[at]
         hit = pairs[which] == key[at]
         at, which = at[hit], which[hit]
         # in a run of overlapping occurrences every second one stays
@@ -67,24 +77,23 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         keep = (np.arange(len(at)) - run) % 2 == 0
         at, which = at[keep], which[keep]
         used = np.bincount(which, minlength=len(pairs)) >= 2
-        number = np.cumsum(used) - 1 + n_rules
         good = used[which]
         at, which = at[good], which[good]
         if not len(at):
             break
-        new = pairs[used]
-        rules.append(np.stack([new >> 32, new & 0xFFFFFFFF], axis=1))
-        ends = rules[-1]
+        new = pairs[used].astype(np.int64)
+        ends = np.stack([new & ((1 << half) - 1), new >> half], axis=1)
+        rules.append(ends)
         size = np.ones(ends.shape, np.int64)
         inner = ends >= base
         size[inner] = lengths[ends[inner] - base]
         lengths = np.concatenate([lengths, size.sum(axis=1)])
-        seq[at] = base + number[which]
+        seq[at] = (base + n_rules + np.cumsum(used) - 1)[which].astype(symbol)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq = seq[stay]
+        seq = seq.take(np.flatnonzero(stay), mode="clip")
         n_rules += len(new)
-    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), lengths, seq
+    return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), lengths, seq.astype(np.int64)
 
 
 def pack(ids: np.ndarray, doc_bounds: np.ndarray, base: int) -> bytes:
@@ -122,6 +131,7 @@ class Shard:
         self.sums = take("<u8", -(-n_symbols // STEP)).astype(np.int64)
         self.doc_bounds = take("<u8", n_docs + 1).astype(np.int64)
         self.symbols = take(f"<u{width}", n_symbols)
+        self._expanded = None
 
     def ids(self, lo: int = 0, hi: int | None = None) -> np.ndarray:
         """Ids ``lo`` to ``hi`` (exclusive)."""
@@ -130,18 +140,34 @@ class Shard:
             return np.zeros(0, np.uint32)
         first = (int(np.searchsorted(self.sums, lo, side="right")) - 1) * STEP
         last = int(np.searchsorted(self.sums, hi, side="left")) * STEP
-        seq = self.symbols[first:last].astype(np.int64)
         begin = int(self.sums[first // STEP])
-        while len(inner := np.flatnonzero(seq >= self.base)):
-            grow = np.ones(len(seq), np.int64)
-            grow[inner] = 2
-            place = np.cumsum(grow) - grow
-            out = np.empty(len(seq) + len(inner), np.int64)
-            out[place] = seq
-            pair = self.rules[seq[inner] - self.base]
-            out[place[inner]], out[place[inner] + 1] = pair[:, 0], pair[:, 1]
-            seq = out
-        return seq[lo - begin : hi - begin].astype(np.uint32)
+        seq = self.symbols[first:last].astype(np.intp)
+        pool, start, size = self._expansions()
+        n = size[seq]
+        upto = np.cumsum(n)
+        out = pool[np.repeat(start[seq] - (upto - n), n) + np.arange(int(upto[-1]))]
+        return out[lo - begin : hi - begin]
+
+    def _expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids that each symbol stands for: ``pool[start:start + size]``."""
+        if self._expanded is None:
+            total = np.cumsum(self.lengths)
+            seq = np.arange(self.base, self.base + len(self.rules))
+            while len(inner := np.flatnonzero(seq >= self.base)):
+                grow = np.ones(len(seq), np.int64)
+                grow[inner] = 2
+                place = np.cumsum(grow) - grow
+                out = np.empty(len(seq) + len(inner), np.int64)
+                out[place] = seq
+                pair = self.rules[seq[inner] - self.base]
+                out[place[inner]], out[place[inner] + 1] = pair[:, 0], pair[:, 1]
+                seq = out
+            # an id stands for itself
+            pool = np.concatenate([np.arange(self.base), seq]).astype(np.uint32)
+            start = np.concatenate([np.arange(self.base), self.base + total - self.lengths])
+            size = np.concatenate([np.ones(self.base, np.int64), self.lengths])
+            self._expanded = pool, start.astype(np.int64), size.astype(np.int64)
+        return self._expanded
 
     def document(self, i: int) -> np.ndarray:
         return self.ids(int(self.doc_bounds[i]), int(self.doc_bounds[i + 1]))

@@ -4,24 +4,31 @@ A byte-level BPE splits a text into pieces before merging, and merges never
 cross them. Texts are cut at places that are always such a border (an ASCII
 letter before any other ASCII byte, and a lone space between two characters
 that aren't white space), so equal units have equal ids. Units are told apart
-by 64-bit hashes; those not seen lately go to the library.
+by 64-bit hashes; those not seen lately go to the library. Units that are
+plainly one piece (a word of letters, with or without a space before it) go
+many to a call, one to a line, and skip the library's search for pieces.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
 
 import numpy as np
+import pyarrow as pa
 
 from . import words
 
+#: Plain units of a text that the library gets.
+LINES = 64
 #: Units that a worker remembers; when there are more, those met most often since the last time stay.
 CACHE_UNITS = 1_500_000
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
-_ASCII = np.arange(256) < 128
+# 1: letters, 2: other ASCII bytes, 4: the rest, so that only a step from the first to the second is 1
+_KIND = np.where(_LETTER, 1, np.where(np.arange(256) < 128, 2, 4)).astype(np.uint8)
 # bytes beside which a space may stand next to other white space
 _BLANK = np.arange(256) <= 0x20
 _BLANK[0x7F] = True
@@ -31,6 +38,12 @@ _PREV_LEAD = np.zeros(256, bool)
 _PREV_LEAD[[0xC2, 0x80, 0x81, 0x9A]] = True
 
 
+# bytes of characters that are letters: ASCII, and all that start with one of these
+_WORD = _LETTER.copy()
+_WORD[0x80:0xC0] = True
+_WORD[[*range(0xC3, 0xC9), 0xD0, 0xD1]] = True
+
+
 def load(path: str):
     """The tokenizer of a file, one thread per worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,13 +52,28 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+def line_encoder(path: str):
+    """An encoder of lines that are one piece each, and the id that ends a line; None if the file splits texts otherwise."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    pieces = said.get("pre_tokenizer") or {}
+    plain = pieces.get("type") == "ByteLevel" and pieces.get("use_regex", True) and not pieces.get("add_prefix_space")
+    tok = load(path)
+    if not plain or said.get("normalizer") or said["model"].get("type") != "BPE" or tok.token_to_id("\u010a") is None:
+        return None
+    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+
+    tok.pre_tokenizer = Sequence([Split("\n", "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)])
+    return tok, tok.token_to_id("\u010a")
+
+
 def unit_starts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Start of each unit of a batch of texts; every text that isn't empty starts one."""
     if not len(raw):
         return np.zeros(0, np.int64)
-    letter = _LETTER[raw]
+    kind = _KIND[raw]
     cut = np.zeros(len(raw), bool)
-    cut[1:] = letter[:-1] & ~letter[1:] & _ASCII[raw[1:]]
+    np.equal(kind[1:] - kind[:-1], 1, out=cut[1:])  # an ASCII byte after a letter
     space = np.flatnonzero(raw[1:-1] == 0x20) + 1
     prev, nxt = raw[space - 1], raw[space + 1]
     odd = (prev >= 0x80) & _PREV_LEAD[raw[np.maximum(space - 2, 0)]]
@@ -54,11 +82,35 @@ def unit_starts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``np.unique`` with indices: values in ascending order, a place of each, and the value's number of every element."""
+    found = pa.array(h).dictionary_encode()
+    values, number = found.dictionary.to_numpy(), found.indices.to_numpy()
+    order = np.argsort(values)
+    rank = np.empty(len(order), np.intp)
+    rank[order] = np.arange(len(order))
+    place = np.empty(len(values), np.intp)
+    place[number] = np.arange(len(h))
+    return values[order], place[order], rank[number]
+
+
+def _gathered(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, after: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of units, one after the other, ``after`` (at most a byte) behind each, and their offsets."""
+    size = ends - starts + len(after)
+    off = np.concatenate([[0], np.cumsum(size)])
+    place = np.arange(int(off[-1])) + np.repeat(starts - off[:-1], size)
+    data = raw.take(place, mode="clip")
+    if after:
+        data[off[1:] - 1] = after[0]
+    return data, off
+
+
 class UnitEncoder:
     """Ids of texts by units; ``added`` strings (special tokens) send a text to the library as a whole."""
 
     def __init__(self, path: str):
         self.tok = load(path)
+        self.lines = line_encoder(path)
         self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self._clear()
 
@@ -83,17 +135,52 @@ class UnitEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        ids = self._ids(texts)
-        count = np.array([len(x) for x in ids], np.int32)
-        at = (len(self.pool) + np.cumsum(count, dtype=np.int64) - count).astype(np.int32)
-        flat = np.array(list(itertools.chain.from_iterable(ids)), np.uint32)
-        self.pool = np.concatenate([self.pool, flat])
+    def _plain(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Which units are one word of letters, with or without a space before it."""
+        if self.lines is None or not len(data):
+            return np.zeros(len(off) - 1, bool)
+        odd = ~_WORD[data]
+        mark = np.flatnonzero(data[:-1] == 0xC3)
+        odd[mark[np.isin(data[mark + 1], (0x97, 0xB7))]] = True  # the signs of multiplication and division
+        odds = np.concatenate([[0], np.cumsum(odd)])
+        begin = off[:-1] + (data[off[:-1]] == 0x20)
+        return (off[1:] > begin) & (odds[off[1:]] == odds[begin])
+
+    def _learn(self, keys: np.ndarray, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Ids of new units, from the library."""
+        data, off = _gathered(raw, starts, ends)
+        plain = self._plain(data, off)
+        count = np.zeros(len(keys), np.int32)
+        at = np.zeros(len(keys), np.int32)
+        pools = [self.pool]
+        size = len(self.pool)
+        for which, encode in ((np.flatnonzero(plain), self._line_ids), (np.flatnonzero(~plain), self._unit_ids)):
+            if len(which):
+                flat, n = encode(data, off[:-1][which], off[1:][which])
+                count[which], at[which] = n, size + np.cumsum(n) - n
+                size += len(flat)
+                pools.append(flat)
+        self.pool = np.concatenate(pools)
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
         self.at, self.count = np.insert(self.at, where, at), np.insert(self.count, where, count)
         self.used = np.insert(self.used, where, 0)
 
+    def _line_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        tok, end = self.lines
+        lines, off = _gathered(data, starts, ends, b"\n")
+        whole = lines.tobytes()
+        cuts = [*off[:-1:LINES].tolist(), len(whole)]
+        texts = [whole[a:b].decode() for a, b in itertools.pairwise(cuts)]
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
+        stops = np.flatnonzero(ids == end)
+        return ids[ids != end], np.diff(stops, prepend=-1) - 1
+
+    def _unit_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        whole = data.tobytes()
+        ids = self._ids([whole[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        return np.array(list(itertools.chain.from_iterable(ids)), np.uint32), np.array([len(x) for x in ids], np.int64)
+
     def _unknown(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.ones(len(keys), bool)
@@ -104,14 +191,13 @@ class UnitEncoder:
         starts = unit_starts(raw, off)
         ends = np.append(starts[1:], len(raw))
         h = words.hashes(raw, starts, ends)
-        distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
+        distinct, first, back = _distinct(h)
         new = self._unknown(distinct)
         if len(self.keys) + int(new.sum()) > CACHE_UNITS:
             self._shrink(len(distinct))
             new = self._unknown(distinct)
-        data = raw.tobytes()
         if new.any():
-            self._learn(distinct[new], [data[starts[i] : ends[i]].decode() for i in first[new]])
+            self._learn(distinct[new], raw, starts[first[new]], ends[first[new]])
         k = np.searchsorted(self.keys, distinct)
         self.used[k] += 1
         count, at = self.count[k][back], self.at[k][back]
@@ -119,6 +205,7 @@ class UnitEncoder:
         ids = self.pool[np.repeat(at - (total - count), count) + np.arange(int(total[-1]) if len(total) else 0)]
         unit_bounds = np.searchsorted(starts, off)
         bounds = np.concatenate([[0], total])[unit_bounds]
+        data = raw.tobytes() if self.added else b""
         for mark in self.added:
             if mark in data:
                 return self._whole(data, off, ids, bounds)
