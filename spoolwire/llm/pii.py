@@ -4,13 +4,14 @@ The base patterns (``BASE``) are exact. The network labels every character of
 the whole text: it runs over windows of ``WINDOW`` characters every ``STRIDE``
 characters, each window is decoded by the CRF, every character takes its label
 from the window in which it lies furthest inside, and runs of one label over
-the whole text are spans. A span is added if it can be of its kind (addresses by
-shape, cards and phones by their number of digits) and overlaps no base span.
+the whole text are spans. A span is added if it passes a light check of its kind
+(an address has its marks or numbers, cards and phones their number of digits)
+and overlaps no base span.
 
 The weights are trained on the driver by backpropagation through time from a
 bounded sample: windows of ``TRAIN_ROWS`` documents with their base spans as
-labels, and the same windows with spans written into them in forms that the
-base patterns don't cover.
+labels, and the same windows with spans written into them, whose signs, words,
+brackets, blanks and groupings are put together at random.
 """
 
 from __future__ import annotations
@@ -30,10 +31,12 @@ from .recurrent import F4, LSTM, Adam, init
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, STRIDE = 128, 96
-HIDDEN = 8
+HIDDEN = 10
 TRAIN_ROWS = 600
 TRAIN_CHARS = 256
-EPOCHS = 12
+#: Windows of a training text into which something is written.
+WRITTEN = 14
+EPOCHS = 14
 BATCH = 128
 SEED = 5
 COLUMNS = 2048
@@ -84,17 +87,26 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-_SHAPES = (
-    re.compile(r"[\w.%+-]{1,64} ?(?:@|\(at\)|\[at\]| at ) ?[\w-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[\w-]+)+"),
-    re.compile(r"[0-9]{1,3}(?: ?(?:\.|\[\.\]|\(\.\)| dot ) ?[0-9]{1,3}){3}|[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){3,7}"),
-)
+_AT = re.compile(r"\w[^\w\n]{0,3}(?:@|(?<![^\W_])[Aa][Tt](?![^\W_]))[^\w\n]{0,3}\w")
+_DOT = re.compile(r"\w[^\w\n]{0,3}(?:\.|(?<![^\W_])[Dd][Oo][Tt](?![^\W_]))[^\w\n]{0,3}[A-Za-z]")
+_NUMBER = re.compile(r"[0-9]+")
+_HEX = re.compile(r"[0-9A-Fa-f:.]+")
 _DATE = re.compile(r"[0-9]{4}[-/.][0-9]{2}[-/.][0-9]{2}")
+_LONGEST = 120
 
 
 def plausible(kind: int, text: str) -> bool:
-    """Whether a labelled span can be of its kind: cards and phones by their number of digits, in any grouping."""
-    if kind < 2:
-        return _SHAPES[kind].fullmatch(text) is not None
+    """A light check of a decoded span: an address has its marks or its four or more numbers, cards and phones their digits."""
+    if len(text) > _LONGEST:
+        return False
+    if kind == 0:
+        at = _AT.search(text)
+        return at is not None and _DOT.search(text, at.end() - 1) is not None
+    if kind == 1:
+        numbers = _NUMBER.findall(text)
+        if ":" in text:
+            return _HEX.fullmatch(text) is not None and 2 <= text.count(":") <= 7
+        return len(numbers) == 4 and all(int(n) <= 255 for n in numbers)
     digits = len(_DIGITS.findall(text))
     return 13 <= digits <= 19 if kind == 2 else 7 <= digits <= 15 and not _DATE.fullmatch(text)
 
@@ -189,34 +201,97 @@ def train(examples: list[tuple[str, list[Span]]], seed: int = SEED, epochs: int
     return model
 
 
+#: Pieces that training forms are made of.
+_BRACKETS = (("(", ")"), ("[", "]"), ("<", ">"), ("-", "-"), ("", ""), ("", ""))
+_TOPS = ("com", "org", "net", "de", "fr", "es", "io", "co", "info")
+
+
+def _marks(rng: random.Random) -> tuple[str, str]:
+    """How an address says its ``@`` and its dots: by signs, or by words in brackets, blanks or both, mostly alike."""
+
+    def one(word: str, style: tuple[str, str]) -> str:
+        a, b = style
+        return f"{blank or ('' if a else ' ')}{a}{write(word)}{b}{blank or ('' if a else ' ')}"
+
+    if rng.random() < 0.25:
+        return rng.choice([("@", "."), (" @ ", "."), (" @ ", " . "), ("(@)", ".")])
+    style, blank = rng.choice(_BRACKETS), rng.choice(["", "", " "])
+    write = rng.choice([str.lower, str.lower, str.upper, str.capitalize])
+    at, dot = one("at", style), one("dot", style)
+    return at, rng.choice([dot, dot, ".", one("dot", rng.choice(_BRACKETS))])
+
+
+def _grouped(digits: str, sizes: list[int], sep: str) -> str:
+    out, at = [], 0
+    for n in sizes:
+        out.append(digits[at : at + n])
+        at += n
+    return sep.join(x for x in out if x)
+
+
+def _sizes(rng: random.Random, n: int, low: int, high: int) -> list[int]:
+    """Group sizes that add up to ``n``: all alike if that is possible in some draws, else at random."""
+    if rng.random() < 0.5:
+        k = rng.randint(low, high)
+        return [k] * (n // k) + [n % k]
+    out = []
+    while sum(out) < n:
+        out.append(min(rng.randint(low, high), n - sum(out)))
+    return out
+
+
 def _made(rng: random.Random) -> tuple[int, str]:
     """A span in a base or other form, or (kind -1) something alike that is none."""
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     w = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
-    kind = rng.choice([0, 1, 2, 3, 0, 1, 2, 3, 0, 2, -1, -1, -1])
+    h = lambda: f"{rng.randint(0, 65535):x}"
+    kind = rng.choice([0, 0, 0, 0, 1, 1, 2, 2, 3, 3, 3, 3, -1, -1, -1])
     if kind == 0:
-        name, host, top = rng.choice([w(), f"{w()}.{w()}", f"{w()}{d(2)}", d(2)]), rng.choice([w(), f"{w()}.{w()}", f"{w()}{d(1)}"]), rng.choice(["com", "org", "net", "de", "fr", "es"])
-        at, dot = rng.choice([("@", "."), ("@", "."), (" at ", " dot "), ("[at]", "[dot]"), ("(at)", "."), (" [at] ", " [dot] "), (" @ ", "."), ("(at)", "(dot)")])
-        return 0, name + at + host.replace(".", dot) + dot + top
+        name = rng.choice([w(), f"{w()}.{w()}", f"{w()}{d(2)}", d(2), f"{w()}_{w()}", f"{w()}-{w()}", w().capitalize()])
+        host = [w(), *rng.choice([[], [], [w()], [f"{w()}{d(1)}"]]), rng.choice(_TOPS)]
+        at, dot = _marks(rng)
+        return 0, name + at + dot.join(host)
     if kind == 1:
-        part = [str(rng.randint(0, 255)) for _ in range(4)]
-        return 1, rng.choice([".".join(part), ".".join(part), "[.]".join(part), " . ".join(part), " dot ".join(part), ":".join(f"{rng.randint(1, 65535):x}" for _ in range(8))])
+        if rng.random() < 0.3:
+            groups = [h() for _ in range(8)]
+            if rng.random() < 0.6:
+                groups = groups[: rng.randint(2, 6)]
+                groups.insert(rng.randint(1, len(groups) - 1), "")
+            return 1, ":".join(groups)
+        dot = rng.choice([".", ".", " . ", "-", "_", "[.]", "(.)", _marks(rng)[1], _marks(rng)[1]])
+        return 1, dot.join(str(rng.randint(0, 255)) for _ in range(4))
     if kind == 2:
-        sep = rng.choice(["", " ", "-", ".", " - ", "/"])
-        return 2, sep.join(d(4) for _ in range(4)) if sep.strip() or rng.random() < 0.7 else d(rng.randint(13, 19))
+        n = rng.choice([16, 16, 16, 13, 14, 15, 17, 18, 19])
+        sep = rng.choice(["", "", " ", " ", "-", ".", " - ", "/", "  ", "_"])
+        return 2, _grouped(d(n), _sizes(rng, n, 3, 6), sep)
     if kind == 3:
-        a, b, c = d(3), d(3), d(4)
-        return 3, rng.choice([f"+1 ({a}) {b}-{c}", f"+{d(2)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{d(2)} {a} {b}{c}", f"{a} {b} {c}", f"+{d(2)}-{a}-{b}-{c}", f"1-{a}-{b}-{c}", f"{a}/{b}-{c}"])
-    return -1, rng.choice([d(4), d(2), f"{d(4)}-{d(2)}-{d(2)}", f"{d(1)}.{d(1)}", f"{d(1)}.{d(2)}.{d(1)}", f"{d(2)}:{d(2)}", f"{d(1)},{d(3)}", f"{d(3)}.{d(2)}", w() + d(3), "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([8, 16, 32, 40]))), f"${d(3)}", f"{d(2)}%", f"@{w()}", f"#{d(3)}", d(6), f"{w()} at {w()}", f"v{d(1)}.{d(1)}.{d(1)}", f"{d(2)}/{d(2)}/{d(4)}"])
+        sep = rng.choice([" ", " ", "-", "-", ".", "/", ""])
+        if rng.random() < 0.45:
+            a, b, c = d(3), d(3), d(4)
+            lead = rng.choice(["", "", "1-", "+1 ", "1 "])
+            return 3, lead + rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"{a}/{b}-{c}", f"({a}) {b} {c}"])
+        n = rng.randint(5, 8)
+        rest = _grouped(d(n), _sizes(rng, n, 2, 4), sep) if rng.random() < 0.6 else d(n)
+        code = rng.choice([f"0{d(2)}", f"0{d(3)}", f"0{d(1)}", f"+{d(2)} {d(2)}", f"00{d(2)} {d(3)}", f"+{d(2)}-{d(3)}"])
+        if rng.random() < 0.3:
+            code = f"({code})" if code[0] == "0" else code
+        return 3, rng.choice([f"{code}{sep or ' '}{rest}", f"{code}{sep or ' '}{rest}", f"{code} {rest}", d(10), "0" + d(9)])
+    return -1, rng.choice([
+        d(4), d(2), f"{d(4)}-{d(2)}-{d(2)}", f"{d(1)}.{d(1)}", f"{d(1)}.{d(2)}.{d(1)}", f"{d(2)}:{d(2)}", f"{d(1)},{d(3)}", f"{d(3)}.{d(2)}", w() + d(3),
+        "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([8, 16, 32, 40]))), f"${d(3)}", f"{d(2)}%", f"@{w()}", f"#{d(3)}", d(6),
+        f"{w()} at {w()}", f"v{d(1)}.{d(1)}.{d(1)}", f"{d(2)}/{d(2)}/{d(4)}", f"{d(2)}.{d(2)}.{d(4)}", f"{d(1)},{d(3)},{d(3)}", f"19{d(2)}-19{d(2)}",
+        f"{d(2)}, {d(2)}, {d(2)}, {d(2)}", f"{d(2)}:{d(2)}:{d(2)}", f"{w()} dot {w()}", f"{w()}.{w()}", f"({w()})", f"[{w()}]", f"<{w()}>", f"{w()}_{w()}",
+        f"{d(2)}.{d(4)}, {d(1)}.{d(4)}", f"({d(4)})", f"p. {d(3)}", f"{w()} at {w()} and {w()}", f"{d(3)} {w()}", f"{d(2)}-{d(2)}", f"{w()}-{w()}-{w()}",
+    ])
 
 
 def examples(texts: list[str], seed: int = SEED) -> list[tuple[str, list[Span]]]:
-    """Labelled windows: each text as it is, and six times with a made span at a word border."""
+    """Labelled windows: each text as it is, and ``WRITTEN`` times with a made span at a word border."""
     rng = random.Random(seed)
     out = []
     for text in texts:
         out.append((text[:WINDOW], base_spans(text[:WINDOW])))
-        for _ in range(6):
+        for _ in range(WRITTEN):
             at = rng.randint(0, max(0, len(text) - WINDOW))
             part = text[at : at + WINDOW]
             gaps = [m.start() for m in re.finditer(" ", part[: WINDOW - 48])] or [0]
@@ -288,7 +363,8 @@ def find_pii(docs: DataFrame, model: PiiModel, text: str = "text", keep: tuple[s
     """``row`` (a struct of the ``keep`` columns) and ``spans`` (kind, start, end, base), by kind and start.
 
     Places are code points, ends exclusive. Null and empty texts have no
-    spans; repeated rows each get theirs; kept columns may have any name.
+    spans; a text of any length is labelled in whole; repeated rows each get
+    theirs; an empty table gives an empty one; kept columns may have any name.
     """
     spark = docs.sparkSession
     bounded_batches(spark)

@@ -99,3 +99,69 @@ def test_decoded_numbers_stand(kind, said):
     labels[5 : 5 + len(said)] = kind + 1
     assert pii.base_spans(text) == []
     assert pii.added_spans(text, labels, []) == [(kind, 5, 5 + len(said))]
+
+
+def _forms():
+    """``(name, kind, maker)``: forms that the training pieces can make, and forms that they can't."""
+    rng = random.Random(21)
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    w = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 9)))
+    o = lambda: str(rng.randint(0, 255))
+    h = lambda: f"{rng.randint(1, 65535):x}"
+    trained = [
+        (3, lambda: f"{d(3)}-{d(3)}-{d(4)}"), (3, lambda: f"({d(3)}) {d(3)}-{d(4)}"), (3, lambda: f"{d(3)}.{d(3)}.{d(4)}"),
+        (3, lambda: f"(0{d(3)}) {d(6)}"), (3, lambda: f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}"), (3, lambda: f"0{d(2)} {d(7)}"), (3, lambda: f"0{d(3)}/{d(7)}"),
+        (2, lambda: f"{d(4)} {d(6)} {d(5)}"), (2, lambda: f"{d(4)}.{d(4)}.{d(4)}.{d(4)}"), (2, lambda: d(16)),
+        (0, lambda: f"{w()}[at]{w()}[dot]de"), (0, lambda: f"{w()} AT {w()} DOT com"), (0, lambda: f"{w()}(at){w()}.org"),
+        (1, lambda: f"{o()}[.]{o()}[.]{o()}[.]{o()}"), (1, lambda: f"{o()} dot {o()} dot {o()} dot {o()}"), (1, lambda: ":".join(h() for _ in range(8))), (1, lambda: f"fe80::{h()}:{h()}"),
+    ]
+    untrained = [
+        (3, lambda: f"{d(3)}_{d(3)}_{d(4)}"), (3, lambda: f"0{d(3)} / {d(3)} {d(4)}"), (3, lambda: f"tel:{d(3)}-{d(3)}-{d(4)}"),
+        (2, lambda: f"{d(4)}:{d(4)}:{d(4)}:{d(4)}"), (2, lambda: f"{d(4)}–{d(4)}–{d(4)}–{d(4)}"),
+        (0, lambda: f"{w()}{{at}}{w()}.com"), (0, lambda: f"{w()}*at*{w()}*dot*net"),
+        (1, lambda: f"{o()}/{o()}/{o()}/{o()}"), (1, lambda: f"{o()}{{.}}{o()}{{.}}{o()}{{.}}{o()}"),
+    ]
+    return trained, untrained
+
+
+def _recall(model, texts, forms, n=60):
+    """Share of spans written into texts that are found with their kind and both ends, form by form."""
+    rng, out = random.Random(22), []
+    for kind, make in forms:
+        rows = []
+        for _ in range(n):
+            text = rng.choice(texts)
+            at = rng.randrange(max(1, len(text) - 300))
+            part = text[at : at + 300]
+            gap = rng.choice([m.start() for m in re.finditer(" ", part)] or [0])
+            made = make()
+            lead = made.index(":") + 1 if made.startswith("tel:") else 0
+            rows.append((f"{part[:gap]} {made}{rng.choice([' ', ', ', '. '])}{part[gap:].lstrip()}", gap + 1 + lead, gap + 1 + len(made)))
+        sym, bounds = pii.symbols(*utf8(pa.array([r[0] for r in rows])))
+        labels = model.labels(sym, bounds)
+        hit = 0
+        for i, (text, a, b) in enumerate(rows):
+            base = pii.base_spans(text)
+            hit += (kind, a, b) in base + pii.added_spans(text, labels[bounds[i] : bounds[i + 1]], base)
+        out.append(hit / n)
+    return out
+
+
+def test_recall_by_form(model, spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id between 400 and 700").collect()
+    texts = [r["text"] for r in docs if r["text"]]
+    trained, untrained = (_recall(model, texts, forms) for forms in _forms())
+    print("trained", trained, np.mean(trained), "untrained", untrained, np.mean(untrained))
+    assert np.mean(trained) >= 0.85
+    assert min(trained) >= 0.4
+    # forms with signs that no training form has: written down, not aimed at
+    assert np.mean(untrained) >= 0.25
+
+
+def test_clean_texts_are_left_alone(model, spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id between 400 and 700").collect()
+    texts = [r["text"] for r in docs if r["text"]]
+    sym, bounds = pii.symbols(*utf8(pa.array(texts)))
+    labels = model.labels(sym, bounds)
+    added = [len(pii.added_spans(t, labels[bounds[i] : bounds[i + 1]], pii.base_spans(t))) for i, t in enumerate(texts)]
+    assert sum(n > 0 for n in added) <= 0.02 * len(texts)
