@@ -101,11 +101,12 @@ SELECT NULL, CASE c_custkey % 6 WHEN 1 THEN chr(9) WHEN 2 THEN chr(12) WHEN 3 TH
 FROM customer WHERE c_custkey % 6 BETWEEN 1 AND 4""",
     "upload_in_order": f"""
 WITH o AS (SELECT {_ORDER_FIELDS}, row_number() OVER (ORDER BY orders.o_orderkey) - 1 AS rn,
-                  (count(*) OVER () + 2) // 3 AS share FROM orders)
-SELECT (rn // share)::INTEGER AS "partition", rn % share AS "offset",
+                  count(*) OVER () // 3 AS q, count(*) OVER () % 3 AS r FROM orders),
+p AS (SELECT *, (CASE WHEN rn < r * (q + 1) THEN rn // (q + 1) ELSE r + (rn - r * (q + 1)) // greatest(q, 1) END)::INTEGER AS "partition" FROM o)
+SELECT "partition", rn - ("partition" * q + least("partition", r)) AS "offset",
   to_json(struct_pack(o_orderkey := o_orderkey, o_custkey := o_custkey, o_orderstatus := o_orderstatus,
     o_totalprice := o_totalprice, o_orderdate := o_orderdate, o_orderpriority := o_orderpriority))::VARCHAR AS value
-FROM o""",
+FROM p""",
     "source_numbers": f"""
 SELECT row_number() OVER (ORDER BY orders.o_orderkey) AS record_no,
        row_number() OVER (PARTITION BY orders.o_orderkey // 8192 ORDER BY orders.o_orderkey) AS file_record_no, {_ORDER_FIELDS}

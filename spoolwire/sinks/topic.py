@@ -188,13 +188,15 @@ def _publish_in_order(source, observation, current, topic, stage_path, max_recor
     sums = spark.read.schema(found.schema).parquet(path)
     total = sums.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("splits")).first()
     n_parts, n = len(current), total.n or 0
-    share = max(1, -(-n // n_parts))  # records of each partition; the last ones may get fewer
+    size, rest = divmod(n, n_parts)  # records of each partition; the first ``rest`` ones get one more
     kept = numbered(_counted(source, observation, F.col("_long")), split_starts(sums), F.col("_keep"), total.splits <= BROADCAST_SPLITS)
     at = F.col("record_no") - 1
-    part = F.expr(f"cast((record_no - 1) div {share} as int)")
-    out = kept.withColumn("partition", part).withColumn("offset", by_partition(current) + at - F.col("partition") * share)
+    longer = rest * (size + 1)
+    part = F.expr(f"cast(if(record_no <= {longer}, (record_no - 1) div {size + 1}, {rest} + (record_no - 1 - {longer}) div {max(size, 1)}) as int)")
+    begin = F.col("partition").cast("long") * size + F.least(F.col("partition"), F.lit(rest))
+    out = kept.withColumn("partition", part).withColumn("offset", by_partition(current) + at - begin)
     _append(out.sortWithinPartitions("partition", "offset"), topic, max_records_per_file)
-    return {p: o + min(max(n - p * share, 0), share) for p, o in current.items()}
+    return {p: o + size + (p < rest) for p, o in current.items()}
 
 
 def _publish_placed(prepared, observation, end, n_order, n_parts, topic, stage_path, max_records_per_file) -> None:

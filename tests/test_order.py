@@ -94,13 +94,10 @@ def test_upload_keeps_source_order_with_a_writer_per_split(spark, local_dir, tmp
         assert (report.rows_sent, report.status) == (len(want), "ok")
         assert report.rows_in - report.rows_skipped == len(want)
     env = read_topic(spark, t).select("partition", "offset", value_no().alias("n")).collect()
-    share = -(-len(want) // 3)
-    assert sorted((r.partition, r.offset) for r in env) == sorted(
-        (p, o) for p in range(3) for o in range(2 * min(share, len(want) - p * share))
-    )
+    sizes = [len(want) // 3 + (p < len(want) % 3) for p in range(3)]
+    assert sorted((r.partition, r.offset) for r in env) == sorted((p, o) for p in range(3) for o in range(2 * sizes[p]))
     for r in env:
-        size = min(share, len(want) - r.partition * share)
-        assert r.n == r.partition * share + r.offset % size
+        assert r.n == sum(sizes[: r.partition]) + r.offset % sizes[r.partition]
     files = [f for d, _, names in os.walk(tmp) for f in names if f.endswith(".parquet") and "partition=" in d]
     assert len(files) > 40  # two uploads, each by the tasks that read the source
 
