@@ -329,11 +329,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
             "token", "node", "n", "pos", F.coalesce("c", "node").alias("comp")
         )
 
-    # rows that share an id are one document
+    # rows that share an id are one document: all classes of its texts are linked through the id
     ids = sigs.where("n > 0 and doc_id is not null").join(classes.select("n", "f1", "f2", "node"), ["n", "f1", "f2"])
     ids = materialize(ids.select("doc_id", "node"), "ids")
-    links = ids.where("doc_id <> node").groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v"), F.collect_set("node").alias("nodes"))
-    links = links.where("u <> v").select(F.explode("nodes").alias("u"), F.col("doc_id").alias("v"))
+    several = ids.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("doc_id")
+    links = ids.join(several, "doc_id").where("doc_id <> node").select(F.col("node").alias("u"), F.col("doc_id").alias("v")).distinct()
 
     # stars: each member with the smallest of its first list
     first = lists.groupBy("node", "n").agg(F.min(F.struct("pos", "token")).alias("f")).select("node", "n", F.col("f.token").alias("token"))

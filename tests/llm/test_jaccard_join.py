@@ -52,6 +52,19 @@ def test_one_stays_and_rows_without_id(spark):
     assert by_id[None] is None and by_id[5] == 2
 
 
+def test_one_id_joins_the_classes_of_all_its_texts(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(12)) for x in "abcd")
+    # 5 has a text of 2 and one of its own, which 8 shares; 6 one of 4 and one of 9; 1 has the same text twice
+    rows = [(2, a), (5, a), (5, b), (8, b), (4, c), (6, c), (6, d), (9, d), (1, "x y z"), (1, "X y  z"), (3, None), (3, c + " e")]
+    rows = [(i, t, "en", "s") for i, t in rows]
+    got = {}
+    for r in jaccard_components(docs_table(spark, rows)).where("n_shingles > 0").collect():
+        got.setdefault(r["doc_id"], set()).add(r["component_id"])
+    want = brute(rows)
+    assert got == {i: {want[i]} for i in want}
+    assert want[8] == 2 and want[9] == 3
+
+
 def test_empty_table(spark):
     assert jaccard_components(docs_table(spark, [])).count() == 0
 
