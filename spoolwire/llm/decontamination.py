@@ -7,9 +7,11 @@ of fewer words). Runs of words in which every neighbouring pair occurs in some
 item are found in numpy first, as the matching length can't pass one outside
 of them; only those run through the automaton.
 
-Items are taken in blocks of bounded size (``BLOCK_CHARS``), one automaton and
-one pass over the batch each, so what is broadcast never grows with the
-benchmark.
+Items are cut into overlapping pieces (every window lies in one) and the pieces
+dealt to blocks of bounded size (``BLOCK_WORDS``, ``BLOCK_CHARS``). Each block
+is a pass of its own over the documents, written to the shared folder but for
+the last, so that one automaton at a time is held by the driver and the
+workers, however large the benchmark or one of its items is.
 """
 
 from __future__ import annotations
@@ -22,12 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .common import bounded_batches, table, utf8
+from ..workspace import delete_path, scratch_path
+from .common import bounded_batches, materialize, table, utf8
 from .suffix_automaton import SuffixAutomaton
 
 WINDOW = 10
-#: Characters of items in one automaton.
+#: Words and characters of items in one automaton, about (pieces are dealt by hash); a word takes about 1 KB in it.
+BLOCK_WORDS = 1 << 17
 BLOCK_CHARS = 8 << 20
+#: Pieces that a block's words are at least cut into.
+PIECES = 8
 #: A cleaned document goes if a larger share of its words was hit.
 MAX_COVERAGE = 0.5
 
@@ -92,6 +98,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+#: A word of an item, as ``words.ALNUM`` cuts it.
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _HITS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 _NAMES = ["row", "text", "hits", "items", "n_words", "n_hit", "clean"]
 
@@ -124,30 +132,57 @@ def _match(index, with_text: bool):
     return run
 
 
+def item_pieces(benchmark: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
+    """``(id, text, n)``: the items' words in pieces of at most ``BLOCK_WORDS / PIECES`` windows.
+
+    Pieces of one item overlap by ``window - 1`` words, so each of its windows
+    is in one of them; an item of fewer words is one piece, one without words
+    none. Repeated rows of an item give the same pieces, once.
+    """
+    step = max(BLOCK_WORDS // PIECES, 1)
+    found = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("id"), F.regexp_extract_all(F.col(f"`{item_text}`"), F.lit(_WORD), F.lit(0)).alias("w"))
+    found = found.where("size(w) > 0").withColumn("at", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w") - (window - 1), F.lit(1)), F.lit(step))))
+    part = F.slice("w", F.col("at"), F.lit(step + window - 1))
+    return found.select("id", F.array_join(part, " ").alias("text"), F.size(part).cast("long").alias("n")).distinct()
+
+
 def match_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, with_text: bool = True) -> DataFrame:
     """``row`` (a struct of the other columns), ``text``, ``hits`` (word ranges), ``items``, ``n_words``, ``n_hit``, ``clean``.
 
     ``clean`` is the text without its hit ranges (null unless ``with_text``).
     Null texts and items have no words; items without an id still hit but are
-    not listed; equal items are listed each. An empty benchmark hits nothing.
+    not listed; equal items are listed each, repeated rows of an item once. An
+    empty benchmark hits nothing; empty ``docs`` give an empty frame. Repeated
+    documents are matched each; texts and items of any length count in whole.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = 1 + size // BLOCK_CHARS
+    pieces = item_pieces(benchmark, item_id, item_text, window)
+    n_words, n_chars = pieces.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = 1 + max(n_words // BLOCK_WORDS, n_chars // BLOCK_CHARS)
+    if blocks > 1:
+        pieces = materialize(pieces, "item-pieces")
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(None).cast("string").alias("none")]
     out = docs.select(
-        F.struct(*others).alias("row"), F.col(text).cast("string").alias("text"),
+        F.struct(*others).alias("row"), F.col(f"`{text}`").cast("string").alias("text"),
         F.lit(None).cast("array<struct<lo:long,hi:long>>").alias("hits"), F.lit(None).cast("array<string>").alias("items"),
     )
     row_type = out.schema["row"].dataType.simpleString()
     schema = f"row {row_type}, text string, hits array<struct<lo:long,hi:long>>, items array<string>, n_words long, n_hit long, clean string"
-    for b in range(blocks):  # each block holds about BLOCK_CHARS characters
-        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).orderBy("id", "text").collect()
+    before = None
+    for b in range(blocks):
+        part = pieces.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).select("id", "text").collect()  # about BLOCK_WORDS words
         index = spark.sparkContext.broadcast(ItemIndex([(r["id"], r["text"]) for r in part], window))
-        out = out.select("row", "text", "hits", "items").mapInArrow(_match(index, with_text), schema)
-    return out
+        last = b == blocks - 1
+        found = out.select("row", "text", "hits", "items").mapInArrow(_match(index, with_text and last), schema)
+        if last:
+            return found
+        path = scratch_path(spark, "hits")
+        found.select("row", "text", "hits", "items").write.parquet(path)
+        index.destroy()
+        if before:
+            delete_path(spark, before)
+        out, before = spark.read.schema(out.schema).parquet(path), path
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_coverage: float = MAX_COVERAGE) -> DataFrame:

@@ -71,6 +71,33 @@ def test_against_brute_force_in_blocks(spark, monkeypatch):
             assert (r["n_words"], r["n_hit"], r["items"]) == want[r["row"]["doc_id"]]
 
 
+def test_long_items_in_pieces_and_one_automaton_at_a_time(spark, monkeypatch):
+    docs, items = cases()
+    rng = random.Random(9)
+    long_item = [f"w{rng.randrange(30)}" for _ in range(500)]
+    items += [(60, " ".join(long_item)), (61, " ".join(long_item)), (60, " ".join(long_item))]
+    docs += [(100 + i, " ".join(["pad", *long_item[i * 40 : i * 40 + 90], "pad"]), "en", "s") for i in range(11)]
+    docs += [(120, " ".join(long_item), "en", "s")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    named = [(None if i is None else str(i), t) for i, t in items]
+    want = {i: (n, hit, sorted(set(names))) for i, t, *_ in docs for n, hit, names in [brute(t, named)]}
+    sizes, build = [], decontamination.ItemIndex.__init__
+
+    def init(self, part, window):
+        sizes.append(sum(len(t.split()) for _, t in part))
+        build(self, part, window)
+
+    monkeypatch.setattr(decontamination.ItemIndex, "__init__", init)
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 400)
+    got = match_items(docs_table(spark, docs), bench).collect()
+    assert len(sizes) > 3 and max(sizes) <= 800  # one item alone has 500 words, all have over 1,300
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r["n_words"], r["n_hit"], r["items"]) == want[r["row"]["doc_id"]]
+        assert r["text"] is None or (r["clean"] == r["text"]) == (r["n_hit"] == 0)
+    assert match_items(docs_table(spark, []), bench).count() == 0
+
+
 def test_cleaning(spark):
     docs, items = cases()
     table = docs_table(spark, docs)
