@@ -98,8 +98,8 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-#: A word of an item, as ``words.ALNUM`` cuts it.
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word of an item, as ``words.ALNUM`` cuts it, before A-Z are lower-cased.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _HITS = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
 _NAMES = ["row", "text", "hits", "items", "n_words", "n_hit", "clean"]
 

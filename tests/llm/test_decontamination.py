@@ -75,7 +75,8 @@ def test_long_items_in_pieces_and_one_automaton_at_a_time(spark, monkeypatch):
     docs, items = cases()
     rng = random.Random(9)
     long_item = [f"w{rng.randrange(30)}" for _ in range(500)]
-    items += [(60, " ".join(long_item)), (61, " ".join(long_item)), (60, " ".join(long_item))]
+    items = [(i, t and t.title()) for i, t in items]
+    items += [(60, " ".join(long_item).upper()), (61, " ".join(long_item)), (60, " ".join(long_item))]
     docs += [(100 + i, " ".join(["pad", *long_item[i * 40 : i * 40 + 90], "pad"]), "en", "s") for i in range(11)]
     docs += [(120, " ".join(long_item), "en", "s")]
     bench = spark.createDataFrame(items, "item_id long, text string")
