@@ -1,5 +1,6 @@
 """Column expressions: wire format, JSON parsing, text checks."""
 
+from spoolwire.functions.codec import MalformedRecord, binary_deserializer, binary_serializer
 from spoolwire.functions.envelope import (
     CREATE_TIME,
     ENVELOPE,
@@ -21,6 +22,9 @@ __all__ = [
     "ENVELOPE",
     "ENVELOPE_COLUMNS",
     "LOG_APPEND_TIME",
+    "MalformedRecord",
+    "binary_deserializer",
+    "binary_serializer",
     "csv_tokens",
     "decode_envelope",
     "decode_strict",

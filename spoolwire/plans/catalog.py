@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spoolwire.functions.codec import binary_deserializer, binary_serializer
 from spoolwire.functions.envelope import ntz_to_instant, stringify, with_position
 from spoolwire.functions.text import head_chars, utf8_ok
 from spoolwire.operators.drift import schema_drift
@@ -660,6 +661,24 @@ def q_csv_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     return env.select("partition", "offset", "record.*")
 
 
+def q_binary_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents through a topic in a binary format that Spark has no built-in for; ``lang`` may be null."""
+    docs = table(spark, sf_dir, "documents")
+    rec = stringify(docs.select(*DOCUMENT_COLUMNS)).withColumn("lang", F.nullif("lang", F.lit("en")))
+    topic = FileTopic(scratch_path(spark, "documents-binary"), "data")
+    publish(
+        rec.withColumn("_id", F.col("doc_id").cast("long")),
+        topic,
+        columns=DOCUMENT_COLUMNS,
+        serializer=binary_serializer,
+        partitions=EVENT_PARTITIONS,
+        partition_by=F.pmod(F.col("_id"), F.lit(EVENT_PARTITIONS)),
+        order_by=["_id"],
+    )
+    env = deserialize(read_topic(spark, topic), binary_deserializer(DOCUMENT_COLUMNS, failfast=True))
+    return env.select("partition", "offset", F.md5("value").alias("value_md5"), "record.*")
+
+
 def q_topic_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O10 strict: a bounded read that first proves the range has no missing offsets."""
     env = read_topic(spark, events_topic(spark, sf_dir), fail_on_data_loss=True)
@@ -847,6 +866,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_ranges": q_missing_ranges,
     "keyed_publish": q_keyed_publish,
     "csv_wire": q_csv_wire,
+    "binary_wire": q_binary_wire,
     "stream_drain": q_stream_drain,
     "topic_checked": q_topic_checked,
     "stream_from_offsets": q_stream_from_offsets,

@@ -47,6 +47,24 @@ _ORDER_FIELDS = (
 
 _EVENT_SCHEMA = "OBJECT<event_id: STRING, event_type: STRING, props: STRING, ts: STRING, user_id: STRING, value: STRING>"
 
+def _binary_wire() -> str:
+    """Builds the bytes of every document's record (as hex) and reads its fields back from them."""
+    fields = ["doc_id::VARCHAR", "text", "nullif(lang, 'en')", "source", "n_chars::VARCHAR"]
+    one = "CASE WHEN {0} IS NULL THEN 'FFFFFFFF' ELSE format('{{:08X}}', octet_length(encode({0}))) || hex(encode({0})) END"
+    wire = " || ".join(one.format(f) for f in fields)
+    sql = f"""
+WITH w0 AS (
+  SELECT (doc_id % 3)::INTEGER AS "partition", row_number() OVER (PARTITION BY doc_id % 3 ORDER BY doc_id) - 1 AS "offset",
+         {wire} AS h, 1 AS p FROM documents)"""
+    for k, name in enumerate(["doc_id", "text", "lang", "source", "n_chars"]):
+        sql += f""",
+w{k + 1} AS (
+  SELECT * REPLACE (p + 8 + 2 * coalesce(n, 0) AS p) RENAME (n AS n{k}), decode(unhex(substr(h, p + 8, 2 * n))) AS {name}
+  FROM (SELECT *, CASE substr(h, p, 8) WHEN 'FFFFFFFF' THEN NULL ELSE ('0x' || substr(h, p, 8))::BIGINT END AS n FROM w{k}))"""
+    return sql + """
+SELECT "partition", "offset", md5(unhex(h)) AS value_md5, doc_id, text, lang, source, n_chars FROM w5"""
+
+
 ORACLE: dict[str, str] = {
     "ingest_roundtrip": (
         "SELECT NULL::VARCHAR AS key, o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey, "
@@ -209,6 +227,7 @@ SELECT c_mktsegment AS key, to_json(struct_pack(c_custkey := c_custkey, c_name :
   c_acctbal := c_acctbal, c_mktsegment := c_mktsegment))::VARCHAR AS value
 FROM ({_CUSTOMER})""",
     "csv_wire": _EV + f'SELECT "partition", "offset", {_EVENT_FIELDS} FROM ev',
+    "binary_wire": _binary_wire(),
     "topic_checked": _EV + 'SELECT "partition", "offset", v AS value FROM ev',
     "stream_from_offsets": _EV
     + 'SELECT "partition", "offset", v AS value FROM ev '
