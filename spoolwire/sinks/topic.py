@@ -91,6 +91,7 @@ def publish(
     observation: Observation | None = None,
     max_records_per_file: int = 5_000_000,
     in_source_order: bool = False,
+    splits: DataFrame | None = None,
 ) -> PublishResult:
     """Append ``df``'s records to ``topic``.
 
@@ -111,7 +112,10 @@ def publish(
     rows_long`` (sent rows with an optional column). The counts are taken
     where each row passes exactly once: in the writing pass, and after a range
     shuffle, whose sampling job would otherwise count rows a second time.
-    Topic files hold at most ``max_records_per_file`` records each.
+    Topic files hold at most ``max_records_per_file`` records each. With
+    ``in_source_order``, ``splits`` can give the ``split_sums`` of the kept rows, where
+    another pass has counted them; if what is written isn't what they count, the
+    publish fails.
     """
     extra = [_col(c).alias(f"_o{i}") for i, c in enumerate(order_by or [])]
     ts = _col(timestamp_column).cast("timestamp") if timestamp_column is not None else F.current_timestamp()
@@ -161,7 +165,7 @@ def publish(
             new_ends = {**current, **ends_in_data(spark, topic, current)}
         elif in_source_order:
             source = df.select(*sel, *extra, *flags, FILE, BLOCK)
-            new_ends = _publish_in_order(source, observation, current, topic, stage_path, max_records_per_file)
+            new_ends = _publish_in_order(source, observation, current, topic, stage_path, max_records_per_file, splits)
         else:
             kept = _counted(prepared, observation, F.col("_long")).filter(F.col("_keep"))
             kept.drop("_keep", "_long").write.parquet(f"{stage_path}/records")
@@ -175,27 +179,32 @@ def publish(
     return PublishResult(topic.name, sum(new_ends.values()) - sum(current.values()), n_parts, current)
 
 
-def _publish_in_order(source, observation, current, topic, stage_path, max_records_per_file) -> dict[int, int]:
+def _publish_in_order(source, observation, current, topic, stage_path, max_records_per_file, splits=None) -> dict[int, int]:
     """Kept records of a scan, written by the tasks that read them; the new end of each partition.
 
-    The table of splits (one small row each) is written beside the stage, so
-    that its scan runs once.
+    The table of splits (one small row each), unless given, is written beside
+    the stage, so that its scan runs once.
     """
     spark = source.sparkSession
-    path = f"{stage_path}/splits"
-    found = split_sums(source, F.col("_keep"))
-    found.write.parquet(path)
-    sums = spark.read.schema(found.schema).parquet(path)
+    sums = splits
+    if sums is None:
+        path = f"{stage_path}/splits"
+        found = split_sums(source, F.col("_keep"))
+        found.write.parquet(path)
+        sums = spark.read.schema(found.schema).parquet(path)
     total = sums.agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("splits")).first()
     n_parts, n = len(current), total.n or 0
     size, rest = divmod(n, n_parts)  # records of each partition; the first ``rest`` ones get one more
-    kept = numbered(_counted(source, observation, F.col("_long")), split_starts(sums), F.col("_keep"), total.splits <= BROADCAST_SPLITS)
+    sent = observation if splits is None or observation is not None else Observation("sent")
+    kept = numbered(_counted(source, sent, F.col("_long")), split_starts(sums), F.col("_keep"), total.splits <= BROADCAST_SPLITS)
     at = F.col("record_no") - 1
     longer = rest * (size + 1)
     part = F.expr(f"cast(if(record_no <= {longer}, (record_no - 1) div {size + 1}, {rest} + (record_no - 1 - {longer}) div {max(size, 1)}) as int)")
     begin = F.col("partition").cast("long") * size + F.least(F.col("partition"), F.lit(rest))
     out = kept.withColumn("partition", part).withColumn("offset", by_partition(current) + at - begin)
     _append(out.sortWithinPartitions("partition", "offset"), topic, max_records_per_file)
+    if splits is not None and sent.get["rows_sent"] != n:
+        raise RuntimeError(f"{sent.get['rows_sent']} records written where {n} were counted: the source changed between two passes over it")
     return {p: o + size + (p < rest) for p, o in current.items()}
 
 

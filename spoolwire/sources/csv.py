@@ -161,6 +161,8 @@ def scan_csv(
     return out
 
 
+# A line whose fields are all empty, quoted or not.
+_EMPTY_LINE = r'^(?:"")?(?:,(?:"")?)*+\z'
 # A line whose fields are each quoted as a whole, or free of quotes.
 _WHOLE_LINE = r'^(?:"(?:[^"]++|"")*+"|[^",]*+)(?:,(?:"(?:[^"]++|"")*+"|[^",]*+))*+$'
 
@@ -178,6 +180,49 @@ def line_safe(spark: SparkSession, path: str, encoding: str = "utf-8") -> bool:
     return not audit_encoding(spark, path).agg(F.sum("unsafe_lines")).first()[0]
 
 
+def _marked_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a source as ``value``, with their split (``_file, _block``), ``_bad`` (not UTF-8) and ``_unsafe`` (:func:`line_safe`).
+
+    Patterns are tried only on lines that can fail them: a line without a
+    quote has whole fields, and a blank one starts with a character up to U+0020.
+    """
+    value = F.col("value")
+    blank = (value < "!") & value.rlike(r"^[\x00-\x20]+$")
+    torn = value.contains('"') & ~value.rlike(_WHOLE_LINE)
+    unsafe = blank | value.contains("\r") | value.contains("\x00") | torn
+    marks = {FILE: F.col("_metadata.file_path"), BLOCK: F.col("_metadata.file_block_start"), "_bad": ~F.is_valid_utf8(value), "_unsafe": unsafe}
+    return spark.read.option("lineSep", "\n").text(path).withColumns(marks)
+
+
+def audit_splits(spark: SparkSession, path: str, width: int) -> DataFrame:
+    """One pass over the lines of a source: ``bad_lines``, ``unsafe_lines`` and the records with content of every split.
+
+    ``_file, _block, _task, _at, _n`` are those of ``operators.source_order.split_sums``
+    over ``scan_csv(..., multiline=False)``, ``_n`` counting the records that have a
+    non-empty field or more than ``width`` fields. They hold for sources without
+    unsafe lines, where each line that isn't empty is a record but for the first one
+    of a file, and a line scan has the splits and tasks of a CSV scan.
+    """
+    if not source_exists(spark, path):
+        raise SourceNotFound(path)
+    value = F.col("value")
+    # only a line that starts with a comma or a quote can be made of empty fields
+    empty = (value.startswith(",") | value.startswith('"')) & value.rlike(_EMPTY_LINE)
+    wide = F.length(F.replace(value, F.lit('"'))) >= width
+    lines = _marked_lines(spark, path).withColumns({
+        "_wanted": (value != "") & (~empty | wide), "_at": F.monotonically_increasing_id(), "_task": F.spark_partition_id(),
+    })
+    sums = lines.groupBy(FILE, BLOCK, "_task").agg(
+        F.min("_at").alias("_at"),
+        F.count_if("_wanted").alias("_n"),
+        F.min_by("_wanted", F.when(value != "", F.col("_at"))).alias("_head"),
+        F.count_if("_bad").alias("bad_lines"),
+        F.count_if("_unsafe").alias("unsafe_lines"),
+    )
+    header = (F.col(BLOCK) == 0) & F.coalesce("_head", F.lit(False))
+    return sums.withColumn("_n", F.col("_n") - header.cast("long")).drop("_head")
+
+
 def audit_encoding(spark: SparkSession, path: str, mode: str = "report") -> DataFrame:
     """Whole-source UTF-8 audit, one row per file: ``file, lines, bad_lines, first_bad, unsafe_lines, ok``.
 
@@ -192,16 +237,14 @@ def audit_encoding(spark: SparkSession, path: str, mode: str = "report") -> Data
         raise SourceNotFound(path)
     if mode not in ("report", "strict"):
         raise ValueError("mode must be 'report' or 'strict'")
-    lines = spark.read.option("lineSep", "\n").text(path)
-    bad = ~F.is_valid_utf8("value")
-    lines = lines.withColumns({FILE: F.col("_metadata.file_path"), "_at": F.struct("_metadata.file_block_start", F.monotonically_increasing_id())})
-    blank = F.col("value").rlike(r"^[\x00-\x20]+$")
-    unsafe = blank | F.col("value").rlike(r"[\r\x00]") | ~F.col("value").rlike(_WHOLE_LINE)
+    lines = _marked_lines(spark, path)
+    at = F.struct(BLOCK, F.monotonically_increasing_id())
+    lines = lines.withColumn("_at", at)
     report = lines.groupBy(F.col(FILE).alias("file")).agg(
         F.count(F.lit(1)).alias("lines"),
-        F.count_if(bad).alias("bad_lines"),
-        F.min_by(F.make_valid_utf8("value"), F.when(bad, F.col("_at"))).alias("first_bad"),
-        F.count_if(unsafe).alias("unsafe_lines"),
+        F.count_if("_bad").alias("bad_lines"),
+        F.min_by(F.make_valid_utf8("value"), F.when(F.col("_bad"), F.col("_at"))).alias("first_bad"),
+        F.count_if("_unsafe").alias("unsafe_lines"),
     )
     report = report.withColumn("ok", F.col("bad_lines") == 0)
     if mode == "strict":

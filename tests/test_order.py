@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from spoolwire import FileTopic, SourceNotFound, first_records, progress, publish, read_topic, scan_csv, upload_csv
 from spoolwire.operators.locate import locate_bad_utf8
-from spoolwire.operators.source_order import number_records, source_head
-from spoolwire.sources.csv import audit_encoding
+from spoolwire.operators.records import non_empty
+from spoolwire.operators.source_order import number_records, source_head, split_sums
+from spoolwire.sinks import topic as topic_sink
+from spoolwire.sources.csv import OVERFLOW, audit_encoding, audit_splits, csv_headers
 
 
 @pytest.fixture()
@@ -218,3 +220,40 @@ def test_first_bad_line_is_the_earliest(spark, local_dir):
     assert audit_encoding(spark, path).first().first_bad == "zz �"
     with pytest.raises(SourceNotFound):
         locate_bad_utf8(spark, os.path.join(local_dir, "none.txt"))
+
+
+def test_audit_counts_the_records_of_every_split(spark, local_dir, small_splits):
+    ordered_source(local_dir)
+    more = ['n,pad', '""', '"",""', ',,', '"",,""', '""""', '",",', "\u0085", "", 'x,"y ""z"""', ",x", "a,b,c"]
+    write_bytes(local_dir, "f7.csv", "\n\n" + "\n".join(more))
+    write_bytes(local_dir, "f8.csv", "n,pad")
+    rows = scan_csv(spark, local_dir, multiline=False, with_position=True)
+    keep = non_empty(rows, csv_headers(rows)) | F.col(OVERFLOW).isNotNull()
+    key = ("_file", "_block", "_task")
+    want = {tuple(r[k] for k in key): r["_n"] for r in split_sums(rows, keep).collect() if r["_n"]}
+    got = audit_splits(spark, local_dir, 2).collect()
+    assert {tuple(r[k] for k in key): r["_n"] for r in got if r["_n"]} == want
+    assert len(want) > 20 and not sum(r.unsafe_lines + r.bad_lines for r in got)
+
+
+def test_upload_of_a_safe_source_parses_it_once(spark, local_dir, small_splits, monkeypatch):
+    def second_scan(*_):
+        raise AssertionError("the records of a source that the audit counted are counted again")
+
+    monkeypatch.setattr(topic_sink, "split_sums", second_scan)
+    os.makedirs(f"{local_dir}/in")
+    want = ordered_source(f"{local_dir}/in")
+    t = FileTopic(f"{local_dir}/topic", "data")
+    report = upload_csv(spark, f"{local_dir}/in", t, partitions=3).first()
+    assert (report.status, report.rows_sent) == ("ok", len(want))
+    sent = read_topic(spark, t).orderBy("partition", "offset").select(F.get_json_object(F.col("value").cast("string"), "$.n").alias("n")).collect()
+    assert [int(r.n) for r in sent] == [no for _, no in want]
+
+
+def test_publish_fails_where_splits_count_other_records(spark, local_dir):
+    os.makedirs(f"{local_dir}/in")
+    ordered_source(f"{local_dir}/in")
+    rows = scan_csv(spark, f"{local_dir}/in", multiline=False, with_position=True)
+    more = split_sums(rows, keep_rows(rows)).withColumn("_n", F.col("_n") + 1).localCheckpoint()
+    with pytest.raises(RuntimeError, match="were counted"):
+        publish(rows, FileTopic(f"{local_dir}/topic", "data"), columns=["n", "pad"], keep=keep_rows(rows), in_source_order=True, splits=more)
