@@ -4,7 +4,9 @@ Rounds replace the most frequent pairs of neighbouring symbols by new symbols
 (nonterminals). A round takes up to ``ROUND_PAIRS`` pairs at once; where two
 occurrences overlap, the left one wins. Rounds go on until no pair occurs
 ``MIN_COUNT`` times, where a rule no longer pays for itself, or there are
-``MAX_RULES`` rules. The rules, the length that each
+``MAX_RULES`` rules. Once a round has taken all frequent pairs, the next one
+looks only where it can find others: at the places of those pairs and beside
+the new symbols. The rules, the length that each
 expands to, and the sequence that is left are stored; a sum of lengths at
 every ``STEP``-th symbol finds the place of any id.
 
@@ -35,14 +37,18 @@ _HEAD = struct.Struct("<8sQQQQQQ")
 def _frequent(key: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Up to ``limit`` of the most frequent keys, ascending, and their counts."""
     s = np.sort(key)
-    ends = np.concatenate([np.flatnonzero(s[1:] != s[:-1]), [len(s) - 1]])
-    n = np.diff(ends, prepend=-1)
-    top = np.flatnonzero(n >= MIN_COUNT)
-    if len(top) > limit:
-        least = np.partition(n[top], len(top) - limit)[len(top) - limit]
-        above = top[n[top] > least]
-        top = np.sort(np.concatenate([above, top[n[top] == least][: limit - len(above)]]))
-    return s[ends[top]], n[top]
+    # of each frequent key all elements but the last ones
+    k = s.take(np.flatnonzero(s[MIN_COUNT - 1 :] == s[: max(0, len(s) - MIN_COUNT + 1)]))
+    if not len(k):
+        return k, np.zeros(0, np.intp)
+    first = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1])
+    k, n = k[first], np.diff(first, append=len(k)) + MIN_COUNT - 1
+    if len(k) > limit:
+        least = np.partition(n, len(k) - limit)[len(k) - limit]
+        above, level = np.flatnonzero(n > least), np.flatnonzero(n == least)
+        top = np.sort(np.concatenate([above, level[: limit - len(above)]]))
+        k, n = k[top], n[top]
+    return k, n
 
 
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,12 +61,17 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
     rules: list[np.ndarray] = []
     lengths = np.zeros(0, np.int64)
     n_rules = 0
+    near = None  # places that hold every frequent pair, if not all places have to be looked at
     while len(seq) > 1 and n_rules < MAX_RULES:
         # two neighbours read as one number, the right one in its upper half
-        key = np.empty(len(seq) - 1, kind)
-        key[0::2] = seq[: len(seq) & ~1].view(kind)
-        key[1::2] = seq[1 : 1 + (len(seq) - 1 & ~1)].view(kind)
-        pairs, count = _frequent(key, min(ROUND_PAIRS, MAX_RULES - n_rules))
+        if near is None:
+            key = np.empty(len(seq) - 1, kind)
+            key[0::2] = seq[: len(seq) & ~1].view(kind)
+            key[1::2] = seq[1 : 1 + (len(seq) - 1 & ~1)].view(kind)
+        else:
+            key = seq[near].astype(kind) | seq[near + 1].astype(kind) << kind(half)
+        limit = min(ROUND_PAIRS, MAX_RULES - n_rules)
+        pairs, count = _frequent(key, limit)
         if not len(pairs):
             break
         table = np.full(1 << _BITS, -1, np.int16)
@@ -69,16 +80,19 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         which = table.take(slots(key), mode="clip")
         at = np.flatnonzero(which >= 0)
         which = which[at]
-        hit = pairs[which] == key[at]
-        at, which = at[hit], which[hit]
+        hit = np.flatnonzero(pairs.take(which, mode="clip") == key.take(at, mode="clip"))
+        seen = at if near is None else near[at]  # all places of these pairs
+        at, which = seen.take(hit, mode="clip"), which.take(hit, mode="clip")
         # in a run of overlapping occurrences every second one stays
         fresh = np.concatenate([[True], at[1:] != at[:-1] + 1])
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        keep = (np.arange(len(at)) - run) % 2 == 0
-        at, which = at[keep], which[keep]
+        i = np.arange(len(at), dtype=np.int32)
+        run = np.maximum.accumulate(i * fresh)
+        keep = np.flatnonzero(((i ^ run) & 1) == 0)
+        at, which = at.take(keep, mode="clip"), which.take(keep, mode="clip")
         used = np.bincount(which, minlength=len(pairs)) >= 2
-        good = used[which]
-        at, which = at[good], which[good]
+        if not used[which].all():
+            good = used[which]
+            at, which = at[good], which[good]
         if not len(at):
             break
         new = pairs[used].astype(np.int64)
@@ -91,8 +105,14 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         seq[at] = (base + n_rules + np.cumsum(used) - 1)[which].astype(symbol)
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq = seq.take(np.flatnonzero(stay), mode="clip")
+        seq = seq[stay]
         n_rules += len(new)
+        if len(pairs) < limit:
+            made = at - np.arange(len(at))
+            near = np.concatenate([seen - np.searchsorted(at, seen), made, made - 1])
+            near = np.unique(near[(near >= 0) & (near < len(seq) - 1)])
+        else:
+            near = None
     return (np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)), lengths, seq.astype(np.int64)
 
 

@@ -44,6 +44,20 @@ _WORD[0x80:0xC0] = True
 _WORD[[*range(0xC3, 0xC9), 0xD0, 0xD1]] = True
 
 
+def _byte_letters() -> np.ndarray:
+    """The character that stands for each byte in the vocabulary of a byte-level BPE: itself if it can be seen, else one from U+0100 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = np.arange(256, dtype="<u2")
+    hidden = np.setdiff1d(np.arange(256), seen)
+    letters[hidden] = 0x100 + np.arange(len(hidden))
+    return letters
+
+
+_LETTERS = _byte_letters()
+#: What stands for a line break.
+_BREAK = chr(_LETTERS[0x0A])
+
+
 def load(path: str):
     """The tokenizer of a file, one thread per worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,18 +67,18 @@ def load(path: str):
 
 
 def line_encoder(path: str):
-    """An encoder of lines that are one piece each, and the id that ends a line; None if the file splits texts otherwise."""
+    """An encoder of lines that are one piece each, in the letters of ``_LETTERS``, and the id that ends a line; None if the file splits texts otherwise."""
     with open(path, encoding="utf-8") as f:
         said = json.load(f)
     pieces = said.get("pre_tokenizer") or {}
     plain = pieces.get("type") == "ByteLevel" and pieces.get("use_regex", True) and not pieces.get("add_prefix_space")
     tok = load(path)
-    if not plain or said.get("normalizer") or said["model"].get("type") != "BPE" or tok.token_to_id("\u010a") is None:
+    if not plain or said.get("normalizer") or said["model"].get("type") != "BPE" or tok.token_to_id(_BREAK) is None:
         return None
-    from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
+    from tokenizers.pre_tokenizers import Split
 
-    tok.pre_tokenizer = Sequence([Split("\n", "isolated"), ByteLevel(add_prefix_space=False, use_regex=False)])
-    return tok, tok.token_to_id("\u010a")
+    tok.pre_tokenizer = Split(_BREAK, "isolated")
+    return tok, tok.token_to_id(_BREAK)
 
 
 def unit_starts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -169,9 +183,9 @@ class UnitEncoder:
     def _line_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         tok, end = self.lines
         lines, off = _gathered(data, starts, ends, b"\n")
-        whole = lines.tobytes()
-        cuts = [*off[:-1:LINES].tolist(), len(whole)]
-        texts = [whole[a:b].decode() for a, b in itertools.pairwise(cuts)]
+        whole = _LETTERS[lines].tobytes()  # two bytes a letter
+        cuts = [*(2 * off[:-1:LINES]).tolist(), len(whole)]
+        texts = [whole[a:b].decode("utf-16-le") for a, b in itertools.pairwise(cuts)]
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
         stops = np.flatnonzero(ids == end)
         return ids[ids != end], np.diff(stops, prepend=-1) - 1

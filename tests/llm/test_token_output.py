@@ -51,6 +51,36 @@ def test_repeats_compress():
     assert np.array_equal(shard.ids(17, 9000), ids[17:9000]) and len(shard.symbols) < 100
 
 
+def test_late_rounds_look_only_where_pairs_can_be(monkeypatch):
+    rng = np.random.default_rng(2)
+    phrases = [rng.integers(0, 20_000, 40) for _ in range(300)]
+    ids = np.concatenate([x for i in rng.integers(0, 300, 600) for x in (phrases[i], rng.integers(0, 20_000, 60))] + [np.tile(phrases[0], 20)])
+    looked, frequent = [], repair._frequent
+
+    def noted(key, limit):
+        looked.append(len(key))
+        return frequent(key, limit)
+
+    monkeypatch.setattr(repair, "_frequent", noted)
+    monkeypatch.setattr(repair, "ROUND_PAIRS", 20_000)
+    shard = repair.Shard(repair.pack(ids, np.array([0, len(ids)]), 20_000))
+    assert np.array_equal(shard.ids(), ids)
+    # no frequent pair is left, wherever it may be
+    left = shard.symbols.astype(np.int64)
+    assert np.unique(left[:-1] << 32 | left[1:], return_counts=True)[1].max() < repair.MIN_COUNT
+    assert looked[0] == len(ids) - 1 and len(looked) > 3 and max(looked[1:]) < len(ids) / 3
+
+
+def test_words_of_all_letters_equal_whole_texts(tok):
+    rng = random.Random(4)
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x250), *range(0x400, 0x460)] if chr(c).isalpha()]
+    texts = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(rng.randint(1, 200))) for _ in range(300)]
+    encoder = UnitEncoder(token_output.default_tokenizer())
+    ids, bounds = encoder.encode(*utf8(pa.array(texts)))
+    for i, t in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids
+
+
 def test_written_shards(spark, tok, monkeypatch):
     rows = [(i, f"text {i} of the corpus, with words. " * (i % 9), "en", "s") for i in range(60)]
     rows += [(60, None, None, None), (61, "", "en", "s"), (7, "other text", "en", "s"), (8, rows[8][1], "en", "s"), (None, "no id", "en", "s"), (-4, "long " * 30_000, "en", "s")]
