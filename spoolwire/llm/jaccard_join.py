@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words
-from .common import bounded_batches, materialize, table, utf8
+from .common import bounded_batches, discard, materialize, table, utf8
 from .components import components
 
 WIDTH = 5
@@ -95,7 +95,8 @@ def hot_shingles(docs: DataFrame, text: str, width: int = WIDTH) -> np.ndarray:
     the order of shingles depends on the counts, never the result.
     """
     found = docs.select(text).mapInArrow(_count_runs(width), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    found = materialize(found, "hot-shingles")
+    made: list[str] = []
+    found = materialize(found, "hot-shingles", made)
     level = F.floor(F.log2("n") * 8).cast("int")
     steps = found.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()  # a few hundred levels at most
     least, total = 1 << 30, 0
@@ -105,6 +106,7 @@ def hot_shingles(docs: DataFrame, text: str, width: int = WIDTH) -> np.ndarray:
             break
         least = r["level"]
     rows = found.where(level >= least).orderBy("n", "token").toPandas()  # at most HOT_MAX rows
+    discard(docs.sparkSession, made)
     return rows["token"].to_numpy(np.int64).view(np.uint64)
 
 
@@ -247,17 +249,22 @@ def _linked(width: int, percent: int):
     return run
 
 
-def _index(docs: DataFrame, id_col: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Signatures of all rows, classes of equal sets, index lists of the classes that may have a partner, and those classes' texts."""
+def _index(
+    docs: DataFrame, id_col: str, text: str, width: int, percent: int, kept: list[str], made: list[str]
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, classes of equal sets, index lists of the classes that may have a partner, and those classes' texts.
+
+    The paths of the first two are added to ``kept``, those of the others to ``made``.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     hot = spark.sparkContext.broadcast(hot_shingles(docs, "text", width))  # at most HOT_MAX hashes
     sigs = materialize(
-        docs.mapInArrow(_signatures(hot, width, percent), "doc_id long, n long, f1 long, f2 long, g long, prefix array<long>"), "signatures"
+        docs.mapInArrow(_signatures(hot, width, percent), "doc_id long, n long, f1 long, f2 long, g long, prefix array<long>"), "signatures", kept
     )
     classes = materialize(
-        sigs.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.min("g").alias("g")), "classes"
+        sigs.where("n > 0 and doc_id is not null").groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("node"), F.min("g").alias("g")), "classes", kept
     )
     # index of the groups, then of the members of those that may have a partner
     index = sigs.where("prefix is not null").select("g", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -266,16 +273,16 @@ def _index(docs: DataFrame, id_col: str, text: str, width: int, percent: int) ->
     alike = classes.groupBy("g").agg(F.count("*").alias("m")).where("m > 1").select("g")
     members = index.join(classes.select("g", "node"), "g").select("token", "node", "n", "pos")
     within = classes.join(alike, "g").select(F.col("g").alias("token"), "node", "n", F.lit(1).cast("long").alias("pos"))
-    lists = materialize(members.unionByName(within), "lists")
+    lists = materialize(members.unionByName(within), "lists", made)
     needed = lists.select(F.col("node").alias("doc_id")).distinct()
-    texts = materialize(docs.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts")
+    texts = materialize(docs.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "texts", made)
     return sigs, classes, lists, texts
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, label: str) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, label: str, made: list[str]) -> DataFrame:
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return materialize(both.mapInArrow(_linked(width, percent), "u long, v long"), label)
+    return materialize(both.mapInArrow(_linked(width, percent), "u long, v long"), label, made)
 
 
 def _list_pairs(marked: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -299,10 +306,13 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text: str = "text", w
     (and work) grows with the number of links. Rows that share an id are one
     document: a link of one of its texts is a link of that ``class_id``.
     """
-    _, _, lists, texts = _index(docs, id_col, text, width, percent)
+    made: list[str] = []
+    _, _, lists, texts = _index(docs, id_col, text, width, percent, made, made)
     marked = lists.withColumn("comp", F.col("node"))
     sizes = lists.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
-    return _verified(_list_pairs(marked, sizes, percent), texts, width, percent, "links").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+    links = _verified(_list_pairs(marked, sizes, percent), texts, width, percent, "links", [])
+    discard(docs.sparkSession, made)
+    return links.select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -319,10 +329,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     and an empty table gives an empty one. Only the two named columns are read,
     so other columns may have any name.
     """
-    sigs, classes, lists, texts = _index(docs, id_col, text, width, percent)
+    return _components(docs, id_col, text, width, percent, [])
+
+
+def _components(docs: DataFrame, id_col: str, text: str, width: int, percent: int, kept: list[str]) -> DataFrame:
+    """``jaccard_components``, with the paths of tables that the result reads added to ``kept``; the others go as soon as they aren't needed."""
+    made: list[str] = []
+    sigs, classes, lists, texts = _index(docs, id_col, text, width, percent, kept, made)
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
-        return _verified(pairs, texts, width, percent, label)
+        return _verified(pairs, texts, width, percent, label, made)
 
     def labelled(links: DataFrame) -> DataFrame:
         return lists.join(components(links).withColumnRenamed("component", "c"), "node", "left").select(
@@ -331,7 +347,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
 
     # rows that share an id are one document: all classes of its texts are linked through the id
     ids = sigs.where("n > 0 and doc_id is not null").join(classes.select("n", "f1", "f2", "node"), ["n", "f1", "f2"])
-    ids = materialize(ids.select("doc_id", "node"), "ids")
+    ids = materialize(ids.select("doc_id", "node"), "ids", made)
     several = ids.groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("doc_id")
     links = ids.join(several, "doc_id").where("doc_id <> node").select(F.col("node").alias("u"), F.col("doc_id").alias("v")).distinct()
 
@@ -348,11 +364,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     star = reps.join(pivot, "token").where((F.col("r.node") != F.col("p.node")) & (F.least("r.n", "p.n") * 100 >= F.greatest("r.n", "p.n") * percent))
     links = links.unionByName(verified(star.select(F.col("p.node").alias("a"), F.col("r.node").alias("b")).distinct(), "star"))
     # what is left: pairs of a list whose ends are in different components
-    marked = materialize(labelled(links), "marked")
+    marked = materialize(labelled(links), "marked", made)
     open_lists = marked.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m")).where("lo <> hi")
     cross = _list_pairs(marked, open_lists, percent)
     links = links.unionByName(verified(cross, "cross"))
     comps = components(links)
+    discard(docs.sparkSession, made)
 
     named = classes.withColumnRenamed("node", "cls").join(comps.select(F.col("node").alias("cls"), "component"), "cls", "left")
     named = named.select("n", "f1", "f2", "cls", F.coalesce("component", "cls").alias("comp"))
@@ -393,7 +410,10 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text: str = "text
         rows = rows.join(F.broadcast(several) if n <= BROADCAST_IDS else several, "own", "left")
         other = F.xxhash64("own", "text").bitwiseAND(F.lit(OWN_IDS - 1)).bitwiseOR(F.lit(OWN_IDS))
         rows = rows.withColumn("own", F.when(F.col("several"), other).otherwise(F.col("own"))).drop("several")
-    found = jaccard_components(rows, "own", "text").where("doc_id = component_id").select(F.col("doc_id").alias("own")).distinct()
+    read: list[str] = []
+    found = _components(rows, "own", "text", WIDTH, PERCENT, read).where("doc_id = component_id").select(F.col("doc_id").alias("own")).distinct()
+    found = materialize(found, "representatives")  # one long each, in place of the tables it comes from
+    discard(docs.sparkSession, read)
     kept = rows.join(found, "own", "left_semi").groupBy("own").agg(F.min("row").alias("row"))
     return kept.select("row.*").unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
 

@@ -1,9 +1,11 @@
+import os
 import random
 
 from llm_helpers import components, docs_table, shingle_set, spaced_words
 
 from spoolwire.llm import jaccard_join
 from spoolwire.llm.jaccard_join import jaccard_components, one_per_component
+from spoolwire.workspace import shared_root
 
 
 def brute(rows):
@@ -123,3 +125,19 @@ def test_one_id_for_every_row_loses_no_text(spark):
 
 def test_one_per_component_of_an_empty_table(spark):
     assert one_per_component(docs_table(spark, [])).count() == 0
+
+
+def test_tables_that_nothing_reads_are_gone(spark):
+    folder = f"{shared_root(spark).removeprefix('file:')}/spoolwire"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = docs_table(spark, [(i, f"{text} {i % 3}", "en", "s") for i in range(9)] + [(9, "alone", "en", "s")])
+    found = jaccard_components(docs)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert left == {"signatures", "classes", "components"}
+    assert found.count() == 10
+    before = set(os.listdir(folder))
+    kept = one_per_component(docs)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert left == {"shared-ids", "representatives", "components"}
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 9]
