@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..workspace import scratch_path
-from .common import bounded_batches, materialize, table, utf8
+from .common import bounded_batches, materialize, release_memory, table, utf8
 from .repair import Shard, pack
 from .token_units import UnitEncoder
 
@@ -66,8 +66,11 @@ def _write(path: str | None):
                 if size >= SHARD_IDS:
                     yield shard()
                     held, names, size, number = [], [], 0, number + 1
+            del ids
         if held:
             yield shard()
+        held.clear()
+        release_memory()
 
     return run
 

@@ -22,6 +22,10 @@ from . import words
 
 #: Plain units of a text that the library gets.
 LINES = 64
+#: Units that the library gets in one call: it holds about 100 bytes a token until their ids are taken over.
+CALL_UNITS = 1 << 13
+#: Units hashed, or turned into ids, at once; what that takes beside a batch doesn't grow with the batch.
+RUN_UNITS = 1 << 16
 #: Units that a worker remembers; when there are more, those met most often since the last time stay.
 CACHE_UNITS = 1_500_000
 
@@ -66,19 +70,23 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-def line_encoder(path: str):
-    """An encoder of lines that are one piece each, in the letters of ``_LETTERS``, and the id that ends a line; None if the file splits texts otherwise."""
+def line_encoder(path: str, tok):
+    """An encoder of lines that are one piece each, in the letters of ``_LETTERS``, and the id that ends a line; None if the file splits texts otherwise.
+
+    It shares the vocabulary and merges of ``tok``, the tokenizer of that file.
+    """
     with open(path, encoding="utf-8") as f:
         said = json.load(f)
     pieces = said.get("pre_tokenizer") or {}
     plain = pieces.get("type") == "ByteLevel" and pieces.get("use_regex", True) and not pieces.get("add_prefix_space")
-    tok = load(path)
     if not plain or said.get("normalizer") or said["model"].get("type") != "BPE" or tok.token_to_id(_BREAK) is None:
         return None
+    from tokenizers import Tokenizer
     from tokenizers.pre_tokenizers import Split
 
-    tok.pre_tokenizer = Split(_BREAK, "isolated")
-    return tok, tok.token_to_id(_BREAK)
+    lines = Tokenizer(tok.model)
+    lines.pre_tokenizer = Split(_BREAK, "isolated")
+    return lines, tok.token_to_id(_BREAK)
 
 
 def unit_starts(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -101,8 +109,8 @@ def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found = pa.array(h).dictionary_encode()
     values, number = found.dictionary.to_numpy(), found.indices.to_numpy()
     order = np.argsort(values)
-    rank = np.empty(len(order), np.intp)
-    rank[order] = np.arange(len(order))
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
     place = np.empty(len(values), np.intp)
     place[number] = np.arange(len(h))
     return values[order], place[order], rank[number]
@@ -124,15 +132,17 @@ class UnitEncoder:
 
     def __init__(self, path: str):
         self.tok = load(path)
-        self.lines = line_encoder(path)
+        self.lines = line_encoder(path, self.tok)
         self.added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        most = max(self.tok.get_vocab(with_added_tokens=True).values(), default=0)
+        self.kind = np.uint16 if most < 1 << 16 else np.uint32  # of a remembered id
         self._clear()
 
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.at, self.count = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.used = np.zeros(0, np.int32)
-        self.pool = np.zeros(0, np.uint32)
+        self.pool = np.zeros(0, self.kind)
 
     def _shrink(self, room: int) -> None:
         """Forget the units least used, so that at most half of the cache, and ``room`` below its size, stay."""
@@ -146,8 +156,15 @@ class UnitEncoder:
             self.at = (total - count).astype(np.int32)
         self.used = np.zeros(len(self.keys), np.int32)
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _ids(tok, texts: list[str], at_once: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, one after the other, and how many each has."""
+        flat, count = [np.zeros(0, np.uint32)], []
+        for lo in range(0, len(texts), at_once):
+            ids = [e.ids for e in tok.encode_batch_fast(texts[lo : lo + at_once], add_special_tokens=False)]
+            flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
+            count += map(len, ids)
+        return np.concatenate(flat), np.array(count, np.int64)
 
     def _plain(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Which units are one word of letters, with or without a space before it."""
@@ -173,7 +190,7 @@ class UnitEncoder:
                 flat, n = encode(data, off[:-1][which], off[1:][which])
                 count[which], at[which] = n, size + np.cumsum(n) - n
                 size += len(flat)
-                pools.append(flat)
+                pools.append(flat.astype(self.kind))
         self.pool = np.concatenate(pools)
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
@@ -186,14 +203,13 @@ class UnitEncoder:
         whole = _LETTERS[lines].tobytes()  # two bytes a letter
         cuts = [*(2 * off[:-1:LINES]).tolist(), len(whole)]
         texts = [whole[a:b].decode("utf-16-le") for a, b in itertools.pairwise(cuts)]
-        ids = np.concatenate([np.array(e.ids, np.uint32) for e in tok.encode_batch_fast(texts, add_special_tokens=False)])
+        ids, _ = self._ids(tok, texts, CALL_UNITS // LINES)
         stops = np.flatnonzero(ids == end)
         return ids[ids != end], np.diff(stops, prepend=-1) - 1
 
     def _unit_ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         whole = data.tobytes()
-        ids = self._ids([whole[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-        return np.array(list(itertools.chain.from_iterable(ids)), np.uint32), np.array([len(x) for x in ids], np.int64)
+        return self._ids(self.tok, [whole[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], CALL_UNITS)
 
     def _unknown(self, keys: np.ndarray) -> np.ndarray:
         if not len(self.keys):
@@ -204,7 +220,11 @@ class UnitEncoder:
         """``(ids, bounds)``: text i has ``ids[bounds[i]:bounds[i + 1]]``."""
         starts = unit_starts(raw, off)
         ends = np.append(starts[1:], len(raw))
-        h = words.hashes(raw, starts, ends)
+        runs = [slice(a, a + RUN_UNITS) for a in range(0, len(starts), RUN_UNITS)]
+        h = np.zeros(len(starts), np.uint64)
+        for r in runs:
+            lo, hi = starts[r][0], ends[r][-1]
+            h[r] = words.hashes(raw[lo:hi], starts[r] - lo, ends[r] - lo)
         distinct, first, back = _distinct(h)
         new = self._unknown(distinct)
         if len(self.keys) + int(new.sum()) > CACHE_UNITS:
@@ -212,11 +232,16 @@ class UnitEncoder:
             new = self._unknown(distinct)
         if new.any():
             self._learn(distinct[new], raw, starts[first[new]], ends[first[new]])
+        del h, ends, first
         k = np.searchsorted(self.keys, distinct)
         self.used[k] += 1
         count, at = self.count[k][back], self.at[k][back]
         total = np.cumsum(count, dtype=np.int64)
-        ids = self.pool[np.repeat(at - (total - count), count) + np.arange(int(total[-1]) if len(total) else 0)]
+        ids = np.empty(int(total[-1]) if len(total) else 0, np.uint32)
+        for r in runs:
+            n, upto = count[r], total[r]
+            lo, hi = int(upto[0] - n[0]), int(upto[-1])
+            ids[lo:hi] = self.pool[np.repeat(at[r] - (upto - n), n) + np.arange(lo, hi)]
         unit_bounds = np.searchsorted(starts, off)
         bounds = np.concatenate([[0], total])[unit_bounds]
         data = raw.tobytes() if self.added else b""
@@ -230,5 +255,5 @@ class UnitEncoder:
         for i, (a, b) in enumerate(zip(off[:-1], off[1:], strict=True)):
             text = data[a:b]
             if any(mark in text for mark in self.added):
-                parts[i] = np.array(self._ids([text.decode()])[0], np.uint32)
+                parts[i] = self._ids(self.tok, [text.decode()], 1)[0]
         return np.concatenate([np.zeros(0, np.uint32), *parts]), np.concatenate([[0], np.cumsum([len(p) for p in parts])])

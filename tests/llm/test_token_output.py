@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -29,6 +32,62 @@ def test_units_equal_whole_texts(tok):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+class _Noted:
+    """A tokenizer that notes how many tokens a call returns."""
+
+    def __init__(self, tok, calls):
+        self.tok, self.calls = tok, calls
+
+    def __getattr__(self, name):
+        return getattr(self.tok, name)
+
+    def encode_batch_fast(self, texts, **how):
+        found = self.tok.encode_batch_fast(texts, **how)
+        self.calls.append(sum(len(e.ids) for e in found))
+        return found
+
+
+def test_the_library_holds_few_tokens_at_once(tok):
+    rng = random.Random(5)
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=7)) + str(rng.randrange(10**6)) for _ in range(60_000))
+    encoder, calls = UnitEncoder(token_output.default_tokenizer()), []
+    encoder.tok, encoder.lines = _Noted(encoder.tok, calls), (_Noted(encoder.lines[0], calls), encoder.lines[1])
+    ids, _ = encoder.encode(*utf8(pa.array([text])))
+    assert ids.tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert sum(calls) > 300_000 and max(calls) < 100_000
+
+
+_AFTER_A_TASK = """
+import ctypes, re, sys, random
+import pyarrow as pa
+from spoolwire.llm import token_output
+def mb():
+    return sum(map(int, re.findall("Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+class Task:
+    partitionId = staticmethod(lambda: 0)
+token_output.TaskContext.get = staticmethod(lambda: Task)
+rng = random.Random(3)
+def batches():
+    for k in range(2):
+        words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(150_000)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array([" ".join(words[i::100]) for i in range(100)])], ["id", "text"])
+def task():
+    for _ in token_output._write(None)(batches()):
+        pass
+    ctypes.CDLL(None).malloc_trim(0) if "trim" in sys.argv else None
+    pa.default_memory_pool().release_unused() if "trim" in sys.argv else None
+    return mb()
+print(task())
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_a_worker_gives_memory_back_after_its_task():
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = lambda *a: float(subprocess.run([sys.executable, "-c", _AFTER_A_TASK, *a], cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, check=True, timeout=300).stdout)
+    assert run() - run("trim") < 25
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 5000])
 def test_repair_round_trip_and_random_access(n):
     rng = np.random.default_rng(n)
