@@ -1,9 +1,10 @@
-"""A binary record format that Spark has no built-in for, as a serializer / deserializer pair of Arrow UDFs.
+"""A binary record format that Spark has no built-in for: a serializer as Arrow UDF, a deserializer of Spark's functions.
 
 A record is its fields in order, each a 4-byte big-endian signed length and
-that many bytes of UTF-8; length -1 is a null field. Both directions work on
-whole Arrow batches (no loop over rows) and fit ``publish(serializer=)``,
-``deserialize`` and ``decode_records(deserializer=)``, batch and streaming.
+that many bytes of UTF-8; length -1 is a null field. The pair fits
+``publish(serializer=)``, ``deserialize`` and ``decode_records(deserializer=)``,
+batch and streaming; reading a topic runs no Python. ``encode_records`` and
+``decode_records_binary`` do the same to Arrow arrays, without a loop over rows.
 """
 
 from __future__ import annotations
@@ -110,10 +111,28 @@ def binary_serializer(record: Column) -> Column:
 def binary_deserializer(names: Sequence[str], failfast: bool = False) -> Callable[[Column], Column]:
     """Bytes -> struct of the string fields ``names``; see :func:`decode_records_binary` for malformed values."""
     names = list(names)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
 
-    @F.arrow_udf(schema)
-    def decode(values: pa.Array) -> pa.Array:
-        return decode_records_binary(values, names, failfast)
+    def decode(value: Column) -> Column:
+        value = value.cast("binary")  # of a column read as text too
+
+        def field(state: Column, _: Column) -> Column:
+            at = state["at"]
+            size = F.conv(F.hex(F.substr(value, at, F.lit(4))), 16, 10).cast("long")
+            size = F.when(size >= 1 << 31, size - (1 << 32)).otherwise(size)
+            text = F.substr(value, at + 4, size.cast("int")).cast("string")
+            fits = (at + 3 <= F.octet_length(value)) & (size >= NULL_LENGTH) & (at + 3 + size <= F.octet_length(value))
+            given = state["good"] & fits & (size >= 0)
+            good = state["good"] & fits & F.when(given, F.is_valid_utf8(text)).otherwise(True)
+            after = F.when(good, at + 4 + F.greatest(size, F.lit(0)).cast("int")).otherwise(at)
+            return F.struct(after.alias("at"), good.alias("good"), F.concat(state["texts"], F.array(F.when(given, text))).alias("texts"))
+
+        def record(state: Column) -> Column:
+            whole = state["good"] & (state["at"] == F.octet_length(value) + 1)
+            fields = F.struct(*[state["texts"][i].alias(c) for i, c in enumerate(names)])
+            bad = F.raise_error(F.lit(f"a value is not a record of {len(names)} fields")) if failfast else F.lit(None)
+            return F.when(whole, fields).otherwise(bad)
+
+        start = F.struct(F.lit(1).alias("at"), F.lit(True).alias("good"), F.array().cast("array<string>").alias("texts"))
+        return F.when(value.isNotNull(), F.aggregate(F.array(*[F.lit(i) for i in range(len(names))]), start, field, record))
 
     return decode

@@ -91,3 +91,18 @@ def test_empty_and_null_records(spark):
     assert df.select(binary_serializer(F.col("r")).alias("v")).first()["v"] is None
     none = df.where("false").select(binary_serializer(F.col("r")).alias("v"))
     assert none.select(binary_deserializer(["a"])(F.col("v")).alias("r")).count() == 0
+
+
+def test_deserializer_is_of_spark_functions_and_agrees_with_arrow(spark):
+    good = by_hand({"a": "x", "b": None, "c": "é"})
+    values = [
+        None, good, good[:-1], good + b"!", b"", b"\0\0", good[:5] + struct.pack(">i", -2) + good[9:], by_hand({"a": "", "b": "\0", "c": None}),
+        struct.pack(">i", 2**31 - 1) + good[4:], struct.pack(">i", -(2**31)) + good[4:], good.replace(b"x", b"\xff"), struct.pack(">i", -1) * 3,
+    ]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v binary")
+    read = df.select("i", binary_deserializer(NAMES)(F.col("v")).alias("r"))
+    assert "Python" not in read._jdf.queryExecution().executedPlan().toString()
+    want = decode_records_binary(pa.array(values, pa.binary()), NAMES).to_pylist()
+    assert [r["r"] and r["r"].asDict() for r in read.orderBy("i").collect()] == want
+    with pytest.raises(Exception, match="not a record of 3 fields"):
+        df.select(binary_deserializer(NAMES, failfast=True)(F.col("v")).alias("r")).collect()
